@@ -123,7 +123,7 @@ class TableSpec:
         return self.schema.names
 
 
-def _spec(folder: str, name: str, key: str = "id", **fields: T.DataType) -> TableSpec:
+def _spec(folder: str, name: str, key: str = "id", /, **fields: T.DataType) -> TableSpec:
     return TableSpec(folder, name, struct(**fields), key)
 
 
