@@ -7,9 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Above this many rows per group Spark no longer trims groups before the shuffle.
-_TRIM_LIMIT = 1000
-_SALTS = 64
+# Spark trims a ranked group before the shuffle up to this rank (spark.sql.optimizer.windowGroupLimitThreshold).
+TRIM_LIMIT = 1000
+# Key ranges a table is cut into for numbering, and the groups in which the cut points are searched.
+BLOCKS = 256
+_GROUP = 16
+# Sampled keys per block; more of them make the blocks more even.
+_SAMPLES = 16
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -22,61 +26,91 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 
 
 def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """First ``n`` rows of each key in ``order`` (which has to be total).
-
-    Small ``n`` is trimmed before the shuffle by Spark. A large ``n`` gets a first pass on salted keys, so that
-    no task ranks more than its share of a hot key.
-    """
-    rank = "_rank"
-    if n > _TRIM_LIMIT:
-        salt = F.pmod(F.xxhash64(*[F.col(name) for name in df.columns]), F.lit(_SALTS))
-        salted = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        df = (
-            df.withColumn("_salt", salt)
-            .withColumn(rank, F.row_number().over(salted))
-            .where(F.col(rank) <= n)
-            .drop("_salt", rank)
-        )
-    ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.where(F.col(rank) <= n).drop(rank)
+    """First ``n`` rows (up to ``TRIM_LIMIT``) of each key in ``order``, trimmed before the shuffle."""
+    if n > TRIM_LIMIT:
+        raise ValueError("use slice_by_position for more rows per key")
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
-def with_position(
-    df: DataFrame, order: Sequence[str], within: Sequence[str] = (), name: str = "position", blocks: int = 64
-) -> DataFrame:
-    """Add the zero-based position of each row in ``order`` (ascending, unique per row) inside ``within``.
+def _cut_points(df: DataFrame, key: Column, blocks: int) -> DataFrame:
+    """One row: sorted cut points, and the last one of each group of them.
 
-    A plain ``row_number`` would pull a whole group into one task. Here the rows are cut into key ranges, each
-    range is numbered on its own, and the row counts of the earlier ranges are added. The cut points are the
-    rows with the smallest hashes (at most ``16 * blocks`` keys in one row), so they depend on the data only
-    and a recomputed task finds the same ones. Raise ``blocks`` with the data.
+    The sample are the keys with the smallest hashes, about ``blocks * _SAMPLES`` of them whatever the size of
+    the table. It depends on the data only, so a recomputed task finds the same cut points.
     """
-    within, order = list(within), list(order)
-    key = F.struct(*within, *order)
-    cuts = (
-        df.select(key.alias("_key"))
-        .orderBy(F.xxhash64("_key"), "_key")
-        .limit(16 * blocks)
+    rows = df.agg(F.count("*").alias("_rows")).withColumn("_one", F.lit(0))
+    share = F.shiftrightunsigned(F.xxhash64("_key"), 11) / F.lit(float(1 << 53))
+    sample = (
+        df.select(key.alias("_key"), F.lit(0).alias("_one"))
+        .join(F.broadcast(rows), "_one")
+        .where(share * F.col("_rows") < blocks * _SAMPLES)
         .agg(F.sort_array(F.collect_set("_key")).alias("_keys"))
-        .select(F.filter("_keys", lambda _, i: i % 16 == 15).alias("_cuts"), F.lit(0).alias("_one"))
     )
-    block = F.size(F.filter("_cuts", lambda cut: cut <= key))
-    cut = (
+    step = F.greatest(F.floor(F.size("_keys") / blocks), F.lit(1))
+    cuts = sample.select(F.filter("_keys", lambda _, i: i % step == step - 1).alias("_cuts"))
+    last = F.filter("_cuts", lambda _, i: i % _GROUP == _GROUP - 1)
+    return cuts.select("_cuts", last.alias("_last"), F.lit(0).alias("_one"))
+
+
+def _in_blocks(df: DataFrame, key: Column, blocks: int) -> DataFrame:
+    """Add ``_block``: the number of cut points up to the key, found group by group."""
+    full = F.size(F.filter("_last", lambda cut: cut <= key)) * _GROUP
+    rest = F.size(F.filter(F.slice("_cuts", F.col("_full") + 1, F.lit(_GROUP)), lambda cut: cut <= key))
+    return (
         df.withColumn("_one", F.lit(0))
-        .join(F.broadcast(cuts), "_one")
-        .withColumn("_block", block)
-        .drop("_one", "_cuts")
+        .join(F.broadcast(_cut_points(df, key, blocks)), "_one")
+        .withColumn("_full", full)
+        .withColumn("_block", F.col("_full") + rest)
+        .drop("_one", "_cuts", "_last", "_full")
     )
-    earlier = Window.partitionBy(*within).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _numbered(
+    df: DataFrame, order: Sequence[str], within: Sequence[str], ascending: bool, blocks: int, name: str,
+    span: tuple[int, int] | None = None,
+) -> DataFrame:
+    within, order = list(within), list(order)
+    cut = _in_blocks(df, F.struct(*within, *order), blocks)
+    sort = [F.col(column).asc() if ascending else F.col(column).desc() for column in ["_block", *order]]
+    earlier = Window.partitionBy(*within).orderBy(sort[0]).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(*within, "_block")
         .agg(F.count("*").alias("_rows"))
-        .select(*within, "_block", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    inside = Window.partitionBy(*within, "_block").orderBy(*order)
-    same = [cut[column].eqNullSafe(offsets[column]) for column in within]
-    numbered = cut.withColumn("_row", F.row_number().over(inside))
-    same = [numbered[column].eqNullSafe(offsets[column]) for column in within]
-    return numbered.join(offsets, [*same, numbered["_block"] == offsets["_block"]]).select(
-        *[numbered[column] for column in df.columns], (F.col("_row") - 1 + F.col("_offset")).alias(name)
+        .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
     )
+    if span is not None:
+        # blocks outside the wanted positions are dropped before their rows are shuffled
+        offsets = offsets.where((F.col("_offset") < span[1]) & (F.col("_offset") + F.col("_rows") > span[0]))
+    offsets = offsets.select(*[F.col(column).alias(f"_w_{column}") for column in within], F.col("_block").alias("_b"), "_offset")
+    same = [cut[column].eqNullSafe(offsets[f"_w_{column}"]) for column in within]
+    placed = cut.join(offsets, [*same, cut["_block"] == offsets["_b"]])
+    inside = Window.partitionBy(*within, "_block").orderBy(*sort[1:])
+    position = F.row_number().over(inside) - 1 + F.col("_offset")
+    return placed.withColumn(name, position).select(*df.columns, name)
+
+
+def with_position(
+    df: DataFrame, order: Sequence[str], within: Sequence[str] = (), name: str = "position", ascending: bool = True,
+    blocks: int = BLOCKS,
+) -> DataFrame:
+    """Add the zero-based position of each row in ``order`` (unique per row) inside ``within``.
+
+    A plain ``row_number`` would pull a whole group into one task. Here the rows are cut into key ranges, each
+    range is numbered on its own, and the row counts of the earlier ranges are added. A group that holds most
+    of the rows spans many ranges.
+    """
+    return _numbered(df, order, within, ascending, blocks, name)
+
+
+def slice_by_position(
+    df: DataFrame, order: Sequence[str], offset: int, limit: int, within: Sequence[str] = (), ascending: bool = True,
+    blocks: int = BLOCKS,
+) -> DataFrame:
+    """Rows at positions ``offset .. offset + limit - 1``, however many that are, without a single big task.
+
+    Only the key ranges that reach into the slice are shuffled and numbered.
+    """
+    span = (offset, offset + limit)
+    numbered = _numbered(df, order, within, ascending, blocks, "_position", span)
+    return numbered.where((F.col("_position") >= span[0]) & (F.col("_position") < span[1])).drop("_position")

@@ -14,7 +14,7 @@ _URL_KEY = "/repos/([^/]+/[^/]+)/[a-z]+/([0-9]+)$"
 
 def field_of(structs: Column, field: str) -> Column:
     """Array of structs -> array of one field; a missing array reads as an empty one."""
-    return F.transform(F.coalesce(structs, F.array()), lambda item: item[field])
+    return F.coalesce(structs[field], F.array())
 
 
 def without_nulls(values: Column) -> Column:

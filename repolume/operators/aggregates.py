@@ -64,9 +64,10 @@ def first_appearances(
 ) -> DataFrame:
     """Author date of the oldest commit that touched each file, one column per file; NULL if none did.
 
-    Only edits of the named files reach the join. ``commits`` is the mined log, which still has the author date.
+    Only edits of the named files reach the join, each file once per commit. ``commits`` is the mined log,
+    which still has the author date.
     """
-    touched = edits.where(F.col(filename).isin(*files.values())).select(*scope, filename, sha)
+    touched = edits.where(F.col(filename).isin(*files.values())).select(*scope, filename, sha).distinct()
     dated = touched.join(commits.select(*scope, sha, author_date, committed_at), [*scope, sha])
     return first_value_per_name(dated, files, scope, filename, author_date, [committed_at, author_date])
 

@@ -85,10 +85,13 @@ def commit_accounts(
 
 
 def unknown_only(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``known``."""
-    return df.join(known.select(*keys), list(keys), "left_anti")
+    """Rows of ``df`` whose key is not in ``known``.
+
+    The keys are made distinct first: a semi or anti join cannot split a key that fills its right side.
+    """
+    return df.join(known.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def known_only(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is in ``known``."""
-    return df.join(known.select(*keys), list(keys), "left_semi")
+    return df.join(known.select(*keys).distinct(), list(keys), "left_semi")

@@ -7,14 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repolume.functions.ranking import top_n_per_key
+from repolume.functions.ranking import TRIM_LIMIT, slice_by_position, top_n_per_key
 
 # Rows a general listing returns at most.
 REQUEST_MAXIMUM = 40_000
+# Up to here Spark's own top-k is used, which keeps that many rows per task and merges them in one.
+_TOP_K = 10_000
 
 
 def _order(columns: Sequence[str], ascending: bool) -> list[Column]:
-    return [F.col(c).asc_nulls_last() if ascending else F.col(c).desc_nulls_last() for c in columns]
+    return [F.col(c).asc() if ascending else F.col(c).desc() for c in columns]
 
 
 def sort_by_update(
@@ -29,7 +31,10 @@ def page(
     ascending: bool = True,
 ) -> DataFrame:
     """``limit`` rows of the sorted listing, after ``offset`` rows."""
-    return sort_by_update(df, updated_at, key, ascending).offset(offset).limit(limit)
+    if offset + limit <= _TOP_K:
+        return sort_by_update(df, updated_at, key, ascending).offset(offset).limit(limit)
+    picked = slice_by_position(df, [updated_at, key], offset, limit, ascending=ascending)
+    return sort_by_update(picked, updated_at, key, ascending)
 
 
 def nth(
@@ -43,7 +48,9 @@ def first_per_parent(
     df: DataFrame, parent: Sequence[str], order: Sequence[str], limit: int = REQUEST_MAXIMUM, ascending: bool = True
 ) -> DataFrame:
     """At most ``limit`` rows of each parent, in order."""
-    return top_n_per_key(df, parent, _order(order, ascending), limit)
+    if limit <= TRIM_LIMIT:
+        return top_n_per_key(df, parent, _order(order, ascending), limit)
+    return slice_by_position(df, order, 0, limit, parent, ascending)
 
 
 def listing(

@@ -44,7 +44,7 @@ def met_users(raw: dict[str, DataFrame]) -> DataFrame:
         structs = [F.array(*plain)] if plain else []
         lists = [F.coalesce(F.col(name), F.array()) for name in arrays]
         for nested, names in _NESTED_USERS.get(entity, {}).items():
-            lists += [F.transform(F.coalesce(F.col(nested), F.array()), lambda r, n=name: r[n]) for name in names]
+            lists += [F.coalesce(F.col(f"{nested}.{name}"), F.array()) for name in names]
         if structs or lists:
             found.append(df.select(REPO, "seq", F.explode(F.concat(*structs, *lists)).alias("user")))
     return reduce(DataFrame.unionByName, found)

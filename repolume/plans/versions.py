@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from repolume.operators import projections
 from repolume.operators.enrich import add_tags, branch_dictionary, encode_branches
 from repolume.operators.identity import assign_unknown_users, resolve_commits
+from repolume.operators.lookups import lookup
 from repolume.schemas import REPO, TABLES
 
 
@@ -16,14 +17,21 @@ def version_tables(
     mined_commits: DataFrame, mined_edits: DataFrame, accounts: DataFrame, users: DataFrame, tags: DataFrame,
     scope: Sequence[str] = (REPO,), mode: str = "representative",
 ) -> dict[str, DataFrame]:
-    """Shape, resolve identities, add tags, encode branches."""
+    """Shape, resolve identities, add tags, encode branches.
+
+    Everything is worked out on a slim frame of the commits. The full rows, messages included, are shuffled
+    once, by their unique sha, to take up the result.
+    """
+    scope = list(scope)
     commits = projections.commits(mined_commits)
-    resolved = resolve_commits(commits, accounts, users, scope, mode=mode)
-    tagged = add_tags(resolved, tags, scope)
-    branches = branch_dictionary(commits, "branches", scope)
-    encoded = encode_branches(tagged, branches, "branches", "branch_ids", scope)
+    slim = commits.select(*scope, "commit_sha", "seq", "committer_name", "branches")
+    resolved = resolve_commits(slim, accounts, users, scope, mode=mode)
+    branches = branch_dictionary(slim, "branches", scope)
+    found = encode_branches(add_tags(resolved, tags, scope), branches, "branches", "branch_ids", scope)
+    added = ["author", "committer", "unknown_user", "tag", "branch_ids"]
+    full = lookup(commits, found, {c: c for c in [*scope, "commit_sha"]}, {c: c for c in added})
     return {
-        "commits": encoded.select(*TABLES["commits"].columns),
+        "commits": full.select(*TABLES["commits"].columns),
         "edits": projections.edits(mined_edits),
         "branches": branches,
     }

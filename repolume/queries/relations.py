@@ -112,16 +112,16 @@ def pr_issue_complete(t: Source) -> DataFrame:
 
 @query(
     """
-    WITH issues AS (SELECT conv_id, text AS title FROM conversations WHERE turn = 1)
+    WITH issues AS (SELECT conv_id, text AS title FROM conversations WHERE turn = 0)
     SELECT c.conv_id * 1000 + turn AS id, c.conv_id AS issue, issues.title,
            c.conv_id AS parent_number, 'org/chat' AS parent_repository
     FROM conversations c LEFT JOIN issues ON issues.conv_id = c.conv_id
     """
 )
 def comment_parent_url(t: Source) -> DataFrame:
-    """Comments with their issue, joined by url, and the natural key inside the url."""
+    """Comments with their issue (the opening turn), joined by url, and the natural key inside the url."""
     comments = projections.issue_comments(raw_comments(t.conversations))
-    issues = t.conversations.where(c("turn") == 1).select(
+    issues = t.conversations.where(c("turn") == 0).select(
         lit("org/chat").alias(REPO), tag("https://host/repos/org/chat/issues/", "conv_id").alias("url"),
         c("text").alias("title"),
     )

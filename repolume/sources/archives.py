@@ -35,8 +35,9 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for run_id, payload in zip(batch["run_id"], batch["payload"]):
             archive = _open(payload)
-            names = archive.namelist() if archive is not None else [None]
-            yield pd.DataFrame({"run_id": run_id, "member": pd.Series(names, dtype="object")})
+            names = [] if archive is None else archive.namelist()
+            members = pd.Series(names or [None], dtype="object")
+            yield pd.DataFrame({"run_id": run_id, "member": members, "is_archive": archive is not None})
 
 
 def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -61,8 +62,13 @@ def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def archive_members(archives: DataFrame) -> DataFrame:
-    """One row per member of each archive; a payload that is no archive gives one row with a NULL member."""
-    return archives.select("run_id", "payload").mapInPandas(_members, "run_id long, member string")
+    """One row per member of each archive: ``run_id, member, is_archive``.
+
+    An empty archive, and a payload that is no archive, give one row with a NULL member.
+    """
+    return archives.select("run_id", "payload").mapInPandas(
+        _members, "run_id long, member string, is_archive boolean"
+    )
 
 
 def archive_lines(archives: DataFrame) -> DataFrame:
@@ -74,10 +80,7 @@ def archive_lines(archives: DataFrame) -> DataFrame:
 
 def count_members(archives: DataFrame) -> DataFrame:
     """Members per run; NULL where the payload is no archive, 0 for an empty archive."""
-    members = archive_members(archives).groupBy("run_id").agg(
-        F.count("member").alias("_n"), F.count("*").alias("_rows")
-    )
-    counted = F.when(F.col("_n") == F.col("_rows"), F.col("_n"))
-    return archives.select("run_id").distinct().join(members, "run_id", "left").select(
-        "run_id", F.when(F.col("_rows").isNull(), 0).otherwise(counted).cast("long").alias("members")
+    counts = archive_members(archives).groupBy("run_id").agg(
+        F.count("member").alias("_n"), F.bool_or("is_archive").alias("_ok")
     )
+    return counts.select("run_id", F.when(F.col("_ok"), F.col("_n")).alias("members"))
