@@ -124,7 +124,10 @@ def share_of_total(
     per_key = df.groupBy(*keys).agg(F.sum(name).alias(name))
     totals = per_key.groupBy(*scope).agg(F.sum(name).alias("_total"))
     if scope:
-        joined = lookup(per_key, totals, {c: c for c in scope}, {"_total": "_total"})
+        # NULL-safe: a NULL scope has its total too, and no filter sets the two aggregations apart, so that
+        # Spark runs them on one and the same shuffle
+        side = totals.select(*[F.col(c).alias(f"_s_{c}") for c in scope], "_total")
+        joined = per_key.join(side, [per_key[c].eqNullSafe(side[f"_s_{c}"]) for c in scope], "left")
     else:
         joined = per_key.withColumn("_one", F.lit(0)).join(F.broadcast(totals.withColumn("_one", F.lit(0))), "_one")
     ratio = F.round(F.try_divide(F.col(name).cast("double"), F.col("_total").cast("double")), digits)

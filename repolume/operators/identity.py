@@ -84,22 +84,15 @@ def match_names(
     return lookup(names, attribute_index(users, scope, order), on, {"anonym_uuid": "attribute_user"})
 
 
-def resolve(
-    commits: DataFrame, users: DataFrame, scope: Sequence[str] = (REPO,), order: Sequence[str] = ("seq",),
-    mode: str = "representative", name: str = "committer_name", user_order: Sequence[str] = ("seq",),
+def _settle(
+    commits: DataFrame, reps: DataFrame, users: DataFrame, scope: Sequence[str], mode: str, name: str,
+    user_order: Sequence[str],
 ) -> DataFrame:
-    """Final ``author``, ``committer`` and ``unknown_user`` of commits that carry their own account columns.
-
-    ``mode="representative"`` resolves a name through its first commit; ``"per_commit"`` uses every commit's
-    own accounts. A name is looked up among the users only if both columns are NULL, aliases before
-    attributes; a hit sets both, a miss is reported in ``unknown_user``.
-    """
+    """Commits with their own account columns and the accounts of each name's first commit -> the final columns."""
     if mode not in ("representative", "per_commit"):
         raise ValueError(f"unknown mode {mode!r}")
-    scope = list(scope)
     columns = [c for c in commits.columns if c not in ("author", "committer", "unknown_user")]
-    names = representatives(commits, ["author", "committer"], scope, name, order)
-    names = names.where(F.col(name).isNotNull()).withColumnsRenamed({"author": "_ra", "committer": "_rc"})
+    names = reps.withColumnsRenamed({"author": "_ra", "committer": "_rc"})
     names = match_names(names, users, name, scope, user_order).withColumn(
         "_hit", F.coalesce("alias_user", "attribute_user")
     )
@@ -121,12 +114,33 @@ def resolve(
     )
 
 
+def resolve(
+    commits: DataFrame, users: DataFrame, scope: Sequence[str] = (REPO,), order: Sequence[str] = ("seq",),
+    mode: str = "representative", name: str = "committer_name", user_order: Sequence[str] = ("seq",),
+) -> DataFrame:
+    """Final ``author``, ``committer`` and ``unknown_user`` of commits that carry their own account columns.
+
+    ``mode="representative"`` resolves a name through its first commit; ``"per_commit"`` uses every commit's
+    own accounts. A name is looked up among the users only if both columns are NULL, aliases before
+    attributes; a hit sets both, a miss is reported in ``unknown_user``.
+    """
+    reps = representatives(commits, ["author", "committer"], scope, name, order)
+    return _settle(commits, reps, users, scope, mode, name, user_order)
+
+
 def resolve_commits(
     commits: DataFrame, accounts: DataFrame, users: DataFrame, scope: Sequence[str] = (REPO,),
-    order: Sequence[str] = ("seq",), mode: str = "representative",
+    order: Sequence[str] = ("seq",), mode: str = "representative", name: str = "committer_name",
+    user_order: Sequence[str] = ("seq",),
 ) -> DataFrame:
-    """``commit_accounts`` followed by ``resolve``."""
-    return resolve(commit_accounts(commits, accounts, scope), users, scope, order, mode)
+    """``resolve`` for commits whose accounts are in a table of their own.
+
+    The first commit of a name is found before its accounts are looked up, so the lookup for the names takes
+    one row per name and shares the shuffled accounts with the lookup for the commits.
+    """
+    firsts = representatives(commits, ["commit_sha"], scope, name, order)
+    reps = commit_accounts(firsts, accounts, scope).drop("commit_sha")
+    return _settle(commit_accounts(commits, accounts, scope), reps, users, scope, mode, name, user_order)
 
 
 def unknown_users(commits: DataFrame, scope: Sequence[str] = (REPO,)) -> DataFrame:

@@ -25,9 +25,10 @@ def version_tables(
     scope = list(scope)
     commits = projections.commits(mined_commits)
     slim = commits.select(*scope, "commit_sha", "seq", "committer_name", "branches")
-    resolved = resolve_commits(slim, accounts, users, scope, mode=mode)
+    # tags and accounts are both found by sha: one shuffle serves them
+    resolved = resolve_commits(add_tags(slim, tags, scope), accounts, users, scope, mode=mode)
     branches = branch_dictionary(slim, "branches", scope)
-    found = encode_branches(add_tags(resolved, tags, scope), branches, "branches", "branch_ids", scope)
+    found = encode_branches(resolved, branches, "branches", "branch_ids", scope)
     added = ["author", "committer", "unknown_user", "tag", "branch_ids"]
     full = lookup(commits, found, {c: c for c in [*scope, "commit_sha"]}, {c: c for c in added})
     return {

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repolume.functions.people import ADJECTIVES, NOUNS
+from repolume.session import scratch_dir
 
 TABLE_NAMES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -46,6 +47,13 @@ def query(sql: str | None = None):
     return register
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back, as a pipeline does between two steps."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string")
 

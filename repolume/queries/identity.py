@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from repolume.functions.ranking import with_position
 from repolume.operators import identity
-from repolume.queries.base import Source, as_json, query, sql_pseudonym, tag, text
+from repolume.plans.versions import version_tables as pipeline
+from repolume.queries.base import Source, as_json, naive, query, sql_pseudonym, stored, tag, text
+from repolume.schemas import MINED_EDITS, REPO
 
 c, lit, when = F.col, F.lit, F.when
 
@@ -150,16 +152,19 @@ def unknown_users(t: Source) -> DataFrame:
 
 
 def _assigned(t: Source) -> tuple[DataFrame, DataFrame]:
-    """Unknown names in order: every third goes to user U1, the others to new users of their own."""
+    """Unknown names in order: every third goes to user U1, the others to new users of their own.
+
+    Repair starts from stored commits and a mapping table, so both are written first.
+    """
     users = _users(t.supplier)
-    commits = identity.resolve(_commits(t.orders), users, (), mode="per_commit")
+    commits = stored(identity.resolve(_commits(t.orders), users, (), mode="per_commit"), "resolved")
     names = with_position(identity.unknown_users(commits, ()).select("unknown_user"), ["unknown_user"], name="seq")
     mapping = names.select(
         "unknown_user", "seq",
         when(c("seq") % 3 == 0, "U1").otherwise(tag("new", "seq")).alias("uuid"),
         (c("seq") % 3 == 1).alias("new_user"),
     )
-    return identity.assign_unknown_users(commits, users, mapping, ())
+    return identity.assign_unknown_users(commits, users, stored(mapping, "mapping"), ())
 
 
 _SQL_ASSIGNED = f"""
@@ -204,3 +209,88 @@ def assign_unknown_users(t: Source) -> DataFrame:
 )
 def assign_unknown_users_users(t: Source) -> DataFrame:
     return as_json(_assigned(t)[1], "alias")
+
+
+def _mined_commits(orders: DataFrame) -> DataFrame:
+    """The commits of ``_commits`` as the miner writes them, one repository per status."""
+    time = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    none = lit(None).cast("string")
+    number = lit(None).cast("long")
+    name = when(c("o_orderkey") % 10 == 0, identity.SERVICE_COMMITTER).otherwise(tag("C", c("o_custkey") % 40))
+    return orders.select(
+        tag("org/", "o_orderstatus").alias(REPO), c("o_orderkey").alias("seq"), tag("sha", "o_orderkey").alias("hash"),
+        *[none.alias(n) for n in ("author_name", "author_email", "committer_email", "project_name")],
+        time.alias("author_date"), number.alias("author_timezone"), name.alias("committer_name"),
+        time.alias("committer_date"), number.alias("committer_timezone"), c("o_orderpriority").alias("commit_message"),
+        number.alias("commit_message_len"), lit(1).cast("long").alias("no_of_modifications"), lit("").alias("parents"),
+        F.concat(lit("main,"), F.lower("o_orderpriority")).alias("branches"), lit(True).alias("in_main_branch"),
+        lit(False).alias("merge"),
+    )
+
+
+@query(
+    """
+    WITH commits AS (
+      SELECT concat('org/', o_orderstatus) AS repo, o_orderkey AS seq,
+             CASE WHEN o_orderkey % 10 = 0 THEN 'GitHub' ELSE concat('C', o_custkey % 40) END AS committer_name,
+             CASE WHEN o_orderpriority LIKE '1%' THEN concat('A', o_custkey) END AS a0,
+             CASE WHEN o_orderpriority LIKE '2%' THEN concat('A', o_custkey) END AS k0,
+             o_orderdate, o_orderpriority
+      FROM orders
+    ), users AS (
+      SELECT concat('org/', r) AS repo, s_suppkey AS seq, concat('U', s_suppkey) AS uuid, concat('C', s_nationkey) AS name,
+             s_name AS email, CASE WHEN s_acctbal > 5000 THEN concat('C', s_suppkey % 60) END AS alias
+      FROM supplier, (VALUES ('F'), ('O')) AS v(r)
+    ), reps AS (
+      SELECT repo, committer_name, a0 AS ra, k0 AS rk FROM commits WHERE committer_name <> 'GitHub'
+      QUALIFY row_number() OVER (PARTITION BY repo, committer_name ORDER BY seq) = 1
+    ), hits AS (
+      SELECT n.repo, n.committer_name,
+             coalesce((SELECT arg_min(uuid, u.seq) FROM users u WHERE u.repo = n.repo AND u.alias = n.committer_name),
+                      (SELECT arg_min(uuid, u.seq) FROM users u
+                       WHERE u.repo = n.repo AND (u.email = n.committer_name OR u.name = n.committer_name))) AS hit
+      FROM (SELECT DISTINCT repo, committer_name FROM commits) n
+    ), own AS (
+      SELECT c.*, hit, CASE WHEN committer_name = 'GitHub' THEN a0 ELSE ra END AS a,
+             CASE WHEN committer_name = 'GitHub' THEN k0 ELSE rk END AS k
+      FROM commits c LEFT JOIN reps USING (repo, committer_name) LEFT JOIN hits USING (repo, committer_name)
+    ), tags AS (
+      SELECT l_orderkey, arg_max(l_returnflag, (l_linenumber, l_partkey, l_suppkey, l_shipdate)) AS tag
+      FROM lineitem WHERE l_quantity >= 45 GROUP BY 1
+    ), dictionary AS (
+      SELECT repo, branch, row_number() OVER (PARTITION BY repo ORDER BY branch) - 1 AS id
+      FROM (SELECT DISTINCT repo, unnest(['main', lower(o_orderpriority)]) AS branch FROM commits)
+    )
+    SELECT own.repo AS repo_full_name, concat('sha', seq) AS commit_sha,
+           CASE WHEN a IS NULL AND k IS NULL THEN hit ELSE a END AS author,
+           CASE WHEN a IS NULL AND k IS NULL THEN hit ELSE k END AS committer,
+           CASE WHEN a IS NULL AND k IS NULL AND hit IS NULL THEN committer_name END AS unknown_user,
+           o_orderdate AS commited_at, o_orderpriority AS commit_message, coalesce(tag, '') AS tag,
+           to_json([m.id, b.id])::VARCHAR AS branch_ids
+    FROM own LEFT JOIN tags ON l_orderkey = seq
+         JOIN dictionary m ON m.repo = own.repo AND m.branch = 'main'
+         JOIN dictionary b ON b.repo = own.repo AND b.branch = lower(o_orderpriority)
+    """
+)
+def version_tables(t: Source) -> DataFrame:
+    """Commits of three repositories through the whole pipeline: shape, identities, tags, branches."""
+    mined = _mined_commits(t.orders)
+    accounts = t.orders.select(
+        tag("org/", "o_orderstatus").alias(REPO), tag("sha", "o_orderkey").alias("sha"),
+        when(c("o_orderpriority").startswith("1"), tag("A", "o_custkey")).alias("author"),
+        when(c("o_orderpriority").startswith("2"), tag("A", "o_custkey")).alias("committer"),
+    )
+    repositories = F.explode(F.array(lit("org/F"), lit("org/O")))
+    users = _users(t.supplier).withColumn(REPO, repositories)
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    marks = t.lineitem.where(c("l_quantity") >= 45).groupBy("l_orderkey").agg(
+        F.max_by("l_returnflag", F.struct(*order)).alias("name")
+    )
+    tags = marks.join(t.orders, c("l_orderkey") == c("o_orderkey")).select(
+        tag("org/", "o_orderstatus").alias(REPO), lit(0).alias("seq"), tag("sha", "o_orderkey").alias("sha"), "name"
+    )
+    commits = pipeline(mined, t.spark.createDataFrame([], MINED_EDITS), accounts, users, tags)["commits"]
+    shown = commits.select(
+        REPO, "commit_sha", "author", "committer", "unknown_user", "commited_at", "commit_message", "tag", "branch_ids"
+    )
+    return as_json(naive(shown), "branch_ids")

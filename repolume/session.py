@@ -19,7 +19,7 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # archives arrive as large binaries; keep the batches handed to Python small
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 
