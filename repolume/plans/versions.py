@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from repolume.operators import projections
 from repolume.operators.enrich import add_tags, branch_dictionary, encode_branches
 from repolume.operators.identity import assign_unknown_users, resolve_commits
 from repolume.operators.lookups import lookup
 from repolume.schemas import REPO, TABLES
+from repolume.sinks.tables import save_together
+from repolume.sources.tables import read_table
 
 
 def version_tables(
@@ -38,9 +40,8 @@ def version_tables(
     }
 
 
-def repair_identities(
-    commits: DataFrame, users: DataFrame, mapping: DataFrame, scope: Sequence[str] = (REPO,), salt: str = ""
-) -> dict[str, DataFrame]:
-    """Both tables after unknown names were given to users."""
-    new_commits, new_users = assign_unknown_users(commits, users, mapping, scope, salt)
-    return {"commits": new_commits, "users": new_users}
+def repair_identities(spark: SparkSession, root: str, mapping: DataFrame, salt: str = "") -> None:
+    """Give unknown names of the stored commits to users, and store both tables."""
+    commits, users = read_table(spark, root, "commits"), read_table(spark, root, "users")
+    new_commits, new_users = assign_unknown_users(commits, users, mapping, (REPO,), salt)
+    save_together({"commits": new_commits, "users": new_users}, root)

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repolume.operators.lookups import unknown_only
 from repolume.functions.ranking import first_per_key
+from repolume.operators.lookups import unknown_only
 from repolume.schemas import REPO, TABLES
+from repolume.session import scratch_dir
 from repolume.sources.tables import BUCKET, bucket_of, read_or_empty, read_registry, read_table, table_path
 
 
@@ -47,6 +48,21 @@ def save_table(df: DataFrame, root: str, table: str) -> None:
     _write(df.unionByName(kept), table_path(root, table), "overwrite")
 
 
+def save_together(tables: dict[str, DataFrame], root: str) -> None:
+    """Save tables that were derived from each other's stored rows.
+
+    Saving the first one would pull the files from under the second, so all of them are written to the shared
+    scratch folder before the first stored table changes.
+    """
+    staged = {}
+    for name, df in tables.items():
+        path = scratch_dir(df.sparkSession, f"staged-{name}")
+        df.select(*TABLES[name].columns).write.parquet(path)
+        staged[name] = df.sparkSession.read.schema(TABLES[name].schema).parquet(path)
+    for name, df in staged.items():
+        save_table(df, root, name)
+
+
 def save_if_any(df: DataFrame, root: str, table: str) -> bool:
     """Save unless there is nothing to save; says whether it saved."""
     if df.isEmpty():
@@ -85,7 +101,7 @@ def export_tables(tables: dict[str, DataFrame], folder: str, source: str = "csv"
         writer = flat(df).write.mode("overwrite").format(source)
         if source == "csv":
             # quotes are doubled as in any CSV reader; line breaks stay inside the quotes
-            writer = writer.options(header="true", escape='"', nullValue="\\N", emptyValue="")
+            writer = writer.options(header="true", escape='"', nullValue="\\N")
         writer.save(f"{folder.rstrip('/')}/{name}")
 
 
