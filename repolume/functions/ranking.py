@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 # Spark trims a ranked group before the shuffle up to this rank (spark.sql.optimizer.windowGroupLimitThreshold).
 TRIM_LIMIT = 1000
-# Key ranges a table is cut into for numbering, and the groups in which the cut points are searched.
+# Key ranges a table is cut into for numbering.
 BLOCKS = 256
-_GROUP = 16
 # Sampled keys per block; more of them make the blocks more even.
 _SAMPLES = 16
 
@@ -34,7 +33,7 @@ def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
 
 
 def _cut_points(df: DataFrame, key: Column, blocks: int) -> DataFrame:
-    """One row: sorted cut points, and the last one of each group of them.
+    """One row: the sorted cut points, at most ``blocks - 1``.
 
     The sample are the keys with the smallest hashes, about ``blocks * _SAMPLES`` of them whatever the size of
     the table. It depends on the data only, so a recomputed task finds the same cut points.
@@ -47,23 +46,22 @@ def _cut_points(df: DataFrame, key: Column, blocks: int) -> DataFrame:
         .where(share * F.col("_rows") < blocks * _SAMPLES)
         .agg(F.sort_array(F.collect_set("_key")).alias("_keys"))
     )
-    step = F.greatest(F.floor(F.size("_keys") / blocks), F.lit(1))
-    cuts = sample.select(F.filter("_keys", lambda _, i: i % step == step - 1).alias("_cuts"))
-    last = F.filter("_cuts", lambda _, i: i % _GROUP == _GROUP - 1)
-    return cuts.select("_cuts", last.alias("_last"), F.lit(0).alias("_one"))
+    step = F.greatest(F.ceil(F.size("_keys") / blocks), F.lit(1))
+    cuts = F.filter("_keys", lambda _, i: i % step == step - 1)
+    return sample.select(F.slice(cuts, 1, blocks - 1).alias("_cuts"), F.lit(0).alias("_one"))
 
 
 def _in_blocks(df: DataFrame, key: Column, blocks: int) -> DataFrame:
-    """Add ``_block``: the number of cut points up to the key, found group by group."""
-    full = F.size(F.filter("_last", lambda cut: cut <= key)) * _GROUP
-    rest = F.size(F.filter(F.slice("_cuts", F.col("_full") + 1, F.lit(_GROUP)), lambda cut: cut <= key))
-    return (
-        df.withColumn("_one", F.lit(0))
-        .join(F.broadcast(_cut_points(df, key, blocks)), "_one")
-        .withColumn("_full", full)
-        .withColumn("_block", F.col("_full") + rest)
-        .drop("_one", "_cuts", "_last", "_full")
-    )
+    """Add ``_block``, the number of cut points up to the key: a binary search, one projection per step.
+
+    Past the last cut point ``get`` is NULL, which compares like a cut point beyond every key.
+    """
+    found = df.withColumn("_one", F.lit(0)).join(F.broadcast(_cut_points(df, key, blocks)), "_one")
+    found = found.withColumns({"_key": key, "_block": F.lit(0)})
+    for step in range((blocks - 1).bit_length() - 1, -1, -1):
+        cut = F.get("_cuts", F.col("_block") + ((1 << step) - 1))
+        found = found.withColumn("_block", F.col("_block") + F.when(cut <= F.col("_key"), 1 << step).otherwise(0))
+    return found.drop("_one", "_cuts", "_key")
 
 
 def _numbered(
@@ -71,7 +69,9 @@ def _numbered(
     span: tuple[int, int] | None = None,
 ) -> DataFrame:
     within, order = list(within), list(order)
-    cut = _in_blocks(df, F.struct(*within, *order), blocks)
+    columns = [*within, *order]
+    key = F.struct(*columns) if len(columns) > 1 else F.col(columns[0])
+    cut = _in_blocks(df, key, blocks)
     sort = [F.col(column).asc() if ascending else F.col(column).desc() for column in ["_block", *order]]
     earlier = Window.partitionBy(*within).orderBy(sort[0]).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
