@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from repolume.fixed_values import PLACEHOLDER_LOGIN
+
 ADJECTIVES = (
     "amber", "bold", "brisk", "calm", "clear", "crisp", "deep", "eager", "early", "fair", "fleet", "fresh",
     "gentle", "glad", "grand", "green", "keen", "kind", "late", "light", "lucid", "mild", "neat", "noble",
@@ -16,9 +18,6 @@ NOUNS = (
     "maple", "meadow", "oak", "pine", "ridge", "river", "stone", "valley",
 )
 
-# Login the mined service shows for a commit whose author has no account.
-PLACEHOLDER_LOGIN = "invalid-email-address"
-
 
 def _word(words: tuple[str, ...], digest: Column, start: int) -> Column:
     number = F.conv(F.substring(digest, start, 8), 16, 10).cast("long")

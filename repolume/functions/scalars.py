@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DATE_PATTERN = "yyyy-MM-dd HH:mm:ss"
+from repolume.fixed_values import DATE_PATTERN
+
 _URL_KEY = "/repos/([^/]+/[^/]+)/[a-z]+/([0-9]+)$"
 
 

@@ -8,22 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from repolume.fixed_values import COMMUNITY_FILES, CONTRIBUTOR_LIMIT, NOT_KNOWN
 from repolume.functions.ranking import top_n_per_key
 from repolume.functions.scalars import owner_of, without_nulls
 from repolume.operators.lookups import lookup
-from repolume.schemas import FIRST_APPEARANCE_COLUMNS, REPO, TABLES
-
-# Community files whose first appearance is reported. Fixed values.
-COMMUNITY_FILES = {
-    "file_readme": "README.md",
-    "file_code_of_conduct": "CODE_OF_CONDUCT.md",
-    "file_contributing": "CONTRIBUTING.md",
-    "file_funding": "FUNDING.yml",
-    "file_IssuePR_templates": ".github/ISSUE_TEMPLATE/config.yml",
-    "file_security": "SECURITY.md",
-    "file_support": "SUPPORT.md",
-}
-CONTRIBUTOR_LIMIT = 500
+from repolume.schemas import REPO, TABLES
 
 
 def count_rows(df: DataFrame, name: str = "rows") -> DataFrame:
@@ -162,7 +151,6 @@ SUMMARY_COUNTS = {
     "issues_count": "issues",
     "issues_comment_count": "issue_comments",
 }
-NOT_KNOWN = "not known"
 
 
 def repository_summary(
@@ -206,7 +194,7 @@ def repository_summary(
         base = lookup(base, dates, key, {"last_commit_date": "last_commit_date"})
         if edits is not None:
             first = first_appearances(edits, commits)
-            base = lookup(base, first, key, {c: c for c in FIRST_APPEARANCE_COLUMNS})
+            base = lookup(base, first, key, {c: c for c in COMMUNITY_FILES})
     if companies:
         people = repositories.select(
             F.col("full_name").alias(REPO), F.posexplode("contributors").alias("seq", "_person")

@@ -14,14 +14,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from repolume.fixed_values import SERVICE_COMMITTER
 from repolume.functions.people import pseudonym
 from repolume.functions.ranking import first_per_key
 from repolume.operators.lookups import commit_accounts, known_only, lookup
 from repolume.schemas import REPO
 
-# Committer name of commits the hosting service makes itself.
-SERVICE_COMMITTER = "GitHub"
-
 
 def _on(scope: Sequence[str], **keys: str) -> dict[str, str]:
     return {**{name: name for name in scope}, **keys}

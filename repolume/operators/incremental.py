@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from repolume.fixed_values import MODIFICATION_LIMIT
 from repolume.functions.ranking import first_per_key, with_position
 from repolume.functions.scalars import changed
 from repolume.operators.lookups import lookup
@@ -61,6 +62,21 @@ def has_updates(
     return newest.join(F.broadcast(store), "_one").select(verdict.alias(name))
 
 
+def updates_per_repository(
+    new: DataFrame, old: DataFrame, updated_at: str = "updated_at", key: str = "id", scope: Sequence[str] = (REPO,),
+    name: str = "has_updates",
+) -> DataFrame:
+    """``has_updates`` for every repository of a listing at once: one row per repository that is listed."""
+    scope = list(scope)
+    newest = new.groupBy(*scope).agg(F.max(F.struct(updated_at, key)).alias("_newest"))
+    newest = newest.select(*scope, F.col(f"_newest.{key}").alias("_id"), F.col(f"_newest.{updated_at}").alias("_at"))
+    known = old.groupBy(*scope, key).agg(F.max(updated_at).alias("_stored"), F.lit(True).alias("_known"))
+    on = {**{c: c for c in scope}, "_id": key}
+    found = lookup(newest, known, on, {"_stored": "_stored", "_known": "_known"})
+    verdict = F.col("_known").isNull() | changed(F.col("_stored"), F.col("_at"))
+    return found.select(*scope, verdict.alias(name))
+
+
 def change_classes(
     new: DataFrame, old: DataFrame, key: Sequence[str] = (REPO, "id"), updated_at: str = "updated_at",
     name: str = "change",
@@ -111,7 +127,7 @@ def overflow_union(listed: DataFrame, nested: DataFrame, key: Sequence[str] = (R
     return first_per_key(both, key, [F.col("_from"), *[F.col(c) for c in order]]).drop("_from")
 
 
-def cap_modifications(edits: DataFrame, limit: int = 1000, key: Sequence[str] = (REPO, "commit_sha")) -> DataFrame:
+def cap_modifications(edits: DataFrame, limit: int = MODIFICATION_LIMIT, key: Sequence[str] = (REPO, "commit_sha")) -> DataFrame:
     """Edits without those of commits that modify more than ``limit`` files.
 
     The oversized commits are few; they are found by a partial count and taken out by an anti-join.

@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from repolume.fixed_values import REQUEST_MAXIMUM
 from repolume.functions.ranking import TRIM_LIMIT, slice_by_position, top_n_per_key
 
-# Rows a general listing returns at most.
-REQUEST_MAXIMUM = 40_000
 # Up to here Spark's own top-k is used, which keeps that many rows per task and merges them in one.
 _TOP_K = 10_000
 

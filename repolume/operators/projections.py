@@ -9,20 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from repolume.fixed_values import COMMIT_DROPS, COMMIT_RENAMES, DATE_PATTERN, EDIT_RENAMES
 from repolume.functions.people import People, real_user_id
 from repolume.functions.ranking import first_per_key
-from repolume.functions.scalars import DATE_PATTERN, field_of
+from repolume.functions.scalars import field_of
 from repolume.schemas import REPO, TABLES
 
 c = F.col
 
-COMMIT_RENAMES = {"hash": "commit_sha", "committer_date": "commited_at", "parents": "parent_sha"}
-COMMIT_DROPS = (
-    "author_email", "author_name", "committer_email", "author_date", "author_timezone", "commit_message_len",
-    "project_name", "merge",
-)
-EDIT_RENAMES = {"commit_hash": "commit_sha"}
-
 
 def _shape(df: DataFrame, table: str, **computed: Column) -> DataFrame:
     """Columns of ``table``: the computed ones, the others as they are."""

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from repolume.fixed_values import REACTION_PARENTS
 from repolume.functions.people import People
 from repolume.operators import projections
 from repolume.operators.aggregates import repository_summary
@@ -17,6 +18,8 @@ from repolume.plans.versions import version_tables
 from repolume.schemas import REPO, TABLES
 from repolume.sinks.tables import append_users, save_table
 
+ISSUE, COMMENT, REVIEW_COMMENT = REACTION_PARENTS
+
 # Raw entity -> its user fields (plain, then arrays).
 _USER_FIELDS = {
     "issue": (("user", "closed_by"), ("assignees",)),
@@ -85,7 +88,7 @@ def build_tables(
         elif listed is not None or under is not None:
             tables["issue_events"] = listed if under is None else under
     if "issue_reactions" in wanted:
-        parts = {label: raw[e] for label, e in (("issue", "issue"), ("comment", "issue_comment")) if e in raw}
+        parts = {label: raw[e] for label, e in ((ISSUE, "issue"), (COMMENT, "issue_comment")) if e in raw}
         if parts:
             found = {label: projections.reactions(df, label, people).drop("parent_name") for label, df in parts.items()}
             tables["issue_reactions"] = union_tagged(found).select(*TABLES["issue_reactions"].columns)
@@ -95,7 +98,7 @@ def build_tables(
     )
     build("reviews", "pull_request", lambda df: projections.reviews(df, people))
     build("review_comments", "review_comment", lambda df: projections.review_comments(df, people))
-    build("pull_request_reactions", "review_comment", lambda df: projections.reactions(df, "review_comment", people))
+    build("pull_request_reactions", "review_comment", lambda df: projections.reactions(df, REVIEW_COMMENT, people))
     build("workflows", "workflow", projections.workflows)
     build("workflow_runs", "workflow_run", projections.workflow_runs)
 

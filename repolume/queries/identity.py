@@ -152,7 +152,7 @@ def unknown_users(t: Source) -> DataFrame:
 
 
 def _assigned(t: Source) -> tuple[DataFrame, DataFrame]:
-    """Unknown names in order: every third goes to user U1, the others to new users of their own.
+    """Unknown names in order: every third goes to the user of that number, the others to new users.
 
     Repair starts from stored commits and a mapping table, so both are written first.
     """
@@ -161,7 +161,7 @@ def _assigned(t: Source) -> tuple[DataFrame, DataFrame]:
     names = with_position(identity.unknown_users(commits, ()).select("unknown_user"), ["unknown_user"], name="seq")
     mapping = names.select(
         "unknown_user", "seq",
-        when(c("seq") % 3 == 0, "U1").otherwise(tag("new", "seq")).alias("uuid"),
+        when(c("seq") % 3 == 0, tag("U", "seq")).otherwise(tag("new", "seq")).alias("uuid"),
         (c("seq") % 3 == 1).alias("new_user"),
     )
     return identity.assign_unknown_users(commits, users, stored(mapping, "mapping"), ())
@@ -173,7 +173,7 @@ _SQL_ASSIGNED = f"""
       SELECT unknown_user, row_number() OVER (ORDER BY unknown_user) - 1 AS pos
       FROM (SELECT DISTINCT unknown_user FROM resolved WHERE unknown_user IS NOT NULL)
     ), targets AS (
-      SELECT unknown_user, pos, CASE WHEN pos % 3 = 0 THEN 'U1'
+      SELECT unknown_user, pos, CASE WHEN pos % 3 = 0 THEN concat('U', pos)
                                      WHEN pos % 3 = 1 THEN {sql_pseudonym("concat('new', pos)")}
                                      ELSE concat('new', pos) END AS uuid
       FROM mapping
@@ -195,16 +195,16 @@ def assign_unknown_users(t: Source) -> DataFrame:
 
 @query(
     f"""
-    {_SQL_ASSIGNED},
-    extra AS (SELECT list(unknown_user ORDER BY unknown_user) AS names FROM targets WHERE uuid = 'U1')
-    SELECT seq, uuid AS anonym_uuid, id, name, email, NULL::VARCHAR AS login,
-           to_json(CASE WHEN uuid = 'U1' AND names IS NOT NULL
-                        THEN list_concat(CASE WHEN alias IS NULL THEN [] ELSE [alias] END, names)
+    {_SQL_ASSIGNED}
+    SELECT u.seq, u.uuid AS anonym_uuid, u.id, u.name, u.email, NULL::VARCHAR AS login,
+           to_json(CASE WHEN x.unknown_user IS NOT NULL
+                        THEN list_concat(CASE WHEN alias IS NULL THEN [] ELSE [alias] END, [x.unknown_user])
                         WHEN alias IS NOT NULL THEN [alias] END)::VARCHAR AS alias
-    FROM users, extra
+    FROM users u LEFT JOIN targets x ON x.uuid = u.uuid
     UNION ALL
-    SELECT (SELECT max(seq) FROM users) + 1 + pos, uuid, concat('new', pos), unknown_user, NULL, NULL, NULL
-    FROM targets WHERE uuid <> 'U1'
+    SELECT (SELECT max(seq) FROM users) + 1 + pos, uuid, CASE WHEN pos % 3 = 0 THEN uuid ELSE concat('new', pos) END,
+           unknown_user, NULL, NULL, NULL
+    FROM targets WHERE uuid NOT IN (SELECT uuid FROM users)
     """
 )
 def assign_unknown_users_users(t: Source) -> DataFrame:

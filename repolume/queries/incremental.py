@@ -88,6 +88,21 @@ def has_no_updates(t: Source) -> DataFrame:
     return incremental.has_updates(t.events, t.events, "ts", "event_id")
 
 
+@query(
+    f"""
+    WITH old AS ({_SQL_OLD}),
+    newest AS (SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts FROM events GROUP BY 1)
+    SELECT n.user_id, o.ts IS NULL OR o.ts <> n.ts AS has_updates
+    FROM newest n LEFT JOIN old o ON o.event_id = n.event_id
+    """
+)
+def updates_per_repository(t: Source) -> DataFrame:
+    """Which users have something new, against the earlier state."""
+    owner = t.events.select("user_id", "event_id")
+    old = _stored(t.events).join(owner, "event_id")
+    return incremental.updates_per_repository(t.events, old, "ts", "event_id", ["user_id"])
+
+
 @query(
     """
     SELECT event_id, ts, event_type FROM events

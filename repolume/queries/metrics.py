@@ -213,16 +213,8 @@ def repository_summary(t: Source) -> DataFrame:
     return as_json(naive(shown), "contributor_companies")
 
 
-@query(
-    """
-    SELECT conv_id, turn, levenshtein(hex(previous), hex(text))::BIGINT AS distance
-    FROM (SELECT conv_id, turn, role AS text, coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn), '') AS previous
-          FROM conversations)
-    """
-)
+@query("SELECT page_id, levenshtein(url, replace(url, 'example', 'test'))::BIGINT AS distance FROM pages")
 def edit_distance_of_versions(t: Source) -> DataFrame:
-    """Edit distance of the role of a turn and the one before (hexadecimal, so that bytes are characters)."""
-    turns = t.conversations.select("conv_id", "turn", F.hex("role").alias("post_text"))
-    before = turns.select("conv_id", (c("turn") + 1).alias("turn"), c("post_text").alias("pre_text"))
-    both = turns.join(before, ["conv_id", "turn"], "left")
-    return both.select("conv_id", "turn", edit_distance(c("pre_text"), c("post_text")).cast("long").alias("distance"))
+    """Edit distance of two versions of a text: the url of a page, and the url after an edit."""
+    versions = t.pages.select("page_id", c("url").alias("pre_text"), F.replace("url", lit("example"), lit("test")).alias("post_text"))
+    return versions.select("page_id", edit_distance(c("pre_text"), c("post_text")).cast("long").alias("distance"))

@@ -176,19 +176,16 @@ def normalize_events_json(t: Source) -> DataFrame:
 
 @query(
     """
-    SELECT repo_full_name, (page << 20) + row_number() OVER (PARTITION BY page ORDER BY event_id) - 1 AS seq,
-           event_id, event_type
-    FROM (SELECT 'org/events' AS repo_full_name, event_id // 100 AS page, event_id, event_type FROM events)
+    SELECT 'org/events' AS repo_full_name, event_id * 1048576 + n AS seq,
+           CASE WHEN n = 0 THEN event_id ELSE user_id END AS id, CASE WHEN n = 0 THEN event_type ELSE 'user' END AS kind
+    FROM events, (VALUES (0), (1)) AS v(n)
     """
 )
 def landed_pages(t: Source) -> DataFrame:
-    """Events landed as pages of 100 records, read back in listing order."""
-    item = F.struct("event_id", "event_type")
-    pages = (
-        t.events.groupBy(lit("org/events").alias(REPO), F.floor(c("event_id") / 100).alias("page"))
-        .agg(F.array_sort(F.collect_list(item)).alias("items"))
-    )
-    return records_of(pages)
+    """Pages of two records each, taken apart in listing order."""
+    item = lambda key, kind: F.struct(c(key).alias("id"), kind.alias("kind"))
+    items = F.array(item("event_id", c("event_type")), item("user_id", lit("user")))
+    return records_of(t.events.select(lit("org/events").alias(REPO), c("event_id").alias("page"), items.alias("items")))
 
 
 @query(

@@ -10,6 +10,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+from repolume.fixed_values import COMMUNITY_FILES
+
 STRING, LONG, BOOL, TS = T.StringType(), T.LongType(), T.BooleanType(), T.TimestampType()
 STRINGS, LONGS = T.ArrayType(STRING), T.ArrayType(LONG)
 
@@ -103,10 +105,6 @@ _REACTIONS = dict(
     repo_full_name=STRING, id=LONG, parent_id=LONG, parent_name=STRING, content=STRING, author=STRING,
     created_at=TS,
 )
-FIRST_APPEARANCE_COLUMNS = (
-    "file_readme", "file_code_of_conduct", "file_contributing", "file_funding", "file_IssuePR_templates",
-    "file_security", "file_support",
-)
 
 
 @dataclass(frozen=True)
@@ -175,7 +173,7 @@ TABLES: dict[str, TableSpec] = {
             pullrequest_review_count=LONG, release_count=LONG, workflow_count=LONG, readme_length=LONG,
             issues_count=LONG, issues_comment_count=LONG, has_wiki=BOOL, has_pages=BOOL, has_projects=BOOL,
             has_downloads=BOOL, watchers_count=LONG, is_fork=BOOL, prog_language=STRING,
-            **{name: TS for name in FIRST_APPEARANCE_COLUMNS},
+            **{name: TS for name in COMMUNITY_FILES},
         ),
         _spec(
             "Versions", "commits", "commit_sha", repo_full_name=STRING, commit_sha=STRING, author=STRING,

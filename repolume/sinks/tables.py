@@ -27,25 +27,32 @@ def _write(df: DataFrame, path: str, mode: str) -> None:
     )
 
 
-def save_table(df: DataFrame, root: str, table: str) -> None:
+def _buckets(df: DataFrame) -> set[int]:
+    """Buckets of the repositories in ``df``: at most ``BUCKETS`` small integers."""
+    return {row[0] for row in df.select(bucket_of(F.col(REPO))).distinct().collect()}
+
+
+def save_table(df: DataFrame, root: str, table: str, repositories: DataFrame | None = None) -> None:
     """Replace the rows of the repositories in ``df``; the other repositories keep theirs.
 
-    Only the buckets of those repositories are read and rewritten. The overwrite is per partition and takes
-    place at commit, so ``df`` may be derived from the stored table itself.
+    ``repositories`` names the repositories to replace when some of them may have no row left. Only their
+    buckets are read and rewritten. The overwrite is per partition and takes place at commit, so ``df`` may be
+    derived from the stored table itself.
     """
-    spark, spec = df.sparkSession, TABLES[table]
+    spark, spec, path = df.sparkSession, TABLES[table], table_path(root, table)
     df = df.select(*spec.columns)
-    replaced = df.select(REPO).distinct()
-    # at most BUCKETS small integers
-    buckets = [row[0] for row in replaced.select(bucket_of(F.col(REPO))).distinct().collect()]
+    replaced = (df if repositories is None else repositories).select(REPO).distinct()
+    buckets = _buckets(replaced)
     if not buckets:
         return
-    kept = (
-        read_table(spark, root, table)
-        .where(bucket_of(F.col(REPO)).isin(buckets))
-        .join(replaced, REPO, "left_anti")
-    )
-    _write(df.unionByName(kept), table_path(root, table), "overwrite")
+    stored = read_table(spark, root, table).where(bucket_of(F.col(REPO)).isin(list(buckets)))
+    kept = stored.join(replaced, REPO, "left_anti")
+    # a bucket that loses its last row is in no partition that is written, so it is emptied on its own
+    emptied = set() if repositories is None else (_buckets(stored) - _buckets(df) - _buckets(kept))
+    _write(df.unionByName(kept), path, "overwrite")
+    for bucket in sorted(emptied):
+        nothing = spark.createDataFrame([], spec.schema)
+        nothing.write.mode("overwrite").parquet(f"{path}/{BUCKET}={bucket}")
 
 
 def save_together(tables: dict[str, DataFrame], root: str) -> None:
