@@ -133,9 +133,13 @@ def log_archive_members(t: Source) -> DataFrame:
     """
     WITH members AS (
       SELECT doc_id, unnest(string_split(text, chr(10) || chr(10))) AS body FROM documents WHERE lang <> 'fr'
-    ), lines AS (SELECT doc_id, body, unnest(string_split(body, chr(10))) AS line FROM members)
-    SELECT doc_id AS run_id, count(*) AS lines, sum(length(line))::BIGINT AS chars
-    FROM lines GROUP BY 1
+    ), counted AS (
+      SELECT doc_id, len(string_split(body, chr(10))) - CASE WHEN body = '' OR ends_with(body, chr(10)) THEN 1 ELSE 0 END AS lines,
+             length(replace(body, chr(10), '')) AS chars
+      FROM members
+    )
+    SELECT doc_id AS run_id, sum(lines)::BIGINT AS lines, sum(chars)::BIGINT AS chars
+    FROM counted GROUP BY 1 HAVING sum(lines) > 0
     """
 )
 def log_archive_lines(t: Source) -> DataFrame:

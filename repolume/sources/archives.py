@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LINES_PER_BATCH = 20_000
+ROWS_PER_BATCH = 20_000
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -31,34 +32,41 @@ def _open(payload: bytes | None) -> zipfile.ZipFile | None:
         return None
 
 
-def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _frames(rows: Iterable[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows as frames of at most ``ROWS_PER_BATCH``; nothing else of an archive is held in memory."""
+    rows = iter(rows)
+    while chunk := list(islice(rows, ROWS_PER_BATCH)):
+        yield pd.DataFrame.from_records(chunk, columns=columns)
+
+
+def _payloads(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, zipfile.ZipFile | None]]:
     for batch in batches:
         for run_id, payload in zip(batch["run_id"], batch["payload"]):
-            archive = _open(payload)
+            yield run_id, _open(payload)
+
+
+def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows() -> Iterator[tuple]:
+        for run_id, archive in _payloads(batches):
             names = [] if archive is None else archive.namelist()
-            members = pd.Series(names or [None], dtype="object")
-            yield pd.DataFrame({"run_id": run_id, "member": members, "is_archive": archive is not None})
+            for name in names or [None]:
+                yield run_id, name, archive is not None
+
+    return _frames(rows(), ["run_id", "member", "is_archive"])
 
 
 def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for run_id, payload in zip(batch["run_id"], batch["payload"]):
-            archive = _open(payload)
-            if archive is None:
-                continue
-            for member in archive.infolist():
+    def rows() -> Iterator[tuple]:
+        for run_id, archive in _payloads(batches):
+            for member in [] if archive is None else archive.infolist():
                 if member.is_dir():
                     continue
-                rows: list[tuple] = []
                 with archive.open(member) as stream:
                     text = io.TextIOWrapper(stream, encoding="utf-8", errors="replace", newline="\n")
                     for number, line in enumerate(text, start=1):
-                        rows.append((run_id, member.filename, number, line.rstrip("\n")))
-                        if len(rows) == LINES_PER_BATCH:
-                            yield pd.DataFrame(rows, columns=["run_id", "member", "line_no", "text"])
-                            rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=["run_id", "member", "line_no", "text"])
+                        yield run_id, member.filename, number, line.removesuffix("\n")
+
+    return _frames(rows(), ["run_id", "member", "line_no", "text"])
 
 
 def archive_members(archives: DataFrame) -> DataFrame:

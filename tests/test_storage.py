@@ -117,9 +117,9 @@ def test_archives(spark, tmp_path):
 
 
 def test_long_members_come_in_batches(spark, monkeypatch):
-    text = "\n".join(str(i) for i in range(3 * Z.LINES_PER_BATCH + 5))
+    text = "\n".join(str(i) for i in range(3 * Z.ROWS_PER_BATCH + 5))
     df = spark.createDataFrame([(1, bytearray(archive(a=text)))], "run_id long, payload binary")
-    assert Z.archive_lines(df).agg(F.count("*"), F.max("line_no")).first() == (3 * Z.LINES_PER_BATCH + 5,) * 2
+    assert Z.archive_lines(df).agg(F.count("*"), F.max("line_no")).first() == (3 * Z.ROWS_PER_BATCH + 5,) * 2
 
 
 def test_scratch_folder_is_shared(spark):
