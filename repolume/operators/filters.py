@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repolume.functions.scalars import contains_any
+from repolume.operators.lookups import unknown_only
 from repolume.schemas import REPO
 
 
@@ -57,7 +58,7 @@ def clean_branch_names(refs: DataFrame, column: str = "ref", scope: Sequence[str
         .select(*scope, F.replace(ref, F.lit(remote_prefix), F.lit("")).alias("branch"))
         .where(F.col("branch") != "HEAD")
     )
-    tracked = remote.distinct().join(local, [*scope, "branch"], "left_anti")
+    tracked = unknown_only(remote.distinct(), local, [*scope, "branch"])
     return local.distinct().withColumn("is_local", F.lit(True)).unionByName(
         tracked.withColumn("is_local", F.lit(False))
     )

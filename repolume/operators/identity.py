@@ -44,7 +44,8 @@ def propagate_representative(
 ) -> DataFrame:
     """Give every commit the ``values`` of its committer name's first commit; service commits keep their own."""
     reps = representatives(commits.where(~_own_account(F.col(name))), values, scope, name, order)
-    found = lookup(commits, reps, _on(scope, **{name: name}), {value: f"_rep_{value}" for value in values})
+    take = {value: f"_rep_{value}" for value in values}
+    found = lookup(commits, reps, _on(scope, **{name: name}), take, hot=True)
     own = _own_account(F.col(name))
     return found.select(
         *[
@@ -94,7 +95,8 @@ def _settle(
     names = match_names(names, users, name, scope, user_order).withColumn(
         "_hit", F.coalesce("alias_user", "attribute_user")
     )
-    joined = lookup(commits, names, _on(scope, **{name: name}), {"_ra": "_ra", "_rc": "_rc", "_hit": "_hit"})
+    take = {"_ra": "_ra", "_rc": "_rc", "_hit": "_hit"}
+    joined = lookup(commits, names, _on(scope, **{name: name}), take, hot=True)
     own = _own_account(F.col(name)) if mode == "representative" else F.lit(True)
     joined = joined.withColumns(
         {
@@ -197,7 +199,7 @@ def assign_unknown_users(
     merged = F.array_distinct(F.concat(F.coalesce("alias", F.array().cast("array<string>")), F.col("_names")))
     all_users = all_users.withColumn("alias", F.when(F.col("_names").isNotNull(), merged).otherwise(F.col("alias")))
 
-    found = lookup(commits, lines, _on(scope, unknown_user="unknown_user"), {"_target": "_target"})
+    found = lookup(commits, lines, _on(scope, unknown_user="unknown_user"), {"_target": "_target"}, hot=True)
     new_commits = found.withColumns(
         {
             "author": F.coalesce("_target", "author"),

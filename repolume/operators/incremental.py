@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from repolume.fixed_values import MODIFICATION_LIMIT
 from repolume.functions.ranking import first_per_key, with_position
 from repolume.functions.scalars import changed
-from repolume.operators.lookups import lookup
+from repolume.operators.lookups import lookup, unknown_only
 from repolume.schemas import REPO
 
 
@@ -132,5 +132,5 @@ def cap_modifications(edits: DataFrame, limit: int = MODIFICATION_LIMIT, key: Se
 
     The oversized commits are few; they are found by a partial count and taken out by an anti-join.
     """
-    oversized = edits.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > limit).select(*key)
-    return edits.join(oversized, list(key), "left_anti")
+    oversized = edits.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
+    return unknown_only(edits, oversized, key)

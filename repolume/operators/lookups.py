@@ -9,23 +9,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _splittable(keys: Sequence[Column]) -> Column:
+    """A further join key that is always 0.
+
+    Spark splits a hot key only where both sides of the join are shuffled for that join. A side that was
+    aggregated by the same key is partitioned already and would not be shuffled again; this key, which the
+    aggregation does not have, makes it.
+    """
+    return F.pmod(F.xxhash64(*keys), F.lit(1))
+
+
+def _condition(left: Sequence[Column], right: Sequence[Column], hot: bool) -> list[Column]:
+    pairs = [a == b for a, b in zip(left, right)]
+    return [*pairs, _splittable(left) == _splittable(right)] if hot else pairs
+
+
 def lookup(
-    df: DataFrame, dimension: DataFrame, on: dict[str, str], take: dict[str, str], how: str = "left"
+    df: DataFrame, dimension: DataFrame, on: dict[str, str], take: dict[str, str], how: str = "left", hot: bool = False
 ) -> DataFrame:
     """Add columns of ``dimension`` (unique on its key) to ``df``.
 
     ``on`` maps columns of ``df`` to key columns, ``take`` maps columns of ``dimension`` to new names. A new
-    name that exists already is replaced.
+    name that exists already is replaced. ``hot`` says that one key may hold a large part of ``df``; lookups
+    by a unique key leave it off, so that several of them share one shuffle.
     """
     side = dimension.select(
         *[F.col(key).alias(f"_k{i}") for i, key in enumerate(on.values())],
         *[F.col(source).alias(f"_v{i}") for i, source in enumerate(take)],
     )
-    joined = df.join(side, [df[column] == side[f"_k{i}"] for i, column in enumerate(on)], how)
+    keys = [side[f"_k{i}"] for i in range(len(on))]
+    joined = df.join(side, _condition([df[column] for column in on], keys, hot), how)
     taken = {name: F.col(f"_v{i}") for i, name in enumerate(take.values())}
     kept = [taken.pop(column).alias(column) if column in taken else df[column] for column in df.columns]
     return joined.select(*kept, *[value.alias(name) for name, value in taken.items()])
@@ -37,7 +54,7 @@ def user_lookup(
 ) -> DataFrame:
     """Source user id -> stored pseudonym; NULL for no user or a user that is not stored."""
     on = {**{name: name for name in scope}, column: key}
-    return lookup(df, users, on, {value: target})
+    return lookup(df, users, on, {value: target}, hot=True)
 
 
 def array_lookup(
@@ -52,14 +69,14 @@ def array_lookup(
     scope = list(scope)
     items = df.where(F.size(column) > 0).select(*scope, F.col(column).alias("_items")).distinct()
     exploded = items.select(*scope, "_items", F.posexplode("_items").alias("_pos", "_item"))
-    known = dimension.select(*scope, F.col(key).alias("_item"), F.col(value).alias("_value"))
     mapped = (
-        exploded.join(known, [*scope, "_item"], "left")
+        lookup(exploded, dimension, {**{name: name for name in scope}, "_item": key}, {value: "_value"}, hot=True)
         .groupBy(*scope, "_items")
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "_value"))).alias("_pairs"))
         .select(*scope, "_items", F.transform("_pairs", lambda pair: pair["_value"]).alias("_mapped"))
     )
-    out = lookup(df, mapped, {**{name: name for name in scope}, column: "_items"}, {"_mapped": target})
+    on = {**{name: name for name in scope}, column: "_items"}
+    out = lookup(df, mapped, on, {"_mapped": target}, hot=True)
     empty = F.array().cast(mapped.schema["_mapped"].dataType)
     return out.withColumn(target, F.coalesce(target, empty))
 
@@ -84,14 +101,17 @@ def commit_accounts(
     return lookup(commits, accounts, on, {"author": "author", "committer": "committer"})
 
 
-def unknown_only(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``known``.
+def _membership(df: DataFrame, known: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    # the keys are made distinct first: a semi or anti join cannot split a key that fills its right side
+    side = known.select(*[F.col(key).alias(f"_k{i}") for i, key in enumerate(keys)]).distinct()
+    return df.join(side, _condition([df[key] for key in keys], [side[name] for name in side.columns], True), how)
 
-    The keys are made distinct first: a semi or anti join cannot split a key that fills its right side.
-    """
-    return df.join(known.select(*keys).distinct(), list(keys), "left_anti")
+
+def unknown_only(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``known``."""
+    return _membership(df, known, keys, "left_anti")
 
 
 def known_only(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is in ``known``."""
-    return df.join(known.select(*keys).distinct(), list(keys), "left_semi")
+    return _membership(df, known, keys, "left_semi")

@@ -123,7 +123,7 @@ def complete_pull_requests(
 ) -> DataFrame:
     """Pull requests with the columns that only their issue carries."""
     on = {**{name: name for name in scope}, "number": "number"}
-    return lookup(pull_requests, pull_requests_only(issues), on, {c: c for c in columns}, "inner")
+    return lookup(pull_requests, pull_requests_only(issues), on, {c: c for c in columns}, "inner", hot=True)
 
 
 def child_with_parent(
@@ -131,7 +131,7 @@ def child_with_parent(
     how: str = "left",
 ) -> DataFrame:
     """Child rows with columns of the parent they refer to (parents are unique on ``key``)."""
-    return lookup(child, parent, {**{name: name for name in scope}, column: key}, take, how)
+    return lookup(child, parent, {**{name: name for name in scope}, column: key}, take, how, hot=True)
 
 
 def comments_with_issue(comments: DataFrame, issues: DataFrame, take: dict[str, str]) -> DataFrame:
@@ -179,7 +179,7 @@ def reactions_with_parent(
         ],
     )
     on = {name: name for name in [*scope, "parent_name", "parent_id"]}
-    return lookup(reactions, pool, on, take)
+    return lookup(reactions, pool, on, take, hot=True)
 
 
 def join_by_array(
@@ -189,7 +189,7 @@ def join_by_array(
     """One row per array element, with the columns of the parent the element refers to."""
     rest = [c for c in df.columns if c != array]
     items = df.select(*rest, F.explode(array).alias(item))
-    return lookup(items, parent, {**{name: name for name in scope}, item: key}, take, how)
+    return lookup(items, parent, {**{name: name for name in scope}, item: key}, take, how, hot=True)
 
 
 def with_url_key(df: DataFrame, url: str, number: str = "parent_number", repository: str | None = None) -> DataFrame:

@@ -46,7 +46,7 @@ def save_table(df: DataFrame, root: str, table: str, repositories: DataFrame | N
     if not buckets:
         return
     stored = read_table(spark, root, table).where(bucket_of(F.col(REPO)).isin(list(buckets)))
-    kept = stored.join(replaced, REPO, "left_anti")
+    kept = unknown_only(stored, replaced, [REPO])
     # a bucket that loses its last row is in no partition that is written, so it is emptied on its own
     emptied = set() if repositories is None else (_buckets(stored) - _buckets(df) - _buckets(kept))
     _write(df.unionByName(kept), path, "overwrite")
