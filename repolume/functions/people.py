@@ -7,21 +7,20 @@ from pyspark.sql import functions as F
 
 from repolume.fixed_values import PLACEHOLDER_LOGIN
 
+# One word per hexadecimal digit.
 ADJECTIVES = (
-    "amber", "bold", "brisk", "calm", "clear", "crisp", "deep", "eager", "early", "fair", "fleet", "fresh",
-    "gentle", "glad", "grand", "green", "keen", "kind", "late", "light", "lucid", "mild", "neat", "noble",
-    "plain", "quick", "quiet", "rapid", "sharp", "solid", "sunny", "warm",
+    "amber", "bold", "brisk", "calm", "clear", "crisp", "eager", "fair", "fresh", "gentle", "green", "keen", "kind",
+    "noble", "quick", "quiet",
 )
 NOUNS = (
-    "acorn", "alder", "aspen", "basin", "beech", "birch", "bridge", "brook", "cedar", "cliff", "cloud", "creek",
-    "delta", "dune", "elm", "fern", "field", "fjord", "glade", "grove", "harbor", "hill", "island", "lake",
-    "maple", "meadow", "oak", "pine", "ridge", "river", "stone", "valley",
+    "acorn", "alder", "aspen", "birch", "brook", "cedar", "cliff", "dune", "fern", "field", "glade", "harbor", "maple",
+    "meadow", "ridge", "river",
 )
+HEX_DIGITS = "0123456789abcdef"
 
 
-def _word(words: tuple[str, ...], digest: Column, start: int) -> Column:
-    number = F.conv(F.substring(digest, start, 8), 16, 10).cast("long")
-    return F.element_at(F.array(*[F.lit(word) for word in words]), (number % len(words) + 1).cast("int"))
+def _word(words: tuple[str, ...], digit: Column) -> Column:
+    return F.get(F.array(*[F.lit(word) for word in words]), F.position(digit, F.lit(HEX_DIGITS)) - 1)
 
 
 def pseudonym(node_id: Column, salt: str = "") -> Column:
@@ -33,7 +32,8 @@ def pseudonym(node_id: Column, salt: str = "") -> Column:
     """
     digest = F.sha2(F.concat(F.lit(salt), node_id.cast("string")), 256)
     dash = F.lit("-")
-    return F.concat(_word(ADJECTIVES, digest, 1), dash, _word(NOUNS, digest, 9), dash, F.substring(digest, 17, 32))
+    first, second = F.substring(digest, 1, 1), F.substring(digest, 2, 1)
+    return F.concat(_word(ADJECTIVES, first), dash, _word(NOUNS, second), dash, F.substring(digest, 3, 32))
 
 
 def real_user_id(user: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolume.functions.people import ADJECTIVES, NOUNS
+from repolume.functions.people import ADJECTIVES, HEX_DIGITS, NOUNS
 from repolume.session import scratch_dir
 
 TABLE_NAMES = (
@@ -88,9 +88,7 @@ def sql_words(words: tuple[str, ...]) -> str:
 def sql_pseudonym(expression: str, salt: str = "") -> str:
     """The pseudonym of a text expression in SQL."""
     digest = f"sha256(concat('{salt}', {expression}))"
-    word = "list_extract({words}, (concat('0x', substr({digest}, {start}, 8))::BIGINT % 32 + 1)::INTEGER)"
-    first = word.format(words=sql_words(ADJECTIVES), digest=digest, start=1)
-    second = word.format(words=sql_words(NOUNS), digest=digest, start=9)
-    return (
-        f"CASE WHEN ({expression}) IS NOT NULL THEN concat_ws('-', {first}, {second}, substr({digest}, 17, 32)) END"
-    )
+    word = "list_extract({words}, instr('{digits}', substr({digest}, {at}, 1))::INTEGER)"
+    first = word.format(words=sql_words(ADJECTIVES), digits=HEX_DIGITS, digest=digest, at=1)
+    second = word.format(words=sql_words(NOUNS), digits=HEX_DIGITS, digest=digest, at=2)
+    return f"CASE WHEN ({expression}) IS NOT NULL THEN concat_ws('-', {first}, {second}, substr({digest}, 3, 32)) END"

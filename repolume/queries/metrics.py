@@ -32,11 +32,12 @@ def share_changed_lines(t: Source) -> DataFrame:
     commits = t.orders.select(
         c("o_orderkey").alias("commit_sha"), c("o_orderstatus").alias("repo"), c("o_custkey").alias("author")
     )
-    lines = (c("added") + c("removed")).cast("decimal(18,2)")
+    # hundredths of a line as whole numbers: exact sums, and no decimal arithmetic per edit
+    lines = F.round((c("added") + c("removed")) * 100).cast("long")
     per_commit = edits.groupBy("commit_sha").agg(F.sum(lines).alias("changed_lines"))
     owned = per_commit.join(commits, "commit_sha")
     shares = aggregates.share_of_total(owned, ["repo", "author"], ["repo"], "changed_lines")
-    return shares.withColumn("changed_lines", c("changed_lines").cast("long"))
+    return shares.withColumn("changed_lines", F.round(c("changed_lines") / 100).cast("long"))
 
 
 @query(

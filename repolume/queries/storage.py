@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ from repolume.sources.archives import archive_lines, count_members
 from repolume.sources.tables import read_registry, read_table
 from repolume.streaming.ingest import append_versions, current_state, stream_pages
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 c, lit, when = F.col, F.lit, F.when
 
 

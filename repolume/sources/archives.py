@@ -7,14 +7,19 @@ the payloads; each task unpacks one archive at a time and hands its lines back i
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# the functions below travel to the executors by value: the package need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROWS_PER_BATCH = 20_000
 
 
