@@ -53,12 +53,19 @@ def first_appearances(
 ) -> DataFrame:
     """Author date of the oldest commit that touched each file, one column per file; NULL if none did.
 
-    Only edits of the named files reach the join, each file once per commit. ``commits`` is the mined log,
-    which still has the author date.
+    Only edits of the named files are shuffled, as one row of flags per commit, and the join reuses that
+    shuffle. ``commits`` is the mined log, which still has the author date.
     """
-    touched = edits.where(F.col(filename).isin(*files.values())).select(*scope, filename, sha).distinct()
+    touched = (
+        edits.where(F.col(filename).isin(*files.values()))
+        .groupBy(*scope, sha)
+        .agg(*[F.bool_or(F.col(filename) == name).alias(target) for target, name in files.items()])
+    )
     dated = touched.join(commits.select(*scope, sha, author_date, committed_at), [*scope, sha])
-    return first_value_per_name(dated, files, scope, filename, author_date, [committed_at, author_date])
+    order = F.struct(committed_at, author_date)
+    return dated.groupBy(*scope).agg(
+        *[F.min_by(author_date, F.when(F.col(target), order)).alias(target) for target in files]
+    )
 
 
 def first_value_per_name(
