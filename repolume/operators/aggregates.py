@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repolume.fixed_values import COMMUNITY_FILES, CONTRIBUTOR_LIMIT, NOT_KNOWN
+from repolume.fixed_values import COMMUNITY_FILES, CONTRIBUTOR_LIMIT, NOT_KNOWN, REQUEST_MAXIMUM
 from repolume.functions.ranking import top_n_per_key
 from repolume.functions.scalars import owner_of, without_nulls
 from repolume.operators.lookups import lookup
+from repolume.operators.ordering import first_per_parent
 from repolume.schemas import REPO, TABLES
 
 
@@ -94,6 +95,20 @@ def contributor_companies(
     )
 
 
+def list_per_parent(
+    children: DataFrame, parent: Sequence[str], value: str, order: Sequence[str], limit: int = REQUEST_MAXIMUM,
+    name: str | None = None,
+) -> DataFrame:
+    """One row per parent with the values of its children in order, as an array.
+
+    A listing under a parent gives ``limit`` rows at most, and so does the array.
+    """
+    kept = first_per_parent(children, parent, order, limit)
+    listed = F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("_value"))))
+    values = F.transform(listed, lambda entry: entry["_value"])
+    return kept.groupBy(*parent).agg(values.alias(name or value))
+
+
 def contribution_share(
     edits: DataFrame, commits: DataFrame, amount: Column, scope: Sequence[str] = (REPO,), sha: str = "commit_sha",
     author: str = "author", name: str = "amount", digits: int = 9,

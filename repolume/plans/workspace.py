@@ -71,6 +71,19 @@ class Workspace:
         """Raw records by entity; an entity that was not landed has no rows."""
         return {entity: read_pages(self.spark, f"{landing}/{entity}", entity) for entity in RAW if entity != "user"}
 
+    def _columnar(self, raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Raw records as Parquet in the shared scratch folder.
+
+        Users, tables and the lists of repositories all read them; this way the JSON is parsed once, and each
+        reader takes the columns it needs.
+        """
+        copies = {}
+        for entity, df in raw.items():
+            path = scratch_dir(self.spark, f"landed-{entity}")
+            df.write.parquet(path)
+            copies[entity] = self.spark.read.schema(df.schema).parquet(path)
+        return copies
+
     def _only_updated(self, raw: dict[str, DataFrame], selection: TableSelection) -> dict[str, DataFrame]:
         """Without the repositories whose listings show nothing new.
 
@@ -100,7 +113,7 @@ class Workspace:
         repositories whose listings show nothing new are left as they are.
         """
         selection = selection or TableSelection()
-        raw = self.landed(landing)
+        raw = self._columnar(self.landed(landing))
         if check_for_updates:
             raw = self._only_updated(raw, selection)
         commits = read_mined_commits(self.spark, f"{landing}/mined_commits")

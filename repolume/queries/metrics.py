@@ -144,6 +144,19 @@ def companies_list(t: Source) -> DataFrame:
     return as_json(listed, "contributor_companies")
 
 
+@query(
+    """
+    SELECT user_id, to_json(list(event_type ORDER BY ts, event_id))::VARCHAR AS event_types
+    FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) <= 40000)
+    GROUP BY 1
+    """
+)
+def list_per_parent(t: Source) -> DataFrame:
+    """Events of every user as one ordered array."""
+    listed = aggregates.list_per_parent(t.events, ["user_id"], "event_type", ["ts", "event_id"], name="event_types")
+    return as_json(listed, "event_types")
+
+
 def _repository_of(df: DataFrame, column: str) -> DataFrame:
     return df.select(tag("org/", column).alias(REPO))
 

@@ -33,6 +33,13 @@ def test_companies_are_ordered_and_limited(frame):
     assert rows(A.contributor_companies(people, limit=3)) == [("r", ["x", "y"], 2)]
 
 
+def test_children_become_an_ordered_array(frame):
+    rows_ = [{"p": p, "k": k, "v": v} for p, k, v in [(1, 2, "b"), (1, 1, "a"), (1, 3, None), (2, 1, "x")]]
+    children = frame("p long, k long, v string", *rows_)
+    assert rows(A.list_per_parent(children, ["p"], "v", ["k"])) == [(1, ["a", "b", None]), (2, ["x"])]
+    assert rows(A.list_per_parent(children, ["p"], "v", ["k"], limit=1, name="first")) == [(1, ["a"]), (2, ["x"])]
+
+
 def test_counts(frame):
     df = frame("a string, t timestamp", {"a": "x", "t": T1}, {"t": T2})
     assert A.count_rows(df).first()[0] == 2 and A.count_rows(df.limit(0)).first()[0] == 0
