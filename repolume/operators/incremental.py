@@ -13,6 +13,7 @@ from repolume.fixed_values import MODIFICATION_LIMIT
 from repolume.functions.ranking import first_per_key, with_position
 from repolume.functions.scalars import changed
 from repolume.operators.lookups import lookup, unknown_only
+from repolume.operators.ordering import page
 from repolume.schemas import REPO
 
 
@@ -104,7 +105,7 @@ def read_since(
         moment, last = F.lit(cursor[0]), F.lit(cursor[1])
         later = F.col(updated_at) > moment
         df = df.where((F.col(updated_at) >= moment) & (later | (F.col(key) > last)))
-    return df.orderBy(updated_at, key).limit(limit)
+    return page(df, limit, 0, updated_at, key)
 
 
 def cursor_pages(

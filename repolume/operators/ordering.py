@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from repolume.fixed_values import REQUEST_MAXIMUM
 from repolume.functions.ranking import TRIM_LIMIT, slice_by_position, top_n_per_key
 
-# Up to here Spark's own top-k is used, which keeps that many rows per task and merges them in one.
-_TOP_K = 10_000
+# Up to here Spark's own top-k is used, which keeps that many rows of each task and merges them in one.
+_TOP_K = 1000
 
 
 def _order(columns: Sequence[str], ascending: bool) -> list[Column]:
