@@ -26,12 +26,19 @@ def add_tags(
     return found.withColumn("tag", F.coalesce("tag", F.lit("")))
 
 
-def branch_dictionary(
+def branch_names(
     commits: DataFrame, column: str = "branches", scope: Sequence[str] = (REPO,), separator: str = ","
 ) -> DataFrame:
-    """Distinct branch names of the comma lists, numbered from 0 by name inside each repository."""
+    """Distinct branch names of the comma lists. The lists repeat a lot, so they are made distinct first."""
     lists = commits.where(F.col(column).isNotNull()).select(*scope, column).distinct()
-    names = lists.select(*scope, F.explode(split_list(F.col(column), separator)).alias("branch_names")).distinct()
+    return lists.select(*scope, F.explode(split_list(F.col(column), separator)).alias("branch_names")).distinct()
+
+
+def branch_dictionary(
+    commits: DataFrame, column: str = "branches", scope: Sequence[str] = (REPO,), separator: str = ","
+) -> DataFrame:
+    """``branch_names``, numbered from 0 by name inside each repository."""
+    names = branch_names(commits, column, scope, separator)
     return with_position(names, ["branch_names"], scope, "id").select(*scope, "id", "branch_names")
 
 

@@ -11,6 +11,7 @@ from repolume.fixed_values import REACTION_PARENTS
 from repolume.functions.people import People
 from repolume.operators import projections
 from repolume.operators.aggregates import repository_summary
+from repolume.operators.enrich import branch_names
 from repolume.operators.incremental import overflow_union, upsert
 from repolume.operators.setops import union_tagged
 from repolume.plans.selection import TableSelection
@@ -53,17 +54,33 @@ def met_users(raw: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+# Counted listing of the repository summary -> raw entity.
+_COUNTED = {
+    "issues": "issue", "issue_comments": "issue_comment", "pull_requests": "pull_request",
+    "review_comments": "review_comment", "releases": "release", "workflows": "workflow", "tags": "tag",
+    "labels": "label", "milestones": "milestone", "contributors": "contributor", "commit_comments": "commit_comment",
+}
+
+
+def summary_sources(raw: dict[str, DataFrame], mined_commits: DataFrame | None = None) -> dict[str, DataFrame]:
+    """What the repository summary counts: all that was landed, whatever tables are selected."""
+    sources = {name: raw[entity] for name, entity in _COUNTED.items() if entity in raw}
+    if mined_commits is not None:
+        sources["commits"] = mined_commits
+        sources["branches"] = branch_names(mined_commits)
+    return sources
+
+
 def build_tables(
     raw: dict[str, DataFrame], selection: TableSelection | None = None, people: People = People(),
     mined_commits: DataFrame | None = None, mined_edits: DataFrame | None = None, users: DataFrame | None = None,
-    summary_sources: dict[str, DataFrame] | None = None,
+    counted: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """The selected tables as lazy DataFrames.
 
     ``raw`` holds raw records by entity name; an entity that is absent gives no table. Events may be landed as
     a flat listing, under their issues, or both. ``users`` are stored users (their aliases resolve commits);
-    ``summary_sources`` adds tables the summary counts but that are no tables of their own (labels, milestones,
-    tags, contributors, commit comments).
+    ``counted`` are the listings of the repository summary if they are more than ``raw``.
     """
     selection = selection or TableSelection()
     wanted = selection.tables()
@@ -109,10 +126,7 @@ def build_tables(
             version_tables(mined_commits, mined_edits, accounts, resolving, projections.tags(raw["tag"]))
         )
     if "repository" in wanted and "repository" in raw:
-        sources = {name: tables[name] for name in tables if name != "users"}
-        sources.update(summary_sources or {})
-        if "tag" in raw:
-            sources.setdefault("tags", raw["tag"])
+        sources = summary_sources(raw, mined_commits) if counted is None else counted
         log = projections.commit_log(mined_commits) if mined_commits is not None else None
         edits = projections.edits(mined_edits) if mined_edits is not None else None
         tables["repository"] = repository_summary(

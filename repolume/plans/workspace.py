@@ -11,7 +11,7 @@ from repolume.operators.identity import unknown_users
 from repolume.operators.incremental import updates_per_repository
 from repolume.operators.lookups import known_only
 from repolume.operators.setops import concat
-from repolume.plans.activity import build_tables
+from repolume.plans.activity import build_tables, summary_sources
 from repolume.plans.selection import TableSelection
 from repolume.plans.versions import repair_identities
 from repolume.schemas import RAW, REPO, TABLES
@@ -114,15 +114,16 @@ class Workspace:
         """
         selection = selection or TableSelection()
         raw = self._columnar(self.landed(landing))
-        if check_for_updates:
-            raw = self._only_updated(raw, selection)
         commits = read_mined_commits(self.spark, f"{landing}/mined_commits")
         edits = read_mined_edits(self.spark, f"{landing}/mined_edits")
+        counted = summary_sources(raw, commits)
+        if check_for_updates:
+            raw = self._only_updated(raw, selection)
         # users first: those stored keep their pseudonym and their aliases, which resolve the commits
         everyone = build_tables(raw, TableSelection().all_false(), self.people)["users"]
         append_users(everyone, self.root)
         users = read_table(self.spark, self.root, "users")
-        tables = build_tables(raw, selection, self.people, commits, edits, users)
+        tables = build_tables(raw, selection, self.people, commits, edits, users, counted)
         landed = {**raw, "mined_commits": commits, "mined_edits": edits}
         for name, df in tables.items():
             if name == "repository":

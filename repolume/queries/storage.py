@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repolume.operators import projections
-from repolume.queries.base import TABLE_NAMES, Source, naive, query, sql_pseudonym
+from repolume.queries.base import TABLE_NAMES, Source, naive, query, sql_pseudonym, tag
 from repolume.queries.records import raw_events, raw_issues
 from repolume.schemas import REPO, TABLES
 from repolume.session import scratch_dir
-from repolume.sinks.tables import add_repositories, export_tables, read_export, save_table
+from repolume.sinks.tables import add_repositories, append_users, export_tables, read_export, save_table
 from repolume.sources.archives import archive_lines, count_members
 from repolume.sources.tables import read_registry, read_table
 from repolume.streaming.ingest import append_versions, current_state, stream_pages
@@ -69,6 +69,26 @@ def stored_table_replace(t: Source) -> DataFrame:
     return read_table(t.spark, root, "issues").select("id", "body", REPO)
 
 
+@query(
+    """
+    SELECT concat('C', c_custkey) AS id, CASE WHEN c_acctbal > 0 THEN c_name ELSE 'later' END AS name, c_custkey AS seq
+    FROM customer
+    """
+)
+def users_insert(t: Source) -> DataFrame:
+    """Users stored in two steps: those that are known keep what was stored first."""
+    root, spec = scratch_dir(t.spark, "users"), TABLES["users"]
+    none = lit(None).cast("string")
+    users = t.customer.select(
+        lit("org/x").alias(REPO), tag("P", "c_custkey").alias("anonym_uuid"), tag("C", "c_custkey").alias("id"),
+        c("c_name").alias("name"), none.alias("email"), none.alias("login"), lit(None).cast("array<string>").alias("alias"),
+        c("c_custkey").alias("seq"),
+    ).select(*spec.columns)
+    append_users(users.join(t.customer.where("c_acctbal > 0"), c("seq") == c("c_custkey"), "left_semi"), root)
+    append_users(users.withColumn("name", lit("later")), root)
+    return read_table(t.spark, root, "users").select("id", "name", "seq")
+
+
 @query("SELECT DISTINCT concat(p_brand, '/', p_type) AS repo_full_name FROM part")
 def registry_roundtrip(t: Source) -> DataFrame:
     """Repositories registered twice are there once."""

@@ -73,11 +73,15 @@ REPOSITORY = struct(
     readme_content=STRING, contributors=many(struct(node_id=STRING, company=STRING)),
 )
 
+# Records that are counted only.
+LISTED = struct(id=LONG)
+
 RAW = {
     "issue": ISSUE, "issue_comment": ISSUE_COMMENT, "issue_event": ISSUE_EVENT, "reaction": REACTION,
     "pull_request": PULL_REQUEST, "review": REVIEW, "review_comment": REVIEW_COMMENT, "release": RELEASE,
     "workflow": WORKFLOW, "workflow_run": WORKFLOW_RUN, "tag": TAG, "commit_account": COMMIT_ACCOUNT,
-    "repository": REPOSITORY, "user": USER,
+    "repository": REPOSITORY, "user": USER, "label": LISTED, "milestone": LISTED, "contributor": LISTED,
+    "commit_comment": LISTED,
 }
 
 

@@ -58,6 +58,7 @@ def sources(frame):
         "tag": raw("tag", {"name": "v1", "commit": {"sha": "a"}}),
         "commit_account": raw("commit_account", {"sha": "a", "author": U1}),
         "repository": raw("repository", {"name": "r", "full_name": "o/r"}),
+        "label": raw("label", {"id": 1}, {"id": 2}, {"id": 3}),
     }
 
 
@@ -87,6 +88,7 @@ def test_everything(sources, mined):
     ]
     summary = tables["repository"].first()
     assert (summary["commit_count"], summary["tag_count"], summary["issues_count"], summary["branch_count"]) == (4, 1, 2, 2)
+    assert (summary["labels_count"], summary["pullrequest_review_count"], summary["milestone_count"]) == (3, 1, 0)
     assert summary["file_readme"] == T1 and summary["last_commit_date"] == T1 + timedelta(days=1)
 
 

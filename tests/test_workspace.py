@@ -48,6 +48,9 @@ def test_build_update_and_export(spark, workspace, land, tmp_path):
     workspace.generate(land.folder, check_for_updates=True)
     assert rows(workspace.table("issues"), "repo_full_name", "id", "title") == [("o/a", 1, None), ("o/a", 4, None), ("o/b", 3, None)]
     assert workspace.table("issue_comments").count() == 0
+    assert workspace.table("repository").first()["issues_count"] == 2
+    workspace.generate(land.folder, check_for_updates=True)
+    assert workspace.table("repository").first()["issues_count"] == 2, "counts do not depend on the check"
     workspace.generate(land.folder)
     assert rows(workspace.table("issues", ["o/b"]), "id", "title") == [(3, "unseen")]
 
