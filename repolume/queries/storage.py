@@ -58,7 +58,13 @@ def export_roundtrip(t: Source) -> DataFrame:
     )
 
 
-@query("SELECT o_orderkey AS id, o_orderpriority AS body, concat('org/', o_orderstatus) AS repo_full_name FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT o_orderkey, 'edited', 'org/P' FROM orders WHERE o_orderstatus = 'P'")
+@query(
+    """
+    SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'P' THEN 'edited' ELSE o_orderpriority END AS body,
+           concat('org/', o_orderstatus) AS repo_full_name
+    FROM orders
+    """
+)
 def stored_table_replace(t: Source) -> DataFrame:
     """Issues stored for all repositories, then replaced for one of them."""
     root = scratch_dir(t.spark, "tables")
