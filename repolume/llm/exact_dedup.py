@@ -36,8 +36,14 @@ def registry(digests: DataFrame, folder: str, bytes_per_batch: int = 256 << 30)
     read back from its checkpoint. A restarted stream continues from the files it has not seen.
     """
     own = digests.sparkSession.newSession()
-    own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    for name, value in {
+        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # without it every state partition reserves some megabytes of disk before it holds a row
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+        "spark.sql.shuffle.partitions": digests.sparkSession.conf.get("spark.sql.shuffle.partitions"),
+    }.items():
+        own.conf.set(name, value)
     checkpoint = scratch_dir(own, "exact-dedup-state")
     rows = own.readStream.schema(digests.schema).option("maxBytesPerTrigger", bytes_per_batch).parquet(folder)
     state = rows.groupBy("digest").agg(

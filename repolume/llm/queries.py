@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from repolume.llm.exact_dedup import exact_dedup
 from repolume.llm.mixing import mix_sources
+from repolume.llm.quality_mil import quality
 from repolume.llm.quality_rules import judge
 from repolume.llm.sharding import shard_documents
+from repolume.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +34,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query()
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query(
     """
     WITH texts AS (
@@ -47,6 +54,11 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"))
 
 
+@query()
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query()
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(table(spark, folder, "documents"), 8).select(
