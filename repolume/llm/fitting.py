@@ -7,6 +7,7 @@ task repeats its shard from the same state with the same result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from repolume.llm.common import learns, settled
 
-SHARDS = 8
+SHARD_ROWS = 5_000  # samples of one shard
 SAMPLE = 20_000  # labelled documents that a model is fitted on at most
 
 State = list[np.ndarray]
@@ -32,9 +33,10 @@ def labelled_sample(
     usable = labels.where(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull() & learns(F.col("doc_id"), modulus, held))
     chosen = usable.select("doc_id", F.col(column).alias("label")).dropDuplicates(["doc_id"])
     chosen = settled(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit), "labels")
+    shards = max(1, math.ceil(chosen.count() / SHARD_ROWS))
     # at most ``limit`` rows of two numbers
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return joined.select(F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).cast("int").alias("shard"), "label", "text")
+    return joined.select(F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"), "label", "text")
 
 
 def mixed(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repolume.llm.exact_dedup import exact_dedup
+from repolume.llm.minhash import near_duplicates
 from repolume.llm.mixing import mix_sources
 from repolume.llm.quality_mil import quality
 from repolume.llm.quality_rules import judge
@@ -34,6 +35,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query()
+def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 @query()
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -24,7 +24,7 @@ from repolume.llm.fitting import State, labelled_sample, mixed, sigmoid
 
 BITS = 20
 DIMS = 1 << BITS
-ALPHA, BETA, L1, L2 = 0.05, 1.0, 2.0, 1.0
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.0
 ROUNDS, PASSES = 3, 2
 THRESHOLD = 0.3
 MODULUS, HELD_OUT = 4, 2
@@ -36,15 +36,32 @@ _FOLD = bytes.maketrans(
 )
 
 
-def coordinates(text: str) -> np.ndarray:
-    """The distinct coordinates of a text's features, ascending; the last of all, ``DIMS``, is the intercept."""
+def occurrences(text: str) -> np.ndarray:
+    """The coordinates of a text's features as often as they occur."""
     hashes = hash_words(text.encode("utf-8", "surrogatepass").translate(_FOLD).split())
     grams = [mix(hashes)]
     if len(hashes) > 1:
         grams.append(mix(hashes[:-1] * np.uint64(3) + hashes[1:] * np.uint64(5)))
     if len(hashes) > 2:
         grams.append(mix(hashes[:-2] * np.uint64(7) + hashes[2:] * np.uint64(11)))
-    return np.append(np.unique(np.concatenate(grams) >> np.uint64(64 - BITS)).astype(np.int64), DIMS)
+    return (np.concatenate(grams) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def coordinates(text: str) -> np.ndarray:
+    """The distinct coordinates of a text's features; the last of all, ``DIMS``, is the intercept."""
+    return np.append(np.unique(occurrences(text)), DIMS)
+
+
+class Scorer:
+    """The score of a text by a model: its coordinates and weights, without the zeros."""
+
+    def __init__(self, model: tuple[np.ndarray, np.ndarray]) -> None:
+        self.dense = np.zeros(DIMS + 1)
+        self.dense[model[0]] = model[1]
+
+    def __call__(self, text: str) -> float:
+        weighty = (at := occurrences(text))[self.dense[at] != 0.0]
+        return float(sigmoid(self.dense[np.unique(weighty)].sum() + self.dense[DIMS]))
 
 
 def weights_at(z: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -92,10 +109,9 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dense = np.zeros(DIMS + 1)
-        dense[shared.value[0]] = shared.value[1]
+        score_of = Scorer(shared.value)
         for batch in batches:
-            scores = [float(sigmoid(dense[coordinates(text)].sum())) for text in texts_of(batch)]
+            scores = [score_of(text) for text in texts_of(batch)]
             columns = [batch.column("doc_id"), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score"])
 
@@ -116,10 +132,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dense = np.zeros(DIMS + 1)
-        dense[shared.value[0]] = shared.value[1]
+        score_of = Scorer(shared.value)
         for batch in batches:
-            clean = [sigmoid(dense[coordinates(text)].sum()) < THRESHOLD for text in texts_of(batch)]
+            clean = [score_of(text) < THRESHOLD for text in texts_of(batch)]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
