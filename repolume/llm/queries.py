@@ -13,6 +13,7 @@ from repolume.llm.mixing import mix_sources
 from repolume.llm.quality_mil import quality
 from repolume.llm.quality_rules import judge
 from repolume.llm.sharding import shard_documents
+from repolume.llm.substring_dedup import substring_dedup
 from repolume.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +66,11 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query()
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup(table(spark, folder, "documents"))
+
+
 @query()
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(table(spark, folder, "documents"), 8).select(
