@@ -69,7 +69,7 @@ def hash_windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
-def texts_of(batch: pa.RecordBatch, column: str = "text") -> Iterator[str]:
+def texts_of(batch: pa.RecordBatch, column: str | int = "text") -> Iterator[str]:
     """The texts of a batch, NULL as empty, one at a time."""
     for value in batch.column(column):
         yield value.as_py() or ""

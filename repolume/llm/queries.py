@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repolume.llm.byte_bpe import decode, encode, read_ranks
 from repolume.llm.exact_dedup import exact_dedup
 from repolume.llm.minhash import near_duplicates
 from repolume.llm.mixing import mix_sources
@@ -46,6 +48,13 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query()
+def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = encode(table(spark, folder, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return decode(encoded.select("doc_id", "ids"), ranks).drop("ids")
+
+
 @query(
     """
     WITH texts AS (
