@@ -17,6 +17,7 @@ from repolume.llm.quality_rules import judge
 from repolume.llm.sharding import shard_documents
 from repolume.llm.substring_dedup import substring_dedup
 from repolume.llm.toxicity import toxicity
+from repolume.llm.warc import derive, responses
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,6 +89,11 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op8_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    return derive(responses(table(spark, folder, "pages")))
+
+
 @query()
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(table(spark, folder, "documents")).drop("source")
