@@ -33,8 +33,3 @@ COMMUNITY_FILES = {
 
 # Names that tell the parents of reactions apart.
 REACTION_PARENTS = ("issue", "comment", "review_comment")
-
-# Limits: rows of a general listing, contributors with details, files of a commit.
-REQUEST_MAXIMUM = 40_000
-CONTRIBUTOR_LIMIT = 500
-MODIFICATION_LIMIT = 1000

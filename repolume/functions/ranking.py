@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Spark trims a ranked group before the shuffle up to this rank (spark.sql.optimizer.windowGroupLimitThreshold).
-TRIM_LIMIT = 1000
-# Key ranges a table is cut into for numbering.
-BLOCKS = 256
-# Sampled keys per block; more of them make the blocks more even.
+# Rows of one key range of a numbered table; the number of ranges follows from the number of rows.
+ROWS_PER_RANGE = 1_000_000
+# Sampled keys per range; more of them make the ranges more even.
 _SAMPLES = 16
 
 
@@ -21,96 +19,96 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     The ``= 1`` filter lets Spark trim each key to one row per input task before the shuffle, so a key that
     holds a third of the table sends one row per task and not the whole group.
     """
-    return top_n_per_key(df, keys, order, 1)
-
-
-def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """First ``n`` rows (up to ``TRIM_LIMIT``) of each key in ``order``, trimmed before the shuffle."""
-    if n > TRIM_LIMIT:
-        raise ValueError("use slice_by_position for more rows per key")
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def _cut_points(df: DataFrame, key: Column, blocks: int) -> DataFrame:
-    """One row: the sorted cut points, at most ``blocks - 1``.
+def _cut_points(df: DataFrame, key: Column, ranges: int, rows: int) -> DataFrame:
+    """One row: the sorted cut points, at most ``ranges - 1``.
 
-    The sample are the keys with the smallest hashes, about ``blocks * _SAMPLES`` of them whatever the size of
-    the table. It depends on the data only, so a recomputed task finds the same cut points.
+    The sample are the keys with the smallest hashes, about ``ranges * _SAMPLES`` of them. It depends on the data
+    only, so a recomputed task finds the same cut points.
     """
-    rows = df.agg(F.count("*").alias("_rows")).withColumn("_one", F.lit(0))
     share = F.shiftrightunsigned(F.xxhash64("_key"), 11) / F.lit(float(1 << 53))
     sample = (
-        df.select(key.alias("_key"), F.lit(0).alias("_one"))
-        .join(F.broadcast(rows), "_one")
-        .where(share * F.col("_rows") < blocks * _SAMPLES)
+        df.select(key.alias("_key"))
+        .where(share < ranges * _SAMPLES / max(rows, 1))
         .agg(F.sort_array(F.collect_set("_key")).alias("_keys"))
     )
-    step = F.greatest(F.ceil(F.size("_keys") / blocks), F.lit(1))
+    step = F.greatest(F.ceil(F.size("_keys") / ranges), F.lit(1))
     cuts = F.filter("_keys", lambda _, i: i % step == step - 1)
-    return sample.select(F.slice(cuts, 1, blocks - 1).alias("_cuts"), F.lit(0).alias("_one"))
+    return sample.select(F.slice(cuts, 1, ranges - 1).alias("_cuts"), F.lit(0).alias("_one"))
 
 
-def _in_blocks(df: DataFrame, key: Column, blocks: int) -> DataFrame:
-    """Add ``_block``, the number of cut points up to the key: a binary search, one projection per step.
+def _in_ranges(df: DataFrame, key: Column, ranges: int, rows: int) -> DataFrame:
+    """Add ``_range``, the number of cut points up to the key: a binary search, one projection per step.
 
-    Past the last cut point ``get`` is NULL, which compares like a cut point beyond every key.
+    Past the last cut point ``get`` is NULL, which compares like a cut point beyond every key. The cut points are
+    one per ``ROWS_PER_RANGE`` rows; they are broadcast once and referred to, not copied, by the rows.
     """
-    found = df.withColumn("_one", F.lit(0)).join(F.broadcast(_cut_points(df, key, blocks)), "_one")
-    found = found.withColumns({"_key": key, "_block": F.lit(0)})
-    for step in range((blocks - 1).bit_length() - 1, -1, -1):
-        cut = F.get("_cuts", F.col("_block") + ((1 << step) - 1))
-        found = found.withColumn("_block", F.col("_block") + F.when(cut <= F.col("_key"), 1 << step).otherwise(0))
+    if ranges == 1:
+        return df.withColumn("_range", F.lit(0))
+    found = df.withColumn("_one", F.lit(0)).join(F.broadcast(_cut_points(df, key, ranges, rows)), "_one")
+    found = found.withColumns({"_key": key, "_range": F.lit(0)})
+    for step in range((ranges - 1).bit_length() - 1, -1, -1):
+        cut = F.get("_cuts", F.col("_range") + ((1 << step) - 1))
+        found = found.withColumn("_range", F.col("_range") + F.when(cut <= F.col("_key"), 1 << step).otherwise(0))
     return found.drop("_one", "_cuts", "_key")
 
 
 def _numbered(
-    df: DataFrame, order: Sequence[str], within: Sequence[str], ascending: bool, blocks: int, name: str,
+    df: DataFrame, order: Sequence[str], within: Sequence[str], ascending: bool, per_range: int, name: str,
     span: tuple[int, int] | None = None,
 ) -> DataFrame:
     within, order = list(within), list(order)
     columns = [*within, *order]
     key = F.struct(*columns) if len(columns) > 1 else F.col(columns[0])
-    cut = _in_blocks(df, key, blocks)
-    sort = [F.col(column).asc() if ascending else F.col(column).desc() for column in ["_block", *order]]
+    rows = df.count()
+    ranges = max(1, -(-rows // per_range))
+    cut = _in_ranges(df, key, ranges, rows)
+    sort = [F.col(column).asc() if ascending else F.col(column).desc() for column in ["_range", *order]]
+    if ranges == 1:
+        position = F.row_number().over(Window.partitionBy(*within).orderBy(*sort[1:])) - 1
+        return df.withColumn(name, position.cast("long")).select(*df.columns, name)
     earlier = Window.partitionBy(*within).orderBy(sort[0]).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        cut.groupBy(*within, "_block")
+        cut.groupBy(*within, "_range")
         .agg(F.count("*").alias("_rows"))
         .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
     )
     if span is not None:
-        # blocks outside the wanted positions are dropped before their rows are shuffled
+        # ranges outside the wanted positions are dropped before their rows are shuffled
         offsets = offsets.where((F.col("_offset") < span[1]) & (F.col("_offset") + F.col("_rows") > span[0]))
-    offsets = offsets.select(*[F.col(column).alias(f"_w_{column}") for column in within], F.col("_block").alias("_b"), "_offset")
+    offsets = offsets.select(*[F.col(column).alias(f"_w_{column}") for column in within], F.col("_range").alias("_b"), "_offset")
     same = [cut[column].eqNullSafe(offsets[f"_w_{column}"]) for column in within]
-    placed = cut.join(offsets, [*same, cut["_block"] == offsets["_b"]])
-    inside = Window.partitionBy(*within, "_block").orderBy(*sort[1:])
+    placed = cut.join(offsets, [*same, cut["_range"] == offsets["_b"]])
+    inside = Window.partitionBy(*within, "_range").orderBy(*sort[1:])
     position = F.row_number().over(inside) - 1 + F.col("_offset")
     return placed.withColumn(name, position).select(*df.columns, name)
 
 
 def with_position(
     df: DataFrame, order: Sequence[str], within: Sequence[str] = (), name: str = "position", ascending: bool = True,
-    blocks: int = BLOCKS,
+    per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Add the zero-based position of each row in ``order`` (unique per row) inside ``within``.
 
-    A plain ``row_number`` would pull a whole group into one task. Here the rows are cut into key ranges, each
-    range is numbered on its own, and the row counts of the earlier ranges are added. A group that holds most
-    of the rows spans many ranges.
+    A plain ``row_number`` would pull a whole group into one task. Here the rows are counted (one job, when the
+    plan is built) and cut into key ranges of about ``per_range`` rows, however many that gives; each range is
+    numbered on its own, and the row counts of the earlier ranges are added. A group that holds most of the rows
+    spans many ranges. ``df`` is read up to four times, so it should lie in storage.
     """
-    return _numbered(df, order, within, ascending, blocks, name)
+    return _numbered(df, order, within, ascending, per_range, name)
 
 
 def slice_by_position(
     df: DataFrame, order: Sequence[str], offset: int, limit: int, within: Sequence[str] = (), ascending: bool = True,
-    blocks: int = BLOCKS,
+    per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Rows at positions ``offset .. offset + limit - 1``, however many that are, without a single big task.
 
     Only the key ranges that reach into the slice are shuffled and numbered.
     """
     span = (offset, offset + limit)
-    numbered = _numbered(df, order, within, ascending, blocks, "_position", span)
+    numbered = _numbered(df, order, within, ascending, per_range, "_position", span)
     return numbered.where((F.col("_position") >= span[0]) & (F.col("_position") < span[1])).drop("_position")

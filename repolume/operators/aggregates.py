@@ -8,11 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repolume.fixed_values import COMMUNITY_FILES, CONTRIBUTOR_LIMIT, NOT_KNOWN, REQUEST_MAXIMUM
-from repolume.functions.ranking import top_n_per_key
+from repolume.fixed_values import COMMUNITY_FILES, NOT_KNOWN
+from repolume.functions.ranking import with_position
 from repolume.functions.scalars import owner_of, without_nulls
 from repolume.operators.lookups import lookup
-from repolume.operators.ordering import first_per_parent
 from repolume.schemas import REPO, TABLES
 
 
@@ -79,34 +78,23 @@ def first_value_per_name(
     return df.groupBy(*scope).agg(*first)
 
 
-def contributor_companies(
-    contributors: DataFrame, scope: Sequence[str] = (REPO,), order: Sequence[str] = ("seq",),
-    limit: int = CONTRIBUTOR_LIMIT, company: str = "company",
-) -> DataFrame:
-    """Companies of the first ``limit`` contributors in order, and their number.
-
-    The listing gives details of that many contributors only, so the array is bounded too.
-    """
-    top = top_n_per_key(contributors, scope, [F.col(c) for c in order], limit)
-    listed = F.array_sort(F.collect_list(F.struct(*order, F.col(company).alias("_company"))))
-    companies = without_nulls(F.transform(listed, lambda entry: entry["_company"]))
-    return top.groupBy(*scope).agg(companies.alias("contributor_companies")).withColumn(
-        "contributor_companies_count", F.size("contributor_companies").cast("long")
-    )
+def contributor_companies(contributors: Column, company: str = "company") -> Column:
+    """Companies of a record's contributors, in listing order; contributors without one are left out."""
+    return without_nulls(F.transform(F.coalesce(contributors, F.array()), lambda person: person[company]))
 
 
 def list_per_parent(
-    children: DataFrame, parent: Sequence[str], value: str, order: Sequence[str], limit: int = REQUEST_MAXIMUM,
-    name: str | None = None,
+    children: DataFrame, parent: Sequence[str], value: str, order: Sequence[str], chunk_size: int, name: str | None = None
 ) -> DataFrame:
-    """One row per parent with the values of its children in order, as an array.
+    """The values of each parent's children in order, as arrays of ``chunk_size``: parent, ``chunk`` from 0, values.
 
-    A listing under a parent gives ``limit`` rows at most, and so does the array.
+    No child is left out. A parent with many children has many rows, so no array and no task outgrows a chunk.
     """
-    kept = first_per_parent(children, parent, order, limit)
-    listed = F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("_value"))))
+    placed = with_position(children.select(*dict.fromkeys([*parent, *order, value])), order, parent, "_at")
+    chunk = F.floor(F.col("_at") / chunk_size).cast("long").alias("chunk")
+    listed = F.array_sort(F.collect_list(F.struct("_at", F.col(value).alias("_value"))))
     values = F.transform(listed, lambda entry: entry["_value"])
-    return kept.groupBy(*parent).agg(values.alias(name or value))
+    return placed.groupBy(*parent, chunk).agg(values.alias(name or value))
 
 
 def contribution_share(
@@ -206,6 +194,7 @@ def repository_summary(
         "watchers_count",
         r("fork").alias("is_fork"),
         r("language").alias("prog_language"),
+        *([contributor_companies(r("contributors")).alias("contributor_companies")] if companies else []),
     )
     key = {REPO: REPO}
     given = {name: sources[source] for name, source in SUMMARY_COUNTS.items() if source in sources}
@@ -218,12 +207,7 @@ def repository_summary(
             first = first_appearances(edits, commits)
             base = lookup(base, first, key, {c: c for c in COMMUNITY_FILES})
     if companies:
-        people = repositories.select(
-            F.col("full_name").alias(REPO), F.posexplode("contributors").alias("seq", "_person")
-        ).select(REPO, "seq", "_person.company")
-        listed = contributor_companies(people)
-        names = ["contributor_companies", "contributor_companies_count"]
-        base = lookup(base, listed, key, {name: name for name in names})
+        base = base.withColumn("contributor_companies_count", F.size("contributor_companies").cast("long"))
     columns = []
     for field in spec.schema.fields:
         value = F.col(field.name) if field.name in base.columns else F.lit(None).cast(field.dataType)

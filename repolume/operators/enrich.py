@@ -11,6 +11,7 @@ from repolume.functions.ranking import with_position
 from repolume.functions.scalars import split_list
 from repolume.operators.lookups import array_lookup, lookup
 from repolume.schemas import REPO
+from repolume.session import settled
 
 
 def add_tags(
@@ -37,8 +38,11 @@ def branch_names(
 def branch_dictionary(
     commits: DataFrame, column: str = "branches", scope: Sequence[str] = (REPO,), separator: str = ","
 ) -> DataFrame:
-    """``branch_names``, numbered from 0 by name inside each repository."""
-    names = branch_names(commits, column, scope, separator)
+    """``branch_names``, numbered from 0 by name inside each repository.
+
+    The names are few beside the commits: they are settled before they are numbered, so the commits are read once.
+    """
+    names = settled(branch_names(commits, column, scope, separator), "branch-names")
     return with_position(names, ["branch_names"], scope, "id").select(*scope, "id", "branch_names")
 
 

@@ -9,7 +9,6 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repolume.fixed_values import MODIFICATION_LIMIT
 from repolume.functions.ranking import first_per_key, with_position
 from repolume.functions.scalars import changed
 from repolume.operators.lookups import lookup, unknown_only
@@ -128,7 +127,7 @@ def overflow_union(listed: DataFrame, nested: DataFrame, key: Sequence[str] = (R
     return first_per_key(both, key, [F.col("_from"), *[F.col(c) for c in order]]).drop("_from")
 
 
-def cap_modifications(edits: DataFrame, limit: int = MODIFICATION_LIMIT, key: Sequence[str] = (REPO, "commit_sha")) -> DataFrame:
+def cap_modifications(edits: DataFrame, limit: int, key: Sequence[str] = (REPO, "commit_sha")) -> DataFrame:
     """Edits without those of commits that modify more than ``limit`` files.
 
     The oversized commits are few; they are found by a partial count and taken out by an anti-join.

@@ -7,11 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repolume.fixed_values import REQUEST_MAXIMUM
-from repolume.functions.ranking import TRIM_LIMIT, slice_by_position, top_n_per_key
-
-# Up to here Spark's own top-k is used, which keeps that many rows of each task and merges them in one.
-_TOP_K = 1000
+from repolume.functions.ranking import slice_by_position
 
 
 def _order(columns: Sequence[str], ascending: bool) -> list[Column]:
@@ -26,12 +22,10 @@ def sort_by_update(
 
 
 def page(
-    df: DataFrame, limit: int = REQUEST_MAXIMUM, offset: int = 0, updated_at: str = "updated_at", key: str = "id",
+    df: DataFrame, limit: int, offset: int = 0, updated_at: str = "updated_at", key: str = "id",
     ascending: bool = True,
 ) -> DataFrame:
     """``limit`` rows of the sorted listing, after ``offset`` rows."""
-    if offset + limit <= _TOP_K:
-        return sort_by_update(df, updated_at, key, ascending).offset(offset).limit(limit)
     picked = slice_by_position(df, [updated_at, key], offset, limit, ascending=ascending)
     return sort_by_update(picked, updated_at, key, ascending)
 
@@ -44,11 +38,9 @@ def nth(
 
 
 def first_per_parent(
-    df: DataFrame, parent: Sequence[str], order: Sequence[str], limit: int = REQUEST_MAXIMUM, ascending: bool = True
+    df: DataFrame, parent: Sequence[str], order: Sequence[str], limit: int, ascending: bool = True
 ) -> DataFrame:
     """At most ``limit`` rows of each parent, in order."""
-    if limit <= TRIM_LIMIT:
-        return top_n_per_key(df, parent, _order(order, ascending), limit)
     return slice_by_position(df, order, 0, limit, parent, ascending)
 
 

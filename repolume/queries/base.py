@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repolume.functions.people import ADJECTIVES, HEX_DIGITS, NOUNS
-from repolume.session import scratch_dir
+from repolume.session import settled
 
 TABLE_NAMES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -48,10 +48,8 @@ def query(sql: str | None = None):
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read back, as a pipeline does between two steps."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` settled, as a pipeline does between two steps."""
+    return settled(df, label)
 
 
 def text(column: str | Column) -> Column:

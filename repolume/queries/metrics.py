@@ -127,10 +127,7 @@ def first_appearance_pivot(t: Source) -> DataFrame:
 
 @query(
     """
-    WITH listed AS (
-      SELECT c_nationkey, c_custkey, nullif(c_mktsegment, 'BUILDING') AS company
-      FROM customer QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) <= 500
-    )
+    WITH listed AS (SELECT c_nationkey, c_custkey, nullif(c_mktsegment, 'BUILDING') AS company FROM customer)
     SELECT c_nationkey,
            coalesce(to_json(list(company ORDER BY c_custkey) FILTER (WHERE company IS NOT NULL))::VARCHAR, '[]')
                AS contributor_companies,
@@ -139,21 +136,25 @@ def first_appearance_pivot(t: Source) -> DataFrame:
     """
 )
 def companies_list(t: Source) -> DataFrame:
-    people = t.customer.select("c_nationkey", "c_custkey", F.nullif("c_mktsegment", lit("BUILDING")).alias("company"))
-    listed = aggregates.contributor_companies(people, ["c_nationkey"], ["c_custkey"])
-    return as_json(listed, "contributor_companies")
+    """Nations are records that carry their customers as contributors."""
+    person = F.struct("c_custkey", F.nullif("c_mktsegment", lit("BUILDING")).alias("company"))
+    records = t.customer.groupBy("c_nationkey").agg(F.array_sort(F.collect_list(person)).alias("contributors"))
+    companies = aggregates.contributor_companies(c("contributors"))
+    listed = records.select("c_nationkey", companies.alias("contributor_companies"))
+    counted = listed.withColumn("contributor_companies_count", F.size("contributor_companies").cast("long"))
+    return as_json(counted, "contributor_companies")
 
 
 @query(
     """
-    SELECT user_id, to_json(list(event_type ORDER BY ts, event_id))::VARCHAR AS event_types
-    FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) <= 40000)
-    GROUP BY 1
+    SELECT user_id, pos // 20 AS chunk, to_json(list(event_type ORDER BY ts, event_id))::VARCHAR AS event_types
+    FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos FROM events)
+    GROUP BY 1, 2
     """
 )
 def list_per_parent(t: Source) -> DataFrame:
-    """Events of every user as one ordered array."""
-    listed = aggregates.list_per_parent(t.events, ["user_id"], "event_type", ["ts", "event_id"], name="event_types")
+    """Events of every user as ordered arrays of twenty."""
+    listed = aggregates.list_per_parent(t.events, ["user_id"], "event_type", ["ts", "event_id"], 20, "event_types")
     return as_json(listed, "event_types")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Everything else is left at Spark's defaults. AQE measures both sides of a join at run time, so lookups are
 # broadcast only when their real size is below the threshold, and the oversized partitions of a hot key are
@@ -46,3 +46,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/repolume/{label}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back, so that later steps do not compute it again."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

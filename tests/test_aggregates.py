@@ -1,5 +1,7 @@
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from repolume.operators import aggregates as A
 from repolume.schemas import RAW, TABLES
 from tests.conftest import rows
@@ -28,16 +30,27 @@ def test_first_appearances(frame):
     assert rows(A.first_appearances(edits, commits), "file_readme", "file_funding") == [(T1, None)]
 
 
-def test_companies_are_ordered_and_limited(frame):
-    people = frame(f"{REPO}, seq long, company string", *[{"repo_full_name": "r", "seq": i, "company": c} for i, c in enumerate(["x", None, "y", "z"])])
-    assert rows(A.contributor_companies(people, limit=3)) == [("r", ["x", "y"], 2)]
+def test_companies_are_ordered_and_whole(frame):
+    schema = "contributors array<struct<company: string>>"
+    listed = lambda *names: frame(schema, {"contributors": [{"company": name} for name in names]})
+    companies = lambda df: df.select(A.contributor_companies(F.col("contributors"))).first()[0]
+    assert companies(listed("y", None, "x", "y")) == ["y", "x", "y"]
+    assert len(companies(listed(*map(str, range(700))))) == 700
+    assert companies(frame(schema, {})) == []
 
 
 def test_children_become_an_ordered_array(frame):
     rows_ = [{"p": p, "k": k, "v": v} for p, k, v in [(1, 2, "b"), (1, 1, "a"), (1, 3, None), (2, 1, "x")]]
     children = frame("p long, k long, v string", *rows_)
-    assert rows(A.list_per_parent(children, ["p"], "v", ["k"])) == [(1, ["a", "b", None]), (2, ["x"])]
-    assert rows(A.list_per_parent(children, ["p"], "v", ["k"], limit=1, name="first")) == [(1, ["a"]), (2, ["x"])]
+    assert rows(A.list_per_parent(children, ["p"], "v", ["k"], 10)) == [(1, 0, ["a", "b", None]), (2, 0, ["x"])]
+    assert rows(A.list_per_parent(children, ["p"], "v", ["k"], 2, "vs")) == [(1, 0, ["a", "b"]), (1, 1, [None]), (2, 0, ["x"])]
+
+
+def test_no_child_of_a_large_parent_is_left_out(spark):
+    children = spark.range(45_000).selectExpr("0 AS p", "id AS k", "id AS v")
+    listed = A.list_per_parent(children, ["p"], "v", ["k"], 20_000).orderBy("chunk").collect()
+    assert [len(row["v"]) for row in listed] == [20_000, 20_000, 5_000]
+    assert [v for row in listed for v in row["v"]] == list(range(45_000))
 
 
 def test_counts(frame):

@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from repolume.functions.ranking import slice_by_position, top_n_per_key, with_position
+from repolume.functions.ranking import slice_by_position, with_position
 from repolume.operators import incremental as I
 from repolume.operators import ordering as O
 from repolume.operators import setops as S
@@ -108,16 +108,16 @@ def skewed(spark):
 
 @pytest.mark.parametrize("ascending", [True, False])
 @pytest.mark.parametrize("within", [[], ["g"]])
-@pytest.mark.parametrize("blocks", [1, 7, 256])
-def test_positions_match_row_number(skewed, within, ascending, blocks):
+@pytest.mark.parametrize("per_range", [10_000, 700, 20])
+def test_positions_match_row_number(skewed, within, ascending, per_range):
     data = [(r["g"], r["k"]) for r in skewed.collect()]
     groups = {}
     for g, k in sorted(data, key=lambda x: x[1], reverse=not ascending):
         groups.setdefault(g if within else None, []).append((g, k))
     want = sorted((g, k, i) for members in groups.values() for i, (g, k) in enumerate(members))
-    got = with_position(skewed, ["k"], within, "p", ascending, blocks)
+    got = with_position(skewed, ["k"], within, "p", ascending, per_range)
     assert rows(got, "g", "k", "p") == sorted(want, key=repr)
-    part = slice_by_position(skewed, ["k"], 40, 300, within, ascending, blocks)
+    part = slice_by_position(skewed, ["k"], 40, 300, within, ascending, per_range)
     assert rows(part, "g", "k") == sorted(((g, k) for g, k, p in want if 40 <= p < 340), key=repr)
 
 
@@ -125,16 +125,15 @@ def test_large_pages_and_parents(skewed):
     df = skewed.select(F.col("k").alias("id"), F.col("k").alias("updated_at"), "g")
     want = sorted(r["id"] for r in df.collect())
     assert [r["id"] for r in O.page(df, 9000, 2000).collect()] == want[2000:]
-    per = O.first_per_parent(df, ["g"], ["id"], 1500)
     ids = sorted(r["id"] for r in df.where("g = 0").collect())
-    assert sorted(r["id"] for r in per.where("g = 0").collect()) == ids[:1500]
-    with pytest.raises(ValueError):
-        top_n_per_key(df, ["g"], [F.col("id")], 5000)
+    for n in (999, 1000, 1001, 5000):
+        assert [r["id"] for r in O.page(df, n).collect()] == want[:n]
+        assert sorted(r["id"] for r in O.first_per_parent(df, ["g"], ["id"], n).where("g = 0").collect()) == ids[:n]
     assert sorted(r["id"] for r in O.first_per_parent(df, ["g"], ["id"], 3, ascending=False).where("g = 0").collect()) == ids[-3:]
 
 
 def test_positions_with_null_groups_and_an_empty_table(spark, frame):
     df = frame("g string, k long", *[{"g": random.Random(i).choice([None, "a"]), "k": i} for i in range(50)])
-    got = with_position(df, ["k"], ["g"], "p", blocks=4)
+    got = with_position(df, ["k"], ["g"], "p", per_range=12)
     assert got.count() == 50 and got.groupBy("g").agg(F.max("p") + 1 == F.count("*")).where("not `((max(p) + 1) = count(1))`").count() == 0
     assert with_position(df.limit(0), ["k"], ["g"]).count() == 0

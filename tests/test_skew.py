@@ -98,12 +98,15 @@ def test_nothing_is_lost_where_groups_are_cut(facts):
     assert sizes.where("last <> n - 1 or d <> n").count() == 0
 
 
-def test_blocks_of_a_hot_group_are_even(facts):
-    from repolume.functions.ranking import _in_blocks
+def test_ranges_of_a_hot_group_are_even_and_bounded_at_any_size(facts):
+    from repolume.functions.ranking import _in_ranges
 
     key = F.struct("committer_name", "seq")
-    sizes = [r["count"] for r in _in_blocks(facts.select("committer_name", "seq"), key, 64).groupBy("_block").count().collect()]
-    assert 50 < len(sizes) <= 64 and max(sizes) < 3 * 300_000 / 64
+    for rows in (15_000, 300_000):  # twenty times the rows, as many rows in a range
+        table = facts.select("committer_name", "seq").where(f"seq < {rows}")
+        ranges = rows // 5_000
+        sizes = [r["count"] for r in _in_ranges(table, key, ranges, rows).groupBy("_range").count().collect()]
+        assert sum(sizes) == rows and len(sizes) > 0.6 * ranges and max(sizes) < 3 * 5_000
 
 
 def test_counts_before_joins(facts):
