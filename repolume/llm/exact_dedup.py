@@ -102,7 +102,11 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256) ->
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns; of repeated rows (same id, equal text) one stays."""
-    kept = exact_dedup(docs).where("kept").select("doc_id", F.unhex("text_sha256").alias("_digest")).distinct()
-    marked = docs.withColumn("_digest", sha256(lower_ascii(F.coalesce("text", F.lit("")))))
-    same = marked["doc_id"].eqNullSafe(kept["doc_id"]) & (marked["_digest"] == kept["_digest"])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+    kept = exact_dedup(docs).where("kept").select("doc_id", F.unhex("text_sha256").alias("digest")).distinct()
+    # whole rows travel as one column, so that no column of theirs can clash
+    marked = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").alias("id"),
+        sha256(lower_ascii(F.coalesce("text", F.lit("")))).alias("digest"),
+    )
+    same = marked["id"].eqNullSafe(kept["doc_id"]) & (marked["digest"] == kept["digest"])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["id", "digest"]).select("row.*")

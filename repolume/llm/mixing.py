@@ -148,7 +148,9 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: float
         "doc_id", sized["source"], "size", "source_size", "target", "source_rank", F.floor("times").alias("whole"),
         (F.col("times") - F.floor("times")).alias("fraction"),
     )
-    rounded = dependent_rounding(rows.where("size > 0"))
+    # as text: pandas has no NULL among whole numbers
+    slim = rows.where("size > 0").withColumn("doc_id", F.col("doc_id").cast("string"))
+    rounded = dependent_rounding(slim).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
     wordless = rows.where("size = 0").drop("fraction").withColumn("extra", F.lit(0))
     copies = F.col("whole") + F.col("extra")
     return rounded.unionByName(wordless).select(
@@ -162,11 +164,13 @@ def take_copies(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: float
 
     Rows that share an id are told apart by their order in source and size.
     """
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("source", "_size"))
-    copies = mix_sources(docs, weights, most).select("doc_id", "source", F.col("size").alias("_size"), "copies")
-    copies = copies.select("doc_id", nth.alias("_nth"), F.col("copies").alias("_copies")).where("_copies > 0")
-    marked = docs.withColumn("_size", count_words(F.col("text"))).withColumn("_nth", nth)
-    same = marked["doc_id"].eqNullSafe(copies["doc_id"]) & (marked["_nth"] == copies["_nth"])
-    taken = marked.join(copies, same)
-    repeated = taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int"))))
-    return repeated.select(*(marked[c] for c in docs.columns))
+    nth = F.row_number().over(Window.partitionBy("id").orderBy("source", "size")).alias("nth")
+    copies = mix_sources(docs, weights, most).withColumnRenamed("doc_id", "id").select("id", nth, "copies")
+    copies = copies.where("copies > 0").withColumnsRenamed({"id": "taken_id", "nth": "taken_nth"})
+    # whole rows travel as one column, so that no column of theirs can clash
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").alias("id"), "source", count_words(F.col("text")).alias("size")
+    ).select("row", "id", nth)
+    same = rows["id"].eqNullSafe(copies["taken_id"]) & (rows["nth"] == copies["taken_nth"])
+    repeat = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy")
+    return rows.join(copies, same).select("row", repeat).select("row.*")
