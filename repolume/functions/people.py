@@ -30,7 +30,14 @@ def pseudonym(node_id: Column, salt: str = "") -> Column:
     share one. Being a pure function it needs no lookup table and is the same in every repository. Every part
     is NULL for NULL, so no branch keeps Spark from computing the digest once.
     """
-    digest = F.sha2(F.concat(F.lit(salt), node_id.cast("string")), 256)
+    return _spelled(_digest(node_id, salt))
+
+
+def _digest(node_id: Column, salt: str) -> Column:
+    return F.sha2(F.concat(F.lit(salt), node_id.cast("string")), 256)
+
+
+def _spelled(digest: Column) -> Column:
     dash = F.lit("-")
     first, second = F.substring(digest, 1, 1), F.substring(digest, 2, 1)
     return F.concat(_word(ADJECTIVES, first), dash, _word(NOUNS, second), dash, F.substring(digest, 3, 32))
@@ -61,4 +68,9 @@ class People:
 
     def several(self, users: Column) -> Column:
         """Ordered array of user columns; a user that is not known stays as a NULL element."""
-        return F.transform(F.coalesce(users, F.array()), self.one)
+        ids = F.transform(F.coalesce(users, F.array()), real_user_id)
+        if self.raw_ids:
+            return ids
+        # in a lambda nothing is computed once for several uses, so the digests are an array of their own
+        digests = F.transform(ids, lambda node_id: _digest(node_id, self.salt))
+        return F.transform(digests, _spelled)

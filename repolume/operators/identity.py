@@ -55,10 +55,15 @@ def propagate_representative(
     )
 
 
+def _first_user(order: Sequence[str]) -> Column:
+    """The first user in order; the id decides ties, so the same rows give the same user in any input order."""
+    return F.min_by("anonym_uuid", F.struct(*order, "anonym_uuid")).alias("anonym_uuid")
+
+
 def alias_index(users: DataFrame, scope: Sequence[str] = (REPO,), order: Sequence[str] = ("seq",)) -> DataFrame:
     """Alias -> first user that carries it."""
     aliases = users.select(*scope, *order, "anonym_uuid", F.explode("alias").alias("key"))
-    return aliases.groupBy(*scope, "key").agg(F.min_by("anonym_uuid", F.struct(*order)).alias("anonym_uuid"))
+    return aliases.groupBy(*scope, "key").agg(_first_user(order))
 
 
 def attribute_index(users: DataFrame, scope: Sequence[str] = (REPO,), order: Sequence[str] = ("seq",)) -> DataFrame:
@@ -70,7 +75,7 @@ def attribute_index(users: DataFrame, scope: Sequence[str] = (REPO,), order: Seq
     return (
         keys.where(F.col("key").isNotNull())
         .groupBy(*scope, "key")
-        .agg(F.min_by("anonym_uuid", F.struct(*order)).alias("anonym_uuid"))
+        .agg(_first_user(order))
     )
 
 
@@ -163,7 +168,7 @@ def assign_unknown_users(
     lines = first_per_key(mapping, [*scope, "unknown_user"], [F.col("seq"), F.col("uuid")])
     lines = known_only(lines, waiting, [*scope, "unknown_user"])
     by_uuid = users.groupBy(*scope, "anonym_uuid").agg(F.lit(True).alias("_known"))
-    by_id = users.where(F.col("id").isNotNull()).groupBy(*scope, "id").agg(F.min_by("anonym_uuid", "seq").alias("_of_id"))
+    by_id = users.where(F.col("id").isNotNull()).groupBy(*scope, "id").agg(F.min_by("anonym_uuid", F.struct("seq", "anonym_uuid")).alias("_of_id"))
     lines = lookup(lines, by_uuid, _on(scope, uuid="anonym_uuid"), {"_known": "_known"})
     lines = lookup(lines, by_id, _on(scope, uuid="id"), {"_of_id": "_of_id"})
     # A new uuid named by several lines is created by the first of them. A later line without ``new_user`` then

@@ -19,11 +19,10 @@ from repolume.schemas import REPO
 def latest_per_id(
     df: DataFrame, key: Sequence[str] = (REPO, "id"), updated_at: str = "updated_at", seq: str | None = None
 ) -> DataFrame:
-    """Newest version of each id; ``seq`` decides between versions with the same time."""
-    order = [F.col(updated_at).desc_nulls_last()]
-    if seq:
-        order.append(F.col(seq).desc_nulls_last())
-    return first_per_key(df, key, order)
+    """Newest version of each id; ``seq`` decides between versions with the same time. Without ``seq`` their content
+    does, so that the same versions give the same row in any input order."""
+    tie = F.col(seq).desc_nulls_last() if seq else F.xxhash64(*df.columns)
+    return first_per_key(df, key, [F.col(updated_at).desc_nulls_last(), tie])
 
 
 def upsert(
@@ -31,7 +30,9 @@ def upsert(
 ) -> DataFrame:
     """Old rows with the new ones put over them; of an id the newest version stays, the new one if both tie."""
     both = old.withColumn("_is_new", F.lit(0)).unionByName(new.withColumn("_is_new", F.lit(1)), True)
-    return latest_per_id(both, key, updated_at, "_is_new").drop("_is_new")
+    # of two new versions with the same time the content decides
+    ranked = both.withColumn("_is_new", F.struct("_is_new", F.xxhash64(*new.columns)))
+    return latest_per_id(ranked, key, updated_at, "_is_new").drop("_is_new")
 
 
 def has_updates(
@@ -77,6 +78,23 @@ def updates_per_repository(
     return found.select(*scope, verdict.alias(name))
 
 
+def content_per_repository(
+    new: DataFrame, old: DataFrame, scope: Sequence[str] = (REPO,), name: str = "has_updates"
+) -> DataFrame:
+    """Whether a repository's listing differs from the store in any column of any record: one row per repository
+    that is listed. For records that change without an update time.
+
+    Both sides are reduced to their number of rows and a sum of row digests, which no order of rows changes.
+    """
+    scope = list(scope)
+    columns = [c for c in new.columns if c in old.columns and c not in scope]
+    digest = F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+    state = lambda df: df.groupBy(*scope).agg(F.struct(F.count("*"), digest).alias("_state"))
+    known = state(old).withColumnRenamed("_state", "_stored")
+    found = lookup(state(new), known, {c: c for c in scope}, {"_stored": "_stored"})
+    return found.select(*scope, (~F.col("_state").eqNullSafe(F.col("_stored"))).alias(name))
+
+
 def change_classes(
     new: DataFrame, old: DataFrame, key: Sequence[str] = (REPO, "id"), updated_at: str = "updated_at",
     name: str = "change",
@@ -98,9 +116,11 @@ def read_since(
     """Next page after a cursor ``(updated_at, id)``, oldest first.
 
     The pair is a total order, so records that share a time are neither lost nor repeated. Both parts are
-    constants and reach the scan.
+    constants and reach the scan. Records without a time come first, as the listing sorts them.
     """
-    if cursor is not None:
+    if cursor is not None and cursor[0] is None:
+        df = df.where(F.col(updated_at).isNotNull() | (F.col(key) > F.lit(cursor[1])))
+    elif cursor is not None:
         moment, last = F.lit(cursor[0]), F.lit(cursor[1])
         later = F.col(updated_at) > moment
         df = df.where((F.col(updated_at) >= moment) & (later | (F.col(key) > last)))

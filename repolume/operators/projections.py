@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from repolume.fixed_values import COMMIT_DROPS, COMMIT_RENAMES, DATE_PATTERN, EDIT_RENAMES
 from repolume.functions.people import People, real_user_id
-from repolume.functions.ranking import first_per_key
+from repolume.functions.ranking import first_per_key, with_position
 from repolume.functions.scalars import field_of
 from repolume.schemas import REPO, TABLES
+from repolume.session import settled
 
 c = F.col
 
@@ -131,10 +132,17 @@ def commit_accounts(raw: DataFrame, people: People = People()) -> DataFrame:
     )
 
 
-def users(raw: DataFrame, people: People = People()) -> DataFrame:
-    """Users table out of user structs (``repo_full_name, seq, user``): each user once, as first met."""
-    met = raw.where(real_user_id(c("user")).isNotNull()).select(REPO, "seq", "user.*")
-    once = first_per_key(met, [REPO, "node_id"], [c("seq"), c("name"), c("email"), c("login")])
+def users(raw: DataFrame, people: People = People(), order: tuple[str, ...] = ("seq",)) -> DataFrame:
+    """Users table out of user structs (``repo_full_name, user`` and ``order``): each user once, as first met.
+
+    If ``seq`` alone is no total order, ``order`` names the columns that are; ``seq`` is then the user's number in it.
+    """
+    met = raw.where(real_user_id(c("user")).isNotNull()).select(REPO, *order, "user.*")
+    once = first_per_key(met, [REPO, "node_id"], [*map(c, order), c("name"), c("email"), c("login")])
+    if order != ("seq",):
+        once = settled(once, "users-met").withColumnRenamed("seq", "_seq")
+        names = ["_seq" if name == "seq" else name for name in order]
+        once = with_position(once, [*names, "node_id"], [REPO], "seq")
     return _shape(
         once, "users",
         anonym_uuid=people.from_id(c("node_id")),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repolume.functions.scalars import url_number, url_repository
@@ -68,33 +68,48 @@ RELATIONS = (
 )
 
 
-def orphans(tables: dict[str, DataFrame], relation: Relation, scope: Sequence[str] = (REPO,)) -> DataFrame:
-    """Number of references of one relation and how many of them have no parent.
-
-    References are counted per key before the join, so a key that fills the child table travels as one row.
-    """
-    scope = list(scope)
-    child = tables[relation.child]
-    if relation.when:
-        child = child.where(relation.when)
-    value = F.explode(relation.column) if relation.array else F.col(relation.column)
-    refs = child.select(*scope, value.alias("_key")).where(F.col("_key").isNotNull())
-    refs = refs.groupBy(*scope, "_key").agg(F.count("*").alias("_n"))
-    parents = tables[relation.parent].select(*scope, F.col(relation.key).alias("_key"))
-    parents = parents.groupBy(*scope, "_key").agg(F.lit(True).alias("_found"))
-    total = F.coalesce(F.sum("_n"), F.lit(0))
-    missing = F.coalesce(F.sum(F.when(F.col("_found").isNull(), F.col("_n"))), F.lit(0))
-    return refs.join(parents, [*scope, "_key"], "left").agg(
-        F.lit(relation.name).alias("relation"), total.alias("refs"), missing.alias("orphans")
-    ).select("relation", "refs", "orphans")
+def _reference(relation: Relation) -> Callable[[Column], Column]:
+    target = f"{relation.parent}.{relation.key}"
+    return lambda value: F.struct(
+        F.lit(relation.name).alias("relation"), F.lit(target).alias("target"), value.cast("string").alias("key")
+    )
 
 
 def audit(
     tables: dict[str, DataFrame], relations: Sequence[Relation] = RELATIONS, scope: Sequence[str] = (REPO,)
 ) -> DataFrame:
-    """``orphans`` of every relation between the given tables."""
-    checked = [orphans(tables, r, scope) for r in relations if r.child in tables and r.parent in tables]
-    return reduce(DataFrame.unionByName, checked)
+    """Number of references of every relation between the given tables and how many of them have no parent.
+
+    Every table is read once on each side: a child row unfolds to all its references, a parent row to all its keys.
+    References are counted per key before the join, so a key that fills a child table travels as one row.
+    """
+    scope = list(scope)
+    checked = [r for r in relations if r.child in tables and r.parent in tables]
+    references, keys = [], []
+    for child in dict.fromkeys(r.child for r in checked):
+        found = []
+        for relation in (r for r in checked if r.child == child):
+            values = F.col(relation.column) if relation.array else F.array(relation.column)
+            if relation.when:
+                values = F.when(F.expr(relation.when), values)
+            found.append(F.transform(F.coalesce(F.array_compact(values), F.array()), _reference(relation)))
+        references.append(tables[child].select(*scope, F.inline(F.concat(*found))))
+    for parent in dict.fromkeys(r.parent for r in checked):
+        names = dict.fromkeys(r.key for r in checked if r.parent == parent)
+        entries = F.array(
+            *(F.struct(F.lit(f"{parent}.{name}").alias("target"), F.col(name).cast("string").alias("key")) for name in names)
+        )
+        keys.append(tables[parent].select(*scope, F.inline(entries)).where("key IS NOT NULL"))
+    on = [*scope, "target", "key"]
+    counted = reduce(DataFrame.unionByName, references).groupBy(*on, "relation").agg(F.count("*").alias("_n"))
+    present = reduce(DataFrame.unionByName, keys).groupBy(*on).agg(F.lit(True).alias("_found"))
+    sums = counted.join(present, on, "left").groupBy("relation").agg(
+        F.sum("_n").alias("_refs"), F.sum(F.when(F.col("_found").isNull(), F.col("_n"))).alias("_orphans")
+    )
+    # one row for every relation, also for those without references
+    names = sums.sparkSession.createDataFrame([(r.name,) for r in checked], "relation string")
+    zero = lambda name: F.coalesce(f"_{name}", F.lit(0)).cast("long").alias(name)
+    return names.join(sums, "relation", "left").select("relation", zero("refs"), zero("orphans"))
 
 
 def flagged_pull_requests(pull_requests: DataFrame, issues: DataFrame, scope: Sequence[str] = (REPO,)) -> DataFrame:

@@ -24,8 +24,10 @@ def union_tagged(parts: dict[str, DataFrame], tag: str = "parent_name") -> DataF
 def stitch(
     windows: Sequence[DataFrame], key: Sequence[str] = ("id",), updated_at: str = "updated_at", seq: str | None = None
 ) -> DataFrame:
-    """One set out of overlapping windows of a listing: every id once, in its newest state."""
-    return latest_per_id(reduce(DataFrame.unionByName, windows), key, updated_at, seq)
+    """One set out of overlapping windows of a listing: every id once, in its newest state; of equal times that of
+    the later window (or the larger ``seq``)."""
+    numbered = [window.withColumn("_window", F.lit(at)) for at, window in enumerate(windows)]
+    return latest_per_id(reduce(DataFrame.unionByName, numbered), key, updated_at, seq or "_window").drop("_window")
 
 
 def distinct_items(df: DataFrame, column: str, scope: Sequence[str] = (), name: str = "item") -> DataFrame:

@@ -40,17 +40,27 @@ _NESTED_USERS = {
 }
 
 
+# Order in which users are met.
+MET = ("entity", "seq", "position")
+
+
 def met_users(raw: dict[str, DataFrame]) -> DataFrame:
-    """``repo_full_name, seq, user`` for every user struct of the given raw entities."""
+    """``repo_full_name, entity, seq, position, user`` for every user struct of the given raw entities.
+
+    Entity, record and position inside the record are a total order of the structs of a repository.
+    """
     found = []
-    for entity, df in raw.items():
-        plain, arrays = _USER_FIELDS.get(entity, ((), ()))
+    for rank, (entity, (plain, arrays)) in enumerate(_USER_FIELDS.items()):
+        if entity not in raw:
+            continue
+        df = raw[entity]
         structs = [F.array(*plain)] if plain else []
         lists = [F.coalesce(F.col(name), F.array()) for name in arrays]
         for nested, names in _NESTED_USERS.get(entity, {}).items():
             lists += [F.coalesce(F.col(f"{nested}.{name}"), F.array()) for name in names]
         if structs or lists:
-            found.append(df.select(REPO, "seq", F.explode(F.concat(*structs, *lists)).alias("user")))
+            listed = F.posexplode(F.concat(*structs, *lists)).alias("position", "user")
+            found.append(df.select(REPO, F.lit(rank).alias("entity"), "seq", listed))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -93,7 +103,7 @@ def build_tables(
 
     known = [entity for entity in raw if entity in _USER_FIELDS]
     if known:
-        tables["users"] = projections.users(met_users({entity: raw[entity] for entity in known}), people)
+        tables["users"] = projections.users(met_users({entity: raw[entity] for entity in known}), people, MET)
     build("releases", "release", lambda df: projections.releases(df, people))
     build("issues", "issue", lambda df: projections.issues(df, people))
     build("issue_comments", "issue_comment", lambda df: projections.issue_comments(df, people))

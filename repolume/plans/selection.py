@@ -96,15 +96,19 @@ class PullRequestSelection(Selection):
             wanted.add("reviews")
         if self.reactions and self.review_comments:
             wanted.add("pull_request_reactions")
+        if "pull_requests" in wanted:
+            wanted |= {"issues", *self.issues.tables()}
         return wanted
 
 
 @dataclass
 class RepositorySelection(Selection):
+    summary: bool = True
     contributor_companies: bool = True
 
     def tables(self) -> set[str]:
-        return {"repository"} if self.has_true() else set()
+        """The companies are columns of the summary, which is built without them too."""
+        return {"repository"} if self.summary or self.contributor_companies else set()
 
 
 @dataclass

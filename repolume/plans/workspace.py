@@ -8,7 +8,7 @@ from repolume.functions.people import People
 from repolume.operators import projections
 from repolume.operators.filters import select_repositories
 from repolume.operators.identity import unknown_users
-from repolume.operators.incremental import updates_per_repository
+from repolume.operators.incremental import content_per_repository, updates_per_repository
 from repolume.operators.lookups import known_only
 from repolume.operators.setops import concat
 from repolume.plans.activity import build_tables, summary_sources
@@ -22,11 +22,11 @@ from repolume.sources.pages import read_pages
 from repolume.sources.tables import read_registry, read_table
 
 # Raw entities that stand or fall with one listing: entity of the listing -> what is built from it, its
-# projection, its stored table and its time. Releases have no update time.
+# projection, its stored table and its time. Releases have no update time: drafts and edits show in the content only.
 _LISTINGS = {
     "issue": (("issue", "issue_comment", "issue_event"), projections.issues, "issues", "updated_at"),
     "pull_request": (("pull_request", "review_comment"), projections.pull_requests, "pull_requests", "updated_at"),
-    "release": (("release",), projections.releases, "releases", "published_at"),
+    "release": (("release",), projections.releases, "releases", None),
     "workflow": (("workflow",), projections.workflows, "workflows", "updated_at"),
     "workflow_run": (("workflow_run",), projections.workflow_runs, "workflow_runs", "updated_at"),
 }
@@ -99,7 +99,12 @@ class Workspace:
         for entity, (members, project, table, time) in _LISTINGS.items():
             if entity in unsure:
                 continue
-            verdict = updates_per_repository(project(raw[entity]), read_table(self.spark, self.root, table), time)
+            listed, stored = project(raw[entity]), read_table(self.spark, self.root, table)
+            if time is None:
+                listed = projections.releases(raw[entity], self.people)
+                verdict = content_per_repository(listed, stored)
+            else:
+                verdict = updates_per_repository(listed, stored, time)
             path = scratch_dir(self.spark, f"updated-{entity}")
             verdict.where("has_updates").select(REPO).write.parquet(path)
             updated = self.spark.read.schema(f"{REPO} string").parquet(path)

@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 from repolume.schemas import RAW, REPO
 from repolume.sources.tables import read_or_empty
 
-# Bits of ``seq`` that hold the position inside a page.
-_POSITION_BITS = 20
+# Bits of ``seq`` that hold the position inside a page: no array has more elements than they can count, so pages
+# never overlap, and the other 32 bits hold the page.
+_POSITION_BITS = 31
 
 
 def page_schema(record: T.StructType) -> T.StructType:

@@ -1,11 +1,7 @@
 """Continuous form of cursor paging: landed pages are picked up as they arrive.
 
-Two ways to keep one row per record:
-
-* ``append_versions`` appends every landed version to a log, without state, and ``current_state`` reads the
-  newest one. Nothing is ever dropped, however late it lands. This is the default way.
-* ``first_within_watermark`` drops repeats inside the stream. Its state is bounded by the watermark, and
-  records that land later than it allows are dropped; they have to come back through a batch refresh.
+``append_versions`` appends every landed version to a log, without state, and ``current_state`` reads the newest one.
+Nothing is ever dropped, however late it lands.
 """
 
 from __future__ import annotations
@@ -32,12 +28,6 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType, max_files
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
-def first_within_watermark(
-    stream: DataFrame, key: Sequence[str] = (REPO, "id"), updated_at: str = "updated_at", delay: str = "7 days"
-) -> DataFrame:
-    return stream.withWatermark(updated_at, delay).dropDuplicatesWithinWatermark(list(key))
-
-
 def append_versions(
     stream: DataFrame, log: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None
 ) -> StreamingQuery:

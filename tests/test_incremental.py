@@ -50,8 +50,24 @@ def test_upsert_is_idempotent_and_keeps_newer_rows(frame):
     assert rows(I.upsert(once, new)) == rows(once)
 
 
-def test_cursor_over_ties_gives_every_row_once(frame):
-    df = frame(SCHEMA, *[record(i, 0) for i in range(5)])
+def test_content_decides_between_equal_times_in_any_input_order(frame):
+    new = [record(1, 5, value) for value in "abc"]
+    first = I.upsert(frame(SCHEMA, record(1, 1, "old")), frame(SCHEMA, *new))
+    assert rows(first) == rows(I.upsert(frame(SCHEMA, record(1, 1, "old")), frame(SCHEMA, *reversed(new))))
+    assert rows(I.latest_per_id(frame(SCHEMA, *new))) == rows(I.latest_per_id(frame(SCHEMA, *reversed(new))))
+
+
+def test_changed_content_is_seen_without_an_update_time(frame):
+    stored = frame(SCHEMA, record(1, 0, "a"), record(2, 0, "b"))
+    verdict = lambda *listed: I.content_per_repository(frame(SCHEMA, *listed), stored).first()["has_updates"]
+    assert not verdict(record(2, 0, "b"), record(1, 0, "a"))
+    assert verdict(record(1, 0, "a"), record(2, 0, "edited"))
+    assert verdict(record(1, 0, "a"), record(2, 0, "b"), record(3, 0, "draft"))
+
+
+@pytest.mark.parametrize("without_time", [0, 2, 3])
+def test_cursor_over_ties_gives_every_row_once(frame, without_time):
+    df = frame(SCHEMA, *[{**record(i, 0), **({"updated_at": None} if i < without_time else {})} for i in range(5)])
     cursor, seen, pages = None, [], 0
     while True:
         page = I.read_since(df, cursor, 2).select("updated_at", "id").collect()

@@ -4,7 +4,7 @@ import pytest
 
 from repolume.functions.people import People
 from repolume.plans.activity import build_tables, refresh, save_all
-from repolume.plans.selection import IssueSelection, PullRequestSelection, TableSelection, WorkflowSelection
+from repolume.plans.selection import IssueSelection, PullRequestSelection, RepositorySelection, TableSelection, WorkflowSelection
 from repolume.plans.versions import repair_identities
 from repolume.schemas import MINED_COMMITS, MINED_EDITS, RAW, TABLES, raw_frame_schema
 from repolume.sinks.tables import save_table
@@ -30,10 +30,15 @@ def test_switches():
 
 def test_implications():
     assert IssueSelection(False, True, False, False).tables() == {"issues", "issue_reactions"}
+    plain, all_issues = IssueSelection(False, False, False, False), IssueSelection(True, True, True, True)
     for switch in ("deep", "commits", "review_requests"):
-        s = PullRequestSelection(pull_requests=False, review_comments=False, **{switch: True})
-        assert s.tables() == {"pull_requests"}
-    assert PullRequestSelection(False, review_comments=False, reviews=True).tables() == {"pull_requests", "reviews"}
+        s = PullRequestSelection(pull_requests=False, review_comments=False, issues=plain, **{switch: True})
+        assert s.tables() == {"pull_requests", "issues"}
+    s = PullRequestSelection(False, review_comments=False, reviews=True, issues=all_issues)
+    assert s.tables() == {"pull_requests", "reviews", *all_issues.tables()}
+    assert PullRequestSelection(False, review_comments=True, issues=all_issues).tables() == {"review_comments"}
+    assert RepositorySelection(contributor_companies=False).tables() == {"repository"}
+    assert RepositorySelection(False, False).tables() == set()
     assert WorkflowSelection(runs=False).tables() == {"workflows"}
 
 

@@ -6,7 +6,11 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from repolume.schemas import RAW, REPO, TABLES, tables_by_folder
+from repolume.functions.people import People
+from repolume.operators import projections
+from repolume.operators.identity import attribute_index
+from repolume.plans.activity import MET, met_users
+from repolume.schemas import RAW, REPO, TABLES, raw_frame_schema, tables_by_folder
 from repolume.session import scratch_dir
 from repolume.sinks import tables as W
 from repolume.sources import archives as Z
@@ -125,3 +129,23 @@ def test_long_members_come_in_batches(spark, monkeypatch):
 def test_scratch_folder_is_shared(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir", "/tmp"))
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
+def test_users_of_a_later_landing_come_after_the_stored_ones(spark, frame, tmp_path):
+    schema, root = TABLES["users"].schema, str(tmp_path)
+    old = {"repo_full_name": "r", "seq": 1 << 20, "anonym_uuid": "OLD", "id": "1", "name": "x"}
+    new = {"repo_full_name": "r", "seq": 0, "anonym_uuid": "NEW", "id": "2", "name": "x"}
+    W.append_users(frame(schema, old), root)
+    W.append_users(frame(schema, new, {**old, "seq": 7}), root)
+    stored = read_table(spark, root, "users")
+    assert [r["anonym_uuid"] for r in stored.orderBy("seq").collect()] == ["OLD", "NEW"]
+    index = attribute_index(stored)
+    assert rows(index.where("key = 'x'"), "anonym_uuid") == [("OLD",)]
+
+
+def test_users_met_in_one_record_have_an_order_of_their_own(frame):
+    issue = {"repo_full_name": "r", "seq": 0, "id": 1, "user": {"node_id": "b", "name": "x"}, "closed_by": {"node_id": "a", "name": "x"}}
+    comment = {"repo_full_name": "r", "seq": 0, "id": 2, "user": {"node_id": "c", "name": "x"}}
+    raw = {name: frame(raw_frame_schema(RAW[name]), row) for name, row in (("issue_comment", comment), ("issue", issue))}
+    users = projections.users(met_users(raw), People(raw_ids=True), MET)
+    assert rows(users, "seq", "id") == [(0, "b"), (1, "a"), (2, "c")]

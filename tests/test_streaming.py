@@ -1,9 +1,9 @@
 import json
-from datetime import datetime
 
-from repolume.operators import projections
-from repolume.schemas import TABLES
-from repolume.streaming.ingest import append_versions, current_state, first_within_watermark, stream_pages, stream_table
+from repolume.operators import incremental, projections
+from repolume.schemas import RAW, TABLES
+from repolume.sources.pages import page_schema, records_of
+from repolume.streaming.ingest import append_versions, current_state, stream_pages
 from tests.conftest import rows
 
 
@@ -34,10 +34,11 @@ def test_newest_version_survives_restarts_and_late_pages(spark, tmp_path):
     assert spark.read.parquet(log).count() == 5
 
 
-def test_watermark_bounds_the_state(spark, frame, tmp_path):
-    schema = "repo_full_name string, id long, updated_at timestamp"
-    src, out = str(tmp_path / "src"), str(tmp_path / "out")
-    frame(schema, *[{"repo_full_name": "r", "id": i % 3, "updated_at": datetime(2024, 1, 1 + i)} for i in range(6)]).coalesce(1).write.parquet(src)
-    stream = first_within_watermark(stream_table(spark, src, frame(schema).schema), delay="30 days")
-    append_versions(stream, out, str(tmp_path / "check")).awaitTermination()
-    assert rows(spark.read.parquet(out), "id") == [(0,), (1,), (2,)]
+def test_stream_and_batch_agree_on_changed_rows(spark, tmp_path):
+    pages, log, check = tmp_path / "pages", str(tmp_path / "log"), str(tmp_path / "check")
+    land(pages, "a.json", 0, comment(1, 10, "old"), comment(2, 9, "kept"))
+    land(pages, "b.json", 1, comment(1, 12, "new"))
+    schema = TABLES["issue_comments"].schema
+    append_versions(stream_pages(spark, str(pages), "issue_comment", 1), log, check, projections.issue_comments).awaitTermination()
+    batch = incremental.latest_per_id(projections.issue_comments(records_of(spark.read.schema(page_schema(RAW["issue_comment"])).json(str(pages)))))
+    assert rows(current_state(spark, log, schema), "id", "body") == rows(batch, "id", "body") == [(1, "new"), (2, "kept")]
