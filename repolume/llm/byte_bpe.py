@@ -28,6 +28,7 @@ import json
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -98,6 +99,21 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+class _Words(dict):
+    """The ids of words: the head's, and those of other words from when they are first asked for."""
+
+    def __init__(self, head: dict[str, list[int]], ranks: dict[bytes, int]) -> None:
+        super().__init__(head)
+        self.head, self.ranks = head, ranks
+
+    def __missing__(self, word: str) -> list[int]:
+        if len(self) > len(self.head) + _KEPT:
+            self.clear()
+            self.update(self.head)
+        ids = self[word] = merge_word(word.encode("utf-8", "surrogatepass"), self.ranks)
+        return ids
+
+
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -181,21 +197,14 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, head: int = H
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = regex.compile(pattern).findall
-        known, ranks = shared.value
-        rare: dict[str, list[int]] = {}
+        ids_of = _Words(*shared.value).__getitem__
         for batch in batches:
-            flat: list[int] = []
-            ends = [0]
-            for text in texts_of(batch, at):
-                for word in cut(text):
-                    ids = known.get(word) or rare.get(word)
-                    if ids is None:
-                        if len(rare) > _KEPT:
-                            rare.clear()
-                        ids = rare[word] = merge_word(word.encode("utf-8", "surrogatepass"), ranks)
-                    flat += ids
-                ends.append(len(flat))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(flat, dtype=np.int32)))
+            found = [
+                np.fromiter(chain.from_iterable(map(ids_of, cut(text))), dtype=np.int32) for text in texts_of(batch, at)
+            ]
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            flat = np.concatenate(found) if found else np.empty(0, dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "ids"])
 
     schema = docs.withColumn("ids", F.lit(None).cast("array<int>")).schema
@@ -210,8 +219,10 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     at = encoded.columns.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece_of = {rank: piece for piece, rank in shared.value.items()}
-        decimal = {rank: str(rank) for rank in piece_of}
+        decimal = [str(rank) for rank in range(max(shared.value.values()) + 1)]
+        piece_of = [b""] * len(decimal)
+        for piece, rank in shared.value.items():
+            piece_of[rank] = piece
         for batch in batches:
             counts, ids_digests, digests = [], [], []
             for value in batch.column(at):
