@@ -1,7 +1,8 @@
 """Fit small models by parameter mixing: shards learn side by side from one state, and their states are averaged.
 
-A round is one Spark job. Every shard starts from the broadcast state, passes over its own samples and returns its
-state; the driver averages ``shards`` states, whose size is that of the model, whatever the number of samples. A lost
+A round is one Spark job. Every shard starts from the broadcast state, passes over its own samples and leaves its
+state in the shared folder; the driver adds the states up, one at a time, so it holds the model and one state, whatever
+the number of samples. A lost
 task repeats its shard from the same state with the same result.
 """
 
@@ -43,28 +44,29 @@ def mixed(
     samples: DataFrame, learn: Callable[[pd.DataFrame, State, int], State], start: State, rounds: int
 ) -> State:
     """The state after ``rounds`` of ``learn(samples of a shard, state, round)`` on each shard and averaging."""
+
     def one_shard(shared, turn: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         def run(rows: pd.DataFrame) -> pd.DataFrame:
-            learned = learn(rows, [part.copy() for part in shared.value], turn)
-            blob = b"".join(np.ascontiguousarray(part, dtype="<f8").tobytes() for part in learned)
+            learned = learn(rows, [part.astype(float) for part in shared.value], turn)
+            blob = b"".join(np.ascontiguousarray(part, dtype="<f4").tobytes() for part in learned)
             return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "n": [len(rows)], "state": [blob]})
 
         return run
 
-    state = start
-    shapes = [part.shape for part in start]
+    state = [part.astype("<f4") for part in start]
+    ends = np.cumsum([part.size for part in start])
     for turn in range(rounds):
         shared = samples.sparkSession.sparkContext.broadcast(state)
         learned = samples.groupBy("shard").applyInPandas(one_shard(shared, turn), "shard int, n long, state binary")
-        found = learned.orderBy("shard").collect()
-        if not found:
-            return state
-        total = sum(row["n"] for row in found)
-        flat = sum(np.frombuffer(row["state"], dtype="<f8") * (row["n"] / total) for row in found)
-        ends = np.cumsum([int(np.prod(shape)) for shape in shapes])
-        state = [part.reshape(shape) for part, shape in zip(np.split(flat, ends[:-1]), shapes, strict=True)]
+        total, flat = 0, np.zeros(ends[-1])
+        for row in settled(learned, "fit-round").orderBy("shard").toLocalIterator():  # one shard's state at a time
+            total += row["n"]
+            flat += np.frombuffer(row["state"], dtype="<f4") * row["n"]
+        if total:
+            parts = np.split((flat / total).astype("<f4"), ends[:-1])
+            state = [part.reshape(old.shape) for part, old in zip(parts, start, strict=True)]
         shared.unpersist()
-    return state
+    return [part.astype(float) for part in state]
 
 
 def sigmoid(x):

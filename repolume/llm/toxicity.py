@@ -5,7 +5,7 @@ coordinates. Every coordinate has its own learning rate; the L1 term keeps coord
 for them exceeds it, so the learned weights are few and travel to every task as two short arrays.
 
 Defined results: a NULL or empty text has no features, its score is that of the intercept; repeated rows are scored
-alike; without labels every score is 0.5; no documents give no rows. Other columns are ignored.
+alike; without labels every score is close to 0; no documents give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,8 +25,10 @@ from repolume.llm.fitting import State, labelled_sample, mixed, sigmoid
 BITS = 20
 DIMS = 1 << BITS
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.0
-ROUNDS, PASSES = 3, 2
+ROUNDS, PASSES = 2, 3
+SAMPLE = 12_000  # labelled documents that are learned from at most, smallest hash of the id first
 THRESHOLD = 0.3
+UNSURE = 20.0  # without labels nothing is called toxic
 MODULUS, HELD_OUT = 4, 2
 
 # lower case for A-Z; punctuation separates words
@@ -96,8 +98,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             columns = [batch.column("shard"), batch.column("label"), pa.array(found, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, names=["shard", "label", "at"])
 
-    sample = labelled_sample(docs, labels, "toxic", MODULUS, HELD_OUT)
+    sample = labelled_sample(docs, labels, "toxic", MODULUS, HELD_OUT, SAMPLE)
     sample = settled(sample.mapInArrow(hashed, "shard int, label int, at array<int>"), "toxicity-sample")
+    if sample.isEmpty():
+        return np.array([DIMS]), np.array([-UNSURE])
     z, n = mixed(sample, learn, [np.zeros(DIMS + 1), np.zeros(DIMS + 1)], ROUNDS)
     weight = weights_at(z, n)
     at = np.flatnonzero(weight)
