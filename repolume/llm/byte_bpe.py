@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from repolume.llm.common import settled, texts_of
 
-HEAD = 1 << 17
+HEAD = 1 << 16
 BUCKETS = 1 << 15
 LONG = 64
 _KEPT = 1 << 19  # words a task remembers or counts before it starts anew
@@ -190,14 +190,16 @@ def encoded_head(docs: DataFrame, ranks: dict[bytes, int], pattern: str, head: i
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, head: int = HEAD) -> DataFrame:
     """``docs`` with ``ids`` (array<int>) in place of any column of that name; every other column stays."""
-    known = {row["word"]: row["ids"] for row in settled(encoded_head(docs, ranks, pattern, head), "bpe-head").collect()}
+    # at most ``head`` words, kept in columns: the driver needs them only to pass them on
+    known = settled(encoded_head(docs, ranks, pattern, head), "bpe-head").toArrow()
     shared = docs.sparkSession.sparkContext.broadcast((known, ranks))
     docs = docs.drop("ids")
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = regex.compile(pattern).findall
-        ids_of = _Words(*shared.value).__getitem__
+        table, ranks = shared.value
+        ids_of = _Words(dict(zip(*(column.to_pylist() for column in table.columns), strict=True)), ranks).__getitem__
         for batch in batches:
             found = [
                 np.fromiter(chain.from_iterable(map(ids_of, cut(text))), dtype=np.int32) for text in texts_of(batch, at)
