@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from repolume.fixed_values import REACTION_PARENTS
 from repolume.functions.people import People
+from repolume.functions.ranking import first_per_key
 from repolume.operators import projections
 from repolume.operators.aggregates import repository_summary
 from repolume.operators.enrich import branch_names
@@ -148,8 +149,7 @@ def build_tables(
 # Tables whose records carry an update time, so a refresh can be laid over what is stored.
 _UPDATED = {
     "issues": "updated_at", "issue_comments": "updated_at", "pull_requests": "updated_at",
-    "review_comments": "updated_at", "releases": "published_at", "workflows": "updated_at",
-    "workflow_runs": "updated_at",
+    "review_comments": "updated_at", "workflows": "updated_at", "workflow_runs": "updated_at",
 }
 
 
@@ -162,8 +162,29 @@ def save_all(tables: dict[str, DataFrame], root: str) -> None:
             save_table(df, root, name)
 
 
+# Tables whose rows are told apart by other columns than their key alone.
+_KEYS = {
+    "issue_reactions": ("parent_name", "parent_id", "id"), "pull_request_reactions": ("parent_name", "parent_id", "id"),
+}
+# Tables that a part of a landing cannot be laid over.
+_WHOLE = ("users", "commits", "edits", "branches", "repository")
+
+
 def refresh(table: str, stored: DataFrame, landed: DataFrame) -> DataFrame:
-    """Stored rows with a partial landing laid over them, newest state of each record."""
-    if table not in _UPDATED:
-        raise ValueError(f"{table} has no update time; land it whole")
-    return upsert(stored, landed, (REPO, TABLES[table].key), _UPDATED[table])
+    """Stored rows with a partial landing laid over them: the newest version of each record, or the landed one of
+    records that have no update time."""
+    if table in _WHOLE:
+        raise ValueError(f"{table} is built from whole landings")
+    key = (REPO, *_KEYS.get(table, (TABLES[table].key,)))
+    if table in _UPDATED:
+        return upsert(stored, landed, key, _UPDATED[table])
+    both = stored.withColumn("_is_new", F.lit(0)).unionByName(landed.withColumn("_is_new", F.lit(1)), True)
+    order = [F.col("_is_new").desc(), F.xxhash64(*landed.columns)]
+    return first_per_key(both, key, order).drop("_is_new")
+
+
+def cursors(table: str, stored: DataFrame) -> DataFrame:
+    """Per repository the last update time and id of a stored table: where paging by cursor goes on."""
+    time, key = _UPDATED[table], TABLES[table].key
+    last = stored.groupBy(REPO).agg(F.max(F.struct(time, key)).alias("_last"))
+    return last.select(REPO, F.col(f"_last.{time}").alias("updated_at"), F.col(f"_last.{key}").alias("id"))

@@ -11,11 +11,11 @@ from repolume.operators.identity import unknown_users
 from repolume.operators.incremental import content_per_repository, updates_per_repository
 from repolume.operators.lookups import known_only
 from repolume.operators.setops import concat
-from repolume.plans.activity import build_tables, summary_sources
+from repolume.plans.activity import build_tables, cursors, refresh, summary_sources
 from repolume.plans.selection import TableSelection
 from repolume.plans.versions import repair_identities
 from repolume.schemas import RAW, REPO, TABLES
-from repolume.session import scratch_dir
+from repolume.session import remove, scratch_dir
 from repolume.sinks.tables import add_repositories, append_users, catalog, export_tables, save_table
 from repolume.sources.mined import read_mined_commits, read_mined_edits
 from repolume.sources.pages import read_pages
@@ -71,7 +71,7 @@ class Workspace:
         """Raw records by entity; an entity that was not landed has no rows."""
         return {entity: read_pages(self.spark, f"{landing}/{entity}", entity) for entity in RAW if entity != "user"}
 
-    def _columnar(self, raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    def _columnar(self, raw: dict[str, DataFrame], folders: list[str]) -> dict[str, DataFrame]:
         """Raw records as Parquet in the shared scratch folder.
 
         Users, tables and the lists of repositories all read them; this way the JSON is parsed once, and each
@@ -80,11 +80,14 @@ class Workspace:
         copies = {}
         for entity, df in raw.items():
             path = scratch_dir(self.spark, f"landed-{entity}")
+            folders.append(path)
             df.write.parquet(path)
             copies[entity] = self.spark.read.schema(df.schema).parquet(path)
         return copies
 
-    def _only_updated(self, raw: dict[str, DataFrame], selection: TableSelection) -> dict[str, DataFrame]:
+    def _only_updated(
+        self, raw: dict[str, DataFrame], selection: TableSelection, folders: list[str]
+    ) -> dict[str, DataFrame]:
         """Without the repositories whose listings show nothing new.
 
         The verdicts are written down: they come from the stored tables, which are about to be replaced.
@@ -106,6 +109,7 @@ class Workspace:
             else:
                 verdict = updates_per_repository(listed, stored, time)
             path = scratch_dir(self.spark, f"updated-{entity}")
+            folders.append(path)
             verdict.where("has_updates").select(REPO).write.parquet(path)
             updated = self.spark.read.schema(f"{REPO} string").parquet(path)
             kept.update({member: known_only(raw[member], updated, [REPO]) for member in members})
@@ -118,12 +122,13 @@ class Workspace:
         repositories whose listings show nothing new are left as they are.
         """
         selection = selection or TableSelection()
-        raw = self._columnar(self.landed(landing))
+        folders: list[str] = []
+        raw = self._columnar(self.landed(landing), folders)
         commits = read_mined_commits(self.spark, f"{landing}/mined_commits")
         edits = read_mined_edits(self.spark, f"{landing}/mined_edits")
         counted = summary_sources(raw, commits)
         if check_for_updates:
-            raw = self._only_updated(raw, selection)
+            raw = self._only_updated(raw, selection, folders)
         # users first: those stored keep their pseudonym and their aliases, which resolve the commits
         everyone = build_tables(raw, TableSelection().all_false(), self.people)["users"]
         append_users(everyone, self.root)
@@ -135,6 +140,29 @@ class Workspace:
                 save_table(df, self.root, name)
             elif name != "users":
                 save_table(df, self.root, name, concat(*[landed[origin].select(REPO) for origin in _ORIGINS[name]]))
+        for folder in folders:
+            remove(self.spark, folder)
+
+    def refresh(self, landing: str, selection: TableSelection | None = None) -> None:
+        """Lay a partial landing (pages since a cursor) over what is stored.
+
+        Of a record with an update time the newest version stays; of other records the landed one. Records that
+        were not landed stay as they are, as do tables that can only be built from whole landings (the mined
+        tables and the repository summary).
+        """
+        folders: list[str] = []
+        raw = self._columnar(self.landed(landing), folders)
+        tables = build_tables(raw, selection or TableSelection(), self.people)
+        append_users(tables.pop("users"), self.root)
+        for name, df in tables.items():
+            if name != "repository":
+                save_table(refresh(name, self.table(name), df), self.root, name)
+        for folder in folders:
+            remove(self.spark, folder)
+
+    def cursors(self, name: str) -> DataFrame:
+        """Per repository the time and id after which a listing of the table goes on."""
+        return cursors(name, self.table(name))
 
     # ------------------------------------------------------------------------------------------------- reading
 

@@ -48,6 +48,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/repolume/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder whose readers are done, in whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def settled(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back, so that later steps do not compute it again."""
     path = scratch_dir(df.sparkSession, label)

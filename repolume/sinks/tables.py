@@ -4,27 +4,31 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from repolume.functions.ranking import first_per_key
-from repolume.operators.lookups import unknown_only
+from repolume.operators.lookups import lookup, unknown_only
 from repolume.schemas import REPO, TABLES
-from repolume.session import scratch_dir
+from repolume.session import remove, scratch_dir
 from repolume.sources.tables import BUCKET, bucket_of, read_or_empty, read_registry, read_table, table_path
 
 
-def _write(df: DataFrame, path: str, mode: str) -> None:
+def _write(df: DataFrame, path: str, mode: str) -> set[int]:
+    """Write by bucket; returns the buckets that got rows, observed by the job that writes them."""
+    seen = Observation()
     # rebalance sizes the output files and splits the bucket of a repository that dominates the table
     (
         df.withColumn(BUCKET, bucket_of(F.col(REPO)))
         .hint("rebalance", BUCKET)
+        .observe(seen, F.collect_set(BUCKET).alias("buckets"))
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
         .parquet(path)
     )
+    return set(seen.get["buckets"] or ())
 
 
 def _buckets(df: DataFrame) -> set[int]:
@@ -37,37 +41,46 @@ def save_table(df: DataFrame, root: str, table: str, repositories: DataFrame | N
 
     ``repositories`` names the repositories to replace when some of them may have no row left. Only their
     buckets are read and rewritten. The overwrite is per partition and takes place at commit, so ``df`` may be
-    derived from the stored table itself.
+    derived from the stored table itself. ``df`` is computed once.
     """
     spark, spec, path = df.sparkSession, TABLES[table], table_path(root, table)
-    df = df.select(*spec.columns)
+    df, staged = df.select(*spec.columns), None
+    if repositories is None:
+        # the rows name the repositories, so they are needed twice
+        staged = scratch_dir(spark, f"save-{table}")
+        df.write.parquet(staged)
+        df = spark.read.schema(spec.schema).parquet(staged)
     replaced = (df if repositories is None else repositories).select(REPO).distinct()
     buckets = _buckets(replaced)
-    if not buckets:
-        return
     stored = read_table(spark, root, table).where(bucket_of(F.col(REPO)).isin(list(buckets)))
     kept = unknown_only(stored, replaced, [REPO])
-    # a bucket that loses its last row is in no partition that is written, so it is emptied on its own
-    emptied = set() if repositories is None else (_buckets(stored) - _buckets(df) - _buckets(kept))
-    _write(df.unionByName(kept), path, "overwrite")
-    for bucket in sorted(emptied):
-        nothing = spark.createDataFrame([], spec.schema)
-        nothing.write.mode("overwrite").parquet(f"{path}/{BUCKET}={bucket}")
+    if buckets:
+        # a bucket that loses its last row is in no partition that is written, so it is emptied on its own
+        emptied = buckets - _write(df.unionByName(kept), path, "overwrite")
+        for bucket in sorted(emptied):
+            nothing = spark.createDataFrame([], spec.schema)
+            nothing.write.mode("overwrite").parquet(f"{path}/{BUCKET}={bucket}")
+    if staged:
+        remove(spark, staged)
 
 
 def save_together(tables: dict[str, DataFrame], root: str) -> None:
     """Save tables that were derived from each other's stored rows.
 
     Saving the first one would pull the files from under the second, so all of them are written to the shared
-    scratch folder before the first stored table changes.
+    scratch folder before the first stored table changes. Users are saved first: if the saving stops half-way, no
+    stored row refers to a user that is not stored. The scratch folders go when all is saved.
     """
-    staged = {}
+    staged, paths = {}, {}
     for name, df in tables.items():
-        path = scratch_dir(df.sparkSession, f"staged-{name}")
-        df.select(*TABLES[name].columns).write.parquet(path)
-        staged[name] = df.sparkSession.read.schema(TABLES[name].schema).parquet(path)
-    for name, df in staged.items():
-        save_table(df, root, name)
+        paths[name] = scratch_dir(df.sparkSession, f"staged-{name}")
+        df.select(*TABLES[name].columns).write.parquet(paths[name])
+        staged[name] = df.sparkSession.read.schema(TABLES[name].schema).parquet(paths[name])
+    for name in sorted(staged, key=lambda name: name != "users"):
+        # the staged rows are at hand, so their repositories cost no second computation
+        save_table(staged[name], root, name, staged[name])
+    for name, path in paths.items():
+        remove(staged[name].sparkSession, path)
 
 
 def save_if_any(df: DataFrame, root: str, table: str) -> bool:
@@ -79,9 +92,13 @@ def save_if_any(df: DataFrame, root: str, table: str) -> bool:
 
 
 def append_users(users: DataFrame, root: str) -> None:
-    """Add users that are not stored yet; stored users stay as they are."""
+    """Add users that are not stored yet, after the stored ones; stored users stay as they are."""
     once = first_per_key(users.select(*TABLES["users"].columns), [REPO, "id"], [F.col("seq"), F.col("anonym_uuid")])
-    fresh = unknown_only(once, read_table(users.sparkSession, root, "users"), [REPO, "id"])
+    stored = read_table(users.sparkSession, root, "users")
+    fresh = unknown_only(once, stored, [REPO, "id"])
+    last = stored.groupBy(REPO).agg(F.max("seq").alias("_last"))
+    fresh = lookup(fresh, last, {REPO: REPO}, {"_last": "_last"})
+    fresh = fresh.withColumn("seq", F.coalesce("_last", F.lit(-1)) + 1 + F.col("seq")).select(*once.columns)
     _write(fresh, table_path(root, "users"), "append")
 
 

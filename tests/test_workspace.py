@@ -84,3 +84,49 @@ def test_registry_and_patterns(frame, workspace):
     assert rows(workspace.repositories(["b"], ["c"])) == [("o/ab",)]
     assert len(rows(workspace.repositories())) == 2
     assert workspace.table("issues").columns == TABLES["issues"].columns
+
+
+def test_partial_landings_add_up_to_a_whole_one(spark, workspace, land, tmp_path):
+    def put(folder, day_of_1, *more):
+        (tmp_path / folder).mkdir()
+        land("issue", "o/a", issue(1, day_of_1, user=U1, title=f"day {day_of_1}"), *more)
+        land("issue_comment", "o/a", {"id": 9, "user": {"node_id": f"n{day_of_1}"}, "body": folder})
+        land("release", "o/a", {"id": 5, "title": folder}, {"id": 6, "title": "r", "published_at": "2024-01-01T00:00:00Z", "body": folder})
+
+    put("first", 1, issue(2, 2))
+    workspace.generate(land.folder)
+    put("second", 3, issue(3, 4))
+    land("issue_event", "o/a", {"id": 70, "event": "closed", "issue": {"id": 1}})
+    workspace.refresh(land.folder)
+    assert rows(workspace.table("issues"), "id", "title") == [(1, "day 3"), (2, None), (3, None)]
+    assert rows(workspace.table("issue_comments"), "id", "body") == [(9, "second")]
+    assert rows(workspace.table("releases"), "id", "title", "body") == [(5, "second", None), (6, "r", "second")]
+    assert rows(workspace.table("issue_events"), "id") == [(70,)]
+    assert [r["id"] for r in workspace.table("users").orderBy("seq").collect()] == ["n1", "n3"]
+    assert [r["id"] for r in workspace.cursors("issues").collect()] == [3]
+    again = {name: rows(workspace.table(name)) for name in ("issues", "issue_comments", "releases", "users")}
+    workspace.refresh(land.folder)
+    assert again == {name: rows(workspace.table(name)) for name in again}
+
+
+def test_edited_releases_and_drafts_are_updates(workspace, land):
+    release = lambda i, body, **more: {"id": i, "tag_name": f"v{i}", "body": body, **more}
+    published = {"published_at": "2024-01-01T00:00:00Z"}
+    land("release", "o/a", release(1, "a", **published))
+    land("release", "o/b", release(2, "b", **published))
+    workspace.generate(land.folder)
+    land("release", "o/a", release(1, "edited", **published), release(3, "draft"))
+    workspace.generate(land.folder, check_for_updates=True)
+    assert rows(workspace.table("releases"), "id", "body") == [(1, "edited"), (2, "b"), (3, "draft")]
+
+
+def test_scratch_folders_go_with_the_saves(spark, workspace, land, tmp_path, monkeypatch):
+    from repolume.plans import workspace as module
+    from repolume.sinks import tables
+
+    for place in (module, tables):
+        monkeypatch.setattr(place, "scratch_dir", lambda spark, label: f"{tmp_path}/scratch/{label}")
+    land("issue", "o/a", issue(1, 1, user=U1))
+    workspace.generate(land.folder, check_for_updates=True)
+    assert workspace.table("issues").count() == 1
+    assert [p for p in (tmp_path / "scratch").rglob("*.parquet")] == []
