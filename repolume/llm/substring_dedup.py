@@ -154,12 +154,13 @@ def remove_duplicate_passages(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     key = ["doc_id", "row_key"]
     cut = parsed.where("doc_id IS NOT NULL").select(*key, F.inline("blocks"))
     known = cut.groupBy("anchor").agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_most"))
-    known = known.where("_least <> _most").select("anchor")
+    # settled, as are the other small sides below: a join whose side is aggregated in the same stage is not split
+    known = settled(known.where("_least <> _most").select("anchor"), "substring-known")
     shared = settled(cut.join(known, "anchor", "left_semi"), "substring-shared")
 
     variants = settled(shared.groupBy("anchor", "print").agg(F.min("doc_id").alias("_least")), "substring-variants")
     counts = variants.groupBy("anchor").agg(F.count(F.lit(1)).alias("_variants"))
-    index = variants.join(counts, "anchor")
+    index = settled(variants.join(settled(counts, "substring-counts"), "anchor"), "substring-index")
     placed = settled(
         shared.join(index, ["anchor", "print"]).select(
             *key, "at", "n", (F.col("doc_id") > F.col("_least")).alias("known"), "_variants"
@@ -174,7 +175,7 @@ def remove_duplicate_passages(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     gather = lambda rows: rows.groupBy(key).agg(F.collect_list(F.struct("at", "n")).alias("spans"))
     checked = settled(_window_rows(texts.join(gather(borders), key)), "substring-windows")
     earliest = checked.groupBy("anchor", "hash").agg(F.min("doc_id").alias("_least"))
-    found = checked.join(earliest, ["anchor", "hash"]).where("doc_id > _least")
+    found = checked.join(settled(earliest, "substring-earliest"), ["anchor", "hash"]).where("doc_id > _least")
     spans = factors.unionByName(found.select(*key, "at", F.lit(1).alias("n")))
     return parsed.select(*key, "n_words", "sha"), _without(texts.join(gather(spans), key))
 
