@@ -9,18 +9,20 @@ independent trees a link is missed less than once in 100,000, and more similar s
 
 Links come from the trees in two passes, so that a group of copies is never compared pair by pair:
 
-1. In every node of the first level each class is compared with the node's smallest one. The most similar of these per
-   class is confirmed on the full sets. Most of a large group is joined by that, at one comparison each.
-2. Nodes whose classes now lie in one component are done. The others are branched on until they are small or pure;
-   in small nodes all classes of different components are compared exhaustively. A node that is still large at
-   ``DEPTH`` holds sets that agreed in as many coordinates: there each class is compared with both ends of the node.
-
-Minwise estimates only sort out; every link is confirmed on the shingles of both texts, and components are found by
-alternating star contractions, all as joins.
-
-Defined results: a NULL, empty or blank text has an empty set and is linked with nothing; rows that share an id count
-as one document with several texts, so they share a component; repeated rows get the same result; no documents give no
-rows. Other columns are ignored.
+1. In every node of the first level each class is compared with the node's hub, the class that shares most tokens with
+   the others. The comparison whose tokens agree best is confirmed per class. Most of a large group is joined by that,
+   at one comparison each.
+2. Nodes whose classes now lie in one component are done. In nodes of little work all classes of different components
+   are compared exhaustively; the others are branched on until their work is little or they are pure. Sets that share one common shingle
+   part at once; what is large after some levels is a group of similar sets again, and is linked to its hubs.
+
+Minwise estimates only sort out; every link is confirmed on the shingles of both texts. The links to hubs form a
+forest, whose roots are found by pointer doubling; other links join its trees, by alternating star contractions. Both
+are joins.
+
+Defined results: a NULL, empty or blank text has an empty set and is linked with nothing; rows that share an id are
+grouped by their texts, and groups with the same smallest id are one; repeated rows get the same result; a row without
+an id belongs to the group of its text but names none; no documents give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,8 +42,10 @@ SIMILAR = 75  # per cent of the union
 TREES = 12
 COORDINATES = 64
 ROOT = 2 * TREES  # coordinates that the first level uses, none of them twice; deeper levels use the others
-LEAF = 48  # classes of a node that are compared exhaustively
-DEPTH = 16
+WORK = 400 * 400  # pairs up to which a node is compared exhaustively
+DEPTH = 13
+HUBS = 3  # every so many levels large nodes are linked to their hubs
+WIDE = 4  # levels that may choose two coordinates; below them only what no level could split is left
 # Estimates from 64 coordinates have a standard deviation of 0.054 at 0.75: this lies more than four of them below.
 LEAST_ESTIMATE = 33
 _BLOCK = 4096
@@ -118,10 +122,10 @@ def first_level(classes: DataFrame) -> DataFrame:
     return classes.select("id", F.explode(F.array(*children)).alias("node"))
 
 
-def next_level(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Branch ``rows`` (node, id, component): each node chooses coordinates by its own hash."""
+def next_level(rows: DataFrame, classes: DataFrame, wide: bool) -> DataFrame:
+    """Branch ``rows`` (node, id, component): each node chooses coordinates by its own hash, one or (``wide``) two."""
     pick = lambda salt: (F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(COORDINATES - ROOT)) + ROOT).cast("int")
-    second = F.pmod(F.xxhash64("node", F.lit("branches")), F.lit(3)) == 0
+    second = F.lit(wide) & (F.pmod(F.xxhash64("node", F.lit("branches")), F.lit(3)) == 0)
     children = F.array(
         _child(F.col("node"), pick("first")), F.when(second, _child(F.col("node"), pick("second")))
     )
@@ -129,16 +133,25 @@ def next_level(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return branched.select("id", "component", F.explode(F.array_compact(children)).alias("node"))
 
 
+def _alike(a: str, b: str) -> Column:
+    """Whether two classes (columns n and tokens with these suffixes) can be similar, by size and estimate."""
+    n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
+    sized = 100 * F.least(n_a, n_b) >= SIMILAR * F.greatest(n_a, n_b)
+    return sized & (_agreeing(a, b) >= LEAST_ESTIMATE)
+
+
+def _agreeing(a: str, b: str) -> Column:
+    """Number of coordinates in which two classes agree."""
+    return F.size(F.filter(F.zip_with(f"tokens_{a}", f"tokens_{b}", lambda x, y: x == y), lambda same: same))
+
+
 def estimate(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, and others) with ``agreeing`` coordinates, those that cannot be similar left out."""
-    left = classes.select(F.col("id").alias("a"), F.col("n").alias("_na"), F.col("tokens").alias("_ta"))
-    right = classes.select(F.col("id").alias("b"), F.col("n").alias("_nb"), F.col("tokens").alias("_tb"))
-    both = pairs.join(left, "a").join(right, "b")
-    agreeing = F.size(F.filter(F.zip_with("_ta", "_tb", lambda x, y: x == y), lambda same: same))
-    sized = 100 * F.least("_na", "_nb") >= SIMILAR * F.greatest("_na", "_nb")
-    return both.where(sized).withColumn("agreeing", agreeing).where(F.col("agreeing") >= LEAST_ESTIMATE).drop(
-        "_na", "_nb", "_ta", "_tb"
+    """``pairs`` (a, b) with their ``agreeing`` coordinates, those that cannot be similar left out."""
+    side = lambda name: classes.select(
+        F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("tokens").alias(f"tokens_{name}")
     )
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(_alike("a", "b"))
+    return both.select("a", "b", _agreeing("a", "b").alias("agreeing"))
 
 
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -164,17 +177,38 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
+def roots(parents: DataFrame) -> DataFrame:
+    """id and component of every row of ``parents`` (id, component < id; one row per id): where the chain of parents
+    ends, found by pointer doubling."""
+    parents = settled(parents, "minhash-parents")
+    while True:
+        above = parents.select(F.col("id").alias("component"), F.col("component").alias("_above"))
+        jumped = parents.select("id", "component").join(above, "component", "left")
+        parents = settled(
+            jumped.select("id", F.coalesce("_above", "component").alias("component"), F.col("_above").isNotNull().alias("_moved")),
+            "minhash-roots",
+        )
+        if parents.where("_moved").isEmpty():
+            return parents.select("id", "component")
+
+
 def components(links: DataFrame) -> DataFrame:
-    """id and component (smallest id) of every id that ``links`` (a, b) connect, by alternating star contractions."""
+    """id and component (smallest id) of every id that ``links`` (a, b) connect, by alternating star contractions.
+
+    Each round points the larger neighbours of an id at its smallest neighbour, then its smaller ones; links are done
+    when every id has one link, to an id that is no id's larger end.
+    """
     links = settled(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         "minhash-links",
     )
-    seen = None
     while True:
+        centres = links.select(F.col("b").alias("a")).distinct().join(links, "a", "left_semi")
+        if centres.isEmpty() and links.groupBy("a").count().where("count > 1").isEmpty():
+            return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
         either = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = either.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        large = either.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = either.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
             large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -182,20 +216,47 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         links = settled(small, "minhash-links")
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == seen:
-            return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
-        seen = now
+
+
+def hub_links(rows: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """id and component (another id) for each id of ``rows`` (node, id, size) that one comparison could link.
+
+    The hub of a node is the id whose nodes are largest in sum, thus the one that shares most tokens with the others:
+    of copies that were each edited apart it is the original, although two copies need not be similar. Each id is
+    compared with the hub whose tokens agree best with its own. Hubs rank above the ids they are compared with, so the
+    links are a forest.
+    """
+    weight = rows.groupBy("id").agg(F.sum("size").alias("weight"))
+    ranked = rows.select("node", "id").join(weight, "id")
+    hubs = ranked.groupBy("node").agg(F.max(F.struct("weight", "id"))["id"].alias("hub"))
+    stars = rows.select("node", "id").join(hubs, "node").where("id <> hub")
+    stars = stars.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    best = estimate(stars, classes).groupBy("b").agg(F.max_by("a", F.struct("agreeing", "a")).alias("a"))
+    return confirm(best, texts).select(F.col("b").alias("id"), F.col("a").alias("component"))
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """``rows`` (node, id, component) of the nodes that hold several components, with the node's size and pivot."""
-    nodes = rows.groupBy("node").agg(
-        F.min("component").alias("_least"), F.max("component").alias("_most"), F.count(F.lit(1)).alias("size"),
-        F.min("id").alias("pivot"),
+    """``rows`` (node, id, component) of the nodes that hold several components, with the node's size, its main
+    component and the pairs that comparing all its other rows with every row would take."""
+    parts = rows.groupBy("node", "component").agg(F.count(F.lit(1)).alias("_n"))
+    nodes = parts.groupBy("node").agg(
+        F.sum("_n").alias("size"), F.max(F.struct("_n", "component")).alias("_main")
+    ).where("size > _main._n")
+    work = (F.col("size") - F.col("_main._n")) * F.col("size")
+    nodes = nodes.select("node", "size", F.col("_main.component").alias("main"), work.alias("work"))
+    return rows.select("node", "id", "component").join(settled(nodes, "minhash-nodes"), "node")
+
+
+def _merged(joined: DataFrame, links: DataFrame) -> DataFrame:
+    """``joined`` (id, component) after ``links`` (a, b), of which most connect no new components."""
+    of = lambda end: joined.select(F.col("id").alias(end), F.col("component").alias(f"_{end}"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")
     )
-    several = nodes.where("_least <> _most").select("node", "size", "pivot")
-    return rows.select("node", "id", "component").join(several, "node")
+    moved = components(between)
+    onward = moved.select(F.col("id").alias("component"), F.col("component").alias("_onward"))
+    kept = joined.join(onward, "component", "left").select("id", F.coalesce("_onward", "component").alias("component"))
+    return kept.unionByName(moved.join(joined, "id", "left_anti"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -208,60 +269,61 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "minhash-classes",
     )
     placed = first_level(classes)
-    shared = placed.groupBy("node").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    nodes = settled(placed.join(shared.select("node", "pivot"), "node"), "minhash-nodes")
+    shared = placed.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # settled, so that the join's sides are plain shuffles and a large node can be split
+    rows = settled(placed.join(settled(shared, "minhash-shared"), "node"), "minhash-nodes")
 
     # one text per id; ids that several rows share bring several
-    members = nodes.select(F.col("id").alias("doc_id")).distinct()
+    members = rows.select(F.col("id").alias("doc_id")).distinct()
     texts = settled(
         docs.select("doc_id", "text").join(members, "doc_id", "left_semi").withColumnRenamed("doc_id", "id"),
         "minhash-texts",
     )
-    stars = nodes.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    best = estimate(stars, classes).groupBy("b").agg(F.max_by("a", F.struct("agreeing", "a")).alias("a"))
-    links = settled(confirm(best, texts), "minhash-first-links")
-    joined = components(links)
-
+    joined = roots(hub_links(rows, classes, texts))
     component = F.coalesce("component", "id").alias("component")
-    rows = _mixed(nodes.join(joined, "id", "left").select("node", "id", component))
-    rows = settled(rows, "minhash-mixed")
-    pairs = None
-    for depth in range(DEPTH):
-        compared = _exhaustive(rows.where(F.col("size") <= LEAF))
-        pairs = compared if pairs is None else pairs.unionByName(compared)
-        rows = rows.where(F.col("size") > LEAF)
+    now = lambda nodes: nodes.select("node", "id").join(joined, "id", "left").select("node", "id", component)
+    rows = settled(_mixed(now(rows)), "minhash-mixed")
+    pairs = _exhaustive(rows, classes)
+    for depth in range(1, DEPTH):
+        rows = rows.where(F.col("work") > WORK)
         if rows.isEmpty():
             break
-        if depth == DEPTH - 1:
-            pairs = pairs.unionByName(_along(rows))
-            break
-        rows = settled(_mixed(next_level(rows, classes)), "minhash-mixed")
-    found = settled(confirm(estimate(pairs.distinct(), classes), texts), "minhash-second-links")
-    final = components(links.unionByName(found.select(links.columns)))
-
-    of_class = classes.select("set_key", "id").join(final, "id", "left").select("set_key", component)
-    least = F.coalesce("component", "doc_id")
+        rows = settled(_mixed(next_level(rows, classes, depth < WIDE)), "minhash-mixed")
+        if depth % HUBS == 0:  # what is large still is a group of similar sets
+            large = hub_links(rows.where(F.col("work") > WORK), classes, texts)
+            large = settled(large.select(F.col("component").alias("a"), F.col("id").alias("b")), "minhash-large")
+            joined = settled(_merged(joined, large), "minhash-joined")
+            rows = settled(_mixed(now(rows)), "minhash-mixed")
+        pairs = pairs.unionByName(_exhaustive(rows, classes))
+    joined = _merged(joined, confirm(pairs.distinct(), texts))
+
+    final = classes.select("set_key", "id").join(joined, "id", "left").select("set_key", "id", component)
+    smallest = final.groupBy("component").agg(F.min("id").alias("component_id"))
+    of_class = final.join(smallest, "component").select("set_key", "component_id")
+    least = F.coalesce("component_id", "doc_id")
     return sketched.join(of_class, "set_key", "left").select(
         "doc_id", "n_shingles", least.alias("component_id"), F.col("doc_id").eqNullSafe(least).alias("kept")
     )
 
 
-def _exhaustive(rows: DataFrame) -> DataFrame:
-    """All pairs of different components in each (small) node."""
-    left = rows.select("node", F.col("id").alias("a"), F.col("component").alias("_ca"))
-    right = rows.select("node", F.col("id").alias("b"), F.col("component").alias("_cb"))
-    return left.join(right, "node").where("a < b AND _ca <> _cb").select("a", "b")
-
-
-def _along(rows: DataFrame) -> DataFrame:
-    """Pairs of a node that stays large: each id with the node's smallest id, and with the smallest id of the node's
-    last component."""
-    last = rows.groupBy("node").agg(F.max(F.struct("component", "id"))["id"].alias("last"))
-    ends = rows.join(last, "node").select("id", F.explode(F.array("pivot", "last")).alias("end")).where("id <> end")
-    return ends.select(F.least("id", "end").alias("a"), F.greatest("id", "end").alias("b"))
+def _exhaustive(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """All pairs of different components in each node of little work whose tokens agree often enough, compared where
+    the node lies. The rows of a node's main component meet the others only, so a large pure group is passed once."""
+    near = rows.where(F.col("work") <= WORK)
+    full = near.select("node", "id", "component", "main").join(classes.select("id", "n", "tokens"), "id")
+    columns = ("id", "component", "n", "tokens")
+    side = lambda name: full.select("node", "main", *(F.col(c).alias(f"{c}_{name}") for c in columns))
+    others = side("a").where("component_a <> main").drop("main")
+    once = F.col("component_b").eqNullSafe(F.col("main")) | (F.col("id_a") < F.col("id_b"))
+    both = others.join(side("b"), "node").where((F.col("component_a") != F.col("component_b")) & once)
+    return both.where(_alike("a", "b")).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each group, with all its columns: the one with the smallest id."""
-    dropped = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    """One document of each group, with all its columns: the one with the smallest id.
+
+    Of rows that share an id, and of rows without an id, those stay that no group drops.
+    """
+    found = near_duplicates(docs).groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))
+    dropped = found.where("NOT kept").select("doc_id")
     return docs.join(dropped, "doc_id", "left_anti")
