@@ -4,8 +4,8 @@ Every text becomes its set of distinct five-word shingles (fewer words: one shin
 minwise hashes of it. Texts with equal sets form one class, which takes part once. ``TREES`` independent trees then
 branch the classes: a node chooses one coordinate, with chance 1/3 a second one (1 / 0.75 branches in expectation), and
 sends each class to the child of its minwise token there. Two sets whose similarity is 0.75 stay together with chance
-0.75 per branch, so they survive some path of a tree with chance 0.81, 0.69, 0.60 at depth one, two, three; over twelve
-independent trees a link is missed less than once in 100,000, and more similar sets far more rarely.
+0.75 per branch, so they survive some path of a tree with chance 0.81, 0.69, 0.60 at depth one, two, three; over the
+twelve trees about one link in 10,000 is missed at the last of the ``LEVELS``, and more similar sets far more rarely.
 
 Links come from the trees in two passes, so that a group of copies is never compared pair by pair:
 
@@ -13,8 +13,11 @@ Links come from the trees in two passes, so that a group of copies is never comp
    the others. The comparison whose tokens agree best is confirmed per class. Most of a large group is joined by that,
    at one comparison each.
 2. Nodes whose classes now lie in one component are done. In nodes of little work all classes of different components
-   are compared exhaustively; the others are branched on until their work is little or they are pure. Sets that share one common shingle
-   part at once; what is large after some levels is a group of similar sets again, and is linked to its hubs.
+   are compared exhaustively; the others are branched on. Sets that share one common shingle part at once; what is large
+   after ``LEVELS`` is a group of similar sets again, and is linked to its hubs.
+3. The classes of nodes that are large even then (texts that share much, but are not similar enough) are joined exactly,
+   by the rarest shingles of each: two similar sets share one of them, so no pair of theirs is missed. Blocks of a shingle
+   are cut into cells, so that no task compares a whole one.
 
 Minwise estimates only sort out; every link is confirmed on the shingles of both texts. The links to hubs form a
 forest, whose roots are found by pointer doubling; other links join its trees, by alternating star contractions. Both
@@ -27,6 +30,7 @@ an id belongs to the group of its text but names none; no documents give no rows
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repolume.llm.common import hash_windows, hash_words, settled, texts_of
+from repolume.llm.common import hash_windows, hash_words, mix, settled, texts_of
 
 SHINGLE = 5
 SIMILAR = 75  # per cent of the union
@@ -43,9 +47,8 @@ TREES = 12
 COORDINATES = 64
 ROOT = 2 * TREES  # coordinates that the first level uses, none of them twice; deeper levels use the others
 WORK = 400 * 400  # pairs up to which a node is compared exhaustively
-DEPTH = 13
-HUBS = 3  # every so many levels large nodes are linked to their hubs
-WIDE = 4  # levels that may choose two coordinates; below them only what no level could split is left
+LEVELS = 4
+BUCKETS = 1 << 17  # of hashes, by whose counts shingles are ordered, rare ones first
 # Estimates from 64 coordinates have a standard deviation of 0.054 at 0.75: this lies more than four of them below.
 LEAST_ESTIMATE = 33
 _BLOCK = 4096
@@ -122,10 +125,10 @@ def first_level(classes: DataFrame) -> DataFrame:
     return classes.select("id", F.explode(F.array(*children)).alias("node"))
 
 
-def next_level(rows: DataFrame, classes: DataFrame, wide: bool) -> DataFrame:
-    """Branch ``rows`` (node, id, component): each node chooses coordinates by its own hash, one or (``wide``) two."""
+def next_level(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Branch ``rows`` (node, id, component): each node chooses coordinates by its own hash, one or two."""
     pick = lambda salt: (F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(COORDINATES - ROOT)) + ROOT).cast("int")
-    second = F.lit(wide) & (F.pmod(F.xxhash64("node", F.lit("branches")), F.lit(3)) == 0)
+    second = F.pmod(F.xxhash64("node", F.lit("branches")), F.lit(3)) == 0
     children = F.array(
         _child(F.col("node"), pick("first")), F.when(second, _child(F.col("node"), pick("second")))
     )
@@ -284,17 +287,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     now = lambda nodes: nodes.select("node", "id").join(joined, "id", "left").select("node", "id", component)
     rows = settled(_mixed(now(rows)), "minhash-mixed")
     pairs = _exhaustive(rows, classes)
-    for depth in range(1, DEPTH):
+    for _ in range(1, LEVELS):
         rows = rows.where(F.col("work") > WORK)
         if rows.isEmpty():
             break
-        rows = settled(_mixed(next_level(rows, classes, depth < WIDE)), "minhash-mixed")
-        if depth % HUBS == 0:  # what is large still is a group of similar sets
-            large = hub_links(rows.where(F.col("work") > WORK), classes, texts)
-            large = settled(large.select(F.col("component").alias("a"), F.col("id").alias("b")), "minhash-large")
-            joined = settled(_merged(joined, large), "minhash-joined")
-            rows = settled(_mixed(now(rows)), "minhash-mixed")
+        rows = settled(_mixed(next_level(rows, classes)), "minhash-mixed")
         pairs = pairs.unionByName(_exhaustive(rows, classes))
+    large = rows.where(F.col("work") > WORK)
+    if not large.isEmpty():  # groups of similar sets, or of texts that share much
+        links = hub_links(large, classes, texts).select(F.col("component").alias("a"), F.col("id").alias("b"))
+        joined = settled(_merged(joined, settled(links, "minhash-large")), "minhash-joined")
+        rows = settled(_mixed(now(large)), "minhash-mixed")
+        pairs = pairs.unionByName(_exhaustive(rows, classes))
+        rest = settled(rows.where(F.col("work") > WORK).select("id", "component").distinct(), "minhash-rest")
+        if not rest.isEmpty():
+            pairs = pairs.unionByName(rare_pairs(rest, texts))
     joined = _merged(joined, confirm(pairs.distinct(), texts))
 
     final = classes.select("set_key", "id").join(joined, "id", "left").select("set_key", "id", component)
@@ -319,6 +326,87 @@ def _exhaustive(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where(_alike("a", "b")).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
 
+# Sizes at which a band of sets begins whose sizes differ by a tenth at most.
+_BANDS = [1]
+while _BANDS[-1] < 1 << 40:
+    _BANDS.append(max(_BANDS[-1] + 1, _BANDS[-1] * 11 // 10))
+
+
+def prefixes(n: int) -> list[tuple[int, int, int]]:
+    """For a set of ``n`` shingles: the smaller and the larger band of it and a similar set, and how many of its rarest
+    shingles it takes to share one with every similar set of that band.
+
+    Sets of n and m shingles are similar if they share ``SIMILAR / (100 + SIMILAR)`` of n + m; so if that is k, they
+    share one of the first n - k + 1 and m - k + 1 in any order of all shingles.
+    """
+    least, most = -(-SIMILAR * n // 100), 100 * n // SIMILAR
+    own, found = bisect_right(_BANDS, n) - 1, []
+    for other in range(bisect_right(_BANDS, least) - 1, bisect_right(_BANDS, most)):
+        shared = -(-SIMILAR * (n + max(_BANDS[other], least)) // (100 + SIMILAR))
+        found.append((min(own, other), max(own, other), n - shared + 1))
+    return found
+
+
+def _ranks(texts: DataFrame) -> np.ndarray:
+    """How frequent the shingles of each of the ``BUCKETS`` are, as a rank."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BUCKETS, dtype=np.int64)
+        for batch in batches:
+            for text in texts_of(batch):
+                np.add.at(counts, (hashed_shingles(text) % np.uint64(BUCKETS)).astype(np.int64), 1)
+        met = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(counts[met])], names=["bucket", "n"])
+
+    counts = np.zeros(BUCKETS, dtype=np.int64)
+    found = texts.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
+    return np.unique(counts, return_inverse=True)[1].astype(np.int32)
+
+
+def rare_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components of ``rest`` (id, component), among them all that are similar.
+
+    Every set meets the others in the blocks of its rarest shingles (``prefixes``); the order is by the count of a
+    shingle's bucket, so what a source repeats in every text comes last. The shingles' order decides on the size of the
+    blocks only.
+    """
+    texts = settled(texts.join(rest.select("id").distinct(), "id", "left_semi"), "minhash-rest-texts")
+    ranks = _ranks(texts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, text in enumerate(texts_of(batch)):
+                hashes = hashed_shingles(text)
+                ordered = hashes[np.lexsort((hashes, ranks[(hashes % np.uint64(BUCKETS)).astype(np.int64)]))]
+                nodes = [
+                    mix(ordered[:count] ^ mix(np.array([(low << 32) + high], dtype=np.uint64)))
+                    for low, high, count in prefixes(len(hashes))
+                ]
+                nodes = np.concatenate(nodes).view(np.int64)
+                ids = pa.repeat(batch.column("id")[at], len(nodes))
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), ids], names=["node", "id"])
+
+    kind = texts.schema["id"].dataType.simpleString()
+    blocks = texts.select("id", "text").mapInArrow(run, f"node long, id {kind}")
+    rows = settled(_mixed(settled(blocks.join(rest, "id"), "minhash-blocks")), "minhash-cells")
+    edge = max(1, int(WORK**0.5))
+    parts = lambda count: F.greatest(F.lit(1), F.ceil(count / edge)).cast("int")
+    down, across = parts(F.col("work") / F.col("size")), parts(F.col("size"))
+    each = lambda count: F.explode(F.sequence(F.lit(0), count - 1))
+    others = rows.where("component <> main").select(
+        "node", "main", F.col("id").alias("id_a"), F.col("component").alias("component_a"),
+        F.pmod(F.xxhash64("id", F.lit("down")), down).alias("down"), each(across).alias("across"),
+    )
+    whole = rows.select(
+        "node", F.col("id").alias("id_b"), F.col("component").alias("component_b"),
+        F.pmod(F.xxhash64("id", F.lit("across")), across).alias("across"), each(down).alias("down"),
+    )
+    once = F.col("component_b").eqNullSafe(F.col("main")) | (F.col("id_a") < F.col("id_b"))
+    both = others.join(whole, ["node", "down", "across"]).where((F.col("component_a") != F.col("component_b")) & once)
+    return both.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each group, with all its columns: the one with the smallest id.
 

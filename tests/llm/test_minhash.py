@@ -1,6 +1,7 @@
 import random
 
-from repolume.llm.minhash import components, drop_near_duplicates, near_duplicates, roots, shingles
+from repolume.llm import minhash
+from repolume.llm.minhash import components, drop_near_duplicates, near_duplicates, prefixes, roots, shingles
 from tests.conftest import rows
 
 
@@ -73,3 +74,31 @@ def test_long_chains_are_one_component(spark):
     assert set(found) == want
     chain = spark.createDataFrame([(i, i - 1) for i in range(1, 100)], "id long, component long")
     assert sorted(map(tuple, roots(chain).collect())) == [(i, 0) for i in range(1, 100)]
+
+
+def test_texts_that_share_much_are_joined_wholly(documents, monkeypatch):
+    """A source whose texts share most of their words, with pairs among them that no hub joins: no node is dropped."""
+    monkeypatch.setattr(minhash, "WORK", 1)
+    draw = random.Random(11)
+    words = lambda count: ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(count)]
+    frame, texts = words(140), []
+    for _ in range(60):
+        own = words(30)
+        texts += [" ".join(frame + own), " ".join(frame + own[:12] + words(18))]
+    texts += [" ".join(frame + words(30)) for _ in range(100)]
+    draw.shuffle(texts)
+    texts = list(enumerate(texts))
+    want = expected(texts)
+    assert len({component for _, component in want.values()}) == 60 + 100
+    got = {row["doc_id"]: (row["n_shingles"], row["component_id"]) for row in near_duplicates(documents(*texts)).collect()}
+    assert got == want
+
+
+def test_prefixes_share_a_shingle_with_every_similar_set():
+    for n in (*range(1, 60), 1000):
+        own = {(low, high): count for low, high, count in prefixes(n)}
+        for m in range(-(-3 * n // 4), 4 * n // 3 + 1):
+            shared = -(-3 * (n + m) // 7)
+            other = {(low, high): count for low, high, count in prefixes(m)}
+            band = [minhash.bisect_right(minhash._BANDS, size) - 1 for size in sorted((n, m))]
+            assert own[tuple(band)] > n - shared and other[tuple(band)] > m - shared
