@@ -37,7 +37,6 @@ RULES = ("symbol_share", "dup_line_share", "repeat_share", "capital_share")
 # Candidate cutoffs of a share, lenient first.
 CUTOFFS = tuple(round(0.95 - 0.025 * step, 3) for step in range(37))
 RISK, ALPHA = 0.02, 0.05
-LABELS = 400_000  # labelled good documents that are used at most, smallest hash of the id first
 
 
 def repeated_words(words: list[bytes], width: int = WINDOW) -> int:
@@ -141,11 +140,10 @@ def cutoffs(good: DataFrame, risk: float = RISK, alpha: float = ALPHA) -> dict[s
     return found
 
 
-def good_holdouts(shared: DataFrame, labels: DataFrame, limit: int = LABELS) -> DataFrame:
-    """The measured documents whose ``labels.quality`` is 1, at most ``limit`` of them."""
+def good_holdouts(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The measured documents whose ``labels.quality`` is 1, all of them."""
     good = labels.where("quality = 1").select("doc_id")
-    chosen = shared.join(good, "doc_id").select("doc_id", "lang", *RULES)
-    return chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    return shared.join(good, "doc_id").select("doc_id", "lang", *RULES)
 
 
 def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, alpha: float = ALPHA) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from repolume.llm.quality_rules import binomial_cdf, controlled, judge, measure, repeated_words
+from repolume.llm.quality_rules import RULES, binomial_cdf, controlled, cutoffs, good_holdouts, judge, measure, repeated_words
 
 
 def test_repeated_words_are_those_of_all_windows():
@@ -53,3 +53,14 @@ def test_without_enough_labels_only_the_base_rules_decide(documents, labels):
     assert judge(docs, marks).where("kept = base_failed").count() == 0
     empty = judge(docs.where("false"), marks.where("false"))
     assert empty.count() == 0 and judge(docs, marks.where("false")).where(F.col("kept") == F.col("base_failed")).count() == 0
+
+
+def test_a_rare_language_keeps_all_its_labels_in_a_large_corpus(spark):
+    """450,000 good labels, of which 1,500 are of a language: its cutoffs come from all 1,500."""
+    shared = spark.range(450_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 300 == 0, "is").otherwise("en").alias("lang"),
+        *(F.lit(0.0).alias(rule) for rule in RULES),
+    )
+    good = good_holdouts(shared, shared.select("doc_id", F.lit(1).alias("quality")))
+    assert good.where("lang = 'is'").count() == 1500 and good.count() == 450_000
+    assert set(cutoffs(good)) == {"en", "is"}
