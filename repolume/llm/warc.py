@@ -6,7 +6,8 @@ metadata to the conversion. Record ids are URNs computed from the capture, so a
 records. Blocks carry ``WARC-Block-Digest``; the digest of the response's payload is kept in both derived records. The
 source's own HTTP headers are kept in the response block, and its content type and length in the metadata.
 
-Everything is an expression on one row; nothing is shuffled.
+Everything is a function of one row; nothing is shuffled. References (``&copy;``, ``&#233;``) are decoded in Python, as
+there are more than two thousand names.
 
 Defined results: a capture without html (NULL) has an empty payload and an empty text; a NULL url gives records without
 a target URI; NULL ids give ids computed from the url and html alone; repeated rows give repeated records; no captures
@@ -15,33 +16,41 @@ give no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+from html import unescape
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"  # of captures whose table has no date
-# What plain text drops and replaces, in order: pattern and replacement.
-TEXT_RULES = (
-    (r"(?is)<(script|style|head|noscript)[^>]*>.*?</(script|style|head|noscript)>", " "),
-    (r"(?s)<!--.*?-->", " "),
+# What plain text drops and replaces, in order: pattern and replacement. Comments, scripts and styles go first, whichever
+# begins first: what looks like a tag inside them is none.
+MARKUP_RULES = (
+    (r"(?is)<!--.*?-->|<(script|style)(?=[\s/>])[^>]*>.*?</\1(?=[\s/>])[^>]*>", " "),
+    (r"(?is)<(head|noscript)(?=[\s/>])[^>]*>.*?</\1(?=[\s/>])[^>]*>", " "),
     (r"(?i)<(br|/p|/div|/li|/tr|/h[1-6]|/title|/pre|/table|/ul|/ol)[^>]*>", "\n"),
     (r"<[^>]*>", " "),
-    (r"&nbsp;", " "),
-    (r"&lt;", "<"),
-    (r"&gt;", ">"),
-    (r"&quot;", '"'),
-    (r"&#39;", "'"),
-    (r"&amp;", "&"),
-    (r"[ \t\r\f]+", " "),
+)
+SPACE_RULES = (
+    (r"[ \t\r\f\u00a0]+", " "),
     (r" ?\n[ \n]*", "\n"),
 )
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 
 
+def _decoded(texts: pa.Array) -> pa.Array:
+    return pa.array([None if text is None else unescape(text) for text in texts.to_pylist()], pa.string())
+
+
 def plain_text(html: Column) -> Column:
-    """The visible text of a page: no markup, one space between words, one line break between blocks."""
+    """The visible text of a page: no markup, all references decoded, one space between words, one line break between
+    blocks."""
     text = html
-    for pattern, replacement in TEXT_RULES:
+    for pattern, replacement in MARKUP_RULES:
+        text = F.regexp_replace(text, pattern, replacement)
+    text = F.arrow_udf(_decoded, "string")(text)
+    for pattern, replacement in SPACE_RULES:
         text = F.regexp_replace(text, pattern, replacement)
     return F.trim(F.regexp_replace(text, r"^\n|\n$", ""))
 

@@ -20,6 +20,16 @@ def test_plain_text(spark):
     assert text == "Head\nOne two <b> link\né\nß"
 
 
+def test_a_header_before_a_script_is_text_and_references_are_decoded(spark):
+    page = (
+        "<html><head lang=en><script>var a='</head>';</script><style>b{}</style><title>T</title><meta name=x></head><body>"
+        "<header class=top><p>Top</p></header><!-- <script> --><article>A &copy; b &middot; &#233;&#xe9; &amp;lt;&#160;c"
+        "</article><SCRIPT >var d='<!--';</script ><p>End</p><noscript>no</noscript></body></html>"
+    )
+    text = spark.createDataFrame([(page,), (None,)], "html string").select(plain_text(F.col("html")).alias("text")).collect()
+    assert [row["text"] for row in text] == ["Top\nA © b · éé &lt; c End", None]
+
+
 def test_records_are_linked_and_read_back_from_their_files(spark, tmp_path):
     table = pages(spark, (1, "http://a/", PAGE, 0, 0, 0), (2, None, None, 0, 0, 0), (3, "http://b/", "", 0, 0, 0), (None, "http://c/", "x" * 200_000, 0, 0, 0))
     records = derive(responses(table))
