@@ -12,6 +12,7 @@ from repolume.llm.byte_bpe import decode, encode, read_ranks
 from repolume.llm.exact_dedup import exact_dedup
 from repolume.llm.minhash import near_duplicates
 from repolume.llm.mixing import mix_sources
+from repolume.llm.packing import digests, pack
 from repolume.llm.quality_mil import quality
 from repolume.llm.quality_rules import judge
 from repolume.llm.sharding import shard_documents
@@ -102,3 +103,10 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        content = file.read()
+    return digests(pack(table(spark, folder, "documents"), content, public_tokenizers.PATTERN))
