@@ -19,6 +19,7 @@ from repolume.llm.sharding import shard_documents
 from repolume.llm.substring_dedup import substring_dedup
 from repolume.llm.toxicity import toxicity
 from repolume.llm.warc import derive, responses
+from repolume.llm.whitening import by_component, whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +111,8 @@ def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         content = file.read()
     return digests(pack(table(spark, folder, "documents"), content, public_tokenizers.PATTERN))
+
+
+@query()
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return by_component(whiten(table(spark, folder, "embeddings")))
