@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # Rows of one key range of a numbered table; the number of ranges follows from the number of rows.
 ROWS_PER_RANGE = 1_000_000
+# Into so many ranges one range is cut at most; more of them are cut in several levels.
+FAN = 1024
 # Sampled keys per range; more of them make the ranges more even.
 _SAMPLES = 16
 
@@ -23,37 +25,50 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def _cut_points(df: DataFrame, key: Column, ranges: int, rows: int) -> DataFrame:
-    """One row: the sorted cut points, at most ``ranges - 1``.
+def _cut_points(df: DataFrame, key: Column, parts: int, share: float) -> DataFrame:
+    """``_outer`` and ``_cuts`` of each value of ``_range``: its sorted cut points, at most ``parts - 1``.
 
-    The sample are the keys with the smallest hashes, about ``ranges * _SAMPLES`` of them. It depends on the data
-    only, so a recomputed task finds the same cut points.
+    ``share`` of the keys are sampled, those with the smallest hashes, so a recomputed task finds the same cut points.
     """
-    share = F.shiftrightunsigned(F.xxhash64("_key"), 11) / F.lit(float(1 << 53))
-    sample = (
-        df.select(key.alias("_key"))
-        .where(share < ranges * _SAMPLES / max(rows, 1))
-        .agg(F.sort_array(F.collect_set("_key")).alias("_keys"))
-    )
-    step = F.greatest(F.ceil(F.size("_keys") / ranges), F.lit(1))
+    draw = F.shiftrightunsigned(F.xxhash64("_key"), 11) / F.lit(float(1 << 53))
+    sample = df.select("_range", key.alias("_key")).where(draw < share).groupBy(F.col("_range").alias("_outer"))
+    sample = sample.agg(F.sort_array(F.collect_set("_key")).alias("_keys"))
+    step = F.greatest(F.ceil(F.size("_keys") / parts), F.lit(1))
     cuts = F.filter("_keys", lambda _, i: i % step == step - 1)
-    return sample.select(F.slice(cuts, 1, ranges - 1).alias("_cuts"), F.lit(0).alias("_one"))
+    return sample.select("_outer", F.slice(cuts, 1, parts - 1).alias("_cuts"))
+
+
+def _levels(ranges: int) -> list[int]:
+    """Into how many parts each level of the cut divides the ranges of the level before."""
+    levels = []
+    while ranges > 1:
+        levels.append(min(ranges, FAN))
+        ranges = -(-ranges // FAN)
+    return levels
 
 
 def _in_ranges(df: DataFrame, key: Column, ranges: int, rows: int) -> DataFrame:
-    """Add ``_range``, the number of cut points up to the key: a binary search, one projection per step.
+    """Add ``_range``, a number that ascends with the key, for about ``ranges`` ranges of rows.
 
-    Past the last cut point ``get`` is NULL, which compares like a cut point beyond every key. The cut points are
-    one per ``ROWS_PER_RANGE`` rows; they are broadcast once and referred to, not copied, by the rows.
+    Ranges are cut into ranges, level by level, so that no list of cut points, and no sample it is taken from, is
+    longer than ``FAN`` ranges need, however many rows there are. The first list is one row; the lists of the further
+    levels are a table with a row per range, joined by the range.
+
+    Within a list, the number of cut points up to the key is found by a binary search, one projection per step. Past the
+    last cut point ``get`` is NULL, which compares like a cut point beyond every key.
     """
-    if ranges == 1:
-        return df.withColumn("_range", F.lit(0))
-    found = df.withColumn("_one", F.lit(0)).join(F.broadcast(_cut_points(df, key, ranges, rows)), "_one")
-    found = found.withColumns({"_key": key, "_range": F.lit(0)})
-    for step in range((ranges - 1).bit_length() - 1, -1, -1):
-        cut = F.get("_cuts", F.col("_range") + ((1 << step) - 1))
-        found = found.withColumn("_range", F.col("_range") + F.when(cut <= F.col("_key"), 1 << step).otherwise(0))
-    return found.drop("_one", "_cuts", "_key")
+    found, reached = df.withColumn("_range", F.lit(0).cast("long")), 1
+    for parts in _levels(ranges):
+        reached *= parts
+        cuts = _cut_points(found, key, parts, min(reached, ranges) * _SAMPLES / max(rows, 1))
+        if reached == parts:  # a single row
+            cuts = F.broadcast(cuts)
+        found = found.join(cuts, found["_range"] == cuts["_outer"], "left").withColumns({"_key": key, "_part": F.lit(0)})
+        for step in range((parts - 1).bit_length() - 1, -1, -1):
+            cut = F.get("_cuts", F.col("_part") + ((1 << step) - 1))
+            found = found.withColumn("_part", F.col("_part") + F.when(cut <= F.col("_key"), 1 << step).otherwise(0))
+        found = found.withColumn("_range", F.col("_range") * parts + F.col("_part")).drop("_outer", "_cuts", "_key", "_part")
+    return found
 
 
 def _numbered(
@@ -65,11 +80,16 @@ def _numbered(
     key = F.struct(*columns) if len(columns) > 1 else F.col(columns[0])
     rows = df.count()
     ranges = max(1, -(-rows // per_range))
-    cut = _in_ranges(df, key, ranges, rows)
     sort = [F.col(column).asc() if ascending else F.col(column).desc() for column in ["_range", *order]]
+
+    def ranked(frame: DataFrame, inside: list[str]) -> DataFrame:
+        frame = frame.withColumn("_rank", F.row_number().over(Window.partitionBy(*inside).orderBy(*sort[1:])))
+        # compared with the rank itself, the end of the span lets Spark trim each group before the shuffle
+        return frame if span is None else frame.where(F.col("_rank") <= F.lit(min(span[1], (1 << 31) - 1)))
+
     if ranges == 1:
-        position = F.row_number().over(Window.partitionBy(*within).orderBy(*sort[1:])) - 1
-        return df.withColumn(name, position.cast("long")).select(*df.columns, name)
+        return ranked(df, within).withColumn(name, (F.col("_rank") - 1).cast("long")).select(*df.columns, name)
+    cut = _in_ranges(df, key, ranges, rows)
     earlier = Window.partitionBy(*within).orderBy(sort[0]).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(*within, "_range")
@@ -81,10 +101,8 @@ def _numbered(
         offsets = offsets.where((F.col("_offset") < span[1]) & (F.col("_offset") + F.col("_rows") > span[0]))
     offsets = offsets.select(*[F.col(column).alias(f"_w_{column}") for column in within], F.col("_range").alias("_b"), "_offset")
     same = [cut[column].eqNullSafe(offsets[f"_w_{column}"]) for column in within]
-    placed = cut.join(offsets, [*same, cut["_range"] == offsets["_b"]])
-    inside = Window.partitionBy(*within, "_range").orderBy(*sort[1:])
-    position = F.row_number().over(inside) - 1 + F.col("_offset")
-    return placed.withColumn(name, position).select(*df.columns, name)
+    placed = ranked(cut.join(offsets, [*same, cut["_range"] == offsets["_b"]]), [*within, "_range"])
+    return placed.withColumn(name, F.col("_rank") - 1 + F.col("_offset")).select(*df.columns, name)
 
 
 def with_position(
@@ -96,7 +114,7 @@ def with_position(
     A plain ``row_number`` would pull a whole group into one task. Here the rows are counted (one job, when the
     plan is built) and cut into key ranges of about ``per_range`` rows, however many that gives; each range is
     numbered on its own, and the row counts of the earlier ranges are added. A group that holds most of the rows
-    spans many ranges. ``df`` is read up to four times, so it should lie in storage.
+    spans many ranges. ``df`` is read several times (once more for each level of the cut), so it should lie in storage.
     """
     return _numbered(df, order, within, ascending, per_range, name)
 
@@ -107,7 +125,8 @@ def slice_by_position(
 ) -> DataFrame:
     """Rows at positions ``offset .. offset + limit - 1``, however many that are, without a single big task.
 
-    Only the key ranges that reach into the slice are shuffled and numbered.
+    Only the key ranges that reach into the slice are shuffled and numbered; of each group no task sends more than the
+    first ``offset + limit`` rows of a range.
     """
     span = (offset, offset + limit)
     numbered = _numbered(df, order, within, ascending, per_range, "_position", span)

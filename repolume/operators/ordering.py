@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from repolume.functions.ranking import slice_by_position
 
+# Rows that a task may hold in a heap to find a page.
+TOP = 100_000
+
 
 def _order(columns: Sequence[str], ascending: bool) -> list[Column]:
     return [F.col(c).asc() if ascending else F.col(c).desc() for c in columns]
@@ -25,7 +28,12 @@ def page(
     df: DataFrame, limit: int, offset: int = 0, updated_at: str = "updated_at", key: str = "id",
     ascending: bool = True,
 ) -> DataFrame:
-    """``limit`` rows of the sorted listing, after ``offset`` rows."""
+    """``limit`` rows of the sorted listing, after ``offset`` rows.
+
+    A page near the top is a heap in each task; beyond ``TOP`` rows only the key ranges that reach into it are read.
+    """
+    if offset + limit <= TOP:
+        return sort_by_update(df, updated_at, key, ascending).offset(offset).limit(limit)
     picked = slice_by_position(df, [updated_at, key], offset, limit, ascending=ascending)
     return sort_by_update(picked, updated_at, key, ascending)
 

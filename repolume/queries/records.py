@@ -176,7 +176,7 @@ def normalize_events_json(t: Source) -> DataFrame:
 
 @query(
     """
-    SELECT 'org/events' AS repo_full_name, event_id * 1048576 + n AS seq,
+    SELECT 'org/events' AS repo_full_name, event_id * 2147483648 + n AS seq,
            CASE WHEN n = 0 THEN event_id ELSE user_id END AS id, CASE WHEN n = 0 THEN event_type ELSE 'user' END AS kind
     FROM events, (VALUES (0), (1)) AS v(n)
     """

@@ -77,12 +77,14 @@ def stored_table_replace(t: Source) -> DataFrame:
 
 @query(
     """
-    SELECT concat('C', c_custkey) AS id, CASE WHEN c_acctbal > 0 THEN c_name ELSE 'later' END AS name, c_custkey AS seq
+    SELECT concat('C', c_custkey) AS id, CASE WHEN c_acctbal > 0 THEN c_name ELSE 'later' END AS name,
+           CASE WHEN c_acctbal > 0 THEN c_custkey
+                ELSE (SELECT max(c_custkey) FROM customer WHERE c_acctbal > 0) + 1 + c_custkey END AS seq
     FROM customer
     """
 )
 def users_insert(t: Source) -> DataFrame:
-    """Users stored in two steps: those that are known keep what was stored first."""
+    """Users stored in two steps: known ones keep what was stored first, the others come after all that are stored."""
     root, spec = scratch_dir(t.spark, "users"), TABLES["users"]
     none = lit(None).cast("string")
     users = t.customer.select(

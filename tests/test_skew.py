@@ -117,3 +117,52 @@ def test_counts_before_joins(facts):
     wanted = [r for r in relations.RELATIONS if r.child == "edits"]
     assert tuple(relations.audit(tables, wanted).first())[1:] == (300_000, 0)
     assert incremental.cap_modifications(edits, 1000).count() == 0
+
+
+@pytest.mark.parametrize("fan", [4, 7, 1024])
+def test_ranges_are_cut_in_levels(spark, facts, monkeypatch, fan):
+    """However many ranges, no list of cut points outgrows one level; positions are those of a plain numbering."""
+    from repolume.functions import ranking
+
+    monkeypatch.setattr(ranking, "FAN", fan)
+    key = F.struct("committer_name", "seq")
+    table = facts.select("committer_name", F.when(F.col("seq") % 50 > 0, F.col("seq")).alias("seq")).where("seq < 40000 or seq is null")
+    rows = table.count()
+    cut = ranking._in_ranges(table, key, 60, rows)
+    sizes = [r["count"] for r in cut.groupBy("_range").count().collect()]
+    assert sum(sizes) == rows and len(sizes) > 30
+    assert cut.groupBy("_range").agg(F.min(key).alias("a"), F.max(key).alias("b")).orderBy("_range").selectExpr(
+        "a > lag(b) OVER (ORDER BY _range) AS apart").where("NOT apart").count() == 0
+    unique = facts.where("seq < 20000").select("committer_name", "seq")
+    for ascending in (True, False):
+        numbered = with_position(unique, ["seq"], ["committer_name"], "p", ascending, per_range=500)
+        order = "seq" if ascending else "seq DESC"
+        plain = unique.selectExpr("*", f"row_number() OVER (PARTITION BY committer_name ORDER BY {order}) - 1 AS q")
+        assert numbered.join(plain, ["committer_name", "seq"]).where("p <> q").count() == 0
+        assert numbered.count() == 20000
+
+
+def test_cut_points_are_no_array_of_all_ranges(spark, facts, monkeypatch):
+    from repolume.functions import ranking
+
+    monkeypatch.setattr(ranking, "FAN", 16)
+    table, most = facts.select("committer_name", "seq"), []
+    for rows in (15_000, 300_000):
+        part = table.where(f"seq < {rows}").withColumn("_range", F.lit(0).cast("long"))
+        key, ranges = F.struct("committer_name", "seq"), rows // 500
+        levels = ranking._levels(ranges)
+        assert all(parts <= 16 for parts in levels)
+        cuts = ranking._cut_points(part, key, levels[0], levels[0] * ranking._SAMPLES / rows)
+        most.append(cuts.select(F.size("_cuts")).first()[0])
+    assert most[1] <= 15 and most[0] <= 15
+
+
+def test_slices_of_many_ranges(facts):
+    from repolume.functions.ranking import slice_by_position
+
+    unique = facts.where("seq < 20000").select("committer_name", "seq")
+    for offset, limit in ((0, 3), (700, 900), (6000, 5000)):
+        got = slice_by_position(unique, ["seq"], offset, limit, ["committer_name"], per_range=500)
+        plain = unique.selectExpr("*", "row_number() OVER (PARTITION BY committer_name ORDER BY seq) - 1 AS q")
+        want = plain.where(f"q >= {offset} AND q < {offset + limit}").select("committer_name", "seq")
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
