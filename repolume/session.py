@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,8 +55,23 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+# Folders of settled frames that may be discarded.
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def settled(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared scratch folder and read back, so that later steps do not compute it again."""
+    """``df`` written once to the shared scratch folder and read back: later steps do not compute it again, and a lost
+    executor takes nothing with it."""
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[found] = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of settled frames that nothing will read any more."""
+    for df in frames:
+        path = _FOLDERS.pop(df, None)
+        if path is not None:
+            remove(df.sparkSession, path)
