@@ -10,7 +10,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repolume.session import scratch_dir
+from repolume.session import discard, settled
+
+__all__ = ["discard", "settled"]
 
 # White space of the word pattern [^\x20\x09-\x0D]+; ``bytes.split()`` cuts at the same six bytes.
 WHITE = "\\x20\\x09-\\x0D"
@@ -30,14 +32,6 @@ def count_words(text: Column) -> Column:
     return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{WHITE}]+"), "")).cast("long")
 
 
-def settled(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once below the shared checkpoint folder and read back: later steps do not compute it again, and
-    a lost executor takes nothing with it."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows; beyond that the join shuffles. For settled frames
     of a few numbers a row."""

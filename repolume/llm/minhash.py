@@ -12,12 +12,13 @@ Links come from the trees in two passes, so that a group of copies is never comp
 1. In every node of the first level each class is compared with the node's hub, the class that shares most tokens with
    the others. The comparison whose tokens agree best is confirmed per class. Most of a large group is joined by that,
    at one comparison each.
-2. Nodes whose classes now lie in one component are done. In nodes of little work all classes of different components
-   are compared exhaustively; the others are branched on. Sets that share one common shingle part at once; what is large
-   after ``LEVELS`` is a group of similar sets again, and is linked to its hubs.
-3. The classes of nodes that are large even then (texts that share much, but are not similar enough) are joined exactly,
-   by the rarest shingles of each: two similar sets share one of them, so no pair of theirs is missed. Blocks of a shingle
-   are cut into cells, so that no task compares a whole one.
+2. Nodes whose classes now lie in one component are done. In small nodes, those with at most ``LEAF`` classes outside
+   their main component, all classes of different components are compared exhaustively, which is at most ``LEAF`` pairs a
+   class; the others are branched on, with chance 1/2 for a second branch, for as long as that takes ``SHRINK`` of the
+   classes out of large nodes at every level.
+3. What branching does not part shares much of its text. It is linked to its hubs, and what that does not connect is joined
+   exactly, by the rarest shingles of each class: two similar sets share one of them, so no pair of theirs is missed. Blocks
+   of a shingle are cut into cells, so that no task compares a whole one.
 
 Minwise estimates only sort out; every link is confirmed on the shingles of both texts. The links to hubs form a
 forest, whose roots are found by pointer doubling; other links join its trees, by alternating star contractions. Both
@@ -30,8 +31,8 @@ an id belongs to the group of its text but names none; no documents give no rows
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,23 +40,31 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repolume.llm.common import hash_windows, hash_words, mix, settled, texts_of
+from repolume.llm.common import discard, hash_windows, hash_words, mix, settled, texts_of
 
 SHINGLE = 5
 SIMILAR = 75  # per cent of the union
 TREES = 12
 COORDINATES = 64
 ROOT = 2 * TREES  # coordinates that the first level uses, none of them twice; deeper levels use the others
-WORK = 400 * 400  # pairs up to which a node is compared exhaustively
-LEVELS = 4
+LEAF = 40  # a node is compared exhaustively if at most so many of its rows lie outside its main component
+SHRINK = 0.2
+CELL = 400  # rows on each side of a cell in which blocks of rare shingles are compared
 BUCKETS = 1 << 17  # of hashes, by whose counts shingles are ordered, rare ones first
 # Estimates from 64 coordinates have a standard deviation of 0.054 at 0.75: this lies more than four of them below.
 LEAST_ESTIMATE = 33
 _BLOCK = 4096
+# One bit of each of many more minwise hashes tells 0.75 from 0.6, which 64 whole ones do not. Similar sets agree in 7/8 of
+# the bits; the least is more than six standard deviations below.
+WORDS = 32
+BITS = 64 * WORDS
+LEAST_BITS = 1695
 
 _draw = np.random.default_rng(64)
 _FACTORS = _draw.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = _draw.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
+_BIT_FACTORS = _draw.integers(1, 1 << 63, BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BIT_OFFSETS = _draw.integers(0, 1 << 63, BITS, dtype=np.uint64)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -82,11 +91,21 @@ def hashed_shingles(text: str) -> np.ndarray:
 
 def minwise(hashes: np.ndarray) -> np.ndarray:
     """``COORDINATES`` minwise hashes of a set that is not empty; memory is bounded for sets of any size."""
-    least = np.full(COORDINATES, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(hashes), _BLOCK):
-        block = hashes[at : at + _BLOCK, None] * _FACTORS + _OFFSETS
+    return (_least(hashes, _FACTORS, _OFFSETS) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def _least(hashes: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    least = np.full(len(factors), np.iinfo(np.uint64).max, dtype=np.uint64)
+    step = max(1, _BLOCK * COORDINATES // len(factors))
+    for at in range(0, len(hashes), step):
+        block = hashes[at : at + step, None] * factors + offsets
         np.minimum(least, block.min(axis=0), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return least
+
+
+def minwise_bits(hashes: np.ndarray) -> np.ndarray:
+    """A bit of each of ``BITS`` minwise hashes, in ``WORDS`` numbers."""
+    return np.packbits((mix(_least(hashes, _BIT_FACTORS, _BIT_OFFSETS)) & np.uint64(1)).astype(np.uint8)).view(np.int64)
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -128,7 +147,7 @@ def first_level(classes: DataFrame) -> DataFrame:
 def next_level(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Branch ``rows`` (node, id, component): each node chooses coordinates by its own hash, one or two."""
     pick = lambda salt: (F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(COORDINATES - ROOT)) + ROOT).cast("int")
-    second = F.pmod(F.xxhash64("node", F.lit("branches")), F.lit(3)) == 0
+    second = F.pmod(F.xxhash64("node", F.lit("branches")), F.lit(2)) == 0
     children = F.array(
         _child(F.col("node"), pick("first")), F.when(second, _child(F.col("node"), pick("second")))
     )
@@ -138,9 +157,7 @@ def next_level(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _alike(a: str, b: str) -> Column:
     """Whether two classes (columns n and tokens with these suffixes) can be similar, by size and estimate."""
-    n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
-    sized = 100 * F.least(n_a, n_b) >= SIMILAR * F.greatest(n_a, n_b)
-    return sized & (_agreeing(a, b) >= LEAST_ESTIMATE)
+    return _sized(a, b) & (_agreeing(a, b) >= LEAST_ESTIMATE)
 
 
 def _agreeing(a: str, b: str) -> Column:
@@ -187,10 +204,11 @@ def roots(parents: DataFrame) -> DataFrame:
     while True:
         above = parents.select(F.col("id").alias("component"), F.col("component").alias("_above"))
         jumped = parents.select("id", "component").join(above, "component", "left")
-        parents = settled(
+        last, parents = parents, settled(
             jumped.select("id", F.coalesce("_above", "component").alias("component"), F.col("_above").isNotNull().alias("_moved")),
             "minhash-roots",
         )
+        discard(last)
         if parents.where("_moved").isEmpty():
             return parents.select("id", "component")
 
@@ -218,7 +236,8 @@ def components(links: DataFrame) -> DataFrame:
             .unionByName(least.select("a", F.col("m").alias("b")))
             .distinct()
         )
-        links = settled(small, "minhash-links")
+        last, links = links, settled(small, "minhash-links")
+        discard(last)
 
 
 def hub_links(rows: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -240,14 +259,17 @@ def hub_links(rows: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
 
 def _mixed(rows: DataFrame) -> DataFrame:
     """``rows`` (node, id, component) of the nodes that hold several components, with the node's size, its main
-    component and the pairs that comparing all its other rows with every row would take."""
+    component and the number of its rows outside that, settled."""
     parts = rows.groupBy("node", "component").agg(F.count(F.lit(1)).alias("_n"))
     nodes = parts.groupBy("node").agg(
         F.sum("_n").alias("size"), F.max(F.struct("_n", "component")).alias("_main")
     ).where("size > _main._n")
-    work = (F.col("size") - F.col("_main._n")) * F.col("size")
-    nodes = nodes.select("node", "size", F.col("_main.component").alias("main"), work.alias("work"))
-    return rows.select("node", "id", "component").join(settled(nodes, "minhash-nodes"), "node")
+    others = F.col("size") - F.col("_main._n")
+    nodes = nodes.select("node", "size", F.col("_main.component").alias("main"), others.alias("others"))
+    nodes = settled(nodes, "minhash-nodes")
+    mixed = settled(rows.drop("size").join(nodes, "node"), "minhash-mixed")
+    discard(nodes)
+    return mixed
 
 
 def _merged(joined: DataFrame, links: DataFrame) -> DataFrame:
@@ -272,9 +294,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "minhash-classes",
     )
     placed = first_level(classes)
-    shared = placed.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = settled(placed.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "minhash-shared")
     # settled, so that the join's sides are plain shuffles and a large node can be split
-    rows = settled(placed.join(settled(shared, "minhash-shared"), "node"), "minhash-nodes")
+    rows = settled(placed.join(shared, "node"), "minhash-nodes")
+    discard(shared)
 
     # one text per id; ids that several rows share bring several
     members = rows.select(F.col("id").alias("doc_id")).distinct()
@@ -285,24 +308,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     joined = roots(hub_links(rows, classes, texts))
     component = F.coalesce("component", "id").alias("component")
     now = lambda nodes: nodes.select("node", "id").join(joined, "id", "left").select("node", "id", component)
-    rows = settled(_mixed(now(rows)), "minhash-mixed")
-    pairs = _exhaustive(rows, classes)
-    for _ in range(1, LEVELS):
-        rows = rows.where(F.col("work") > WORK)
-        if rows.isEmpty():
+
+    mixed = _mixed(now(rows))
+    discard(rows)
+    found, left = [_exhaustive(mixed, classes)], _large(mixed)
+    large = left.count()
+    while large:
+        deeper = _mixed(next_level(left, classes))
+        found.append(_exhaustive(deeper, classes))
+        rest = _large(deeper)
+        before, large = large, rest.count()
+        discard(left, deeper)
+        left = rest
+        if large > (1 - SHRINK) * before:
             break
-        rows = settled(_mixed(next_level(rows, classes)), "minhash-mixed")
-        pairs = pairs.unionByName(_exhaustive(rows, classes))
-    large = rows.where(F.col("work") > WORK)
-    if not large.isEmpty():  # groups of similar sets, or of texts that share much
-        links = hub_links(large, classes, texts).select(F.col("component").alias("a"), F.col("id").alias("b"))
+    discard(mixed)
+    if large:  # texts that share much
+        links = hub_links(left, classes, texts).select(F.col("component").alias("a"), F.col("id").alias("b"))
         joined = settled(_merged(joined, settled(links, "minhash-large")), "minhash-joined")
-        rows = settled(_mixed(now(large)), "minhash-mixed")
-        pairs = pairs.unionByName(_exhaustive(rows, classes))
-        rest = settled(rows.where(F.col("work") > WORK).select("id", "component").distinct(), "minhash-rest")
+        mixed = _mixed(now(left))
+        found.append(_exhaustive(mixed, classes))
+        rest = settled(_large(mixed).select("id", "component").distinct(), "minhash-rest")
         if not rest.isEmpty():
-            pairs = pairs.unionByName(rare_pairs(rest, texts))
-    joined = _merged(joined, confirm(pairs.distinct(), texts))
+            found.append(rare_pairs(rest, texts))
+        discard(mixed, rest)
+    pairs = reduce(DataFrame.unionByName, found).distinct()
+    joined = settled(_merged(joined, confirm(pairs, texts)), "minhash-joined")
+    discard(left, texts, *found)
 
     final = classes.select("set_key", "id").join(joined, "id", "left").select("set_key", "id", component)
     smallest = final.groupBy("component").agg(F.min("id").alias("component_id"))
@@ -313,38 +345,49 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def _exhaustive(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """All pairs of different components in each node of little work whose tokens agree often enough, compared where
-    the node lies. The rows of a node's main component meet the others only, so a large pure group is passed once."""
-    near = rows.where(F.col("work") <= WORK)
+def _large(mixed: DataFrame) -> DataFrame:
+    """The rows of nodes that are too large to be compared exhaustively, settled."""
+    large = mixed.where(F.col("others") > LEAF)
+    return settled(large.select("node", "id", "component", "size"), "minhash-left")
+
+
+def _exhaustive(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+    """All pairs of different components in each small node whose tokens agree often enough, compared where the node
+    lies, settled. The rows of a node's main component meet the others only, so a large pure group is passed once."""
+    near = mixed.where(F.col("others") <= LEAF)
     full = near.select("node", "id", "component", "main").join(classes.select("id", "n", "tokens"), "id")
-    columns = ("id", "component", "n", "tokens")
-    side = lambda name: full.select("node", "main", *(F.col(c).alias(f"{c}_{name}") for c in columns))
-    others = side("a").where("component_a <> main").drop("main")
+    return settled(_compared(full, full, ["node"], ["n", "tokens"], _alike("a", "b")).distinct(), "minhash-pairs")
+
+
+def _compared(rows: DataFrame, whole: DataFrame, keys: Sequence[str], about: Sequence[str], alike: Column) -> DataFrame:
+    """Pairs (a, b) of ``rows`` outside the main component with rows of ``whole`` (both: keys, id, component, main and
+    what is known ``about`` them) that have the same ``keys`` and are ``alike``."""
+    columns = ("id", "component", *about)
+    side = lambda df, name, *more: df.select(*keys, *more, *(F.col(c).alias(f"{c}_{name}") for c in columns))
+    both = side(rows.where("component <> main"), "a").join(side(whole, "b", "main"), list(keys))
     once = F.col("component_b").eqNullSafe(F.col("main")) | (F.col("id_a") < F.col("id_b"))
-    both = others.join(side("b"), "node").where((F.col("component_a") != F.col("component_b")) & once)
-    return both.where(_alike("a", "b")).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    both = both.where((F.col("component_a") != F.col("component_b")) & once & alike)
+    return both.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+
 
+def _sized(a: str, b: str) -> Column:
+    n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
+    return 100 * F.least(n_a, n_b) >= SIMILAR * F.greatest(n_a, n_b)
 
-# Sizes at which a band of sets begins whose sizes differ by a tenth at most.
-_BANDS = [1]
-while _BANDS[-1] < 1 << 40:
-    _BANDS.append(max(_BANDS[-1] + 1, _BANDS[-1] * 11 // 10))
 
+def _alike_rest(a: str, b: str) -> Column:
+    """Whether two classes that share a shingle, at place ``at`` in the order of each, can be similar: if it is the first
+    that they share, all others come after it in both. The bits of many minwise hashes then tell more."""
+    most = F.least(F.col(f"n_{a}") - F.col(f"at_{a}"), F.col(f"n_{b}") - F.col(f"at_{b}"))
+    enough = (100 + SIMILAR) * most >= SIMILAR * (F.col(f"n_{a}") + F.col(f"n_{b}"))
+    words = (F.get(f"bits_{a}", F.lit(at)).bitwiseXOR(F.get(f"bits_{b}", F.lit(at))) for at in range(WORDS))
+    return enough & _sized(a, b) & (sum(F.bit_count(word) for word in words) <= BITS - LEAST_BITS)
 
-def prefixes(n: int) -> list[tuple[int, int, int]]:
-    """For a set of ``n`` shingles: the smaller and the larger band of it and a similar set, and how many of its rarest
-    shingles it takes to share one with every similar set of that band.
 
-    Sets of n and m shingles are similar if they share ``SIMILAR / (100 + SIMILAR)`` of n + m; so if that is k, they
-    share one of the first n - k + 1 and m - k + 1 in any order of all shingles.
-    """
-    least, most = -(-SIMILAR * n // 100), 100 * n // SIMILAR
-    own, found = bisect_right(_BANDS, n) - 1, []
-    for other in range(bisect_right(_BANDS, least) - 1, bisect_right(_BANDS, most)):
-        shared = -(-SIMILAR * (n + max(_BANDS[other], least)) // (100 + SIMILAR))
-        found.append((min(own, other), max(own, other), n - shared + 1))
-    return found
+def prefix(n: int) -> int:
+    """How many of its rarest shingles a set of ``n`` has to show to share one with every similar set: similar sets share
+    ``SIMILAR`` per cent of either of them at least."""
+    return n - -(-SIMILAR * n // 100) + 1
 
 
 def _ranks(texts: DataFrame) -> np.ndarray:
@@ -367,44 +410,40 @@ def _ranks(texts: DataFrame) -> np.ndarray:
 def rare_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components of ``rest`` (id, component), among them all that are similar.
 
-    Every set meets the others in the blocks of its rarest shingles (``prefixes``); the order is by the count of a
+    Every set meets the others in the blocks of its rarest shingles (``prefix`` of them); the order is by the count of a
     shingle's bucket, so what a source repeats in every text comes last. The shingles' order decides on the size of the
     blocks only.
     """
-    texts = settled(texts.join(rest.select("id").distinct(), "id", "left_semi"), "minhash-rest-texts")
-    ranks = _ranks(texts)
+    own = settled(texts.join(rest, "id"), "minhash-rest-texts")
+    ranks = _ranks(own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, text in enumerate(texts_of(batch)):
                 hashes = hashed_shingles(text)
                 ordered = hashes[np.lexsort((hashes, ranks[(hashes % np.uint64(BUCKETS)).astype(np.int64)]))]
-                nodes = [
-                    mix(ordered[:count] ^ mix(np.array([(low << 32) + high], dtype=np.uint64)))
-                    for low, high, count in prefixes(len(hashes))
-                ]
-                nodes = np.concatenate(nodes).view(np.int64)
-                ids = pa.repeat(batch.column("id")[at], len(nodes))
-                yield pa.RecordBatch.from_arrays([pa.array(nodes), ids], names=["node", "id"])
+                nodes = ordered[: prefix(len(hashes))].view(np.int64)
+                sizes, bits = pa.array(np.full(len(nodes), len(hashes))), pa.array([minwise_bits(hashes)])
+                same = pa.array(np.zeros(len(nodes), dtype=np.int32))
+                own_ids = [batch.column(name).slice(at, 1).take(same) for name in ("id", "component")]
+                columns = [pa.array(nodes), *own_ids, sizes, pa.array(np.arange(len(nodes))), bits.take(same)]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "id", "component", "n", "at", "bits"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    blocks = texts.select("id", "text").mapInArrow(run, f"node long, id {kind}")
-    rows = settled(_mixed(settled(blocks.join(rest, "id"), "minhash-blocks")), "minhash-cells")
-    edge = max(1, int(WORK**0.5))
-    parts = lambda count: F.greatest(F.lit(1), F.ceil(count / edge)).cast("int")
-    down, across = parts(F.col("work") / F.col("size")), parts(F.col("size"))
-    each = lambda count: F.explode(F.sequence(F.lit(0), count - 1))
-    others = rows.where("component <> main").select(
-        "node", "main", F.col("id").alias("id_a"), F.col("component").alias("component_a"),
-        F.pmod(F.xxhash64("id", F.lit("down")), down).alias("down"), each(across).alias("across"),
-    )
-    whole = rows.select(
-        "node", F.col("id").alias("id_b"), F.col("component").alias("component_b"),
-        F.pmod(F.xxhash64("id", F.lit("across")), across).alias("across"), each(down).alias("down"),
+    blocks = own.select("text", "id", "component").mapInArrow(
+        run, f"node long, id {kind}, component {kind}, n long, at long, bits array<long>"
     )
-    once = F.col("component_b").eqNullSafe(F.col("main")) | (F.col("id_a") < F.col("id_b"))
-    both = others.join(whole, ["node", "down", "across"]).where((F.col("component_a") != F.col("component_b")) & once)
-    return both.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    blocks = settled(blocks, "minhash-blocks")
+    rows = _mixed(blocks)
+    parts = lambda count: F.greatest(F.lit(1), F.ceil(F.col(count) / CELL)).cast("int")
+    each = lambda count: F.explode(F.sequence(F.lit(0), count - 1))
+    down, across = parts("others"), parts("size")
+    left = rows.withColumns({"down": F.pmod(F.xxhash64("id", F.lit("down")), down), "across": each(across)})
+    right = rows.withColumns({"across": F.pmod(F.xxhash64("id", F.lit("across")), across), "down": each(down)})
+    pairs = _compared(left, right, ["node", "down", "across"], ["n", "at", "bits"], _alike_rest("a", "b"))
+    pairs = settled(pairs.distinct(), "minhash-rare")
+    discard(own, blocks, rows)
+    return pairs
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 import random
 
 from repolume.llm import minhash
-from repolume.llm.minhash import components, drop_near_duplicates, near_duplicates, prefixes, roots, shingles
+from repolume.llm.minhash import components, drop_near_duplicates, hashed_shingles, minwise_bits, near_duplicates, prefix, roots, shingles
 from tests.conftest import rows
 
 
@@ -78,7 +78,8 @@ def test_long_chains_are_one_component(spark):
 
 def test_texts_that_share_much_are_joined_wholly(documents, monkeypatch):
     """A source whose texts share most of their words, with pairs among them that no hub joins: no node is dropped."""
-    monkeypatch.setattr(minhash, "WORK", 1)
+    monkeypatch.setattr(minhash, "LEAF", 1)
+    monkeypatch.setattr(minhash, "CELL", 7)
     draw = random.Random(11)
     words = lambda count: ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(count)]
     frame, texts = words(140), []
@@ -96,9 +97,19 @@ def test_texts_that_share_much_are_joined_wholly(documents, monkeypatch):
 
 def test_prefixes_share_a_shingle_with_every_similar_set():
     for n in (*range(1, 60), 1000):
-        own = {(low, high): count for low, high, count in prefixes(n)}
         for m in range(-(-3 * n // 4), 4 * n // 3 + 1):
-            shared = -(-3 * (n + m) // 7)
-            other = {(low, high): count for low, high, count in prefixes(m)}
-            band = [minhash.bisect_right(minhash._BANDS, size) - 1 for size in sorted((n, m))]
-            assert own[tuple(band)] > n - shared and other[tuple(band)] > m - shared
+            shared = -(-3 * (n + m) // 7)  # what two similar sets of these sizes share at least
+            assert shared > n - prefix(n) and shared > m - prefix(m)
+
+
+def test_bits_tell_similar_sets_from_others():
+    draw = random.Random(5)
+    words = lambda count: ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(count)]
+    agreeing = {0.75: [], 0.6: []}
+    for similar, found in agreeing.items():
+        for _ in range(40):
+            common = words(400)
+            own = round(400 * (1 - similar) / (2 * similar))
+            a, b = (minwise_bits(hashed_shingles(" ".join(common + words(own)))) for _ in range(2))
+            found.append(minhash.BITS - sum(bin(int(x) & (1 << 64) - 1).count("1") for x in a ^ b))
+    assert min(agreeing[0.75]) >= minhash.LEAST_BITS > max(agreeing[0.6])
