@@ -10,10 +10,11 @@ occurrence:
    of a word's bytes, and looks ranks up in a literal map (hashed into ``BUCKETS`` small maps, as a map is searched
    linearly). The result, of bounded size, is broadcast.
 3. Every text is then encoded where it lies, with nothing shuffled. Words below the threshold, and words of more than
-   ``LONG`` bytes, are merged in the task by the same rule, once per task; for long words with a heap, so that one word
-   of a million letters takes no quadratic time.
+   ``LONG`` bytes, are merged in the task by the byte-pair library, once per task; white space that its pattern gives
+   up on is merged by the same rule here, with a heap, so that a run of a million takes no quadratic time.
 
-Decoding concatenates the binary pieces of the ids.
+Decoding concatenates the binary pieces of the ids. ``encode_and_decode`` does both in one pass over the texts: what a
+word adds to the digests is made once per word and task, so a text is cut once and joined twice.
 
 Defined results: a NULL or empty text has no ids and decodes to no bytes; repeated rows are encoded alike; no documents
 give no rows. Every byte must have a rank in the file. Special tokens do not exist: their spelling is ordinary text.
@@ -27,21 +28,22 @@ import heapq
 import json
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repolume.llm.common import settled, texts_of
+from repolume.llm.common import discard, settled, texts_of
 
-HEAD = 1 << 16
+HEAD = 1 << 17
 BUCKETS = 1 << 15
 LONG = 64
-_KEPT = 1 << 19  # words a task remembers or counts before it starts anew
+_KEPT = 1 << 18  # words a task remembers or counts before it starts anew
 _NONE = 1 << 62
 
 
@@ -99,19 +101,32 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+def _library(ranks: dict[bytes, int], pattern: str) -> Callable[[str], list[int]]:
+    """The ids of a word by the byte-pair library."""
+    merge = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def ids_of(word: str) -> list[int]:
+        try:
+            return merge(word)
+        except ValueError:  # its pattern gives up on a long run of white space
+            return merge_word(word.encode("utf-8", "surrogatepass"), ranks)
+
+    return ids_of
+
+
 class _Words(dict):
-    """The ids of words: the head's, and those of other words from when they are first asked for."""
+    """An entry for each word: those of the head are made in advance, the others when they are first asked for."""
 
-    def __init__(self, head: dict[str, list[int]], ranks: dict[bytes, int]) -> None:
-        super().__init__(head)
-        self.head, self.ranks = head, ranks
+    def __init__(self, head: Iterator[tuple[str, list[int]]], entry: Callable, merge: Callable[[str], list[int]]) -> None:
+        super().__init__((word, entry(ids)) for word, ids in head)
+        self.head, self.entry, self.merge = dict(self), entry, merge
 
-    def __missing__(self, word: str) -> list[int]:
+    def __missing__(self, word: str):
         if len(self) > len(self.head) + _KEPT:
             self.clear()
             self.update(self.head)
-        ids = self[word] = merge_word(word.encode("utf-8", "surrogatepass"), self.ranks)
-        return ids
+        found = self[word] = self.entry(self.merge(word))
+        return found
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -188,31 +203,93 @@ def encoded_head(docs: DataFrame, ranks: dict[bytes, int], pattern: str, head: i
     return dealt.select("word", fold_merges(F.encode("word", "UTF-8"), ranks).alias("ids"))
 
 
+def _shared(docs: DataFrame, ranks: dict[bytes, int], pattern: str, head: int):
+    """The head's words and the ranks, broadcast."""
+    # at most ``head`` words, kept in columns: the driver needs them only to pass them on
+    settled_head = settled(encoded_head(docs, ranks, pattern, head), "bpe-head")
+    known = settled_head.toArrow()
+    discard(settled_head)
+    return docs.sparkSession.sparkContext.broadcast((known, ranks))
+
+
+def _rows(table: pa.Table) -> Iterator[tuple]:
+    for batch in table.to_batches(max_chunksize=4096):
+        yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, head: int = HEAD) -> DataFrame:
     """``docs`` with ``ids`` (array<int>) in place of any column of that name; every other column stays."""
-    # at most ``head`` words, kept in columns: the driver needs them only to pass them on
-    known = settled(encoded_head(docs, ranks, pattern, head), "bpe-head").toArrow()
-    shared = docs.sparkSession.sparkContext.broadcast((known, ranks))
+    shared = _shared(docs, ranks, pattern, head)
     docs = docs.drop("ids")
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = regex.compile(pattern).findall
         table, ranks = shared.value
-        ids_of = _Words(dict(zip(*(column.to_pylist() for column in table.columns), strict=True)), ranks).__getitem__
+        ids_of = _Words(_rows(table), lambda ids: ids, _library(ranks, pattern)).__getitem__
         for batch in batches:
             found = [
                 np.fromiter(chain.from_iterable(map(ids_of, cut(text))), dtype=np.int32) for text in texts_of(batch, at)
             ]
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            flat = np.concatenate(found) if found else np.empty(0, dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "ids"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _lists(found)], names=[*batch.schema.names, "ids"])
 
     schema = docs.withColumn("ids", F.lit(None).cast("array<int>")).schema
     return docs.mapInArrow(run, schema)
 
 
+def _lists(found: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+    flat = np.concatenate(found) if found else np.empty(0, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
+def encode_and_decode(
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: Sequence[str] = ("doc_id",), ids: bool = False,
+    head: int = HEAD,
+) -> DataFrame:
+    """The columns ``keep`` of ``docs``, ``ids`` if asked for, and what ``decode`` adds, in one pass over the texts."""
+    shared = _shared(docs, ranks, pattern, head)
+    keep = list(keep)
+    chosen = docs.select(*keep, F.col("text").alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = regex.compile(pattern).findall
+        table, ranks = shared.value
+        piece_of = _pieces(ranks)
+
+        def entry(found: list[int]) -> tuple:
+            own = np.array(found, dtype=np.int32) if ids else None
+            return len(found), ",".join(map(str, found)), b"".join(map(piece_of.__getitem__, found)), own
+
+        entry_of = _Words(_rows(table), entry, _library(ranks, pattern)).__getitem__
+        for batch in batches:
+            counts, ids_digests, digests, lists = [], [], [], []
+            for text in texts_of(batch, "_text"):
+                sizes, decimals, pieces, own = zip(*map(entry_of, cut(text))) if text else ((), (), (), ())
+                counts.append(sum(sizes))
+                ids_digests.append(hashlib.sha256(",".join(decimals).encode()).hexdigest())
+                digests.append(hashlib.sha256(b"".join(pieces)).hexdigest())
+                if ids:
+                    lists.append(np.concatenate(own) if own else np.empty(0, dtype=np.int32))
+            made = [pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(digests, pa.string())]
+            columns = [*(batch.column(name) for name in keep), *([_lists(lists)] if ids else []), *made]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    added = {"ids": "array<int>"} if ids else {}
+    added |= {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
+    names = [*keep, *added]
+    schema = docs.select(*keep, *(F.lit(None).cast(kind).alias(name) for name, kind in added.items())).schema
+    return chosen.mapInArrow(run, schema)
+
+
+def _pieces(ranks: dict[bytes, int]) -> list[bytes]:
+    """The bytes of each id."""
+    pieces = [b""] * (max(ranks.values()) + 1)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    return pieces
+
+
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``encoded`` (ids, and others) with n_tokens, ids_sha256 (of the decimal ids, joined by commas) and
     decoded_sha256 (of the decoded bytes)."""
@@ -221,10 +298,8 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     at = encoded.columns.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decimal = [str(rank) for rank in range(max(shared.value.values()) + 1)]
-        piece_of = [b""] * len(decimal)
-        for piece, rank in shared.value.items():
-            piece_of[rank] = piece
+        piece_of = _pieces(shared.value)
+        decimal = [str(rank) for rank in range(len(piece_of))]
         for batch in batches:
             counts, ids_digests, digests = [], [], []
             for value in batch.column(at):

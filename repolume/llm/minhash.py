@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repolume.llm.common import discard, hash_windows, hash_words, mix, settled, texts_of
+from repolume.llm.common import discard, hash_windows, hash_words, mix, settled, small, texts_of
 
 SHINGLE = 5
 SIMILAR = 75  # per cent of the union
@@ -51,6 +51,8 @@ LEAF = 40  # a node is compared exhaustively if at most so many of its rows lie
 SHRINK = 0.2
 CELL = 400  # rows on each side of a cell in which blocks of rare shingles are compared
 BUCKETS = 1 << 17  # of hashes, by whose counts shingles are ordered, rare ones first
+# A list of so many ids at most (8 MB) is broadcast, to take the texts that are wanted before any is shuffled.
+IDS = 1_000_000
 # Estimates from 64 coordinates have a standard deviation of 0.054 at 0.75: this lies more than four of them below.
 LEAST_ESTIMATE = 33
 _BLOCK = 4096
@@ -175,7 +177,7 @@ def estimate(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b) whose full shingle sets are similar enough; ``texts`` has id and text."""
+    """The ``pairs`` (a, b) whose full shingle sets are similar enough, settled; ``texts`` has id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, known = None, set()
@@ -190,11 +192,22 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 passed.append(100 * common >= SIMILAR * (len(known) + len(other) - common))
             yield batch.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
+    pairs = settled(pairs.select("a", "b"), "minhash-candidates")
+    ids = settled(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "minhash-ids")
+    texts = _wanted(texts, ids)
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.select("a", "b").join(right, "b").join(left, "a")
+    both = pairs.join(right, "b").join(left, "a")
     kind = texts.schema["id"].dataType.simpleString()
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    links = both.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    links = settled(links, "minhash-confirmed")
+    discard(pairs, ids)
+    return links
+
+
+def _wanted(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose id is among ``ids`` (settled), where they lie if the list is short."""
+    return texts.join(small(ids, IDS), "id", "left_semi")
 
 
 def roots(parents: DataFrame) -> DataFrame:
@@ -300,11 +313,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     discard(shared)
 
     # one text per id; ids that several rows share bring several
-    members = rows.select(F.col("id").alias("doc_id")).distinct()
-    texts = settled(
-        docs.select("doc_id", "text").join(members, "doc_id", "left_semi").withColumnRenamed("doc_id", "id"),
-        "minhash-texts",
-    )
+    members = settled(rows.select("id").distinct(), "minhash-members")
+    texts = settled(_wanted(docs.select(F.col("doc_id").alias("id"), "text"), members), "minhash-texts")
+    discard(members)
     joined = roots(hub_links(rows, classes, texts))
     component = F.coalesce("component", "id").alias("component")
     now = lambda nodes: nodes.select("node", "id").join(joined, "id", "left").select("node", "id", component)
@@ -325,7 +336,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     discard(mixed)
     if large:  # texts that share much
         links = hub_links(left, classes, texts).select(F.col("component").alias("a"), F.col("id").alias("b"))
-        joined = settled(_merged(joined, settled(links, "minhash-large")), "minhash-joined")
+        joined = settled(_merged(joined, links), "minhash-joined")
         mixed = _mixed(now(left))
         found.append(_exhaustive(mixed, classes))
         rest = settled(_large(mixed).select("id", "component").distinct(), "minhash-rest")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolume.llm.byte_bpe import decode, encode, read_ranks
+from repolume.llm.byte_bpe import encode_and_decode, read_ranks
 from repolume.llm.exact_dedup import exact_dedup
 from repolume.llm.minhash import near_duplicates
 from repolume.llm.mixing import mix_sources
@@ -55,8 +55,7 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    encoded = encode(table(spark, folder, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    return decode(encoded.select("doc_id", "ids"), ranks).drop("ids")
+    return encode_and_decode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
 
 
 @query(

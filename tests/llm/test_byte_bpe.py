@@ -3,13 +3,14 @@ import random
 
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from repolume.llm.byte_bpe import (
-    _merge_long, decode, decoded_bytes, encode, encoded_head, fold_merges, merge_word, read_ranks,
+    _merge_long, decode, decoded_bytes, encode, encode_and_decode, encoded_head, fold_merges, merge_word, read_ranks,
 )
 
 RANKS = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -51,6 +52,30 @@ def test_texts_are_encoded_as_the_library_does_and_decode_to_themselves(document
         assert all(bytes(row["bytes"]) == (row["text"] or "").encode() for row in native.collect())
 
 
+@pytest.mark.parametrize("head, ids", [(0, True), (5, False), (1 << 17, True)])
+def test_one_pass_gives_what_two_give(documents, head, ids):
+    docs = documents(*enumerate(TEXTS), (3, " "), (None, "null id"), (20, " " * 40_000 + "x"))
+    found = encode_and_decode(docs, RANKS, public_tokenizers.PATTERN, ["doc_id", "source", "ids2", "text"], ids, head)
+    assert found.columns == ["doc_id", "source", "ids2", "text", *["ids"] * ids, "n_tokens", "ids_sha256", "decoded_sha256"]
+    got = found.collect()
+    assert len(got) == docs.count()
+    for row in got:
+        text = row["text"] or ""
+        want = merge_all(text)
+        assert not ids or row["ids"] == want
+        assert row["n_tokens"] == len(want) and row["ids2"] == 7
+        assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def merge_all(text):
+    """The library's ids, or those of its words where its pattern gives up."""
+    try:
+        return LIBRARY.encode_ordinary(text)
+    except ValueError:
+        return [i for word in regex.findall(public_tokenizers.PATTERN, text) for i in merge_word(word.encode(), RANKS)]
+
+
 def test_the_head_is_bounded_and_has_the_most_frequent_words(documents):
     docs = documents((1, "a a a a b b b c c d e"))
     assert {row["word"] for row in encoded_head(docs, RANKS, r"\w", 3).collect()} == {"a", "b", "c"}
@@ -59,4 +84,5 @@ def test_the_head_is_bounded_and_has_the_most_frequent_words(documents):
 
 def test_no_documents(documents):
     empty = documents((1, "a")).where("false")
+    assert encode_and_decode(empty, RANKS, public_tokenizers.PATTERN).count() == 0
     assert decode(encode(empty, RANKS, public_tokenizers.PATTERN), RANKS).count() == 0
