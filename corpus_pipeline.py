@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from repolume.llm.byte_bpe import decode, encode, read_ranks
+from repolume.llm.byte_bpe import encode_and_decode, read_ranks
 from repolume.llm.exact_dedup import drop_copies
 from repolume.llm.minhash import drop_near_duplicates
 from repolume.llm.mixing import take_copies
@@ -44,7 +44,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, ids, n_tokens and the digests of ids and decoded bytes of each row."""
     ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return decode(encode(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "source", "ids"), ranks)
+    return encode_and_decode(docs, ranks, public_tokenizers.PATTERN, ["doc_id", "source"], ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
