@@ -25,6 +25,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
+def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int) -> DataFrame:
+    """The first ``limit`` rows of each key in ``order``, trimmed per task like ``first_per_key``."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
+
+
 def _cut_points(df: DataFrame, key: Column, parts: int, share: float) -> DataFrame:
     """``_outer`` and ``_cuts`` of each value of ``_range``: its sorted cut points, at most ``parts - 1``.
 

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repolume.functions.ranking import first_per_key, with_position
+from repolume.functions.ranking import first_per_key, first_rows, with_position
 from repolume.functions.scalars import changed
 from repolume.operators.lookups import lookup, unknown_only
 from repolume.operators.ordering import page
@@ -127,6 +127,36 @@ def read_since(
     return page(df, limit, 0, updated_at, key)
 
 
+def next_pages(
+    df: DataFrame, cursors: DataFrame, limit: int, updated_at: str = "updated_at", key: str = "id",
+    scope: Sequence[str] = (REPO,),
+) -> DataFrame:
+    """``read_since`` for every repository at once: the next ``limit`` records of each after its own cursor.
+
+    ``cursors`` has one row ``(scope, updated_at, key)`` per repository that was read before; a repository without one is
+    read from its beginning, and one whose cursor is at its end gives no row. Records without a time come first. Each
+    task keeps the first ``limit`` records of a repository before anything is shuffled, so a repository of any size sends
+    one page per task.
+    """
+    scope = list(scope)
+    places = cursors.select(*scope, F.col(updated_at).alias("_at"), F.col(key).alias("_id"), F.lit(True).alias("_begun"))
+    found = lookup(df, places, {c: c for c in scope}, {"_at": "_at", "_id": "_id", "_begun": "_begun"}, hot=True)
+    same, beyond = F.col(updated_at).eqNullSafe(F.col("_at")), F.col(key) > F.col("_id")
+    later = F.col(updated_at).isNotNull() & (F.col("_at").isNull() | (F.col(updated_at) > F.col("_at")))
+    waiting = found.where(F.col("_begun").isNull() | later | (same & beyond)).drop("_at", "_id", "_begun")
+    return first_rows(waiting, scope, [F.col(updated_at), F.col(key)], limit)
+
+
+def advance_cursors(
+    cursors: DataFrame, pages: DataFrame, updated_at: str = "updated_at", key: str = "id", scope: Sequence[str] = (REPO,)
+) -> DataFrame:
+    """The cursors after ``pages`` were read: each repository's last record in the order of ``next_pages``."""
+    columns = [*scope, updated_at, key]
+    last = F.max(F.struct(updated_at, key)).alias("_last")  # NULL times are the smallest, as in the listing
+    moved = cursors.select(*columns).unionByName(pages.select(*columns)).groupBy(*scope).agg(last)
+    return moved.select(*scope, F.col(f"_last.{updated_at}").alias(updated_at), F.col(f"_last.{key}").alias(key))
+
+
 def cursor_pages(
     df: DataFrame, size: int, updated_at: str = "updated_at", key: str = "id", scope: Sequence[str] = (),
     name: str = "page",

@@ -14,11 +14,14 @@ from repolume.operators import projections
 from repolume.operators.aggregates import repository_summary
 from repolume.operators.enrich import branch_names
 from repolume.operators.incremental import overflow_union, upsert
+from repolume.operators.lookups import known_only
 from repolume.operators.setops import union_tagged
 from repolume.plans.selection import TableSelection
 from repolume.plans.versions import version_tables
 from repolume.schemas import REPO, TABLES
-from repolume.sinks.tables import append_users, save_table
+from repolume.session import discard, settled
+from repolume.sinks.tables import append_users, buckets_of, save_table
+from repolume.sources.tables import read_table
 
 ISSUE, COMMENT, REVIEW_COMMENT = REACTION_PARENTS
 
@@ -170,12 +173,33 @@ _KEYS = {
 _WHOLE = ("users", "commits", "edits", "branches", "repository")
 
 
+def key_of(table: str) -> tuple[str, ...]:
+    """The columns that tell the records of a table apart."""
+    return (REPO, *_KEYS.get(table, (TABLES[table].key,)))
+
+
+def updated_column(table: str) -> str | None:
+    """The column with the update time of a table's records, if they have one."""
+    return _UPDATED.get(table)
+
+
+def merge_table(landed: DataFrame, root: str, table: str) -> None:
+    """Lay ``landed`` rows of a table over the stored ones. Only the buckets of their repositories are read and written;
+    doing it twice gives the same table."""
+    spark = landed.sparkSession
+    landed = settled(landed.select(*TABLES[table].columns), f"merge-{table}")
+    touched = landed.select(REPO).distinct()
+    stored = read_table(spark, root, table, buckets=buckets_of(touched))
+    save_table(refresh(table, known_only(stored, touched, [REPO]), landed), root, table, touched)
+    discard(landed)
+
+
 def refresh(table: str, stored: DataFrame, landed: DataFrame) -> DataFrame:
     """Stored rows with a partial landing laid over them: the newest version of each record, or the landed one of
     records that have no update time."""
     if table in _WHOLE:
         raise ValueError(f"{table} is built from whole landings")
-    key = (REPO, *_KEYS.get(table, (TABLES[table].key,)))
+    key = key_of(table)
     if table in _UPDATED:
         return upsert(stored, landed, key, _UPDATED[table])
     both = stored.withColumn("_is_new", F.lit(0)).unionByName(landed.withColumn("_is_new", F.lit(1)), True)

@@ -8,18 +8,19 @@ from repolume.functions.people import People
 from repolume.operators import projections
 from repolume.operators.filters import select_repositories
 from repolume.operators.identity import unknown_users
-from repolume.operators.incremental import content_per_repository, updates_per_repository
+from repolume.operators.incremental import content_per_repository, next_pages, updates_per_repository
 from repolume.operators.lookups import known_only
 from repolume.operators.setops import concat
-from repolume.plans.activity import build_tables, cursors, refresh, summary_sources
+from repolume.plans.activity import build_tables, cursors, merge_table, summary_sources
 from repolume.plans.selection import TableSelection
-from repolume.plans.versions import repair_identities
+from repolume.plans.versions import COMMIT_STATE, commit_state, refresh_versions, repair_identities, state_path
 from repolume.schemas import RAW, REPO, TABLES
 from repolume.session import remove, scratch_dir
-from repolume.sinks.tables import add_repositories, append_users, catalog, export_tables, save_table
+from repolume.sinks.tables import add_repositories, append_users, catalog, export_tables, save_state, save_table
 from repolume.sources.mined import read_mined_commits, read_mined_edits
 from repolume.sources.pages import read_pages
 from repolume.sources.tables import read_registry, read_table
+from repolume.streaming.ingest import stream_into_store, stream_pages
 
 # Raw entities that stand or fall with one listing: entity of the listing -> what is built from it, its
 # projection, its stored table and its time. Releases have no update time: drafts and edits show in the content only.
@@ -30,6 +31,14 @@ _LISTINGS = {
     "workflow": (("workflow",), projections.workflows, "workflows", "updated_at"),
     "workflow_run": (("workflow_run",), projections.workflow_runs, "workflow_runs", "updated_at"),
 }
+# Raw entity -> its projection and table, where one landed record is one row.
+_STREAMED = {
+    "issue": (projections.issues, "issues"), "issue_comment": (projections.issue_comments, "issue_comments"),
+    "issue_event": (projections.issue_events, "issue_events"),
+    "review_comment": (projections.review_comments, "review_comments"), "release": (projections.releases, "releases"),
+    "workflow": (lambda raw, _: projections.workflows(raw), "workflows"),
+    "workflow_run": (lambda raw, _: projections.workflow_runs(raw), "workflow_runs"),
+}
 # Table -> what its rows are made from: a repository landed there is replaced in the table.
 _ORIGINS = {
     "issues": ("issue",), "issue_comments": ("issue_comment", "issue"), "issue_events": ("issue_event", "issue"),
@@ -140,6 +149,10 @@ class Workspace:
                 save_table(df, self.root, name)
             elif name != "users":
                 save_table(df, self.root, name, concat(*[landed[origin].select(REPO) for origin in _ORIGINS[name]]))
+        if "commits" in tables:  # what a later part of the logs is resolved with
+            accounts = projections.commit_accounts(raw["commit_account"], self.people)
+            state = commit_state(commits, accounts, projections.tags(raw["tag"]))
+            save_state(state, state_path(self.root), COMMIT_STATE, commits)
         for folder in folders:
             remove(self.spark, folder)
 
@@ -147,19 +160,37 @@ class Workspace:
         """Lay a partial landing (pages since a cursor) over what is stored.
 
         Of a record with an update time the newest version stays; of other records the landed one. Records that
-        were not landed stay as they are, as do tables that can only be built from whole landings (the mined
-        tables and the repository summary).
+        were not landed stay as they are, as does the repository summary. Parts of the mined logs are resolved
+        together with what is stored of their repositories.
         """
+        selection = selection or TableSelection()
         folders: list[str] = []
         raw = self._columnar(self.landed(landing), folders)
-        tables = build_tables(raw, selection or TableSelection(), self.people)
+        tables = build_tables(raw, selection, self.people)
         append_users(tables.pop("users"), self.root)
         for name, df in tables.items():
             if name != "repository":
-                save_table(refresh(name, self.table(name), df), self.root, name)
+                merge_table(df, self.root, name)
+        if "commits" in selection.tables():
+            refresh_versions(
+                self.spark, self.root, read_mined_commits(self.spark, f"{landing}/mined_commits"),
+                read_mined_edits(self.spark, f"{landing}/mined_edits"),
+                projections.commit_accounts(raw["commit_account"], self.people), read_table(self.spark, self.root, "users"),
+                projections.tags(raw["tag"]),
+            )
         for folder in folders:
             remove(self.spark, folder)
 
+    def ingest(self, entity: str, pages: str, checkpoint: str, max_files: int = 1000) -> None:
+        """Stream landed pages of an entity into its table, from where the last call stopped."""
+        project, table = _STREAMED[entity]
+        stream = stream_pages(self.spark, pages, entity, max_files)
+        stream_into_store(stream, self.root, table, checkpoint, lambda raw: project(raw, self.people)).awaitTermination()
+
+    def next_pages(self, name: str, cursors: DataFrame, limit: int) -> DataFrame:
+        """The next records of a table after each repository's own cursor (``repo_full_name, updated_at, id``)."""
+        return next_pages(self.table(name), cursors, limit)
+
     def cursors(self, name: str) -> DataFrame:
         """Per repository the time and id after which a listing of the table goes on."""
         return cursors(name, self.table(name))

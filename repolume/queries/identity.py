@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from repolume.functions.ranking import with_position
 from repolume.operators import identity
+from repolume.operators.lookups import array_lookup
+from repolume.plans.versions import refresh_versions as lay_over
 from repolume.plans.versions import version_tables as pipeline
 from repolume.queries.base import Source, as_json, naive, query, sql_pseudonym, stored, tag, text
 from repolume.schemas import MINED_EDITS, REPO
+from repolume.session import scratch_dir
+from repolume.sources.tables import read_table
 
 c, lit, when = F.col, F.lit, F.when
 
@@ -228,8 +232,26 @@ def _mined_commits(orders: DataFrame) -> DataFrame:
     )
 
 
-@query(
-    """
+def _version_inputs(t: Source) -> tuple[DataFrame, ...]:
+    mined = _mined_commits(t.orders)
+    accounts = t.orders.select(
+        tag("org/", "o_orderstatus").alias(REPO), tag("sha", "o_orderkey").alias("sha"),
+        when(c("o_orderpriority").startswith("1"), tag("A", "o_custkey")).alias("author"),
+        when(c("o_orderpriority").startswith("2"), tag("A", "o_custkey")).alias("committer"),
+    )
+    repositories = F.explode(F.array(lit("org/F"), lit("org/O")))
+    users = _users(t.supplier).withColumn(REPO, repositories)
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    marks = t.lineitem.where(c("l_quantity") >= 45).groupBy("l_orderkey").agg(
+        F.max_by("l_returnflag", F.struct(*order)).alias("name")
+    )
+    tags = marks.join(t.orders, c("l_orderkey") == c("o_orderkey")).select(
+        tag("org/", "o_orderstatus").alias(REPO), lit(0).alias("seq"), tag("sha", "o_orderkey").alias("sha"), "name"
+    )
+    return mined, accounts, users, tags
+
+
+_SQL_VERSIONS = """
     WITH commits AS (
       SELECT concat('org/', o_orderstatus) AS repo, o_orderkey AS seq,
              CASE WHEN o_orderkey % 10 = 0 THEN 'GitHub' ELSE concat('C', o_custkey % 40) END AS committer_name,
@@ -266,31 +288,41 @@ def _mined_commits(orders: DataFrame) -> DataFrame:
            CASE WHEN a IS NULL AND k IS NULL THEN hit ELSE k END AS committer,
            CASE WHEN a IS NULL AND k IS NULL AND hit IS NULL THEN committer_name END AS unknown_user,
            o_orderdate AS commited_at, o_orderpriority AS commit_message, coalesce(tag, '') AS tag,
-           to_json([m.id, b.id])::VARCHAR AS branch_ids
+           {branches}
     FROM own LEFT JOIN tags ON l_orderkey = seq
          JOIN dictionary m ON m.repo = own.repo AND m.branch = 'main'
          JOIN dictionary b ON b.repo = own.repo AND b.branch = lower(o_orderpriority)
-    """
-)
+"""
+
+
+@query(_SQL_VERSIONS.replace("{branches}", "to_json([m.id, b.id])::VARCHAR AS branch_ids"))
 def version_tables(t: Source) -> DataFrame:
     """Commits of three repositories through the whole pipeline: shape, identities, tags, branches."""
-    mined = _mined_commits(t.orders)
-    accounts = t.orders.select(
-        tag("org/", "o_orderstatus").alias(REPO), tag("sha", "o_orderkey").alias("sha"),
-        when(c("o_orderpriority").startswith("1"), tag("A", "o_custkey")).alias("author"),
-        when(c("o_orderpriority").startswith("2"), tag("A", "o_custkey")).alias("committer"),
-    )
-    repositories = F.explode(F.array(lit("org/F"), lit("org/O")))
-    users = _users(t.supplier).withColumn(REPO, repositories)
-    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
-    marks = t.lineitem.where(c("l_quantity") >= 45).groupBy("l_orderkey").agg(
-        F.max_by("l_returnflag", F.struct(*order)).alias("name")
-    )
-    tags = marks.join(t.orders, c("l_orderkey") == c("o_orderkey")).select(
-        tag("org/", "o_orderstatus").alias(REPO), lit(0).alias("seq"), tag("sha", "o_orderkey").alias("sha"), "name"
-    )
+    mined, accounts, users, tags = _version_inputs(t)
     commits = pipeline(mined, t.spark.createDataFrame([], MINED_EDITS), accounts, users, tags)["commits"]
     shown = commits.select(
         REPO, "commit_sha", "author", "committer", "unknown_user", "commited_at", "commit_message", "tag", "branch_ids"
     )
     return as_json(naive(shown), "branch_ids")
+
+
+@query(_SQL_VERSIONS.replace("{branches}", "to_json(['main', lower(o_orderpriority)])::VARCHAR AS branches"))
+def refresh_versions(t: Source) -> DataFrame:
+    """The version tables of one whole landing, out of two: the first commits of most names land second, and so do all tags."""
+    mined, accounts, users, tags = _version_inputs(t)
+    spark, root = t.spark, scratch_dir(t.spark, "versions")
+    none = t.spark.createDataFrame([], MINED_EDITS)
+    for late in (True, False):
+        part = lambda df, number: df.where((number % 3 == 0) if late else (number % 3 != 0))
+        sha_number = F.substring("sha", 4, 20).cast("long")
+        lay_over(
+            spark, root, part(mined, c("seq")), none, part(accounts, sha_number), users, tags.limit(0) if late else tags
+        )
+    commits = array_lookup(
+        read_table(spark, root, "commits"), read_table(spark, root, "branches"), "branch_ids", "branches", [REPO], "id",
+        "branch_names",
+    )
+    shown = commits.select(
+        REPO, "commit_sha", "author", "committer", "unknown_user", "commited_at", "commit_message", "tag", "branches"
+    )
+    return as_json(naive(shown), "branches")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from repolume.functions.ranking import first_rows
 from repolume.operators import incremental, ordering, setops
 from repolume.queries.base import Source, query
 
@@ -135,6 +136,23 @@ def cursor_pages_per_parent(t: Source) -> DataFrame:
     return incremental.cursor_pages(events, 10, "ts", "event_id", ["user_id"]).drop("ts")
 
 
+@query(
+    """
+    SELECT user_id, event_id, ts FROM events
+    QUALIFY CASE WHEN count(*) OVER (PARTITION BY user_id) < 3 THEN 0 ELSE 3 END
+        BETWEEN row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 5
+            AND row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1
+    """
+)
+def next_pages(t: Source) -> DataFrame:
+    """Five more events of every user, after cursors on the third event of those that have three."""
+    events = t.events.select("user_id", "event_id", "ts")
+    read = first_rows(events, ["user_id"], [c("ts"), c("event_id")], 3)
+    enough = read.groupBy("user_id").count().where("count = 3")
+    cursors = incremental.advance_cursors(events.limit(0), read.join(enough, "user_id", "left_semi"), "ts", "event_id", ["user_id"])
+    return incremental.next_pages(events, cursors, 5, "ts", "event_id", ["user_id"])
+
+
 @query(
     """
     WITH pool AS (

@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from repolume.operators import projections
 from repolume.queries.base import TABLE_NAMES, Source, naive, query, sql_pseudonym, tag
-from repolume.queries.records import raw_events, raw_issues
+from repolume.queries.records import SQL_COMMENT_TIME, raw_comments, raw_events, raw_issues
 from repolume.schemas import REPO, TABLES
 from repolume.session import scratch_dir
 from repolume.sinks.tables import add_repositories, append_users, export_tables, read_export, save_table
 from repolume.sources.archives import archive_lines, count_members
 from repolume.sources.tables import read_registry, read_table
-from repolume.streaming.ingest import append_versions, current_state, stream_pages
+from repolume.streaming.ingest import append_versions, current_state, stream_into_store, stream_pages
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -133,6 +133,26 @@ def stream_cursor_ingest(t: Source) -> DataFrame:
     return naive(state.select("id", "issue_id", "event", "author", "created_at"))
 
 
+@query(
+    f"""
+    SELECT 'org/chat' AS repo_full_name, conv_id * 1000 + turn AS id, {sql_pseudonym("role")} AS author, text AS body,
+           {SQL_COMMENT_TIME} AS updated_at
+    FROM conversations
+    """
+)
+def stream_store_ingest(t: Source) -> DataFrame:
+    """Comments streamed into the store: stale versions of two thirds first, all of them, and stale ones again, late."""
+    spark, folder = t.spark, scratch_dir(t.spark, "stream-store")
+    raw = raw_comments(t.conversations).drop("reactions")
+    stale = raw.withColumns({"updated_at": c("updated_at") - F.expr("interval 1 day"), "body": lit("stale")})
+    for part in (stale.where("id % 3 > 0"), raw, stale):
+        pages = _pages(part).write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        pages.json(f"{folder}/landed")
+        stream = stream_pages(spark, f"{folder}/landed", "issue_comment")
+        stream_into_store(stream, f"{folder}/store", "issue_comments", f"{folder}/check", projections.issue_comments).awaitTermination()
+    return naive(read_table(spark, f"{folder}/store", "issue_comments").select(REPO, "id", "author", "body", "updated_at"))
+
+
 def _zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One archive per document: its paragraphs as members; French ones stay plain bytes."""
     for batch in batches:

@@ -12,7 +12,7 @@ from repolume.functions.ranking import first_per_key
 from repolume.operators.lookups import lookup, unknown_only
 from repolume.schemas import REPO, TABLES
 from repolume.session import remove, scratch_dir
-from repolume.sources.tables import BUCKET, bucket_of, read_or_empty, read_registry, read_table, table_path
+from repolume.sources.tables import BUCKET, bucket_of, read_bucketed, read_or_empty, read_registry, read_table, table_path
 
 
 def _write(df: DataFrame, path: str, mode: str) -> set[int]:
@@ -31,7 +31,7 @@ def _write(df: DataFrame, path: str, mode: str) -> set[int]:
     return set(seen.get["buckets"] or ())
 
 
-def _buckets(df: DataFrame) -> set[int]:
+def buckets_of(df: DataFrame) -> set[int]:
     """Buckets of the repositories in ``df``: at most ``BUCKETS`` small integers."""
     return {row[0] for row in df.select(bucket_of(F.col(REPO))).distinct().collect()}
 
@@ -50,20 +50,28 @@ def save_table(df: DataFrame, root: str, table: str, repositories: DataFrame | N
         staged = scratch_dir(spark, f"save-{table}")
         df.write.parquet(staged)
         df = spark.read.schema(spec.schema).parquet(staged)
-    replaced = (df if repositories is None else repositories).select(REPO).distinct()
-    buckets = _buckets(replaced)
-    stored = read_table(spark, root, table).where(bucket_of(F.col(REPO)).isin(list(buckets)))
-    kept = unknown_only(stored, replaced, [REPO])
-    if buckets:
-        # a bucket that loses its last row is in no partition that is written, so it is emptied on its own
-        emptied = buckets - _write(df.unionByName(kept), path, "overwrite")
-        for bucket in sorted(emptied):
-            nothing = spark.createDataFrame([], spec.schema)
-            nothing.write.mode("overwrite").parquet(f"{path}/{BUCKET}={bucket}")
+    _replace(df, path, spec.schema, (df if repositories is None else repositories).select(REPO).distinct())
     if staged:
         remove(spark, staged)
 
 
+def _replace(df: DataFrame, path: str, schema: T.StructType, replaced: DataFrame) -> None:
+    """Replace the rows of the repositories ``replaced`` below ``path`` by ``df``; only their buckets are read and written."""
+    spark, buckets = df.sparkSession, buckets_of(replaced)
+    if not buckets:
+        return
+    stored = read_bucketed(spark, path, schema, buckets).select(*schema.names)
+    # a bucket that loses its last row is in no partition that is written, so it is emptied on its own
+    emptied = buckets - _write(df.unionByName(unknown_only(stored, replaced, [REPO])), path, "overwrite")
+    for bucket in sorted(emptied):
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{BUCKET}={bucket}")
+
+
+def save_state(df: DataFrame, path: str, schema: T.StructType, replaced: DataFrame) -> None:
+    """``save_table`` for what is kept beside the tables."""
+    _replace(df.select(*schema.names), path, schema, replaced.select(REPO).distinct())
+
+
 def save_together(tables: dict[str, DataFrame], root: str) -> None:
     """Save tables that were derived from each other's stored rows.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,14 +39,23 @@ def table_path(root: str, table: str) -> str:
     return "/".join(part for part in (root.rstrip("/"), spec.folder, spec.name) if part)
 
 
-def read_table(spark: SparkSession, root: str, table: str, repositories: list[str] | None = None) -> DataFrame:
-    """A stored table, whole or for some repositories; empty with all its columns if it was never saved.
+def read_bucketed(spark: SparkSession, path: str, schema: T.StructType, buckets: Iterable[int] | None = None) -> DataFrame:
+    """Rows that are stored by bucket; naming ``buckets`` reads only their files."""
+    df = read_or_empty(spark, path, T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())]))
+    if buckets is not None:
+        df = df.where(F.col(BUCKET).isin(*buckets))
+    return df
+
+
+def read_table(
+    spark: SparkSession, root: str, table: str, repositories: list[str] | None = None, buckets: Iterable[int] | None = None
+) -> DataFrame:
+    """A stored table, whole or for some repositories or buckets; empty with all its columns if it was never saved.
 
-    Naming repositories prunes the files to their buckets.
+    Naming repositories or buckets prunes the files.
     """
     spec = TABLES[table]
-    stored = T.StructType([*spec.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-    df = read_or_empty(spark, table_path(root, table), stored)
+    df = read_bucketed(spark, table_path(root, table), spec.schema, buckets)
     if repositories is not None:
         buckets = [bucket_of(F.lit(name)) for name in repositories]
         df = df.where(F.col(BUCKET).isin(*buckets) & F.col(REPO).isin(*repositories))

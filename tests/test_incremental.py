@@ -1,3 +1,4 @@
+from collections import Counter
 import random
 from datetime import datetime, timedelta
 
@@ -153,3 +154,31 @@ def test_positions_with_null_groups_and_an_empty_table(spark, frame):
     got = with_position(df, ["k"], ["g"], "p", per_range=12)
     assert got.count() == 50 and got.groupBy("g").agg(F.max("p") + 1 == F.count("*")).where("not `((max(p) + 1) = count(1))`").count() == 0
     assert with_position(df.limit(0), ["k"], ["g"]).count() == 0
+
+
+def test_walking_all_repositories_by_cursors_gives_each_record_once(spark, tmp_path):
+    """Repositories of 1 and of many rows in one job, times that repeat or are missing."""
+    from repolume.operators.incremental import advance_cursors, next_pages
+
+    listing = spark.sql(
+        "SELECT concat('o/', r) AS repo_full_name, i AS id, IF(i % 7 = 0, NULL, timestamp'2024-01-01' + make_interval(0,0,0,i div 5)) AS updated_at "
+        "FROM (SELECT 0 AS r, explode(sequence(1, 95)) AS i UNION ALL SELECT 1, 7 UNION ALL SELECT 2, explode(sequence(1, 20)))"
+    )
+    cursors, read, rounds = listing.limit(0), [], 0
+    while True:
+        page = next_pages(listing, cursors, 20)
+        got = [tuple(row) for row in page.collect()]
+        if not got:
+            break
+        assert max(Counter(row[0] for row in got).values()) <= 20
+        read += got
+        moved = advance_cursors(cursors, page)
+        moved.write.parquet(f"{tmp_path}/cursors{rounds}")
+        cursors, rounds = spark.read.parquet(f"{tmp_path}/cursors{rounds}"), rounds + 1
+    assert rounds == 5 and sorted(read, key=str) == sorted((tuple(row) for row in listing.collect()), key=str)
+    first = sorted(read[:41], key=str)
+    want = []
+    for repo in ("o/0", "o/1", "o/2"):
+        own = [tuple(r) for r in listing.collect() if r[0] == repo]
+        want += sorted(own, key=lambda r: (r[2] is not None, r[2], r[1]))[:20]
+    assert first == sorted(want, key=str)

@@ -9,7 +9,7 @@ from compare import connect, differences
 from repolume.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-WRITES = {"stored_table_replace", "registry_roundtrip", "stream_cursor_ingest", "export_roundtrip", "users_insert"}
+WRITES = {"stored_table_replace", "registry_roundtrip", "stream_cursor_ingest", "export_roundtrip", "users_insert", "stream_store_ingest", "refresh_versions"}
 
 
 @pytest.fixture(scope="module")
@@ -44,7 +44,7 @@ def test_plans(spark, name):
         assert match.group(1) == "BuildRight" and match.group(2) in ("Inner", "LeftOuter")
 
 
-@pytest.mark.parametrize("name", ["latest_per_id", "upsert_refresh", "stitch_pages", "events_overflow_union", "top_n_per_parent", "project_users"])
+@pytest.mark.parametrize("name", ["latest_per_id", "upsert_refresh", "stitch_pages", "events_overflow_union", "top_n_per_parent", "project_users", "next_pages"])
 def test_groups_are_trimmed_before_the_shuffle(spark, name):
     plan = plan_of(QUERIES[name](spark, SF))
     assert re.search(r"Exchange hashpartitioning.*\n.*WindowGroupLimit.*Partial", plan)

@@ -130,3 +130,40 @@ def test_scratch_folders_go_with_the_saves(spark, workspace, land, tmp_path, mon
     workspace.generate(land.folder, check_for_updates=True)
     assert workspace.table("issues").count() == 1
     assert [p for p in (tmp_path / "scratch").rglob("*.parquet")] == []
+
+
+def test_parts_of_the_mined_logs_add_up_to_a_whole_one(spark, frame, workspace, land, tmp_path):
+    commit = lambda i, name, branches="main": {"repo_full_name": "o/a", "seq": i, "hash": f"s{i}", "committer_name": name,
+                                               "branches": branches, "committer_date": "2024-01-01 00:00:00"}
+    edit = lambda i, sha: {"repo_full_name": "o/a", "id": i, "commit_hash": sha}
+    account = lambda i, who: {"sha": f"s{i}", "author": {"node_id": who, "name": who}}
+    only = TableSelection().all_false()
+    only.versions = True
+
+    def part(number, commits, edits, accounts, tags=()):
+        place = tmp_path / f"part{number}"
+        for entity, records in (("commit_account", accounts), ("tag", tags)):
+            (place / entity).mkdir(parents=True)
+            (place / entity / "p.json").write_text(json.dumps({"repo_full_name": "o/a", "page": 0, "items": list(records)}))
+        frame(MINED_COMMITS, *commits).write.parquet(f"{place}/mined_commits")
+        frame(MINED_EDITS, *edits).write.parquet(f"{place}/mined_edits")
+        return str(place)
+
+    second = [commit(5, "Ann", "main,dev"), commit(6, "Bob"), commit(7, "Cy")]
+    workspace.generate(part(1, second, [edit(2, "s5")], [account(5, "n5"), account(6, "n6")]), only)
+    assert rows(workspace.table("commits"), "commit_sha", "author", "unknown_user") == [
+        ("s5", "n5", None), ("s6", "n6", None), ("s7", None, "Cy")]
+    ids = dict(rows(workspace.table("branches"), "branch_names", "id"))
+    # the first commits of Ann and Bob land late, with a branch that sorts first, the account of s7 and a tag of s5
+    first = [commit(1, "Ann", "alpha,main"), commit(2, "Bob")]
+    late = part(2, first, [edit(1, "s1")], [account(1, "n1"), account(7, "n7")], [{"name": "v1", "commit": {"sha": "s5"}}])
+    for _ in range(2):  # laid over twice, it is the same
+        workspace.refresh(late, only)
+        assert rows(workspace.table("commits"), "commit_sha", "author", "unknown_user", "tag") == [
+            ("s1", "n1", None, ""), ("s2", None, "Bob", ""), ("s5", "n1", None, "v1"), ("s6", None, "Bob", ""), ("s7", "n7", None, "")]
+        assert rows(workspace.table("edits"), "id") == [(1,), (2,)]
+        now = dict(rows(workspace.table("branches"), "branch_names", "id"))
+        assert {name: now[name] for name in ids} == ids and now["alpha"] == max(ids.values()) + 1
+        named = {i: name for name, i in now.items()}
+        lists = {r["commit_sha"]: [named[i] for i in r["branch_ids"]] for r in workspace.table("commits").collect()}
+        assert lists["s1"] == ["alpha", "main"] and lists["s5"] == ["main", "dev"]
