@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repolume.functions.ranking import first_per_key, first_rows, with_position
@@ -78,6 +78,30 @@ def updates_per_repository(
     return found.select(*scope, verdict.alias(name))
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """Hash of a row to be summed up. A NULL leaves the hash as it is, so which columns are NULL is hashed too."""
+    return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns]).cast("decimal(38,0)")
+
+
+def children_per_repository(
+    repositories: DataFrame, new: DataFrame, old: DataFrame, scope: Sequence[str] = (REPO,), name: str = "has_updates"
+) -> DataFrame:
+    """Whether the children of each of ``repositories`` (say, the reactions under its issues) differ from the stored
+    ones in any column: one row per repository, also for those that have no child left or never had one.
+
+    New rows count for, stored rows against: equal sets, in any order, cancel out. One shuffle of one row per
+    repository and task.
+    """
+    scope = list(scope)
+    columns = [c for c in new.columns if c in old.columns and c not in scope]
+    signed = lambda df, sign: df.select(*scope, F.lit(sign).alias("_sign"), (row_digest(columns) * sign).alias("_digest"))
+    sums = signed(new, 1).unionByName(signed(old, -1)).groupBy(*scope).agg(F.sum("_sign").alias("_n"), F.sum("_digest").alias("_d"))
+    differing = sums.where((F.col("_n") != 0) | (F.col("_d") != 0)).withColumn("_differs", F.lit(True))
+    asked = repositories.select(*scope).distinct()
+    found = lookup(asked, differing, {c: c for c in scope}, {"_differs": "_differs"})
+    return found.select(*scope, F.coalesce("_differs", F.lit(False)).alias(name))
+
+
 def content_per_repository(
     new: DataFrame, old: DataFrame, scope: Sequence[str] = (REPO,), name: str = "has_updates"
 ) -> DataFrame:
@@ -88,7 +112,7 @@ def content_per_repository(
     """
     scope = list(scope)
     columns = [c for c in new.columns if c in old.columns and c not in scope]
-    digest = F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+    digest = F.sum(row_digest(columns))
     state = lambda df: df.groupBy(*scope).agg(F.struct(F.count("*"), digest).alias("_state"))
     known = state(old).withColumnRenamed("_state", "_stored")
     found = lookup(state(new), known, {c: c for c in scope}, {"_stored": "_stored"})

@@ -70,6 +70,11 @@ def reactions(raw_parents: DataFrame, parent_name: str, people: People = People(
     return _shape(found, "issue_reactions", parent_name=F.lit(parent_name), author=people.one(c("user")))
 
 
+def listed_reactions(resolved: DataFrame, people: People = People()) -> DataFrame:
+    """Reactions of listings whose parents are resolved (``parent_name, parent_id``)."""
+    return _shape(resolved, "issue_reactions", author=people.one(c("user")))
+
+
 DEEP_COLUMNS = (
     "additions", "changed_files", "comments", "commits", "deletions", "mergeable", "mergeable_state", "merged",
     "rebaseable", "review_comments", "maintainer_can_modify", "merged_by",
@@ -101,6 +106,11 @@ def reviews(raw_pull_requests: DataFrame, people: People = People()) -> DataFram
     return _shape(found, "reviews", author=people.one(c("user")))
 
 
+def listed_reviews(resolved: DataFrame, people: People = People()) -> DataFrame:
+    """Reviews of listings whose pull requests are resolved (``parent_id``)."""
+    return _shape(resolved, "reviews", pull_request_id=c("parent_id"), author=people.one(c("user")))
+
+
 def review_comments(raw: DataFrame, people: People = People()) -> DataFrame:
     return _shape(raw, "review_comments", author=people.one(c("user")), commit_sha=c("commit_id"))
 

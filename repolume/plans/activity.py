@@ -14,11 +14,12 @@ from repolume.operators import projections
 from repolume.operators.aggregates import repository_summary
 from repolume.operators.enrich import branch_names
 from repolume.operators.incremental import overflow_union, upsert
-from repolume.operators.lookups import known_only
+from repolume.operators.lookups import known_only, unknown_only
+from repolume.operators.parents import parent_kind, with_parents
 from repolume.operators.setops import union_tagged
 from repolume.plans.selection import TableSelection
 from repolume.plans.versions import version_tables
-from repolume.schemas import REPO, TABLES
+from repolume.schemas import LISTED_UNDER, REPO, TABLES
 from repolume.session import discard, settled
 from repolume.sinks.tables import append_users, buckets_of, save_table
 from repolume.sources.tables import read_table
@@ -34,6 +35,9 @@ _USER_FIELDS = {
     "review_comment": (("user",), ()),
     "release": (("author",), ()),
     "commit_account": (("author", "committer"), ()),
+    "listed_review": (("user",), ()),
+    "listed_issue_reaction": (("user",), ()),
+    "listed_pull_reaction": (("user",), ()),
 }
 # Raw entity -> array of nested records -> their user fields.
 _NESTED_USERS = {
@@ -68,6 +72,59 @@ def met_users(raw: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def attach_parents(raw: dict[str, DataFrame], stored: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """``raw`` with the reviews and reactions of listings led to their parents.
+
+    ``review`` becomes ``listed_review``; ``reaction`` becomes ``listed_pull_reaction`` (under review comments and pull
+    requests) and ``listed_issue_reaction`` (all others, those without a parent too). Parents are found by number
+    among the landed issues and pull requests and, if given, among the ``stored`` ones.
+    """
+    numbered = {}
+    for kind in ("issue", "pull_request"):
+        known = [df.select(REPO, "number", "id") for df in (raw.get(kind), (stored or {}).get(kind)) if df is not None]
+        if known:
+            numbered[kind] = reduce(DataFrame.unionByName, known)
+    out = {entity: df for entity, df in raw.items() if entity not in LISTED_UNDER}
+    if "review" in raw:
+        # a review can only be under a pull request, whatever its listing says
+        under = F.struct(F.lit("pull_request").alias("kind"), F.col("parent.id").alias("id"), F.col("parent.url").alias("url"))
+        out["listed_review"] = with_parents(raw["review"].withColumn("parent", under), numbered)
+    if "reaction" in raw:
+        pull = parent_kind(F.col("parent")).isin(REVIEW_COMMENT, "pull_request")
+        for entity, mine in (("listed_issue_reaction", ~F.coalesce(pull, F.lit(False))), ("listed_pull_reaction", pull)):
+            out[entity] = with_parents(raw["reaction"].where(mine), numbered)
+    return out
+
+
+# Table of nested records -> raw entities they are nested in, by the name of the parent -> raw entity of the listing.
+_CHILD_TABLES = {
+    "issue_reactions": ({ISSUE: "issue", COMMENT: "issue_comment"}, "listed_issue_reaction"),
+    "pull_request_reactions": ({REVIEW_COMMENT: "review_comment"}, "listed_pull_reaction"),
+    "reviews": ({"pull_request": "pull_request"}, "listed_review"),
+}
+
+
+def child_table(name: str, raw: dict[str, DataFrame], people: People = People()) -> DataFrame | None:
+    """Reactions or reviews, from under their parents and from listings of their own; each once, the listed one if there
+    are both. None if nothing they come from is in ``raw``."""
+    hosts, listing = _CHILD_TABLES[name]
+    columns = TABLES[name].columns
+    parts = {label: raw[entity] for label, entity in hosts.items() if entity in raw}
+    nested = listed = None
+    if parts and name == "reviews":
+        nested = projections.reviews(raw["pull_request"], people)
+    elif parts:
+        found = {label: projections.reactions(df, label, people).drop("parent_name") for label, df in parts.items()}
+        nested = union_tagged(found).select(*columns)
+    if listing in raw:
+        project = projections.listed_reviews if name == "reviews" else projections.listed_reactions
+        listed = project(raw[listing], people)
+    if nested is None or listed is None:
+        return nested if listed is None else listed
+    key = key_of(name)
+    return overflow_union(listed, nested, key, [column for column in columns if column not in key])
+
+
 # Counted listing of the repository summary -> raw entity.
 _COUNTED = {
     "issues": "issue", "issue_comments": "issue_comment", "pull_requests": "pull_request",
@@ -93,9 +150,11 @@ def build_tables(
     """The selected tables as lazy DataFrames.
 
     ``raw`` holds raw records by entity name; an entity that is absent gives no table. Events may be landed as
-    a flat listing, under their issues, or both. ``users`` are stored users (their aliases resolve commits);
-    ``counted`` are the listings of the repository summary if they are more than ``raw``.
+    a flat listing, under their issues, or both, as may reviews and reactions. ``users`` are stored users (their aliases
+    resolve commits); ``counted`` are the listings of the repository summary if they are more than ``raw``.
     """
+    if any(entity in raw for entity in LISTED_UNDER):
+        raw = attach_parents(raw)
     selection = selection or TableSelection()
     wanted = selection.tables()
     pulls = selection.pull_requests
@@ -118,18 +177,15 @@ def build_tables(
             tables["issue_events"] = overflow_union(listed, under, order=("issue_id",))
         elif listed is not None or under is not None:
             tables["issue_events"] = listed if under is None else under
-    if "issue_reactions" in wanted:
-        parts = {label: raw[e] for label, e in ((ISSUE, "issue"), (COMMENT, "issue_comment")) if e in raw}
-        if parts:
-            found = {label: projections.reactions(df, label, people).drop("parent_name") for label, df in parts.items()}
-            tables["issue_reactions"] = union_tagged(found).select(*TABLES["issue_reactions"].columns)
+    for name in _CHILD_TABLES:
+        table = child_table(name, raw, people) if name in wanted else None
+        if table is not None:
+            tables[name] = table
     build(
         "pull_requests", "pull_request",
         lambda df: projections.pull_requests(df, people, pulls.deep, pulls.review_requests, pulls.commits),
     )
-    build("reviews", "pull_request", lambda df: projections.reviews(df, people))
     build("review_comments", "review_comment", lambda df: projections.review_comments(df, people))
-    build("pull_request_reactions", "review_comment", lambda df: projections.reactions(df, REVIEW_COMMENT, people))
     build("workflows", "workflow", projections.workflows)
     build("workflow_runs", "workflow_run", projections.workflow_runs)
 
@@ -200,6 +256,11 @@ def refresh(table: str, stored: DataFrame, landed: DataFrame) -> DataFrame:
     if table in _WHOLE:
         raise ValueError(f"{table} is built from whole landings")
     key = key_of(table)
+    if table in _KEYS:
+        # a reaction that came before its parent was known has found it now
+        lost = F.col("parent_id").isNull()
+        found = landed.where(~lost)
+        stored = stored.where(~lost).unionByName(unknown_only(stored.where(lost), found, [REPO, "parent_name", "id"]))
     if table in _UPDATED:
         return upsert(stored, landed, key, _UPDATED[table])
     both = stored.withColumn("_is_new", F.lit(0)).unionByName(landed.withColumn("_is_new", F.lit(1)), True)

@@ -8,15 +8,16 @@ from repolume.functions.people import People
 from repolume.operators import projections
 from repolume.operators.filters import select_repositories
 from repolume.operators.identity import unknown_users
-from repolume.operators.incremental import content_per_repository, next_pages, updates_per_repository
+from repolume.operators.incremental import children_per_repository, content_per_repository, next_pages, updates_per_repository
 from repolume.operators.lookups import known_only
 from repolume.operators.setops import concat
-from repolume.plans.activity import build_tables, cursors, merge_table, summary_sources
+from repolume.plans.activity import attach_parents, build_tables, child_table, cursors, merge_table, summary_sources
+from repolume.plans.completion import read_wanted_issues, settle_wanted_issues
 from repolume.plans.selection import TableSelection
 from repolume.plans.versions import COMMIT_STATE, commit_state, refresh_versions, repair_identities, state_path
-from repolume.schemas import RAW, REPO, TABLES
+from repolume.schemas import LISTED_UNDER, RAW, REPO, TABLES
 from repolume.session import remove, scratch_dir
-from repolume.sinks.tables import add_repositories, append_users, catalog, export_tables, save_state, save_table
+from repolume.sinks.tables import add_repositories, append_users, buckets_of, catalog, export_tables, save_state, save_table
 from repolume.sources.mined import read_mined_commits, read_mined_edits
 from repolume.sources.pages import read_pages
 from repolume.sources.tables import read_registry, read_table
@@ -25,12 +26,19 @@ from repolume.streaming.ingest import stream_into_store, stream_pages
 # Raw entities that stand or fall with one listing: entity of the listing -> what is built from it, its
 # projection, its stored table and its time. Releases have no update time: drafts and edits show in the content only.
 _LISTINGS = {
-    "issue": (("issue", "issue_comment", "issue_event"), projections.issues, "issues", "updated_at"),
-    "pull_request": (("pull_request", "review_comment"), projections.pull_requests, "pull_requests", "updated_at"),
+    "issue": (
+        ("issue", "issue_comment", "issue_event", "listed_issue_reaction"), projections.issues, "issues", "updated_at",
+    ),
+    "pull_request": (
+        ("pull_request", "review_comment", "listed_review", "listed_pull_reaction"), projections.pull_requests,
+        "pull_requests", "updated_at",
+    ),
     "release": (("release",), projections.releases, "releases", None),
     "workflow": (("workflow",), projections.workflows, "workflows", "updated_at"),
     "workflow_run": (("workflow_run",), projections.workflow_runs, "workflow_runs", "updated_at"),
 }
+# Listing -> tables of what changes without the update time of the listed records.
+_CHILDREN = {"issue": ("issue_reactions",), "pull_request": ("reviews", "pull_request_reactions")}
 # Raw entity -> its projection and table, where one landed record is one row.
 _STREAMED = {
     "issue": (projections.issues, "issues"), "issue_comment": (projections.issue_comments, "issue_comments"),
@@ -42,8 +50,9 @@ _STREAMED = {
 # Table -> what its rows are made from: a repository landed there is replaced in the table.
 _ORIGINS = {
     "issues": ("issue",), "issue_comments": ("issue_comment", "issue"), "issue_events": ("issue_event", "issue"),
-    "issue_reactions": ("issue", "issue_comment"), "pull_requests": ("pull_request",), "reviews": ("pull_request",),
-    "review_comments": ("review_comment", "pull_request"), "pull_request_reactions": ("review_comment", "pull_request"),
+    "issue_reactions": ("issue", "issue_comment", "listed_issue_reaction"), "pull_requests": ("pull_request",),
+    "reviews": ("pull_request", "listed_review"), "review_comments": ("review_comment", "pull_request"),
+    "pull_request_reactions": ("review_comment", "pull_request", "listed_pull_reaction"),
     "releases": ("release",), "workflows": ("workflow",), "workflow_runs": ("workflow_run",),
     "commits": ("mined_commits",), "edits": ("mined_edits",), "branches": ("mined_commits",),
 }
@@ -53,7 +62,8 @@ class Workspace:
     """Tables stored below ``root``, built from what is landed below ``landing``.
 
     Landing layout: ``<landing>/<entity>/`` JSON pages for each raw entity, ``<landing>/mined_commits/`` and
-    ``<landing>/mined_edits/`` Parquet. One call works on all landed repositories together.
+    ``<landing>/mined_edits/`` Parquet. Pages of reviews and reactions name the record they are listed under in
+    ``parent`` (kind, id, url). One call works on all landed repositories together.
     """
 
     def __init__(self, spark: SparkSession, root: str, people: People | None = None) -> None:
@@ -94,32 +104,45 @@ class Workspace:
             copies[entity] = self.spark.read.schema(df.schema).parquet(path)
         return copies
 
+    def _land(self, landing: str, folders: list[str]) -> dict[str, DataFrame]:
+        """What is landed, parsed once; reviews and reactions of listings led to their parents, landed or stored."""
+        raw = self._columnar(self.landed(landing), folders)
+        # only issues and pull requests of the repositories that list something under them are read
+        touched = buckets_of(concat(*[raw[entity].select(REPO) for entity in LISTED_UNDER]))
+        stored = {
+            kind: read_table(self.spark, self.root, table, buckets=touched)
+            for kind, table in (("issue", "issues"), ("pull_request", "pull_requests"))
+        }
+        attached = attach_parents(raw, stored)
+        listed = {entity: df for entity, df in attached.items() if entity not in raw}
+        return {**{e: df for e, df in attached.items() if e in raw}, **self._columnar(listed, folders)}
+
     def _only_updated(
         self, raw: dict[str, DataFrame], selection: TableSelection, folders: list[str]
     ) -> dict[str, DataFrame]:
         """Without the repositories whose listings show nothing new.
 
         The verdicts are written down: they come from the stored tables, which are about to be replaced.
-        Reactions and reviews change without the update time of their parent, so they switch the check off.
+        Reactions and reviews change without the update time of their parent, so if they are selected, they are
+        compared with the stored ones as whole sets.
         """
-        unsure = set()
-        if selection.issues.reactions:
-            unsure.add("issue")
-        if selection.pull_requests.reactions or selection.pull_requests.reviews:
-            unsure.add("pull_request")
-        kept = dict(raw)
+        kept, selected = dict(raw), selection.tables()
         for entity, (members, project, table, time) in _LISTINGS.items():
-            if entity in unsure:
-                continue
             listed, stored = project(raw[entity]), read_table(self.spark, self.root, table)
             if time is None:
                 listed = projections.releases(raw[entity], self.people)
                 verdict = content_per_repository(listed, stored)
             else:
                 verdict = updates_per_repository(listed, stored, time)
+            verdicts = [verdict]
+            for child in _CHILDREN.get(entity, ()):
+                if child in selected:
+                    landed = concat(*[raw[origin].select(REPO) for origin in _ORIGINS[child]]).distinct()
+                    before = read_table(self.spark, self.root, child, buckets=buckets_of(landed))
+                    verdicts.append(children_per_repository(landed, child_table(child, raw, self.people), before))
             path = scratch_dir(self.spark, f"updated-{entity}")
             folders.append(path)
-            verdict.where("has_updates").select(REPO).write.parquet(path)
+            concat(*verdicts).where("has_updates").select(REPO).distinct().write.parquet(path)
             updated = self.spark.read.schema(f"{REPO} string").parquet(path)
             kept.update({member: known_only(raw[member], updated, [REPO]) for member in members})
         return kept
@@ -132,7 +155,7 @@ class Workspace:
         """
         selection = selection or TableSelection()
         folders: list[str] = []
-        raw = self._columnar(self.landed(landing), folders)
+        raw = self._land(landing, folders)
         commits = read_mined_commits(self.spark, f"{landing}/mined_commits")
         edits = read_mined_edits(self.spark, f"{landing}/mined_edits")
         counted = summary_sources(raw, commits)
@@ -153,6 +176,7 @@ class Workspace:
             accounts = projections.commit_accounts(raw["commit_account"], self.people)
             state = commit_state(commits, accounts, projections.tags(raw["tag"]))
             save_state(state, state_path(self.root), COMMIT_STATE, commits)
+        self._want_issues(raw, tables)
         for folder in folders:
             remove(self.spark, folder)
 
@@ -165,12 +189,13 @@ class Workspace:
         """
         selection = selection or TableSelection()
         folders: list[str] = []
-        raw = self._columnar(self.landed(landing), folders)
+        raw = self._land(landing, folders)
         tables = build_tables(raw, selection, self.people)
         append_users(tables.pop("users"), self.root)
         for name, df in tables.items():
             if name != "repository":
                 merge_table(df, self.root, name)
+        self._want_issues(raw, tables)
         if "commits" in selection.tables():
             refresh_versions(
                 self.spark, self.root, read_mined_commits(self.spark, f"{landing}/mined_commits"),
@@ -181,6 +206,15 @@ class Workspace:
         for folder in folders:
             remove(self.spark, folder)
 
+    def _want_issues(self, raw: dict[str, DataFrame], tables: dict[str, DataFrame]) -> None:
+        """Bring the ledger of wanted issues up to date for the repositories whose issues or pull requests landed."""
+        if "issues" in tables or "pull_requests" in tables:
+            settle_wanted_issues(self.spark, self.root, concat(raw["issue"].select(REPO), raw["pull_request"].select(REPO)))
+
+    def wanted_issues(self) -> DataFrame:
+        """``repo_full_name, number, pull_request_id``: stored pull requests whose issue has not landed yet."""
+        return read_wanted_issues(self.spark, self.root)
+
     def ingest(self, entity: str, pages: str, checkpoint: str, max_files: int = 1000) -> None:
         """Stream landed pages of an entity into its table, from where the last call stopped."""
         project, table = _STREAMED[entity]

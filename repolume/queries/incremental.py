@@ -104,6 +104,23 @@ def updates_per_repository(t: Source) -> DataFrame:
     return incremental.updates_per_repository(t.events, old, "ts", "event_id", ["user_id"])
 
 
+@query(
+    f"""
+    WITH old AS (SELECT o.*, e.user_id FROM ({_SQL_OLD}) o JOIN events e ON e.event_id = o.event_id),
+    new AS (SELECT event_id, ts, event_type, user_id FROM events WHERE event_type <> 'error' OR user_id % 2 = 0),
+    differing AS ((SELECT * FROM new EXCEPT ALL SELECT * FROM old) UNION ALL (SELECT * FROM old EXCEPT ALL SELECT * FROM new))
+    SELECT DISTINCT c_custkey AS user_id, c_custkey IN (SELECT user_id FROM differing) AS has_updates
+    FROM customer WHERE c_custkey % 3 = 0
+    """
+)
+def children_per_repository(t: Source) -> DataFrame:
+    """For which customers the events differ from the stored ones: some changed, came or went; some customers have none."""
+    new = t.events.where((c("event_type") != "error") | (c("user_id") % 2 == 0)).select("event_id", "ts", "event_type", "user_id")
+    old = _stored(t.events).join(t.events.select("event_id", "user_id"), "event_id")
+    asked = t.customer.where(c("c_custkey") % 3 == 0).select(c("c_custkey").alias("user_id"))
+    return incremental.children_per_repository(asked, new, old, ["user_id"])
+
+
 @query(
     """
     SELECT event_id, ts, event_type FROM events

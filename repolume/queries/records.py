@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repolume.functions.people import People, pseudonym
@@ -10,6 +10,7 @@ from repolume.functions.scalars import apply_datetime_format, field_of, without_
 from repolume.operators import projections
 from repolume.operators.incremental import extract
 from repolume.operators.setops import concat, union_tagged
+from repolume.plans.activity import attach_parents, child_table
 from repolume.queries.base import Source, as_json, naive, query, sql_pseudonym, tag, text, user
 from repolume.schemas import REPO
 from repolume.sources.pages import records_of
@@ -188,6 +189,68 @@ def landed_pages(t: Source) -> DataFrame:
     return records_of(t.events.select(lit("org/events").alias(REPO), c("event_id").alias("page"), items.alias("items")))
 
 
+def _listed(child: DataFrame, parent: Column, **fields: Column) -> DataFrame:
+    """Pages of one record each, listed under ``parent``, taken apart."""
+    item = F.struct(*[value.alias(name) for name, value in fields.items()])
+    return records_of(child.select(lit("org/all").alias(REPO), lit(0).cast("long").alias("page"), parent.alias("parent"), F.array(item).alias("items")))
+
+
+def _parent(kind: Column | None, key: Column | None, url: Column | None) -> Column:
+    pick = lambda value, type_: lit(None).cast(type_) if value is None else value.cast(type_)
+    return F.struct(pick(kind, "string").alias("kind"), pick(key, "bigint").alias("id"), pick(url, "string").alias("url"))
+
+
+def _numbered(df: DataFrame, key: str) -> DataFrame:
+    """Records whose number is ``key`` and whose id is another one."""
+    return df.select(lit("org/all").alias(REPO), c(key).cast("bigint").alias("number"), (c(key) * 7 + 1).cast("bigint").alias("id"))
+
+
+@query(
+    f"""
+    SELECT 'org/all' AS repo_full_name, o_orderkey AS id,
+           CASE WHEN o_orderstatus = 'F' OR c_custkey IS NOT NULL THEN o_custkey * 7 + 1 END AS pull_request_id,
+           {sql_pseudonym("concat('C', o_custkey)")} AS author, o_orderpriority AS body, o_orderstatus AS state,
+           o_orderdate AS submitted_at
+    FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_mktsegment <> 'BUILDING'
+    """
+)
+def listed_reviews(t: Source) -> DataFrame:
+    """Reviews that are landed as listings: under the id of a pull request, or under its url, which may lead nowhere."""
+    url = tag("https://host/repos/org/all/pulls/", "o_custkey")
+    by_id = _parent(None, c("o_custkey") * 7 + 1, None)
+    raw = _listed(
+        t.orders, when(c("o_orderstatus") == "F", by_id).otherwise(_parent(None, None, url)), id=c("o_orderkey"),
+        body=c("o_orderpriority"), state=c("o_orderstatus"), submitted_at=c("o_orderdate"), user=user(tag("C", "o_custkey")),
+    )
+    pulls = _numbered(t.customer.where(c("c_mktsegment") != "BUILDING"), "c_custkey")
+    return child_table("reviews", attach_parents({"review": raw}, {"pull_request": pulls}))
+
+
+@query(
+    f"""
+    SELECT 'org/all' AS repo_full_name, event_id AS id,
+           CASE event_type WHEN 'view' THEN CASE WHEN user_id IN (SELECT c_custkey FROM customer) THEN user_id * 7 + 1 END
+                WHEN 'error' THEN NULL ELSE user_id END AS parent_id,
+           CASE event_type WHEN 'view' THEN 'issue' WHEN 'click' THEN 'comment' WHEN 'purchase' THEN 'review_comment'
+                WHEN 'error' THEN NULL ELSE 'pull_request' END AS parent_name,
+           event_type AS content, {sql_pseudonym("concat('U', user_id)")} AS author, ts AS created_at
+    FROM events
+    """
+)
+def listed_reactions(t: Source) -> DataFrame:
+    """Reactions that are landed as listings under issues, comments, review comments, pull requests and nothing known."""
+    url = lambda path: _parent(None, None, tag(f"https://host/repos/org/all/{path}/", "user_id"))
+    kind = c("event_type")
+    parent = (
+        when(kind == "view", url("issues")).when(kind == "click", url("issues/comments"))
+        .when(kind == "purchase", url("pulls/comments")).when(kind == "error", _parent(None, None, None))
+        .otherwise(_parent(lit("pull_request"), c("user_id"), None))
+    )
+    raw = _listed(t.events, parent, id=c("event_id"), content=kind, created_at=c("ts"), user=user(tag("U", "user_id")))
+    attached = attach_parents({"reaction": raw}, {"issue": _numbered(t.customer, "c_custkey")})
+    return child_table("issue_reactions", attached).unionByName(child_table("pull_request_reactions", attached))
+
+
 @query(
     f"""
     SELECT 'org/chat' AS repo_full_name, (conv_id * 1000 + turn) * 10 + n AS id, conv_id * 1000 + turn AS parent_id,

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repolume.operators import projections
+from repolume.plans.completion import read_wanted_issues, settle_wanted_issues
 from repolume.queries.base import TABLE_NAMES, Source, naive, query, sql_pseudonym, tag
-from repolume.queries.records import SQL_COMMENT_TIME, raw_comments, raw_events, raw_issues
+from repolume.queries.records import SQL_COMMENT_TIME, raw_comments, raw_events, raw_issues, raw_pull_requests
 from repolume.schemas import REPO, TABLES
 from repolume.session import scratch_dir
 from repolume.sinks.tables import add_repositories, append_users, export_tables, read_export, save_table
@@ -153,6 +154,31 @@ def stream_store_ingest(t: Source) -> DataFrame:
     return naive(read_table(spark, f"{folder}/store", "issue_comments").select(REPO, "id", "author", "body", "updated_at"))
 
 
+@query(
+    """
+    SELECT concat('org/', o_orderstatus) AS repo_full_name, o_orderkey AS number, o_orderkey * 3 AS pull_request_id
+    FROM orders
+    WHERE NOT (o_orderpriority LIKE '1%' AND (o_orderstatus <> 'O' OR o_totalprice > 100000))
+    """
+)
+def wanted_issues(t: Source) -> DataFrame:
+    """The ledger of missing issues: all pull requests land, then the issues of two repositories, then the dear ones of a third.
+    Issues that are not flagged as pull requests settle nothing."""
+    root = scratch_dir(t.spark, "wanted")
+    issues = projections.issues(raw_issues(t.orders))
+    pulls = projections.pull_requests(raw_pull_requests(t.orders)).withColumn("id", c("id") * 3)
+    save_table(pulls, root, "pull_requests")
+    settle_wanted_issues(t.spark, root, pulls)
+    landed = issues.where(c(REPO) != "org/O")
+    save_table(landed, root, "issues")
+    settle_wanted_issues(t.spark, root, landed)
+    dear = t.orders.where((c("o_orderstatus") == "O") & (c("o_totalprice") > 100000))
+    late = projections.issues(raw_issues(dear))
+    save_table(late, root, "issues")
+    settle_wanted_issues(t.spark, root, late)
+    return read_wanted_issues(t.spark, root)
+
+
 def _zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One archive per document: its paragraphs as members; French ones stay plain bytes."""
     for batch in batches:

@@ -73,6 +73,10 @@ REPOSITORY = struct(
     readme_content=STRING, contributors=many(struct(node_id=STRING, company=STRING)),
 )
 
+# Reviews and reactions are listed under one record, which their pages name by kind and id, by url, or by both.
+PARENT = struct(kind=STRING, id=LONG, url=STRING)
+LISTED_UNDER = ("review", "reaction")
+
 # Records that are counted only.
 LISTED = struct(id=LONG)
 

@@ -17,13 +17,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from repolume.operators.incremental import latest_per_id
 from repolume.plans.activity import key_of, merge_table, updated_column
-from repolume.schemas import RAW, REPO, TABLES
+from repolume.schemas import LISTED_UNDER, RAW, REPO, TABLES
 from repolume.sources.pages import page_schema, records_of
 
 
 def stream_pages(spark: SparkSession, path: str, entity: str, max_files: int = 1000) -> DataFrame:
     """Records of the pages below ``path``, as a stream."""
-    pages = spark.readStream.schema(page_schema(RAW[entity])).option("maxFilesPerTrigger", max_files).json(path)
+    schema = page_schema(RAW[entity], entity in LISTED_UNDER)
+    pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).json(path)
     return records_of(pages)
 
 

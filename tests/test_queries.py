@@ -9,7 +9,7 @@ from compare import connect, differences
 from repolume.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-WRITES = {"stored_table_replace", "registry_roundtrip", "stream_cursor_ingest", "export_roundtrip", "users_insert", "stream_store_ingest", "refresh_versions"}
+WRITES = {"stored_table_replace", "registry_roundtrip", "stream_cursor_ingest", "export_roundtrip", "users_insert", "stream_store_ingest", "refresh_versions", "wanted_issues"}
 
 
 @pytest.fixture(scope="module")

@@ -19,10 +19,16 @@ def workspace(spark, tmp_path):
 @pytest.fixture
 def land(tmp_path):
     def put(entity, repo, *records):
+        pages(entity, repo, (None, records))
+
+    def pages(entity, repo, *listings):
+        """One page for each (parent, records)."""
         folder = tmp_path / "landing" / entity
         folder.mkdir(parents=True, exist_ok=True)
-        (folder / f"{repo.replace('/', '-')}.json").write_text(json.dumps({"repo_full_name": repo, "page": 0, "items": list(records)}))
+        page = lambda parent, records: {"repo_full_name": repo, "page": 0, "parent": parent, "items": list(records)}
+        (folder / f"{repo.replace('/', '-')}.json").write_text("\n".join(json.dumps(page(*listing)) for listing in listings))
 
+    put.pages = pages
     put.folder = str(tmp_path / "landing")
     return put
 
@@ -167,3 +173,88 @@ def test_parts_of_the_mined_logs_add_up_to_a_whole_one(spark, frame, workspace,
         named = {i: name for name, i in now.items()}
         lists = {r["commit_sha"]: [named[i] for i in r["branch_ids"]] for r in workspace.table("commits").collect()}
         assert lists["s1"] == ["alpha", "main"] and lists["s5"] == ["main", "dev"]
+
+
+def reaction(i, content="+1", who="n1"):
+    return {"id": i, "content": content, "user": {"node_id": who}}
+
+
+API = "https://host/repos/o/a"
+
+
+def test_listed_reviews_and_reactions_find_their_parents(workspace, land):
+    land("issue", "o/a", issue(100, 1) | {"number": 5, "reactions": [reaction(1), reaction(2)]})
+    land("issue_comment", "o/a", {"id": 7, "reactions": [reaction(1, "eyes")]})
+    land("pull_request", "o/a", {"id": 200, "number": 6, "reviews": [{"id": 1, "state": "COMMENTED"}]})
+    land("review_comment", "o/a", {"id": 9})
+    land.pages(
+        "review", "o/a", ({"url": f"{API}/pulls/6"}, [{"id": 2, "user": {"node_id": "n7"}}]),
+        ({"id": 200}, [{"id": 1, "state": "APPROVED"}]), ({"url": f"{API}/pulls/77"}, [{"id": 3}]), (None, [{"id": 4}]),
+    )
+    land.pages(
+        "reaction", "o/a", ({"kind": "issue", "url": f"{API}/issues/5"}, [reaction(2, "again"), reaction(3, who="n8")]),
+        ({"url": f"{API}/issues/comments/7"}, [reaction(4)]), ({"kind": "issue_comment", "id": 7}, [reaction(5)]),
+        ({"url": f"{API}/pulls/comments/9"}, [reaction(6)]), ({"url": f"{API}/pulls/6"}, [reaction(7)]),
+        ({"url": f"{API}/issues/55"}, [reaction(8)]), (None, [reaction(9)]),
+    )
+    everything = TableSelection().all_true()
+    for build in (lambda: workspace.generate(land.folder, everything), lambda: workspace.refresh(land.folder, everything)):
+        build()
+        assert rows(workspace.table("reviews"), "id", "pull_request_id", "state") == [
+            (1, 200, "APPROVED"), (2, 200, None), (3, None, None), (4, None, None)]
+        assert rows(workspace.table("issue_reactions"), "id", "parent_name", "parent_id", "content") == [
+            (1, "comment", 7, "eyes"), (1, "issue", 100, "+1"), (2, "issue", 100, "again"), (3, "issue", 100, "+1"),
+            (4, "comment", 7, "+1"), (5, "comment", 7, "+1"), (8, "issue", None, "+1"), (9, None, None, "+1")]
+        assert rows(workspace.table("pull_request_reactions"), "id", "parent_name", "parent_id") == [
+            (6, "review_comment", 9), (7, "pull_request", 200)]
+        assert rows(workspace.table("users"), "id") == [("n1",), ("n7",), ("n8",)]
+
+
+def test_listings_find_parents_that_are_stored_and_late_ones(workspace, land, tmp_path):
+    later = str(tmp_path / "second")
+    land("issue", "o/a", issue(100, 1) | {"number": 5})
+    land.pages("reaction", "o/a", ({"url": f"{API}/issues/6"}, [reaction(1)]))
+    workspace.generate(land.folder, TableSelection().all_true())
+    assert rows(workspace.table("issue_reactions"), "id", "parent_id") == [(1, None)]
+    pages = [({"url": f"{API}/issues/5"}, [reaction(2)]), ({"url": f"{API}/issues/6"}, [reaction(1)])]
+    for entity, lines in (("reaction", pages), ("issue", [(None, [issue(101, 1) | {"number": 6}])])):
+        (tmp_path / "second" / entity).mkdir(parents=True)
+        page = lambda parent, items: json.dumps({"repo_full_name": "o/a", "page": 0, "parent": parent, "items": items})
+        (tmp_path / "second" / entity / "p.json").write_text("\n".join(page(*line) for line in lines))
+    workspace.refresh(later, TableSelection().all_true())
+    assert rows(workspace.table("issue_reactions"), "id", "parent_id") == [(1, 101), (2, 100)]
+
+
+def test_a_changed_child_alone_makes_its_repository_an_update(workspace, land):
+    everything = TableSelection().all_true()
+    for repo in ("o/a", "o/b", "o/c"):
+        land("issue", repo, issue(1, 1, title="first", reactions=[reaction(1), reaction(2)]))
+        land("pull_request", repo, {"id": 3, "number": 1, "updated_at": "2024-01-01T00:00:00Z", "reviews": [{"id": 4, "state": "COMMENTED"}]})
+    workspace.generate(land.folder, everything)
+    # titles change unseen: only repositories whose children differ are built anew
+    land("issue", "o/a", issue(1, 1, title="new", reactions=[reaction(2), reaction(1)]))
+    land("issue", "o/b", issue(1, 1, title="new", reactions=[reaction(1), reaction(2, "eyes")]))
+    land("issue", "o/c", issue(1, 1, title="new", reactions=[]))
+    land("pull_request", "o/a", {"id": 3, "number": 1, "draft": True, "updated_at": "2024-01-01T00:00:00Z", "reviews": [{"id": 4, "state": "APPROVED"}]})
+    land("pull_request", "o/b", {"id": 3, "number": 1, "draft": True, "updated_at": "2024-01-01T00:00:00Z", "reviews": [{"id": 4, "state": "COMMENTED"}]})
+    workspace.generate(land.folder, everything, check_for_updates=True)
+    assert rows(workspace.table("issues"), "repo_full_name", "title") == [("o/a", "first"), ("o/b", "new"), ("o/c", "new")]
+    assert rows(workspace.table("issue_reactions"), "repo_full_name", "id", "content") == [
+        ("o/a", 1, "+1"), ("o/a", 2, "+1"), ("o/b", 1, "+1"), ("o/b", 2, "eyes")]
+    assert rows(workspace.table("pull_requests"), "repo_full_name", "draft") == [("o/a", True), ("o/b", None), ("o/c", None)]
+
+
+def test_wanted_issues_are_kept_until_they_land(workspace, land):
+    pull = lambda i: {"id": i * 10, "number": i}
+    flagged = lambda i: issue(i, 1, pull_request={"url": "u"})
+    land("pull_request", "o/a", pull(1), pull(2), pull(3))
+    land("pull_request", "o/b", pull(1))
+    land("issue", "o/a", flagged(1), issue(2, 1))
+    workspace.generate(land.folder)
+    assert rows(workspace.wanted_issues()) == [("o/a", 2, 20), ("o/a", 3, 30), ("o/b", 1, 10)]
+    land("pull_request", "o/a")
+    land("pull_request", "o/b")
+    land("issue", "o/a", flagged(3))
+    for _ in range(2):
+        workspace.refresh(land.folder)
+        assert rows(workspace.wanted_issues()) == [("o/a", 2, 20), ("o/b", 1, 10)]
