@@ -2,8 +2,8 @@
 
 A round is one Spark job. Every shard starts from the broadcast state, passes over its own samples and leaves its
 state in the shared folder; the driver adds the states up, one at a time, so it holds the model and one state, whatever
-the number of samples. A lost
-task repeats its shard from the same state with the same result.
+the number of samples. A shard's samples are put in the order of ``place``, a hash of id and text, so a lost task, or
+a rerun, repeats its shard from the same state with the same result, in whatever order shuffled blocks arrive.
 """
 
 from __future__ import annotations
@@ -27,17 +27,19 @@ State = list[np.ndarray]
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, column: str, modulus: int, held: int, limit: int = SAMPLE
 ) -> DataFrame:
-    """shard, label (0 or 1) and text of at most ``limit`` labelled documents, those with the smallest id hashes.
+    """shard, place, label (0 or 1) and text of at most ``limit`` labelled documents, those with the smallest id hashes.
 
-    Labels come only from rows whose id's crc32 does not leave ``held``; NULL ids and labels are left out.
+    Labels come only from rows whose id's crc32 does not leave ``held``; NULL ids and labels are left out. An id with
+    contradicting labels counts as 1. Documents that share a labelled id are all samples.
     """
     usable = labels.where(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull() & learns(F.col("doc_id"), modulus, held))
-    chosen = usable.select("doc_id", F.col(column).alias("label")).dropDuplicates(["doc_id"])
+    chosen = usable.groupBy("doc_id").agg(F.max(column).alias("label"))
     chosen = settled(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit), "labels")
     shards = max(1, math.ceil(chosen.count() / SHARD_ROWS))
     # at most ``limit`` rows of two numbers
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return joined.select(F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"), "label", "text")
+    shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard")
+    return joined.select(shard, F.xxhash64("doc_id", "text").alias("place"), "label", "text")
 
 
 def mixed(
@@ -47,6 +49,7 @@ def mixed(
 
     def one_shard(shared, turn: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         def run(rows: pd.DataFrame) -> pd.DataFrame:
+            rows = rows.sort_values("place", kind="stable", ignore_index=True)
             learned = learn(rows, [part.astype(float) for part in shared.value], turn)
             blob = b"".join(np.ascontiguousarray(part, dtype="<f4").tobytes() for part in learned)
             return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "n": [len(rows)], "state": [blob]})

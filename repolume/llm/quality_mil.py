@@ -153,11 +153,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> State:
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [passages(text).astype("<f4").tobytes() for text in texts_of(batch)]
-            columns = [batch.column("shard"), batch.column("label"), pa.array(found, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["shard", "label", "passages"])
+            columns = [*batch.select(["shard", "place", "label"]).columns, pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["shard", "place", "label", "passages"])
 
     sample = labelled_sample(docs, labels, "quality", MODULUS, HELD_OUT)
-    sample = settled(sample.mapInArrow(encoded, "shard int, label int, passages binary"), "quality-sample")
+    sample = settled(sample.mapInArrow(encoded, "shard int, place long, label int, passages binary"), "quality-sample")
     return mixed(sample, learn, untrained(), ROUNDS)
 
 

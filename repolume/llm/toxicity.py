@@ -5,7 +5,7 @@ coordinates. Every coordinate has its own learning rate; the L1 term keeps coord
 for them exceeds it, so the learned weights are few and travel to every task as two short arrays.
 
 Defined results: a NULL or empty text has no features, its score is that of the intercept; repeated rows are scored
-alike; without labels every score is close to 0; no documents give no rows. Other columns are ignored.
+alike; an id with contradicting labels counts as toxic; without labels every score is close to 0; no documents give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -95,11 +95,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [coordinates(text).astype(np.int32) for text in texts_of(batch)]
-            columns = [batch.column("shard"), batch.column("label"), pa.array(found, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["shard", "label", "at"])
+            columns = [*batch.select(["shard", "place", "label"]).columns, pa.array(found, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["shard", "place", "label", "at"])
 
     sample = labelled_sample(docs, labels, "toxic", MODULUS, HELD_OUT, SAMPLE)
-    sample = settled(sample.mapInArrow(hashed, "shard int, label int, at array<int>"), "toxicity-sample")
+    sample = settled(sample.mapInArrow(hashed, "shard int, place long, label int, at array<int>"), "toxicity-sample")
     if sample.isEmpty():
         return np.array([DIMS]), np.array([-UNSURE])
     z, n = mixed(sample, learn, [np.zeros(DIMS + 1), np.zeros(DIMS + 1)], ROUNDS)

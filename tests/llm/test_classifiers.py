@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from repolume.llm import quality_mil, toxicity
@@ -47,6 +48,45 @@ def test_toxic_held_out_documents_are_found(documents, labels, toxic_texts):
     assert rows(kept, "doc_id") == rows(found.where("predicted = 0"), "doc_id")
 
 
+def plain_ftrl(samples, dims):
+    """FTRL-proximal coordinate by coordinate, as the update is written in the paper."""
+    z, n = [0.0] * dims, [0.0] * dims
+
+    def weight(i):
+        if abs(z[i]) <= toxicity.L1:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * toxicity.L1) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for at, label in samples:
+        old = {i: weight(i) for i in at}
+        gradient = 1 / (1 + np.exp(-sum(old.values()))) - label
+        for i in at:
+            sigma = ((n[i] + gradient**2) ** 0.5 - n[i] ** 0.5) / toxicity.ALPHA
+            z[i] += gradient - sigma * old[i]
+            n[i] += gradient**2
+    return z, n
+
+
+def test_learning_is_ftrl_proximal():
+    draw = np.random.default_rng(2)
+    samples = [(np.flatnonzero(draw.random(40) < 0.3), int(draw.random() < 0.5)) for _ in range(300)]
+    table = pd.DataFrame({"at": [at for at, _ in samples], "label": [label for _, label in samples], "shard": 0})
+    z, n = toxicity.learn(table, [np.zeros(40), np.zeros(40)], 0)
+    order = np.random.default_rng(0)
+    picks = [pick for _ in range(toxicity.PASSES) for pick in order.permutation(len(samples))]
+    plain = plain_ftrl([samples[pick] for pick in picks], 40)
+    assert np.allclose(z, plain[0]) and np.allclose(n, plain[1]) and (toxicity.weights_at(z, n) != 0).any()
+
+
+def test_models_do_not_depend_on_the_order_of_rows(documents, labels, toxic_texts):
+    texts = [(i, text) for i, text, _ in toxic_texts[:600]] + [(5, "another zorgh text"), (5, "and one more")]
+    marks = [(i, int(not toxic), int(toxic)) for i, _, toxic in toxic_texts[:600]] + [(8, 0, 0), (8, 1, 1)]
+    one = documents(*texts), labels(*marks)
+    other = documents(*texts[::-1]).repartition(7, "text"), labels(*marks[::-1]).repartition(5)
+    for module in (toxicity, quality_mil):
+        assert all(np.array_equal(a, b) for a, b in zip(module.fit(*one), module.fit(*other), strict=True))
+
+
 def test_the_weights_are_few(documents, labels, toxic_texts):
     docs = documents(*[(i, text) for i, text, _ in toxic_texts])
     at, weight = toxicity.fit(docs, labels(*[(i, None, int(toxic)) for i, _, toxic in toxic_texts]))
