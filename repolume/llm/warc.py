@@ -10,7 +10,8 @@ Everything is a function of one row; nothing is shuffled. References (``&copy;``
 there are more than two thousand names.
 
 Defined results: a capture without html (NULL) has an empty payload and an empty text; a NULL url gives records without
-a target URI; NULL ids give ids computed from the url and html alone; repeated rows give repeated records; no captures
+a target URI; a NULL id or url counts as a value of its own in the record id; line breaks in a url are percent-encoded
+in headers; repeated rows give repeated records; no captures
 give no rows. Other columns are ignored.
 """
 
@@ -25,9 +26,9 @@ from pyspark.sql import functions as F
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"  # of captures whose table has no date
 # What plain text drops and replaces, in order: pattern and replacement. Comments, scripts and styles go first, whichever
-# begins first: what looks like a tag inside them is none.
+# begins first: what looks like a tag inside them is none. One that is never closed goes on to the end of the page.
 MARKUP_RULES = (
-    (r"(?is)<!--.*?-->|<(script|style)(?=[\s/>])[^>]*>.*?</\1(?=[\s/>])[^>]*>", " "),
+    (r"(?is)<!--.*?(?:-->|\z)|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\z)", " "),
     (r"(?is)<(head|noscript)(?=[\s/>])[^>]*>.*?</\1(?=[\s/>])[^>]*>", " "),
     (r"(?i)<(br|/p|/div|/li|/tr|/h[1-6]|/title|/pre|/table|/ul|/ol)[^>]*>", "\n"),
     (r"<[^>]*>", " "),
@@ -67,6 +68,16 @@ def record_id(kind: str, *parts: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), uuid, F.lit(">"))
 
 
+def tagged(value: Column) -> Column:
+    """A value that tells NULL, the empty text and the same text in a neighbouring field apart."""
+    return F.coalesce(F.concat(F.octet_length(value).cast("string"), F.lit(":"), value), F.lit("-"))
+
+
+def one_line(value: Column) -> Column:
+    """A header value whose line breaks cannot begin another field."""
+    return F.replace(F.replace(value, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+
+
 def header(kind: str, fields: dict[str, Column], block: Column) -> Column:
     """The record's header, without the empty line after it; fields that are NULL are left out."""
     lines = [F.lit("WARC/1.1"), F.lit(f"WARC-Type: {kind}")]
@@ -84,7 +95,7 @@ def responses(pages: DataFrame) -> DataFrame:
     )
     return pages.select(
         "page_id", "url", F.lit(DATE).alias("date"), http.alias("http_header"), payload.alias("payload"),
-        record_id("response", F.col("page_id").cast("string"), F.col("url"), payload).alias("record_id"),
+        record_id("response", tagged(F.col("page_id").cast("string")), tagged(F.col("url")), payload).alias("record_id"),
     )
 
 
@@ -109,13 +120,13 @@ def derive(captures: DataFrame) -> DataFrame:
     }
     facts_block = F.concat_ws(CRLF, *(F.concat(F.lit(f"{name}: "), value) for name, value in facts.items()))
     linked = {
-        "WARC-Refers-To": F.col("record_id"), "WARC-Refers-To-Target-URI": F.col("url"),
+        "WARC-Refers-To": F.col("record_id"), "WARC-Refers-To-Target-URI": one_line(F.col("url")),
         "WARC-Refers-To-Date": F.col("date"),
     }
 
     def record(kind: str, own: Column, block: Column, content_type: str, more: dict[str, Column]) -> Column:
         fields = {
-            "WARC-Record-ID": own, "WARC-Date": F.col("date"), "WARC-Target-URI": F.col("url"), **more,
+            "WARC-Record-ID": own, "WARC-Date": F.col("date"), "WARC-Target-URI": one_line(F.col("url")), **more,
             "WARC-Payload-Digest": F.col("_payload") if kind == "response" else None,
             "WARC-Source-Payload-Digest": F.col("_payload") if kind != "response" else None,
             "WARC-Block-Digest": digest(block), "Content-Type": F.lit(content_type),

@@ -30,6 +30,19 @@ def test_a_header_before_a_script_is_text_and_references_are_decoded(spark):
     assert [row["text"] for row in text] == ["Top\nA © b · éé &lt; c End", None]
 
 
+def test_what_is_never_closed_goes_on_to_the_end(spark):
+    html = ["<p>a</p><script>var leak=1;", "<p>b</p><!-- open <p>c</p>", "<p>d</p><style>p{}</style><p>e</p>"]
+    text = spark.createDataFrame([(page,) for page in html], "html string").select(plain_text(F.col("html")).alias("t"))
+    assert [row["t"] for row in text.collect()] == ["a", "b", "d\ne"]
+
+
+def test_a_url_adds_no_header_and_nulls_are_values_of_their_own(spark):
+    table = pages(spark, (1, "u\r\nWARC-Type: evil", "x", 0, 0, 0), (None, "1", "x", 0, 0, 0), (1, None, "x", 0, 0, 0), (1, "", "x", 0, 0, 0))
+    records = derive(responses(table)).collect()
+    assert len({row["record_id"] for row in records}) == 12
+    assert all(row["header"].count("WARC-Type") - row["header"].count("%0AWARC-Type") == 1 for row in records)
+
+
 def test_records_are_linked_and_read_back_from_their_files(spark, tmp_path):
     table = pages(spark, (1, "http://a/", PAGE, 0, 0, 0), (2, None, None, 0, 0, 0), (3, "http://b/", "", 0, 0, 0), (None, "http://c/", "x" * 200_000, 0, 0, 0))
     records = derive(responses(table))
