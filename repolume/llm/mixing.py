@@ -162,15 +162,17 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: float
 def take_copies(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: float = 3.0) -> DataFrame:
     """The mix itself: each row of ``docs`` as many times as it is taken, with all its columns.
 
-    Rows that share an id are told apart by their order in source and size.
+    Rows that share an id are told apart by their order in source and size, and of equal ones the text with the smaller
+    hash is taken less often, so reruns agree.
     """
-    nth = F.row_number().over(Window.partitionBy("id").orderBy("source", "size")).alias("nth")
-    copies = mix_sources(docs, weights, most).withColumnRenamed("doc_id", "id").select("id", nth, "copies")
+    nth = lambda tie: F.row_number().over(Window.partitionBy("id").orderBy("source", "size", tie)).alias("nth")
+    copies = mix_sources(docs, weights, most).withColumnRenamed("doc_id", "id").select("id", nth("copies"), "copies")
     copies = copies.where("copies > 0").withColumnsRenamed({"id": "taken_id", "nth": "taken_nth"})
     # whole rows travel as one column, so that no column of theirs can clash
     rows = docs.select(
-        F.struct("*").alias("row"), F.col("doc_id").alias("id"), "source", count_words(F.col("text")).alias("size")
-    ).select("row", "id", nth)
+        F.struct("*").alias("row"), F.col("doc_id").alias("id"), "source", count_words(F.col("text")).alias("size"),
+        F.xxhash64("text").alias("text_hash"),
+    ).select("row", "id", nth("text_hash"))
     same = rows["id"].eqNullSafe(copies["taken_id"]) & (rows["nth"] == copies["taken_nth"])
     repeat = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy")
     return rows.join(copies, same).select("row", repeat).select("row.*")

@@ -90,6 +90,12 @@ def test_the_mix_repeats_rows(documents):
     assert got == {doc: n for doc, n in expected.items() if n}
 
 
+def test_which_of_equal_ids_is_taken_does_not_depend_on_the_order_of_rows(documents):
+    texts = [(i % 40, f"{chr(97 + i % 26)} {i} word", "abc"[i % 40 % 3]) for i in range(240)]
+    taken = [sorted(row["text"] for row in take_copies(documents(*order)).collect()) for order in (texts, texts[::-1])]
+    assert taken[0] == taken[1]
+
+
 def test_no_documents(documents):
     empty = documents((1, "a")).where("false")
     assert mix_sources(empty).count() == 0 and take_copies(empty).count() == 0
