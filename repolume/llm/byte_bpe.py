@@ -14,7 +14,8 @@ occurrence:
    up on is merged by the same rule here, with a heap, so that a run of a million takes no quadratic time.
 
 Decoding concatenates the binary pieces of the ids. ``encode_and_decode`` does both in one pass over the texts: what a
-word adds to the digests is made once per word and task, so a text is cut once and joined twice.
+word adds to the digests is made once per word and task, so a text is cut once and joined twice; the ids are read from
+the decimals that the first digest is of.
 
 Defined results: a NULL or empty text has no ids and decodes to no bytes; repeated rows are encoded alike; no documents
 give no rows. Every byte must have a rank in the file. Special tokens do not exist: their spelling is ordinary text.
@@ -117,7 +118,7 @@ def _library(ranks: dict[bytes, int], pattern: str) -> Callable[[str], list[int]
 class _Words(dict):
     """An entry for each word: those of the head are made in advance, the others when they are first asked for."""
 
-    def __init__(self, head: Iterator[tuple[str, list[int]]], entry: Callable, merge: Callable[[str], list[int]]) -> None:
+    def __init__(self, head: Iterator[tuple], entry: Callable, merge: Callable) -> None:
         super().__init__((word, entry(ids)) for word, ids in head)
         self.head, self.entry, self.merge = dict(self), entry, merge
 
@@ -255,22 +256,22 @@ def encode_and_decode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = regex.compile(pattern).findall
         table, ranks = shared.value
-        piece_of = _pieces(ranks)
-
-        def entry(found: list[int]) -> tuple:
-            own = np.array(found, dtype=np.int32) if ids else None
-            return len(found), ",".join(map(str, found)), b"".join(map(piece_of.__getitem__, found)), own
-
-        entry_of = _Words(_rows(table), entry, _library(ranks, pattern)).__getitem__
+        piece_of = _pieces(ranks).__getitem__
+        # plain text and bytes per word, in a table each: one lookup a word and no tuples
+        decimals_of = _Words(_rows(table), lambda found: ",".join(map(str, found)), _library(ranks, pattern)).__getitem__
+        bytes_of = _Words(
+            iter(()), lambda found: b"".join(map(piece_of, found)), lambda word: map(int, decimals_of(word).split(","))
+        ).__getitem__
         for batch in batches:
             counts, ids_digests, digests, lists = [], [], [], []
             for text in texts_of(batch, "_text"):
-                sizes, decimals, pieces, own = zip(*map(entry_of, cut(text))) if text else ((), (), (), ())
-                counts.append(sum(sizes))
-                ids_digests.append(hashlib.sha256(",".join(decimals).encode()).hexdigest())
-                digests.append(hashlib.sha256(b"".join(pieces)).hexdigest())
+                words = cut(text)
+                decimals = ",".join(map(decimals_of, words))
+                counts.append(decimals.count(",") + 1 if words else 0)
+                ids_digests.append(hashlib.sha256(decimals.encode()).hexdigest())
+                digests.append(hashlib.sha256(b"".join(map(bytes_of, words))).hexdigest())
                 if ids:
-                    lists.append(np.concatenate(own) if own else np.empty(0, dtype=np.int32))
+                    lists.append(np.fromstring(decimals, dtype=np.int32, sep=",") if words else np.empty(0, dtype=np.int32))
             made = [pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(digests, pa.string())]
             columns = [*(batch.column(name) for name in keep), *([_lists(lists)] if ids else []), *made]
             yield pa.RecordBatch.from_arrays(columns, names=names)
