@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -59,9 +59,55 @@ def url_number(url: Column) -> Column:
     return F.nullif(F.regexp_extract(url, _URL_KEY, 2), F.lit("")).cast("long")
 
 
+# Up to this length the plain distance is cheap; longer texts are stripped of their common ends first.
+_SHORT = 256
+
+
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _common_end(old: Column, new: Column, part: Callable[[Column, Column, Column], Column]) -> Column:
+    """Characters that two texts share at one end, found by halving; ``part`` is a text's piece of a length that lies
+    so many characters from that end."""
+    longest = F.least(F.length(old), F.length(new))
+
+    def longer(known: Column, step: Column) -> Column:
+        fits = (known + step <= longest) & (part(old, known, step) == part(new, known, step))
+        return F.when(fits, known + step).otherwise(known)
+
+    return F.aggregate(F.array(*(F.lit(1 << power) for power in reversed(range(30)))), F.lit(0), longer)
+
+
+def _strip_start(old: Column, new: Column) -> Column:
+    same = _common_end(old, new, lambda text, known, step: F.substring(text, known + 1, step))
+    rest = lambda text, n: F.substring(text, n + 1, F.length(text))
+    return _once(same, lambda n: F.struct(rest(old, n).alias("old"), rest(new, n).alias("new")))
+
+
+def _strip_end(old: Column, new: Column) -> Column:
+    same = _common_end(old, new, lambda text, known, step: F.substring(text, F.length(text) - known - step + 1, step))
+    rest = lambda text, n: F.substring(text, F.lit(1), F.length(text) - n)
+    return _once(same, lambda n: F.struct(rest(old, n).alias("old"), rest(new, n).alias("new")))
+
+
 def edit_distance(old: Column, new: Column) -> Column:
-    """Levenshtein distance of two texts in characters; an absent text counts as empty."""
-    return F.levenshtein(F.coalesce(old, F.lit("")), F.coalesce(new, F.lit("")))
+    """Levenshtein distance of two texts in characters; an absent text counts as empty.
+
+    Long texts lose their common ends first, so the work grows with the square of what lies between the first and the
+    last change, not with that of the file.
+    """
+    old, new = F.coalesce(old, F.lit("")), F.coalesce(new, F.lit(""))
+    long = _once(
+        F.struct(old.alias("old"), new.alias("new")),
+        lambda pair: _once(
+            _strip_start(pair["old"], pair["new"]),
+            lambda pair: _once(_strip_end(pair["old"], pair["new"]), lambda pair: F.levenshtein(pair["old"], pair["new"])),
+        ),
+    )
+    short = F.least(F.length(old), F.length(new)) <= _SHORT
+    return F.when(old == new, F.lit(0)).when(short, F.levenshtein(old, new)).otherwise(long)
 
 
 def changed(old: Column, new: Column) -> Column:

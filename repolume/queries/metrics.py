@@ -42,17 +42,21 @@ def share_changed_lines(t: Source) -> DataFrame:
 
 @query(
     """
-    SELECT p_brand AS author, sum(levenshtein(p_name, p_type))::BIGINT AS edit_distance,
-           round(sum(levenshtein(p_name, p_type))::DOUBLE / (SELECT sum(levenshtein(p_name, p_type)) FROM part)::DOUBLE, 9)
-               AS share
-    FROM part GROUP BY 1
+    SELECT author, distance::BIGINT AS edit_distance, round(distance::DOUBLE / (sum(distance) OVER ())::DOUBLE, 9) AS share
+    FROM (
+      SELECT o_custkey AS author, sum(levenshtein(p_name, p_type)) AS distance
+      FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey GROUP BY 1
+    )
     """
 )
 def share_edit_distance(t: Source) -> DataFrame:
-    distances = t.part.select(
-        c("p_brand").alias("author"), edit_distance(c("p_name"), c("p_type")).cast("long").alias("edit_distance")
+    """Contribution of every author by edit distance: each line of an order edits the name of a part into its type."""
+    files = t.part.select("p_partkey", edit_distance(c("p_name"), c("p_type")).cast("long").alias("levenshtein_dist"))
+    edits = t.lineitem.join(files, c("l_partkey") == c("p_partkey")).select(
+        c("l_orderkey").alias("commit_sha"), "levenshtein_dist"
     )
-    return aggregates.share_of_total(distances, ["author"], [], "edit_distance")
+    commits = t.orders.select(c("o_orderkey").alias("commit_sha"), c("o_custkey").alias("author"))
+    return aggregates.share_edit_distance(edits, commits, ())
 
 
 @query(
@@ -233,3 +237,14 @@ def edit_distance_of_versions(t: Source) -> DataFrame:
     """Edit distance of two versions of a text: the url of a page, and the url after an edit."""
     versions = t.pages.select("page_id", c("url").alias("pre_text"), F.replace("url", lit("example"), lit("test")).alias("post_text"))
     return versions.select("page_id", edit_distance(c("pre_text"), c("post_text")).cast("long").alias("distance"))
+
+
+@query("SELECT doc_id, (least(length(coalesce(text, '')), 20) + 1)::BIGINT AS distance FROM documents")
+def edit_distance_of_long_versions(t: Source) -> DataFrame:
+    """Edit distance of whole documents and of what an edit makes of them: characters that no text has are put into
+    their middle, as many as the text has, but at most twenty, and one more."""
+    text = F.coalesce("text", lit(""))
+    middle = F.floor(F.length(text) / 2).cast("int")
+    mark = F.repeat(lit("\u0001"), F.least(F.length(text), lit(20)) + 1)
+    edited = F.concat(F.substring(text, lit(1), middle), mark, F.substring(text, middle + 1, F.length(text)))
+    return t.documents.select("doc_id", edit_distance(text, edited).cast("long").alias("distance"))

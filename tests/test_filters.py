@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,3 +45,30 @@ def test_scalars(frame):
     got = rows(df.select(S.url_repository(F.col("u")), S.url_number(F.col("u")), S.split_list(F.col("l"), ".")))
     assert got == [("o/r", 12, ["a", "b"]), (None, None, None)]
     assert df.select(S.edit_distance(F.lit("kitten"), F.lit("sitting")), S.edit_distance(F.lit(None).cast("string"), F.lit("ab"))).first() == (3, 2)
+
+
+def test_edit_distance_of_long_texts_is_the_plain_one(spark):
+    draw = random.Random(6)
+    pairs = [("", "x" * 300), ("a" * 300, "a" * 300), ("a" * 300, "a" * 299), ("ab" * 200, "ba" * 200), (None, "é" * 400), ("x" * 700, "y" * 700)]
+    for _ in range(60):
+        old = [draw.choice("abé\U0001f600 ") for _ in range(draw.randint(257, 900))]
+        new = list(old)
+        for _ in range(draw.choice([0, 1, 5, 40, 400])):
+            at = draw.randrange(len(new))
+            new[at : at + draw.randint(0, 2)] = draw.choice("abé\U0001f600 ") * draw.randint(0, 3)
+        pairs.append(("".join(old), "".join(new)))
+    df = spark.createDataFrame(pairs, "old string, new string")
+    plain = F.levenshtein(F.coalesce("old", F.lit("")), F.coalesce("new", F.lit("")))
+    assert df.where(~S.edit_distance(F.col("old"), F.col("new")).eqNullSafe(plain)).count() == 0
+
+
+def test_neighbouring_edits_of_a_megabyte_take_little_time(spark):
+    draw = random.Random(7)
+    old = [draw.choice("abcdefgh \n") for _ in range(1_000_000)]
+    new = list(old)
+    for at in range(500_000, 504_000, 400):
+        new[at] = "#"
+    df = spark.createDataFrame([("".join(old), "".join(new))], "old string, new string")
+    begin = time.monotonic()
+    assert df.select(S.edit_distance(F.col("old"), F.col("new"))).first()[0] == 10
+    assert time.monotonic() - begin < 30
