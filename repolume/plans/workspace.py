@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from repolume.functions.people import People
 from repolume.operators import projections
+from repolume.operators.aggregates import repository_summary
 from repolume.operators.filters import select_repositories
 from repolume.operators.identity import unknown_users
 from repolume.operators.incremental import children_per_repository, content_per_repository, next_pages, updates_per_repository
@@ -14,6 +15,7 @@ from repolume.operators.setops import concat
 from repolume.plans.activity import attach_parents, build_tables, child_table, cursors, merge_table, summary_sources
 from repolume.plans.completion import read_wanted_issues, settle_wanted_issues
 from repolume.plans.selection import TableSelection
+from repolume.plans.summary import SUMMARY_KEYS, keys_path, refresh_summary, summary_keys
 from repolume.plans.versions import COMMIT_STATE, commit_state, refresh_versions, repair_identities, state_path
 from repolume.schemas import LISTED_UNDER, RAW, REPO, TABLES
 from repolume.session import remove, scratch_dir
@@ -176,6 +178,10 @@ class Workspace:
             accounts = projections.commit_accounts(raw["commit_account"], self.people)
             state = commit_state(commits, accounts, projections.tags(raw["tag"]))
             save_state(state, state_path(self.root), COMMIT_STATE, commits)
+        if "repository" in tables:  # what a later landing is counted together with
+            keys = summary_keys(counted, projections.commit_log(commits), projections.edits(edits))
+            landed_in = concat(raw["repository"].select(REPO), *[df.select(REPO) for df in (*counted.values(), edits)])
+            save_state(keys, keys_path(self.root), SUMMARY_KEYS, landed_in)
         self._want_issues(raw, tables)
         for folder in folders:
             remove(self.spark, folder)
@@ -184,8 +190,9 @@ class Workspace:
         """Lay a partial landing (pages since a cursor) over what is stored.
 
         Of a record with an update time the newest version stays; of other records the landed one. Records that
-        were not landed stay as they are, as does the repository summary. Parts of the mined logs are resolved
-        together with what is stored of their repositories.
+        were not landed stay as they are. Parts of the mined logs are resolved together with what is stored of their
+        repositories. The repository summary counts what is stored and what is landed together; select it in every
+        landing or in none, as what lands without it is not counted later.
         """
         selection = selection or TableSelection()
         folders: list[str] = []
@@ -196,10 +203,15 @@ class Workspace:
             if name != "repository":
                 merge_table(df, self.root, name)
         self._want_issues(raw, tables)
+        commits = read_mined_commits(self.spark, f"{landing}/mined_commits")
+        edits = read_mined_edits(self.spark, f"{landing}/mined_edits")
+        if "repository" in selection.tables():
+            keys = summary_keys(summary_sources(raw, commits), projections.commit_log(commits), projections.edits(edits))
+            described = repository_summary(raw["repository"], {}, companies=selection.repository.contributor_companies)
+            refresh_summary(self.spark, self.root, keys, described)
         if "commits" in selection.tables():
             refresh_versions(
-                self.spark, self.root, read_mined_commits(self.spark, f"{landing}/mined_commits"),
-                read_mined_edits(self.spark, f"{landing}/mined_edits"),
+                self.spark, self.root, commits, edits,
                 projections.commit_accounts(raw["commit_account"], self.people), read_table(self.spark, self.root, "users"),
                 projections.tags(raw["tag"]),
             )

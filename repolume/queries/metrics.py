@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from repolume.functions.scalars import edit_distance
 from repolume.operators import aggregates
+from repolume.plans.summary import refresh_summary as lay_over
+from repolume.plans.summary import summary_keys
 from repolume.queries.base import Source, as_json, naive, query, tag, text
 from repolume.schemas import REPO
+from repolume.session import scratch_dir
+from repolume.sources.tables import read_table
 
 c, lit, when = F.col, F.lit, F.when
 
@@ -166,8 +170,7 @@ def _repository_of(df: DataFrame, column: str) -> DataFrame:
     return df.select(tag("org/", column).alias(REPO))
 
 
-@query(
-    """
+_SQL_SUMMARY = """
     WITH o AS (SELECT o_custkey, count(*) AS commits, max(o_orderdate) AS last_date FROM orders GROUP BY 1),
     l AS (
       SELECT o_custkey, count(*) AS edits,
@@ -193,9 +196,10 @@ def _repository_of(df: DataFrame, column: str) -> DataFrame:
     FROM customer LEFT JOIN o ON o.o_custkey = c_custkey LEFT JOIN l ON l.o_custkey = c_custkey
          LEFT JOIN e ON user_id = c_custkey LEFT JOIN n ON s_nationkey = c_custkey
     """
-)
-def repository_summary(t: Source) -> DataFrame:
-    """Customers as repositories: their orders, lines and events are what the summary counts."""
+
+
+def _summary_inputs(t: Source) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Customers as repositories, their orders as commits, the lines of the orders as edits."""
     time, words = lit(None).cast("timestamp_ntz"), lit(None).cast("string")
     company = F.struct(tag("C", "c_custkey").alias("node_id"), when(c("c_nationkey") >= 5, c("c_mktsegment")).alias("company"))
     repositories = t.customer.select(
@@ -218,11 +222,10 @@ def repository_summary(t: Source) -> DataFrame:
         tag("org/", "o_custkey").alias(REPO), c("o_orderkey").alias("commit_sha"), c("o_orderdate").alias("author_date"),
         c("o_orderdate").alias("committed_at"),
     )
-    sources = {
-        "commits": log, "pull_requests": log, "review_comments": edits,
-        "issues": _repository_of(t.events, "user_id"), "workflows": _repository_of(t.supplier, "s_nationkey"),
-    }
-    summary = aggregates.repository_summary(repositories, sources, log, edits, companies=True)
+    return repositories, log, edits
+
+
+def _shown_summary(summary: DataFrame) -> DataFrame:
     shown = summary.select(
         REPO, "repo_name", "organization_name", "repo_type", "user_name", "stars", "size", "contributor_count",
         "contributor_companies", "contributor_companies_count", "branch_count", "commit_count", "last_commit_date",
@@ -232,6 +235,38 @@ def repository_summary(t: Source) -> DataFrame:
     return as_json(naive(shown), "contributor_companies")
 
 
+@query(_SQL_SUMMARY)
+def repository_summary(t: Source) -> DataFrame:
+    """Customers as repositories: their orders, lines and events are what the summary counts."""
+    repositories, log, edits = _summary_inputs(t)
+    sources = {
+        "commits": log, "pull_requests": log, "review_comments": edits,
+        "issues": _repository_of(t.events, "user_id"), "workflows": _repository_of(t.supplier, "s_nationkey"),
+    }
+    summary = aggregates.repository_summary(repositories, sources, log, edits, companies=True)
+    return _shown_summary(summary)
+
+
+@query(_SQL_SUMMARY.replace("coalesce(edits, 0) AS pullrequest_review_count", "0::BIGINT AS pullrequest_review_count"))
+def refresh_summary(t: Source) -> DataFrame:
+    """The summary of a whole landing, out of two that overlap: edits land before their commits and after them."""
+    spark, root = t.spark, scratch_dir(t.spark, "summary")
+    repositories, log, edits = _summary_inputs(t)
+    described = aggregates.repository_summary(repositories, {}, companies=True)
+    events = t.events.select(tag("org/", "user_id").alias(REPO), c("event_id").alias("id"))
+    suppliers = t.supplier.select(tag("org/", "s_nationkey").alias(REPO), c("s_suppkey").alias("id"))
+    for part, landed in ((0, described), (1, described.limit(0))):
+        of = lambda df, number: df.where(number % 3 != part)  # noqa: E731, B023
+        commits = of(log, c("commit_sha"))
+        sources = {
+            "pull_requests": commits.withColumnRenamed("commit_sha", "id"), "issues": of(events, c("id")),
+            "workflows": of(suppliers, c("id")),
+        }
+        keys = summary_keys(sources, commits, of(edits, F.xxhash64("commit_sha", "filename")))
+        lay_over(spark, root, keys, landed)
+    return _shown_summary(read_table(spark, root, "repository"))
+
+
 @query("SELECT page_id, levenshtein(url, replace(url, 'example', 'test'))::BIGINT AS distance FROM pages")
 def edit_distance_of_versions(t: Source) -> DataFrame:
     """Edit distance of two versions of a text: the url of a page, and the url after an edit."""

@@ -9,7 +9,10 @@ from compare import connect, differences
 from repolume.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-WRITES = {"stored_table_replace", "registry_roundtrip", "stream_cursor_ingest", "export_roundtrip", "users_insert", "stream_store_ingest", "refresh_versions", "wanted_issues"}
+WRITES = {
+    "stored_table_replace", "registry_roundtrip", "stream_cursor_ingest", "export_roundtrip", "users_insert", "stream_store_ingest", "refresh_versions", "wanted_issues",
+    "refresh_summary",
+}
 
 
 @pytest.fixture(scope="module")

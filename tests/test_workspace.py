@@ -258,3 +258,46 @@ def test_wanted_issues_are_kept_until_they_land(workspace, land):
     for _ in range(2):
         workspace.refresh(land.folder)
         assert rows(workspace.wanted_issues()) == [("o/a", 2, 20), ("o/b", 1, 10)]
+
+
+def test_the_summary_of_parts_is_that_of_a_whole_landing(spark, frame, workspace, land, tmp_path):
+    def commit(i, day):
+        date = f"2024-01-{day:02d} 00:00:00"
+        return {"repo_full_name": "o/a", "seq": i, "hash": f"s{i}", "committer_date": date, "author_date": date, "branches": f"main,b{i}"}
+
+    def edit(i, sha, filename):
+        return {"repo_full_name": "o/a", "id": i, "commit_hash": sha, "filename": filename}
+
+    def put(issues, labels, commits, edits):
+        land("issue", "o/a", *issues)
+        land("label", "o/a", *({"id": i} for i in labels))
+        frame(MINED_COMMITS, *commits).write.mode("overwrite").parquet(f"{land.folder}/mined_commits")
+        frame(MINED_EDITS, *edits).write.mode("overwrite").parquet(f"{land.folder}/mined_edits")
+
+    first = [issue(1, 1), issue(2, 2)], [1, 2], [commit(2, 5)], [edit(1, "s2", "README.md"), edit(2, "s1", "SECURITY.md")]
+    second = [issue(2, 4), issue(3, 4)], [2, 3], [commit(1, 2)], [edit(3, "s1", "README.md"), edit(4, "s2", "SUPPORT.md")]
+    land("repository", "o/a", {"name": "a", "full_name": "o/a", "stargazers_count": 3})
+    land("issue", "o/b", issue(7, 1))
+    land("repository", "o/b", {"name": "b", "full_name": "o/b"})
+    put(*first)
+    only = TableSelection().all_false()
+    only.repository.summary = True
+    workspace.generate(land.folder, only)
+    land("repository", "o/a")
+    land("repository", "o/b")
+    land("issue", "o/b")
+    put(*second)
+    workspace.refresh(land.folder, only)
+    found = rows(workspace.table("repository"))
+    workspace.refresh(land.folder, only)
+    assert rows(workspace.table("repository")) == found, "what lands again counts once"
+    whole = Workspace(spark, str(tmp_path / "whole"), workspace.people)
+    land("repository", "o/a", {"name": "a", "full_name": "o/a", "stargazers_count": 3})
+    land("issue", "o/b", issue(7, 1))
+    land("repository", "o/b", {"name": "b", "full_name": "o/b"})
+    put([issue(1, 1), issue(2, 4), issue(3, 4)], [1, 2, 3], first[2] + second[2], first[3] + second[3])
+    whole.generate(land.folder, only)
+    assert found == rows(whole.table("repository"))
+    a = workspace.table("repository").where("repo_name = 'a'").first()
+    assert (a["issues_count"], a["labels_count"], a["commit_count"], a["branch_count"], a["stars"]) == (3, 3, 2, 3, 3)
+    assert a["file_readme"].day == 2 and a["file_security"].day == 2 and a["file_support"].day == 5 and a["last_commit_date"].day == 5
