@@ -7,7 +7,7 @@ occurrence:
 1. All words of all texts are counted. The threshold that leaves at most ``HEAD`` distinct words comes from a
    histogram of the counts, so nothing is sorted in one task.
 2. The words at or above it are encoded by Spark higher-order functions: ``aggregate`` folds the merges over the array
-   of a word's bytes, and looks ranks up in a literal map (hashed into ``BUCKETS`` small maps, as a map is searched
+   of a word's bytes, and looks ranks up in a broadcast row (hashed into ``BUCKETS`` small maps, as a map is searched
    linearly). The result, of bounded size, is broadcast.
 3. Every text is then encoded where it lies, with nothing shuffled. Words below the threshold, and words of more than
    ``LONG`` bytes, are merged in the task by the byte-pair library, once per task; white space that its pattern gives
@@ -36,13 +36,14 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repolume.llm.common import discard, settled, texts_of
 
 HEAD = 1 << 17
 BUCKETS = 1 << 15
+GROUPS = 1 << 9  # of the head's words, for encoding
 LONG = 64
 _KEPT = 1 << 18  # words a task remembers or counts before it starts anew
 _NONE = 1 << 62
@@ -136,33 +137,51 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def fold_merges(word: Column, ranks: dict[bytes, int]) -> Column:
-    """The ids of a word (binary, one byte or more), by higher-order functions only. Bytes are two hex digits here."""
+    """The ids of a word (binary, one byte or more), by higher-order functions only; ``ranks`` become a literal, so this
+    is for few words and small plans."""
     maps: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
     for piece, rank in ranks.items():
         key = piece.hex().upper()
         maps[zlib.crc32(key.encode()) % BUCKETS][key] = rank
     literal = F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")  # folded into one literal
+    return _let(literal, lambda table: _folded(word, table))
 
-    def folded(rank_map: Column) -> Column:
-        def rank(key: Column) -> Column:
-            bucket = (F.crc32(key.cast("binary")) % BUCKETS).cast("int")
-            return F.try_element_at(F.get(rank_map, bucket), key)
 
-        def merge(parts: Column, _: Column) -> Column:
-            pair = lambda at: F.concat(F.get(parts, at - 1), F.get(parts, at))
-            ranked = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda at: rank(pair(at)))
-            joined = lambda at: F.concat(
-                F.slice(parts, 1, at - 1), F.array(pair(at)), F.slice(parts, at + 2, F.size(parts))
-            )
-            first = _let(ranked, lambda found: F.coalesce(F.array_position(found, F.array_min(found)), F.lit(0)))
-            merged = _let(first.cast("int"), lambda at: F.when(at > 0, joined(at)).otherwise(parts))
-            return F.when(F.size(parts) > 1, merged).otherwise(parts)
+def rank_table(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
+    """One row, ``table``: the ranks by hex digits, hashed into ``BUCKETS`` small maps. A literal of them would be printed
+    with every plan and sent with every task."""
+    pieces = spark.createDataFrame(pa.table({"piece": pa.array(ranks, pa.binary()), "rank": pa.array(ranks.values(), pa.int32())}))
+    key = F.hex("piece")
+    bucket = (F.crc32(key.cast("binary")) % BUCKETS).alias("bucket")
+    entries = pieces.select(bucket, F.struct(key.alias("key"), "rank").alias("entry")).groupBy("bucket").agg(
+        F.collect_list("entry").alias("entries")
+    )
+    every = spark.range(BUCKETS).withColumnRenamed("id", "bucket").join(entries, "bucket", "left")
+    none = F.array().cast("array<struct<key:string,rank:int>>")
+    ordered = F.sort_array(F.collect_list(F.struct("bucket", F.coalesce("entries", none).alias("entries"))))
+    return every.agg(F.transform(ordered, lambda one: F.map_from_entries(one["entries"])).alias("table"))
+
+
+def _folded(word: Column, table: Column) -> Column:
+    """The ids of a word by the maps of ``rank_table``. Bytes are two hex digits here."""
+
+    def rank(key: Column) -> Column:
+        bucket = (F.crc32(key.cast("binary")) % BUCKETS).cast("int")
+        return F.try_element_at(F.get(table, bucket), key)
 
-        single = F.regexp_extract_all(F.hex(word), F.lit(".."), F.lit(0))
-        parts = _let(single, lambda bytes_: F.aggregate(F.sequence(F.lit(1), F.size(bytes_)), bytes_, merge))
-        return F.transform(parts, rank)
+    def merge(parts: Column, _: Column) -> Column:
+        pair = lambda at: F.concat(F.get(parts, at - 1), F.get(parts, at))
+        ranked = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda at: rank(pair(at)))
+        joined = lambda at: F.concat(
+            F.slice(parts, 1, at - 1), F.array(pair(at)), F.slice(parts, at + 2, F.size(parts))
+        )
+        first = _let(ranked, lambda found: F.coalesce(F.array_position(found, F.array_min(found)), F.lit(0)))
+        merged = _let(first.cast("int"), lambda at: F.when(at > 0, joined(at)).otherwise(parts))
+        return F.when(F.size(parts) > 1, merged).otherwise(parts)
 
-    return _let(literal, folded)
+    single = F.regexp_extract_all(F.hex(word), F.lit(".."), F.lit(0))
+    parts = _let(single, lambda bytes_: F.aggregate(F.sequence(F.lit(1), F.size(bytes_)), bytes_, merge))
+    return F.transform(parts, rank)
 
 
 def count_words(docs: DataFrame, pattern: str) -> DataFrame:
@@ -199,9 +218,12 @@ def encoded_head(docs: DataFrame, ranks: dict[bytes, int], pattern: str, head: i
             break
         left, least = left - row["count"], row["step"]
     chosen = counts.where(step >= least) if least is not None else counts.limit(0)
-    # a bounded number of words, each dear: deal them out evenly
-    dealt = chosen.select("word").repartition(64, "word")
-    return dealt.select("word", fold_merges(F.encode("word", "UTF-8"), ranks).alias("ids"))
+    # a bounded number of words, each dear: deal them out evenly, in groups that meet the table of ranks once
+    slot = F.pmod(F.xxhash64("word"), F.lit(GROUPS)).alias("slot")
+    groups = chosen.select(slot, "word").repartition(64, "slot").groupBy("slot").agg(F.collect_list("word").alias("words"))
+    table = F.broadcast(rank_table(docs.sparkSession, ranks))  # one row of bounded size
+    coded = lambda word: F.struct(word.alias("word"), _folded(F.encode(word, "UTF-8"), F.col("table")).alias("ids"))
+    return groups.crossJoin(table).select(F.inline(F.transform("words", coded)))
 
 
 def _shared(docs: DataFrame, ranks: dict[bytes, int], pattern: str, head: int):

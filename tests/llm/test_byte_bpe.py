@@ -10,7 +10,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from repolume.llm.byte_bpe import (
-    _merge_long, decode, decoded_bytes, encode, encode_and_decode, encoded_head, fold_merges, merge_word, read_ranks,
+    _merge_long, decode, decoded_bytes, encode, encode_and_decode, encoded_head, fold_merges, merge_word,
+    rank_table, read_ranks,
 )
 
 RANKS = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -86,3 +87,15 @@ def test_no_documents(documents):
     empty = documents((1, "a")).where("false")
     assert encode_and_decode(empty, RANKS, public_tokenizers.PATTERN).count() == 0
     assert decode(encode(empty, RANKS, public_tokenizers.PATTERN), RANKS).count() == 0
+
+
+def test_the_ranks_are_in_no_plan(documents):
+    docs = documents(*enumerate(TEXTS))
+    head = encoded_head(docs, RANKS, public_tokenizers.PATTERN)
+    assert len(head._jdf.queryExecution().toString()) < 100_000
+    assert all(row["ids"] == LIBRARY._encode_single_piece(row["word"].encode()) for row in head.collect())
+
+
+def test_the_table_of_ranks_holds_every_piece_once(spark):
+    maps = rank_table(spark, RANKS).first()["table"]
+    assert sorted((bytes.fromhex(key), rank) for some in maps for key, rank in some.items()) == sorted(RANKS.items())
