@@ -297,6 +297,34 @@ def _merged(joined: DataFrame, links: DataFrame) -> DataFrame:
     return kept.unionByName(moved.join(joined, "id", "left_anti"))
 
 
+def _linked(joined: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``joined`` (id, component) after all links among ``pairs`` (a, b, agreeing), settled.
+
+    Of the pairs between two components the one that agrees best is confirmed first. Where it is a link the others add
+    nothing, as their ends are in one component then; where it is none, all the others are confirmed.
+    """
+    alike = pairs.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing"))
+    first = settled(_apart(alike, joined), "minhash-apart")
+    between = first.groupBy(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b"))
+    best = between.agg(F.max(F.struct("agreeing", "a", "b")).alias("best")).select("best.a", "best.b")
+    best = settled(best, "minhash-best")
+    joined = settled(_merged(joined, confirm(best, texts)), "minhash-joined")
+    others = first.select("a", "b").join(best, ["a", "b"], "left_anti")
+    others = settled(_apart(others, joined).select("a", "b"), "minhash-others")
+    discard(first, best)
+    if not others.isEmpty():
+        joined = settled(_merged(joined, confirm(others, texts)), "minhash-joined")
+    discard(others)
+    return joined
+
+
+def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, ...) whose ends lie in different components, with these, ``_a`` and ``_b``."""
+    of = lambda end: joined.select(F.col("id").alias(end), F.col("component").alias(f"_{end}"))
+    found = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return found.withColumns({f"_{end}": F.coalesce(f"_{end}", end) for end in "ab"}).where("_a <> _b")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (smallest id of its component) of every row of ``docs``."""
     sketched = settled(sketches(docs), "minhash-sketches")
@@ -315,18 +343,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # one text per id; ids that several rows share bring several
     members = settled(rows.select("id").distinct(), "minhash-members")
     texts = settled(_wanted(docs.select(F.col("doc_id").alias("id"), "text"), members), "minhash-texts")
+    # what follows is about classes that share a node; the others' tokens need not be shuffled again
+    met = settled(_wanted(classes, members), "minhash-met")
     discard(members)
-    joined = roots(hub_links(rows, classes, texts))
+    joined = roots(hub_links(rows, met, texts))
     component = F.coalesce("component", "id").alias("component")
     now = lambda nodes: nodes.select("node", "id").join(joined, "id", "left").select("node", "id", component)
 
     mixed = _mixed(now(rows))
     discard(rows)
-    found, left = [_exhaustive(mixed, classes)], _large(mixed)
+    found, left = [_exhaustive(mixed, met)], _large(mixed)
     large = left.count()
     while large:
-        deeper = _mixed(next_level(left, classes))
-        found.append(_exhaustive(deeper, classes))
+        deeper = _mixed(next_level(left, met))
+        found.append(_exhaustive(deeper, met))
         rest = _large(deeper)
         before, large = large, rest.count()
         discard(left, deeper)
@@ -335,17 +365,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             break
     discard(mixed)
     if large:  # texts that share much
-        links = hub_links(left, classes, texts).select(F.col("component").alias("a"), F.col("id").alias("b"))
+        links = hub_links(left, met, texts).select(F.col("component").alias("a"), F.col("id").alias("b"))
         joined = settled(_merged(joined, links), "minhash-joined")
         mixed = _mixed(now(left))
-        found.append(_exhaustive(mixed, classes))
+        found.append(_exhaustive(mixed, met))
         rest = settled(_large(mixed).select("id", "component").distinct(), "minhash-rest")
         if not rest.isEmpty():
             found.append(rare_pairs(rest, texts))
         discard(mixed, rest)
-    pairs = reduce(DataFrame.unionByName, found).distinct()
-    joined = settled(_merged(joined, confirm(pairs, texts)), "minhash-joined")
-    discard(left, texts, *found)
+    joined = _linked(joined, reduce(DataFrame.unionByName, found), texts)
+    discard(left, texts, met, *found)
 
     final = classes.select("set_key", "id").join(joined, "id", "left").select("set_key", "id", component)
     smallest = final.groupBy("component").agg(F.min("id").alias("component_id"))
@@ -367,18 +396,21 @@ def _exhaustive(mixed: DataFrame, classes: DataFrame) -> DataFrame:
     lies, settled. The rows of a node's main component meet the others only, so a large pure group is passed once."""
     near = mixed.where(F.col("others") <= LEAF)
     full = near.select("node", "id", "component", "main").join(classes.select("id", "n", "tokens"), "id")
-    return settled(_compared(full, full, ["node"], ["n", "tokens"], _alike("a", "b")).distinct(), "minhash-pairs")
+    pairs = _compared(full, full, ["node"], ["n", "tokens"], _alike("a", "b"), _agreeing("a", "b"))
+    return settled(pairs.distinct(), "minhash-pairs")
 
 
-def _compared(rows: DataFrame, whole: DataFrame, keys: Sequence[str], about: Sequence[str], alike: Column) -> DataFrame:
+def _compared(
+    rows: DataFrame, whole: DataFrame, keys: Sequence[str], about: Sequence[str], alike: Column, agreeing: Column
+) -> DataFrame:
     """Pairs (a, b) of ``rows`` outside the main component with rows of ``whole`` (both: keys, id, component, main and
-    what is known ``about`` them) that have the same ``keys`` and are ``alike``."""
+    what is known ``about`` them) that have the same ``keys`` and are ``alike``, and how far they are ``agreeing``."""
     columns = ("id", "component", *about)
     side = lambda df, name, *more: df.select(*keys, *more, *(F.col(c).alias(f"{c}_{name}") for c in columns))
     both = side(rows.where("component <> main"), "a").join(side(whole, "b", "main"), list(keys))
     once = F.col("component_b").eqNullSafe(F.col("main")) | (F.col("id_a") < F.col("id_b"))
     both = both.where((F.col("component_a") != F.col("component_b")) & once & alike)
-    return both.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    return both.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), agreeing.alias("agreeing"))
 
 
 def _sized(a: str, b: str) -> Column:
@@ -391,8 +423,13 @@ def _alike_rest(a: str, b: str) -> Column:
     that they share, all others come after it in both. The bits of many minwise hashes then tell more."""
     most = F.least(F.col(f"n_{a}") - F.col(f"at_{a}"), F.col(f"n_{b}") - F.col(f"at_{b}"))
     enough = (100 + SIMILAR) * most >= SIMILAR * (F.col(f"n_{a}") + F.col(f"n_{b}"))
+    return enough & _sized(a, b) & (_differing(a, b) <= BITS - LEAST_BITS)
+
+
+def _differing(a: str, b: str) -> Column:
+    """Number of bits in which two classes differ."""
     words = (F.get(f"bits_{a}", F.lit(at)).bitwiseXOR(F.get(f"bits_{b}", F.lit(at))) for at in range(WORDS))
-    return enough & _sized(a, b) & (sum(F.bit_count(word) for word in words) <= BITS - LEAST_BITS)
+    return sum(F.bit_count(word) for word in words)
 
 
 def prefix(n: int) -> int:
@@ -419,7 +456,8 @@ def _ranks(texts: DataFrame) -> np.ndarray:
 
 
 def rare_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components of ``rest`` (id, component), among them all that are similar.
+    """Pairs (a, b) of different components of ``rest`` (id, component), among them all that are similar, and about how
+    many coordinates are ``agreeing``.
 
     Every set meets the others in the blocks of its rarest shingles (``prefix`` of them); the order is by the count of a
     shingle's bucket, so what a source repeats in every text comes last. The shingles' order decides on the size of the
@@ -451,7 +489,9 @@ def rare_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
     down, across = parts("others"), parts("size")
     left = rows.withColumns({"down": F.pmod(F.xxhash64("id", F.lit("down")), down), "across": each(across)})
     right = rows.withColumns({"across": F.pmod(F.xxhash64("id", F.lit("across")), across), "down": each(down)})
-    pairs = _compared(left, right, ["node", "down", "across"], ["n", "at", "bits"], _alike_rest("a", "b"))
+    # two bits differ by chance where the hashes do, so half of the differing coordinates do not show
+    agreeing = F.lit(COORDINATES) - (_differing("a", "b") * (2 * COORDINATES) / BITS).cast("int")
+    pairs = _compared(left, right, ["node", "down", "across"], ["n", "at", "bits"], _alike_rest("a", "b"), agreeing)
     pairs = settled(pairs.distinct(), "minhash-rare")
     discard(own, blocks, rows)
     return pairs

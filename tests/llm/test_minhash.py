@@ -113,3 +113,18 @@ def test_bits_tell_similar_sets_from_others():
             a, b = (minwise_bits(hashed_shingles(" ".join(common + words(own)))) for _ in range(2))
             found.append(minhash.BITS - sum(bin(int(x) & (1 << 64) - 1).count("1") for x in a ^ b))
     assert min(agreeing[0.75]) >= minhash.LEAST_BITS > max(agreeing[0.6])
+
+
+def test_one_pair_of_two_components_is_enough_where_it_is_a_link(spark, monkeypatch):
+    asked = []
+
+    def confirm(pairs, texts):
+        asked.append({tuple(row) for row in pairs.select("a", "b").collect()})
+        return pairs.select("a", "b").where("b <> 40 OR a = 7")  # of 40's links only one holds
+
+    monkeypatch.setattr(minhash, "confirm", confirm)
+    joined = spark.createDataFrame([(one, 0) for one in range(1, 20)], "id long, component long")
+    pairs = [(one, other, 60 - one) for one in range(20) for other in (30, 40)] + [(30, 7, 64), (3, 4, 64)]
+    found = minhash._linked(joined, spark.createDataFrame(pairs, "a long, b long, agreeing int"), None)
+    assert {tuple(row) for row in found.collect()} == {(one, 0) for one in [*range(1, 20), 30, 40]}
+    assert asked == [{(30, 7), (0, 40)}, {(one, 40) for one in range(1, 20)}]
