@@ -8,7 +8,7 @@ import zipfile
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from repolume.queries.records import SQL_COMMENT_TIME, raw_comments, raw_events,
 from repolume.schemas import REPO, TABLES
 from repolume.session import scratch_dir
 from repolume.sinks.tables import add_repositories, append_users, export_tables, read_export, save_table
-from repolume.sources.archives import archive_lines, count_members
+from repolume.sources.archives import archive_lines, batched, count_members
 from repolume.sources.tables import read_registry, read_table
 from repolume.streaming.ingest import append_versions, current_state, stream_into_store, stream_pages
 
@@ -179,21 +179,27 @@ def wanted_issues(t: Source) -> DataFrame:
     return read_wanted_issues(t.spark, root)
 
 
-def _zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One archive per document: its paragraphs as members; French ones stay plain bytes."""
-    for batch in batches:
-        payloads = []
-        for lang, text in zip(batch["lang"], batch["text"]):
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                for number, paragraph in enumerate(text.split("\n\n")):
-                    archive.writestr(f"{number}.txt", paragraph)
-            payloads.append(text.encode() if lang == "fr" else buffer.getvalue())
-        yield pd.DataFrame({"run_id": batch["doc_id"], "payload": payloads})
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for values in zip(*batch.columns):
+                doc_id, lang, text = (value.as_py() for value in values)
+                if lang == "fr":
+                    yield doc_id, text.encode()
+                    continue
+                buffer = io.BytesIO()
+                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                    for number, paragraph in enumerate(text.split("\n\n")):
+                        archive.writestr(f"{number}.txt", paragraph)
+                yield doc_id, buffer.getvalue()
+
+    return batched(rows(), pa.schema({"run_id": pa.int64(), "payload": pa.binary()}))
 
 
 def _archives(documents: DataFrame) -> DataFrame:
-    return documents.select("doc_id", "lang", "text").mapInPandas(_zip, "run_id long, payload binary")
+    return documents.select("doc_id", "lang", "text").mapInArrow(_zip, "run_id long, payload binary")
 
 
 @query(

@@ -3,6 +3,7 @@ import json
 import zipfile
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +150,20 @@ def test_users_met_in_one_record_have_an_order_of_their_own(frame):
     raw = {name: frame(raw_frame_schema(RAW[name]), row) for name, row in (("issue_comment", comment), ("issue", issue))}
     users = projections.users(met_users(raw), People(raw_ids=True), MET)
     assert rows(users, "seq", "id") == [(0, "b"), (1, "a"), (2, "c")]
+
+
+def test_archives_are_unpacked_one_at_a_time():
+    """A batch of archives is neither held as Python objects nor handed on as one batch."""
+    payload = archive(a="x" * 3_000_000)
+    schema = pa.schema({"run_id": pa.int64(), "payload": pa.binary()})
+    opened = []
+
+    def counted(payload):
+        opened.append(len(payload))
+        return Z.zipfile.ZipFile(Z.io.BytesIO(payload))
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array([payload] * 6)], schema=schema)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(Z, "_open", counted)
+        sizes = [(len(opened), found.num_rows, found.nbytes) for found in Z._lines(iter([batch]))]
+    assert [(at, n) for at, n, _ in sizes] == [(2, 2), (4, 2), (6, 2)] and max(size for *_, size in sizes) < 7_000_000
