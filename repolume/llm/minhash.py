@@ -301,16 +301,21 @@ def _linked(joined: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """``joined`` (id, component) after all links among ``pairs`` (a, b, agreeing), settled.
 
     Of the pairs between two components the one that agrees best is confirmed first. Where it is a link the others add
-    nothing, as their ends are in one component then; where it is none, all the others are confirmed.
+    nothing, as their ends are in one component then; where it is none, all the others are confirmed. Pairs are looked up
+    by their ids once; which components have become one since is looked up per two components, not per pair.
     """
-    alike = pairs.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing"))
-    first = settled(_apart(alike, joined), "minhash-apart")
-    between = first.groupBy(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b"))
-    best = between.agg(F.max(F.struct("agreeing", "a", "b")).alias("best")).select("best.a", "best.b")
-    best = settled(best, "minhash-best")
+    once = pairs.groupBy(F.least("a", "b"), F.greatest("a", "b")).agg(F.max(F.struct("agreeing", "a", "b")).alias("pair"))
+    found = _apart(once.select("pair.*"), joined)
+    between = F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")
+    first = settled(found.select("agreeing", "a", "b", *between), "minhash-apart")
+    best = first.groupBy("_a", "_b").agg(F.max(F.struct("agreeing", "a", "b")).alias("best"), F.count(F.lit(1)).alias("_n"))
+    best = settled(best.select("_a", "_b", "_n", "best.a", "best.b"), "minhash-best")
     joined = settled(_merged(joined, confirm(best, texts)), "minhash-joined")
-    others = first.select("a", "b").join(best, ["a", "b"], "left_anti")
-    others = settled(_apart(others, joined).select("a", "b"), "minhash-others")
+    # a component is called by one of its ids
+    parts = best.where("_n > 1").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    still = _apart(parts, joined).select(F.col("a").alias("_a"), F.col("b").alias("_b"))
+    others = first.join(still, ["_a", "_b"], "left_semi").join(best, ["a", "b"], "left_anti")
+    others = settled(others.select("a", "b"), "minhash-others")
     discard(first, best)
     if not others.isEmpty():
         joined = settled(_merged(joined, confirm(others, texts)), "minhash-joined")

@@ -128,3 +128,21 @@ def test_one_pair_of_two_components_is_enough_where_it_is_a_link(spark, monkeypa
     found = minhash._linked(joined, spark.createDataFrame(pairs, "a long, b long, agreeing int"), None)
     assert {tuple(row) for row in found.collect()} == {(one, 0) for one in [*range(1, 20), 30, 40]}
     assert asked == [{(30, 7), (0, 40)}, {(one, 40) for one in range(1, 20)}]
+
+
+def test_components_are_looked_up_once_for_all_their_pairs(spark, monkeypatch):
+    """A large group whose ids are each alike many others that are no links: only the first look at them is by id."""
+    looked, apart = [], minhash._apart
+
+    def counted(pairs, joined):
+        looked.append(pairs.count())
+        return apart(pairs, joined)
+
+    monkeypatch.setattr(minhash, "_apart", counted)
+    monkeypatch.setattr(minhash, "confirm", lambda pairs, texts: pairs.select("a", "b").where("least(a, b) = 7 AND greatest(a, b) > 109"))
+    joined = spark.createDataFrame([(one, 0) for one in range(1, 50)], "id long, component long")
+    pairs = [(one, other, 40 + one % 7) for one in range(50) for other in range(100, 112)]
+    pairs += [(b, a, agreeing) for a, b, agreeing in pairs]  # met from both ends
+    found = minhash._linked(joined, spark.createDataFrame(pairs, "a long, b long, agreeing int"), None)
+    assert {tuple(row) for row in found.collect()} == {(one, 0) for one in [*range(1, 50), 110, 111]}
+    assert looked == [50 * 12, 12]
