@@ -39,7 +39,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolume.llm.common import discard, settled, texts_of
+from repolume.llm.common import discard, quick, settled, texts_of
 
 HEAD = 1 << 17
 BUCKETS = 1 << 15
@@ -105,7 +105,7 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 def _library(ranks: dict[bytes, int], pattern: str) -> Callable[[str], list[int]]:
     """The ids of a word by the byte-pair library."""
-    merge = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    merge = tiktoken.Encoding("own", pat_str=quick(pattern), mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def ids_of(word: str) -> list[int]:
         try:
@@ -188,7 +188,7 @@ def count_words(docs: DataFrame, pattern: str) -> DataFrame:
     """word and n of every distinct word of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = regex.compile(pattern).findall
+        cut = regex.compile(quick(pattern)).findall
         counts: Counter[str] = Counter()
         for batch in batches:
             for text in texts_of(batch):
@@ -247,7 +247,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, head: int = H
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = regex.compile(pattern).findall
+        cut = regex.compile(quick(pattern)).findall
         table, ranks = shared.value
         ids_of = _Words(_rows(table), lambda ids: ids, _library(ranks, pattern)).__getitem__
         for batch in batches:
@@ -276,7 +276,7 @@ def encode_and_decode(
     chosen = docs.select(*keep, F.col("text").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = regex.compile(pattern).findall
+        cut = regex.compile(quick(pattern)).findall
         table, ranks = shared.value
         piece_of = _pieces(ranks).__getitem__
         # plain text and bytes per word, in a table each: one lookup a word and no tuples

@@ -16,6 +16,10 @@ __all__ = ["discard", "settled"]
 
 # White space of the word pattern [^\x20\x09-\x0D]+; ``bytes.split()`` cuts at the same six bytes.
 WHITE = "\\x20\\x09-\\x0D"
+# How the tokenizers cut words, and a pattern with the same matches for every text that takes fewer steps: what has been
+# matched is not given back, letters are tried first, and white space at a text's end is passed once.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_SAME = {_WORDS: r" ?\p{L}++|'(?:[sdmt]|ll|ve|re)| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -32,6 +36,11 @@ def count_words(text: Column) -> Column:
     return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{WHITE}]+"), "")).cast("long")
 
 
+def quick(pattern: str) -> str:
+    """A word pattern with the same matches that takes fewer steps, if one is known."""
+    return _SAME.get(pattern, pattern)
+
+
 def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows; beyond that the join shuffles. For settled frames
     of a few numbers a row."""

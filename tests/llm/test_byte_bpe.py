@@ -10,12 +10,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from repolume.llm.byte_bpe import (
-    _merge_long, decode, decoded_bytes, encode, encode_and_decode, encoded_head, fold_merges, merge_word,
+    _library, _merge_long, decode, decoded_bytes, encode, encode_and_decode, encoded_head, fold_merges, merge_word,
     rank_table, read_ranks,
 )
+from repolume.llm.common import quick
 
 RANKS = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 LIBRARY = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+QUICK = tiktoken.Encoding("own", pat_str=quick(public_tokenizers.PATTERN), mergeable_ranks=RANKS, special_tokens={})
 TEXTS = (
     "Hello, world! It's 2024's   end.\n\n\tÉlan vital — naïve café 東京 🎉 \x00  x", None, "", " ", "\n \n  a", "a" * 500,
     "the the The THE", "<|endoftext|> we'll I'd", "x" * 30_000 + " " + "long tail " * 3000, "é​  ß",
@@ -99,3 +101,18 @@ def test_the_ranks_are_in_no_plan(documents):
 def test_the_table_of_ranks_holds_every_piece_once(spark):
     maps = rank_table(spark, RANKS).first()["table"]
     assert sorted((bytes.fromhex(key), rank) for some in maps for key, rank in some.items()) == sorted(RANKS.items())
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.text(st.sampled_from("aZsdmtlrve'éß東٣7½_-!#🎉\u0301\u200b\x00 \t\n\r\x0b\x1c\x85\xa0\u2003"), max_size=40))
+def test_the_quick_pattern_cuts_alike(text):
+    pattern = public_tokenizers.PATTERN
+    assert quick(pattern) != pattern and quick("[a-z]+") == "[a-z]+"
+    assert regex.findall(quick(pattern), text) == regex.findall(pattern, text)
+    assert QUICK.encode_ordinary(text) == LIBRARY.encode_ordinary(text)
+
+
+def test_a_run_of_white_space_is_a_word_of_any_length():
+    """The library's own pattern has no room for so long a run, and does not say so by an error that can be handled."""
+    run = " " * 1_100_000
+    assert _library(RANKS, public_tokenizers.PATTERN)(run) == _merge_long(run.encode(), RANKS)
