@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from tokenizers import Tokenizer
 
-from repolume.llm.common import mix, settled, texts_of
+from repolume.llm.common import mix, quick, settled, texts_of
 
 LENGTH = 1024
 END = 0  # the id after each document
@@ -46,6 +46,8 @@ STEPS = 1 << 10  # into which a unit of a projected coordinate is divided
 # a document has at most so many pieces in one batch of the result
 _ROWS = 1 << 16
 
+# coordinates of the ids that a vocabulary of usual size has
+_FEATURE_OF = (mix(np.arange(1 << 16, dtype=np.uint64)) % np.uint64(FEATURES)).astype(np.int64)
 _PROJECTION = np.random.default_rng(11).choice([-1.0, 1.0], (FEATURES, DIMENSIONS))
 
 
@@ -65,7 +67,9 @@ def _encoders(content: str, pattern: str) -> tuple[tiktoken.Encoding, Tokenizer]
     letters = byte_alphabet()
     vocabulary = json.loads(content)["model"]["vocab"]
     ranks = {bytes(letters[letter] for letter in piece): rank for piece, rank in vocabulary.items()}
-    fast = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    # a special token that is never allowed: without any, the library looks for none at every place of a text
+    none = {"\0<|none|>\0": max(ranks.values()) + 1}
+    fast = tiktoken.Encoding("byte_bpe", pat_str=quick(pattern), mergeable_ranks=ranks, special_tokens=none)
     own = Tokenizer.from_str(content)
     own.encode_special_tokens = True
     return fast, own
@@ -82,7 +86,11 @@ def token_ids(text: str, content: str, pattern: str) -> np.ndarray:
 
 def project(ids: np.ndarray) -> np.ndarray:
     """The hashed vector of a document, of unit length, in ``DIMENSIONS`` whole numbers."""
-    counts = np.bincount((mix(ids.astype(np.uint64)) % np.uint64(FEATURES)).astype(np.int64), minlength=FEATURES)
+    if ids.max(initial=0) < len(_FEATURE_OF):
+        features = _FEATURE_OF[ids]
+    else:
+        features = (mix(ids.astype(np.uint64)) % np.uint64(FEATURES)).astype(np.int64)
+    counts = np.bincount(features, minlength=FEATURES)
     met = np.flatnonzero(counts)
     weights = np.log1p(counts[met])
     return np.rint(weights @ _PROJECTION[met] / np.sqrt((weights**2).sum()) * STEPS).astype(np.int64)

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from repolume.llm import packing
 from repolume.llm.packing import cut_document, digests, hilbert, last_cuts, pack, token_ids
 from repolume.llm.queries import QUERIES
 
@@ -123,3 +124,20 @@ def test_cuts(sizes, length):
         first += n
     assert all(size == length or size & (size - 1) == 0 for size in held.values())
     assert sorted(held) == list(range(len(held)))
+
+
+def test_white_space_at_the_end_does_not_need_the_slow_tokenizer(monkeypatch):
+    fast, _ = packing._encoders(CONTENT, public_tokenizers.PATTERN)
+    monkeypatch.setattr(packing, "_encoders", lambda *_: (fast, None))
+    for text in ("a" + " \n" * 600_000, "\0<|none|>\0 <|endoftext|>", "it's  é 東\t 12"):
+        assert [*token_ids(text, CONTENT, public_tokenizers.PATTERN), 0] == encode(text)
+
+
+def test_coordinates_of_ids_are_looked_up_where_they_are_known():
+    ids = np.array([0, 1, 65_535, 7, 7, 300], dtype="<u4")
+    wide = packing.project(np.append(ids, np.uint32(65_536)))
+    want = np.bincount((packing.mix(ids.astype(np.uint64)) % np.uint64(packing.FEATURES)).astype(np.int64), minlength=packing.FEATURES)
+    met = np.flatnonzero(want)
+    weights = np.log1p(want[met])
+    want = np.rint(weights @ packing._PROJECTION[met] / np.sqrt((weights**2).sum()) * packing.STEPS)
+    assert (packing.project(ids) == want).all() and wide.shape == (packing.DIMENSIONS,)
