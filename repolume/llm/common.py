@@ -47,6 +47,18 @@ def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def settled_in_batches(df: DataFrame, label: str, size: str = "4m") -> DataFrame:
+    """``df`` settled, while Python gets about ``size`` of rows at once. For functions that look at one row at a time: a
+    batch lies in memory several times, in the executor and in the worker, and by Spark's default takes up to 64 MB."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(key)
+    conf.set(key, size)
+    try:
+        return settled(df, label)
+    finally:
+        conf.set(key, before)
+
+
 def hash_words(words: Sequence[bytes]) -> np.ndarray:
     """A 64-bit hash of each word, the same in every process."""
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repolume.llm.common import discard, hash_windows, hash_words, mix, settled, small, texts_of
+from repolume.llm.common import discard, hash_windows, hash_words, mix, settled, settled_in_batches, small, texts_of
 
 SHINGLE = 5
 SIMILAR = 75  # per cent of the union
@@ -200,7 +200,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     both = pairs.join(right, "b").join(left, "a")
     kind = texts.schema["id"].dataType.simpleString()
     links = both.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {kind}, b {kind}").distinct()
-    links = settled(links, "minhash-confirmed")
+    links = settled_in_batches(links, "minhash-confirmed")
     discard(pairs, ids)
     return links
 
@@ -332,7 +332,7 @@ def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (smallest id of its component) of every row of ``docs``."""
-    sketched = settled(sketches(docs), "minhash-sketches")
+    sketched = settled_in_batches(sketches(docs), "minhash-sketches")
     classes = settled(
         sketched.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("set_key")

@@ -1,6 +1,9 @@
 import random
 
-from repolume.llm import minhash
+import pyarrow as pa
+import pytest
+
+from repolume.llm import common, minhash
 from repolume.llm.minhash import components, drop_near_duplicates, hashed_shingles, minwise_bits, near_duplicates, prefix, roots, shingles
 from tests.conftest import rows
 
@@ -146,3 +149,30 @@ def test_components_are_looked_up_once_for_all_their_pairs(spark, monkeypatch):
     found = minhash._linked(joined, spark.createDataFrame(pairs, "a long, b long, agreeing int"), None)
     assert {tuple(row) for row in found.collect()} == {(one, 0) for one in [*range(1, 50), 110, 111]}
     assert looked == [50 * 12, 12]
+
+
+def test_texts_go_to_python_in_small_batches(documents, monkeypatch, spark):
+    key, seen, settled = "spark.sql.execution.arrow.maxBytesPerBatch", {}, common.settled
+    before = spark.conf.get(key)
+
+    def observed(df, label):
+        seen[label] = spark.conf.get(key)
+        return settled(df, label)
+
+    monkeypatch.setattr(common, "settled", observed)
+    text = " ".join(f"w{at}" for at in range(40))
+    found = rows(minhash.near_duplicates(documents((1, text), (2, f"{text} more"), (3, "other"))), "doc_id", "component_id")
+    assert found == [(1, 1), (2, 1), (3, 3)]
+    assert seen == {"minhash-sketches": "4m", "minhash-confirmed": "4m"} and spark.conf.get(key) == before
+
+
+def test_batches_are_bounded_and_the_setting_is_put_back(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    wide = spark.range(2000, numPartitions=1).selectExpr("repeat('x', 1000) AS text")
+    sizes = lambda batches: (pa.RecordBatch.from_pydict({"n": [batch.num_rows]}) for batch in batches)
+    found = common.settled_in_batches(wide.mapInArrow(sizes, "n long"), "batches", "100k")
+    assert [sum(r.n for r in found.collect()), max(r.n for r in found.collect()) < 200] == [2000, True]
+    with pytest.raises(Exception, match="gone"):
+        common.settled_in_batches(wide.selectExpr("raise_error('gone') AS gone"), "batches", "100k")
+    assert spark.conf.get(key) == before
