@@ -15,7 +15,7 @@ from repolume.operators.setops import concat
 from repolume.plans.activity import attach_parents, build_tables, child_table, cursors, merge_table, summary_sources
 from repolume.plans.completion import read_wanted_issues, settle_wanted_issues
 from repolume.plans.selection import TableSelection
-from repolume.plans.summary import SUMMARY_KEYS, keys_path, refresh_summary, summary_keys
+from repolume.plans.summary import SUMMARY_KEYS, distinct_keys, keys_path, refresh_summary, summary_keys
 from repolume.plans.versions import COMMIT_STATE, commit_state, refresh_versions, repair_identities, state_path
 from repolume.schemas import LISTED_UNDER, RAW, REPO, TABLES
 from repolume.session import remove, scratch_dir
@@ -181,7 +181,7 @@ class Workspace:
         if "repository" in tables:  # what a later landing is counted together with
             keys = summary_keys(counted, projections.commit_log(commits), projections.edits(edits))
             landed_in = concat(raw["repository"].select(REPO), *[df.select(REPO) for df in (*counted.values(), edits)])
-            save_state(keys, keys_path(self.root), SUMMARY_KEYS, landed_in)
+            save_state(distinct_keys(keys), keys_path(self.root), SUMMARY_KEYS, landed_in)
         self._want_issues(raw, tables)
         for folder in folders:
             remove(self.spark, folder)

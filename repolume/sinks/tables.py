@@ -72,6 +72,11 @@ def save_state(df: DataFrame, path: str, schema: T.StructType, replaced: DataFra
     _replace(df.select(*schema.names), path, schema, replaced.select(REPO).distinct())
 
 
+def save_buckets(df: DataFrame, path: str) -> None:
+    """Write ``df`` (settled, all rows of its buckets) over these buckets below ``path``; the other buckets stay."""
+    _write(df, path, "overwrite")
+
+
 def save_together(tables: dict[str, DataFrame], root: str) -> None:
     """Save tables that were derived from each other's stored rows.
 

@@ -1,11 +1,14 @@
+import datetime
 import json
 
 import pytest
 
 from repolume.functions.people import People
+from repolume.plans import summary
 from repolume.plans.selection import TableSelection
 from repolume.plans.workspace import Workspace
 from repolume.schemas import MINED_COMMITS, MINED_EDITS, TABLES
+from repolume.sources.tables import read_table
 from tests.conftest import rows
 
 U1 = {"node_id": "n1", "name": "Ann", "login": "ann"}
@@ -301,3 +304,20 @@ def test_the_summary_of_parts_is_that_of_a_whole_landing(spark, frame, workspace
     a = workspace.table("repository").where("repo_name = 'a'").first()
     assert (a["issues_count"], a["labels_count"], a["commit_count"], a["branch_count"], a["stars"]) == (3, 3, 2, 3, 3)
     assert a["file_readme"].day == 2 and a["file_security"].day == 2 and a["file_support"].day == 5 and a["last_commit_date"].day == 5
+
+
+def test_keys_of_a_repeated_landing_are_stored_once(spark, frame, tmp_path):
+    root, at = str(tmp_path / "store"), datetime.datetime(2024, 1, 2)
+    key = {"repo_full_name": "o/a", "counted": "commit_count", "key": "s1", "author_date": at, "committed_at": at}
+    edit = {"repo_full_name": "o/a", "counted": "edit", "key": "s1", "filename": "README.md"}
+    early, nobody = {**edit, "key": "s2"}, {**key, "repo_full_name": None}
+    keys = frame(summary.SUMMARY_KEYS, key, key, edit, early, nobody)
+    described = frame(TABLES["repository"].schema, {"repo_full_name": "o/a"})
+    for _ in range(3):
+        summary.refresh_summary(spark, root, keys, described)
+    stored = spark.read.parquet(summary.keys_path(root))
+    assert sorted((r.repo_full_name or "", r.counted, r.key) for r in stored.collect()) == [
+        ("", "commit_count", "s1"), ("o/a", "commit_count", "s1"), ("o/a", "edit", "s1"), ("o/a", "edit", "s2")
+    ]
+    shown = read_table(spark, root, "repository").collect()
+    assert [(r.commit_count, r.last_commit_date, r.file_readme, r.file_security) for r in shown] == [(1, at, at, None)]
