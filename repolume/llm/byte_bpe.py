@@ -39,7 +39,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolume.llm.common import discard, quick, settled, texts_of
+from repolume.llm.common import discard, quick, settled, settled_in_batches, slices, texts_of
 
 HEAD = 1 << 17
 BUCKETS = 1 << 15
@@ -209,7 +209,7 @@ def _counted(counts: Counter[str]) -> pa.RecordBatch:
 
 def encoded_head(docs: DataFrame, ranks: dict[bytes, int], pattern: str, head: int = HEAD) -> DataFrame:
     """word and ids of the most frequent words, at most ``head`` of them."""
-    counts = settled(count_words(docs, pattern).where(F.octet_length("word") <= LONG), "bpe-words")
+    counts = settled_in_batches(count_words(docs, pattern).where(F.octet_length("word") <= LONG), "bpe-words")
     # exact counts up to 999, then four steps per power of two: at most a thousand and some hundred rows
     step = F.when(F.col("n") < 1000, F.col("n")).otherwise(F.pow(2.0, F.floor(4 * F.log2("n")) / 4).cast("long"))
     left, least = head, None
@@ -250,7 +250,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, head: int = H
         cut = regex.compile(quick(pattern)).findall
         table, ranks = shared.value
         ids_of = _Words(_rows(table), lambda ids: ids, _library(ranks, pattern)).__getitem__
-        for batch in batches:
+        for batch in slices(batches):
             found = [
                 np.fromiter(chain.from_iterable(map(ids_of, cut(text))), dtype=np.int32) for text in texts_of(batch, at)
             ]
@@ -284,7 +284,7 @@ def encode_and_decode(
         bytes_of = _Words(
             iter(()), lambda found: b"".join(map(piece_of, found)), lambda word: map(int, decimals_of(word).split(","))
         ).__getitem__
-        for batch in batches:
+        for batch in slices(batches):
             counts, ids_digests, digests, lists = [], [], [], []
             for text in texts_of(batch, "_text"):
                 words = cut(text)
@@ -323,7 +323,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece_of = _pieces(shared.value)
         decimal = [str(rank) for rank in range(len(piece_of))]
-        for batch in batches:
+        for batch in slices(batches):
             counts, ids_digests, digests = [], [], []
             for value in batch.column(at):
                 ids = value.values.to_numpy(zero_copy_only=False).tolist() if value.is_valid else []

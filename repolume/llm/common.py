@@ -90,6 +90,13 @@ def texts_of(batch: pa.RecordBatch, column: str | int = "text") -> Iterator[str]
         yield value.as_py() or ""
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in smaller ones, so that what is made of them is handed back piece by piece."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def learns(doc_id: Column, modulus: int, held: int) -> Column:
     """Whether a label may be learned from: crc32 of the id as text leaves another remainder than ``held``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus != held

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repolume.llm.common import hash_words, learns, mix, settled, texts_of
+from repolume.llm.common import hash_words, learns, mix, settled, slices, texts_of
 from repolume.llm.fitting import State, labelled_sample, mixed, sigmoid
 
 BITS = 20
@@ -137,7 +137,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score_of = Scorer(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             clean = [score_of(text) < THRESHOLD for text in texts_of(batch)]
             yield batch.filter(pa.array(clean, pa.bool_()))
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -13,7 +14,7 @@ from repolume.llm.byte_bpe import (
     _library, _merge_long, decode, decoded_bytes, encode, encode_and_decode, encoded_head, fold_merges, merge_word,
     rank_table, read_ranks,
 )
-from repolume.llm.common import quick
+from repolume.llm.common import quick, slices
 
 RANKS = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 LIBRARY = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
@@ -116,3 +117,13 @@ def test_a_run_of_white_space_is_a_word_of_any_length():
     """The library's own pattern has no room for so long a run, and does not say so by an error that can be handled."""
     run = " " * 1_100_000
     assert _library(RANKS, public_tokenizers.PATTERN)(run) == _merge_long(run.encode(), RANKS)
+
+
+def test_results_are_handed_back_in_small_batches(spark):
+    texts = [f"text number {n}, {'x' * (n % 7)}" for n in range(600)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(600)), "text": texts})
+    parts = list(slices(iter([batch, batch.slice(0, 0)])))
+    assert [part.num_rows for part in parts] == [256, 256, 88] and pa.Table.from_batches(parts).to_pylist() == batch.to_pylist()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: list(r.ids) for r in encode_and_decode(docs, RANKS, public_tokenizers.PATTERN, ids=True).collect()}
+    assert found == {n: LIBRARY.encode(text) for n, text in enumerate(texts)}
