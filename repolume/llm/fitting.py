@@ -1,8 +1,8 @@
 """Fit small models by parameter mixing: shards learn side by side from one state, and their states are averaged.
 
-A round is one Spark job. Every shard starts from the broadcast state, passes over its own samples and leaves its
-state in the shared folder; the driver adds the states up, one at a time, so it holds the model and one state, whatever
-the number of samples. A shard's samples are put in the order of ``place``, a hash of id and text, so a lost task, or
+Every shard starts from the same state, passes over its own samples and leaves its state in the shared folder, cut into
+pieces; the pieces are averaged by Spark and joined to the shards again, so only the start, and the last mean if it is asked for, pass
+the driver, whatever the numbers of samples and rounds. A shard's samples are put in the order of ``place``, a hash of id and text, so a lost task, or
 a rerun, repeats its shard from the same state with the same result, in whatever order shuffled blocks arrive.
 """
 
@@ -16,10 +16,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repolume.llm.common import learns, settled
+from repolume.llm.common import discard, learns, settled
 
 SHARD_ROWS = 5_000  # samples of one shard
 SAMPLE = 20_000  # labelled documents that a model is fitted on at most
+PIECE = 1 << 15  # numbers of a state that lie in one row
 
 State = list[np.ndarray]
 
@@ -46,30 +47,75 @@ def mixed(
     samples: DataFrame, learn: Callable[[pd.DataFrame, State, int], State], start: State, rounds: int
 ) -> State:
     """The state after ``rounds`` of ``learn(samples of a shard, state, round)`` on each shard and averaging."""
+    pieces = mixed_pieces(samples, learn, start, rounds)
+    flat = np.concatenate([part.astype("<f4").ravel() for part in start])
+    if pieces is not None:
+        found = pd.DataFrame(pieces.collect(), columns=["piece", "state"])
+        flat = joined(found["piece"], found["state"])
+    ends = np.cumsum([part.size for part in start])[:-1]
+    return [part.reshape(old.shape).astype(float) for part, old in zip(np.split(flat, ends), start, strict=True)]
 
-    def one_shard(shared, turn: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-        def run(rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values("place", kind="stable", ignore_index=True)
-            learned = learn(rows, [part.astype(float) for part in shared.value], turn)
-            blob = b"".join(np.ascontiguousarray(part, dtype="<f4").tobytes() for part in learned)
-            return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "n": [len(rows)], "state": [blob]})
-
-        return run
-
-    state = [part.astype("<f4") for part in start]
-    ends = np.cumsum([part.size for part in start])
-    for turn in range(rounds):
-        shared = samples.sparkSession.sparkContext.broadcast(state)
-        learned = samples.groupBy("shard").applyInPandas(one_shard(shared, turn), "shard int, n long, state binary")
-        total, flat = 0, np.zeros(ends[-1])
-        for row in settled(learned, "fit-round").orderBy("shard").toLocalIterator():  # one shard's state at a time
-            total += row["n"]
-            flat += np.frombuffer(row["state"], dtype="<f4") * row["n"]
-        if total:
-            parts = np.split((flat / total).astype("<f4"), ends[:-1])
-            state = [part.reshape(old.shape) for part, old in zip(parts, start, strict=True)]
-        shared.unpersist()
-    return [part.astype(float) for part in state]
+
+def mixed_pieces(
+    samples: DataFrame, learn: Callable[[pd.DataFrame, State, int], State], start: State, rounds: int
+) -> DataFrame | None:
+    """piece and state: what ``mixed`` returns, as 4-byte numbers one after another, ``PIECE`` in a row; None without
+    samples."""
+    spark = samples.sparkSession
+    state = np.concatenate([part.astype("<f4").ravel() for part in start])
+    shapes, ends = [part.shape for part in start], np.cumsum([part.size for part in start])[:-1]
+    pieces = math.ceil(state.size / PIECE)
+    last = samples.agg(F.max("shard")).first()[0]  # none without samples
+
+    def one_shard(rows: pd.DataFrame, flat: np.ndarray, turn: int) -> pd.DataFrame:
+        rows = rows.sort_values("place", kind="stable", ignore_index=True)
+        parts = [part.reshape(shape).astype(float) for part, shape in zip(np.split(flat, ends), shapes, strict=True)]
+        learned = np.concatenate([part.astype("<f4").ravel() for part in learn(rows, parts, turn)])
+        blobs = [learned[at : at + PIECE].tobytes() for at in range(0, learned.size, PIECE)]
+        shard, count = int(rows["shard"].iloc[0]), len(rows)
+        return pd.DataFrame({"shard": shard, "n": count, "piece": range(len(blobs)), "state": blobs})
+
+    def from_start(shared) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        return lambda rows: one_shard(rows, shared.value, 0)
+
+    def from_mean(turn: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+        # a shard may have got no sample
+        return lambda rows, mean: one_shard(rows, joined(mean["piece"], mean["state"]), turn) if len(rows) else nothing()
+
+    mean, kind = None, "shard int, n long, piece int, state binary"
+    for turn in range(rounds if last is not None else 0):
+        if mean is None:
+            shared = spark.sparkContext.broadcast(state)
+            learned = settled(samples.groupBy("shard").applyInPandas(from_start(shared), kind), "fit-round")
+            shared.destroy()
+        else:
+            shards = F.explode(F.sequence(F.lit(0), F.lit(last))).alias("shard")
+            known = mean.select(shards, "piece", "state").groupBy("shard")
+            learned = samples.groupBy("shard").cogroup(known).applyInPandas(from_mean(turn), kind)
+            learned = settled(learned, "fit-round")
+            discard(mean)
+        # about a megabyte in a task, so that the last mean is read in small parts
+        dealt = learned.repartition(math.ceil(pieces / 8), "piece").groupBy("piece")
+        mean = settled(dealt.applyInPandas(averaged, "piece int, state binary"), "fit-mean")
+        discard(learned)
+    return mean
+
+
+def nothing() -> pd.DataFrame:
+    return pd.DataFrame({"shard": [], "n": [], "piece": [], "state": []})
+
+
+def averaged(rows: pd.DataFrame) -> pd.DataFrame:
+    """One piece of the mean of the shards' states, by their numbers of samples and in the order of the shards."""
+    flat = 0.0
+    for row in rows.sort_values("shard").itertuples():
+        flat = flat + (np.frombuffer(row.state, dtype="<f4") * int(row.n)).astype(float)
+    return pd.DataFrame({"piece": [rows["piece"].iloc[0]], "state": [(flat / rows["n"].sum()).astype("<f4").tobytes()]})
+
+
+def joined(piece: pd.Series, state: pd.Series) -> np.ndarray:
+    """The state whose pieces these are, in whatever order."""
+    return np.concatenate([np.frombuffer(state.iloc[at], dtype="<f4") for at in np.argsort(piece.to_numpy())])
 
 
 def sigmoid(x):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repolume.llm.common import hash_words, learns, mix, settled, slices, texts_of
-from repolume.llm.fitting import State, labelled_sample, mixed, sigmoid
+from repolume.llm.fitting import PIECE, State, labelled_sample, mixed_pieces, sigmoid
 
 BITS = 20
 DIMS = 1 << BITS
@@ -102,10 +102,28 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     sample = settled(sample.mapInArrow(hashed, "shard int, place long, label int, at array<int>"), "toxicity-sample")
     if sample.isEmpty():
         return np.array([DIMS]), np.array([-UNSURE])
-    z, n = mixed(sample, learn, [np.zeros(DIMS + 1), np.zeros(DIMS + 1)], ROUNDS)
-    weight = weights_at(z, n)
-    at = np.flatnonzero(weight)
-    return at, weight[at]
+    pieces = mixed_pieces(sample, learn_pairs, [np.zeros((DIMS + 1, 2), dtype="<f4")], ROUNDS)
+    found = [] if pieces is None else pieces.mapInArrow(nonzero, "piece int, at binary, weight binary").collect()
+    found.sort(key=lambda row: row["piece"])
+    at = np.frombuffer(b"".join(row["at"] for row in found), dtype="<i8")
+    return at, np.frombuffer(b"".join(row["weight"] for row in found), dtype="<f8")
+
+
+def learn_pairs(rows: pd.DataFrame, state: State, turn: int) -> State:
+    """``learn`` with the sum and the squared gradients of a coordinate side by side, so that they lie in one piece."""
+    return [np.stack(learn(rows, [part.copy() for part in state[0].T], turn), axis=1)]
+
+
+def nonzero(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Coordinates and weights that are not zero, of each piece of a state of pairs."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            z, n = np.frombuffer(row["state"], dtype="<f4").astype(float).reshape(-1, 2).T
+            at = np.flatnonzero(np.abs(z) > L1)
+            columns = [[row["piece"]], [(at + row["piece"] * (PIECE // 2)).astype("<i8").tobytes()], [weights_at(z[at], n[at]).tobytes()]]
+            types = (pa.int32(), pa.binary(), pa.binary())
+            columns = [pa.array(column, kind) for column, kind in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["piece", "at", "weight"])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:

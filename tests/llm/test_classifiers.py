@@ -5,7 +5,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from repolume.llm import quality_mil, toxicity
+from repolume.llm import fitting, quality_mil, toxicity
 from tests.conftest import rows
 
 BAD = ("zorgh", "blathk", "vrumpf")
@@ -143,3 +143,42 @@ def test_documents_of_poor_passages_are_found(documents, labels):
     assert all(got[i]["held_out"] == (i in set(held)) for i, _ in texts)
     assert sum(got[i]["predicted"] == (i % 3 != 0) for i in held) >= 0.97 * len(held)
     assert found.count() == docs.count() and all(0 <= row["score"] <= 1 for row in got.values())
+
+
+def test_states_are_averaged_without_the_driver(spark, monkeypatch):
+    """Round by round as one process does it; a shard has no sample, and of the states only the last mean is collected."""
+    monkeypatch.setattr(fitting, "PIECE", 4)
+
+    def learn(rows, state, turn):
+        by = float(rows["value"].sum()) + turn
+        return [state[0] * 1.5 + by, state[1] - by / 3]
+
+    values = {0: [1, 2, 3], 2: [10], 3: [7, 9]}
+    samples = spark.createDataFrame([(s, i, v) for s, of in values.items() for i, v in enumerate(of)], "shard int, place long, value int")
+    start = [np.arange(6.0).reshape(2, 3), np.ones(5)]
+    monkeypatch.setattr("pyspark.sql.DataFrame.toLocalIterator", lambda *_: pytest.fail("states pass the driver"))
+    found = fitting.mixed(samples, learn, start, 3)
+    state = start
+    for turn in range(3):
+        learned = [(len(of), learn(pd.DataFrame({"value": of}), state, turn)) for of in values.values()]
+        sums = [sum((part[at].astype("<f4") * n).astype(float) for n, part in learned) for at in range(2)]
+        state = [(part / 6).astype("<f4").astype(float) for part in sums]
+    assert all(np.array_equal(a, b) for a, b in zip(found, state, strict=True))
+    assert all(np.array_equal(a, b) for a, b in zip(fitting.mixed(samples.limit(0), learn, start, 3), start, strict=True))
+
+
+def test_the_driver_gets_no_state_of_toxicity(documents, labels, toxic_texts, monkeypatch):
+    """The weights are those of the whole state; only those that are not zero are collected."""
+    docs = documents(*[(i, text) for i, text, _ in toxic_texts])
+    marks = labels(*[(i, None, int(toxic)) for i, _, toxic in toxic_texts])
+    seen = []
+
+    def watched(samples, learn, start, rounds):
+        seen.append(fitting.mixed(samples, learn, start, rounds))
+        return fitting.mixed_pieces(samples, learn, start, rounds)
+
+    monkeypatch.setattr(toxicity, "mixed_pieces", watched)
+    at, weight = toxicity.fit(docs, marks)
+    z, n = seen[0][0].T
+    dense = toxicity.weights_at(z, n)
+    assert np.array_equal(at, np.flatnonzero(dense)) and np.array_equal(weight, dense[at]) and 0 < at.size < toxicity.DIMS / 100
